@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The workload this library covers is batch only: a fixed table is encoded,
+split, fitted and scored, and there is no stream, watermark, window or
+stateful operator to re-express.  Nothing is built here rather than adding
+operators the workload does not have.  (A fitted ``ALSModel`` or forest model
+can still score a streaming DataFrame with ``transform``: that is plain Spark,
+not something this package adds.)
+"""
