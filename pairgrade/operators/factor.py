@@ -63,12 +63,25 @@ def usable_ratings(df: DataFrame, user: str, item: str, rating: str | None = Non
     return df.where(cond)
 
 
+def dropped_ratings(df: DataFrame, user: str, item: str, rating: str) -> DataFrame:
+    """One row: how many rows ALS cannot use (null id, null or NaN rating),
+    counted in one aggregate; nothing runs until it is read."""
+    bad = (F.col(user).isNull() | F.col(item).isNull() | F.col(rating).isNull()
+           | F.isnan(F.col(rating).cast("double")))
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.count_if(bad).alias("dropped"))
+
+
 def fit_als(train: DataFrame, user: str, item: str, rating: str, **params) -> ALSModel:
     spark = train.sparkSession
     checkpoint_root(spark)  # ALS checkpoints only when a dir is set
     params["num_blocks"] = resolve_blocks(spark, params.get("num_blocks"))
     est = als_estimator(user, item, rating, **params)
     clean = usable_ratings(train, user, item, rating).select(user, item, rating)
+    if clean.isEmpty():  # reads at most one row
+        raise ValueError(
+            f"no usable ratings: every training row has a null id ({user}, {item}) "
+            f"or a null/NaN rating ({rating}); a constant column scaled by "
+            "min-max gives null ratings")
     return est.fit(clean)
 
 

@@ -7,6 +7,11 @@ folder so deep trees (15-20 levels) do not grow the lineage.  The input's
 partitioning sets the training parallelism, so a frame with fewer partitions
 than task slots is spread out first (one round-robin shuffle; large inputs
 already have enough partitions and are left alone).
+
+``max_memory_mb`` bounds the per-task histogram buffer of one pass; a larger
+buffer lets one pass split more nodes, so deep trees need fewer passes over
+the data (the fitted model is the same).  1 GB per running task is the
+default; lower it on executors with little memory per core.
 """
 
 from __future__ import annotations
@@ -58,7 +63,7 @@ def forest_estimator(kind: str, label: str = "label", features: str = "features"
                      *, num_trees: int = NUM_TREES, max_depth: int | None = None,
                      max_bins: int = MAX_BINS, impurity: str | None = None,
                      subset: str = "auto", seed: int = SEED,
-                     min_instances: int = 1, max_memory_mb: int = 256,
+                     min_instances: int = 1, max_memory_mb: int = 1024,
                      cache_node_ids: bool = True, checkpoint_interval: int = 10,
                      prediction: str = "prediction"):
     common = dict(

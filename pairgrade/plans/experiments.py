@@ -30,6 +30,7 @@ from pairgrade.operators.factor import SEED, fit_als, score_als
 from pairgrade.operators.forest import assemble, fit_forest, score_forest, slice_features
 from pairgrade.operators.metrics import prediction_metrics
 from pairgrade.operators.scale import minmax_scale, minmax_unit
+from pairgrade.sources.sinks import materialize
 
 TRAIN_FRACTION = 0.7
 SCALE_RANGE = (1.0, 5.0)
@@ -84,19 +85,27 @@ def pair_predictions(df: DataFrame, user: str, item: str, rating: str,
                      bias_pivot: float = BIAS_PIVOT, bias_cap: float = BIAS_CAP,
                      scale_rating: tuple[float, float] | None = None,
                      seed: int = SEED, train_fraction: float = TRAIN_FRACTION,
-                     split_method: str = "md5", **als_params):
+                     split_method: str = "md5", materialized: bool = True,
+                     add_bias_columns: bool = True, **als_params):
     """Fit ALS on the training side and score the test side.
 
     Returns ``(model, scored)``; ``scored`` has the key columns, user_id,
     item_id, label, prediction and, with a bias column, bias_value, bias_n and
-    prediction_bias."""
+    prediction_bias.
+
+    ``materialized``: the narrow encoded frame is written once to the shared
+    checkpoint folder, so the source (scan, joins, encoding) is computed once
+    for both sides instead of once per side, and a lost executor re-reads
+    files instead of recomputing the source."""
     frame = pair_frame(df, user, item, rating, key, bias=bias, scale_rating=scale_rating,
                        seed=seed, train_fraction=train_fraction, split_method=split_method)
+    if materialized:
+        frame = materialize(frame, "pair")
     train = frame.where(F.col(SPLIT_COL))
     test = frame.where(~F.col(SPLIT_COL)).drop(SPLIT_COL)
     model = fit_als(train, "user_id", "item_id", "label", seed=seed, **als_params)
     scored = score_als(model, test)
-    if bias is not None:
+    if bias is not None and add_bias_columns:
         scored = add_bias(scored, bias_pivot, bias_cap)
     return model, scored
 
@@ -117,10 +126,28 @@ def pair_experiment(df: DataFrame, user: str, item: str, rating: str,
     for a scaled one; ``bias=<column>`` adds the biased RMSE."""
     if classify is None:
         classify = params.get("scale_rating") is None
-    _, scored = pair_predictions(df, user, item, rating, key, **params)
+    bias = params.pop("bias", None)
+    pivot = params.pop("bias_pivot", BIAS_PIVOT)
+    cap = params.pop("bias_cap", BIAS_CAP)
+    _, scored = pair_predictions(df, user, item, rating, key, bias=bias, bias_pivot=pivot,
+                                 bias_cap=cap, add_bias_columns=False, **params)
+    if bias is not None:
+        scored = biased_scores(scored, pivot, cap, params.get("materialized", True))
     return pair_metrics(scored, user, item, classify)
 
 
+def biased_scores(scored: DataFrame, pivot: float = BIAS_PIVOT, cap: float = BIAS_CAP,
+                  materialized: bool = True) -> DataFrame:
+    """The biased prediction needs min/max over the scored rows, i.e. a second
+    pass over them.  Scoring (two factor joins) runs once: its narrow output
+    (label, prediction, bias value) is written to the shared checkpoint
+    folder, then both the bounds and the metrics read that table."""
+    narrow = scored.select("label", "prediction", "bias_value")
+    if materialized:
+        narrow = materialize(narrow, "scored")
+    return add_bias(narrow, pivot, cap)
+
+
 # --------------------------------------------------------------------------
 # forests
 # --------------------------------------------------------------------------
@@ -158,11 +185,15 @@ def forest_predictions(df: DataFrame, label: str, features: str | Sequence[str],
                        key: str | Sequence[str] | None = None, *, kind: str = "class",
                        num_classes: int | None = None, subset: Sequence[int] | None = None,
                        seed: int = SEED, train_fraction: float = TRAIN_FRACTION,
-                       split_method: str = "md5", **forest_params):
+                       split_method: str = "md5", materialized: bool = True,
+                       **forest_params):
     """Fit a forest on the training side, score the test side.
-    Returns ``(model, scored)`` with key columns, label, features, prediction."""
+    Returns ``(model, scored)`` with key columns, label, features, prediction.
+    ``materialized`` as in ``pair_predictions``."""
     frame = forest_frame(df, label, features, key, subset=subset, seed=seed,
                          train_fraction=train_fraction, split_method=split_method)
+    if materialized:
+        frame = materialize(frame, "forest-frame")
     train = frame.where(F.col(SPLIT_COL))
     test = frame.where(~F.col(SPLIT_COL)).drop(SPLIT_COL)
     model = fit_forest(train, kind, "label", "features", num_classes=num_classes,

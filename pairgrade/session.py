@@ -15,9 +15,15 @@ from pyspark.sql import SparkSession
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
-                  app_name: str = "pairgrade", **conf: str) -> SparkSession:
+                  app_name: str = "pairgrade", driver_memory: str = "16g",
+                  **conf: str) -> SparkSession:
+    """A session for local runs and tests.  ``driver_memory`` only matters in
+    local mode (the driver JVM is the executor) and only before the JVM
+    starts; forests need several ``maxMemoryInMB`` histogram buffers per
+    running task."""
     builder = (
         SparkSession.builder.master(master).appName(app_name)
+        .config("spark.driver.memory", driver_memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))

@@ -44,6 +44,9 @@ def write_metrics(metrics: DataFrame, path: str, fmt: str = "csv",
 def preview(scored: DataFrame, order_by: Sequence[str], n: int = 25,
             columns: Sequence[str] = ("label", "prediction")) -> DataFrame:
     """First ``n`` (label, prediction) rows in key order: a top-k (each task
-    keeps its n smallest keys), deterministic across runs."""
-    keys = [F.col(k) for k in order_by]
-    return scored.orderBy(*keys).select(*columns, *order_by).limit(n)
+    keeps its n smallest rows, one task merges n per input task).  Ties on the
+    key are broken by the shown columns, so the result is the same for any
+    partitioning even when keys repeat."""
+    out = list(dict.fromkeys([*columns, *order_by]))
+    order = list(dict.fromkeys([*order_by, *columns]))
+    return scored.select(*out).orderBy(*[F.col(c) for c in order]).limit(n)
