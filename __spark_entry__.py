@@ -380,7 +380,7 @@ def _diamond_text(spark, sf_dir):
     price = F.when((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F"), F.lit("n/a")
                    ).otherwise(s(F.round("l_extendedprice").cast("bigint")))
     return j.select(
-        s(F.col("l_orderkey")).alias("id"),
+        F.concat_ws("-", F.col("l_orderkey"), F.col("l_linenumber")).alias("id"),
         s(F.col("l_discount") * 10).alias("carat"),
         cut.alias("cut"), color.alias("color"), clarity.alias("clarity"),
         s(F.col("l_quantity") + 40).alias("depth"),
@@ -398,6 +398,34 @@ def q_csv_items_encode(spark, sf_dir):
     return encode_items(read_items_csv(spark, path))
 
 
+DIAMOND_COLS = ["carat", "color", "clarity", "depth", "table", "price", "x", "y", "z"]
+
+
+def _csv_items(spark, sf_dir):
+    path = scratch_path(spark, "items-csv")
+    _diamond_text(spark, sf_dir).write.option("header", True).csv(path)
+    return encode_items(read_items_csv(spark, path), keep=["id"])
+
+
+def q_csv_pair_grade(spark, sf_dir):
+    """The original flow on the diamond layout: CSV -> encode -> split ->
+    ALS(depth, table) -> cut; the row count is checked."""
+    return pair_experiment(_csv_items(spark, sf_dir), "depth", "table", "cut", "id",
+                           seed=SEED, **ALS_SMALL).select("user", "item", "n")
+
+
+def q_csv_pair_grade_metrics(spark, sf_dir):
+    return pair_experiment(_csv_items(spark, sf_dir), "depth", "table", "cut", "id",
+                           bias="price", seed=SEED, **ALS_SMALL)
+
+
+def q_csv_sweep_grade(spark, sf_dir):
+    """All 72 ordered pairs of the nine diamond columns, grade = cut (with the
+    price bias); the (user, item, scored rows) table is checked."""
+    return pair_sweep(_csv_items(spark, sf_dir), DIAMOND_COLS, "cut", "id", bias="price",
+                      seed=SEED, parallelism=4, **ALS_SMALL).select("user", "item", "n")
+
+
 def q_libsvm_roundtrip(spark, sf_dir):
     items = _items(spark, sf_dir)
     vec = assemble(items, FEATURES)
@@ -482,6 +510,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sweep_price": q_sweep_price,
     "sweep_grade_bias_metrics": q_sweep_grade_bias_metrics,
     "csv_items_encode": q_csv_items_encode,
+    "csv_pair_grade": q_csv_pair_grade,
+    "csv_pair_grade_metrics": q_csv_pair_grade_metrics,
+    "csv_sweep_grade": q_csv_sweep_grade,
     "libsvm_roundtrip": q_libsvm_roundtrip,
     "predictions_roundtrip": q_predictions_roundtrip,
     "metrics_roundtrip": q_metrics_roundtrip,
@@ -546,14 +577,22 @@ def _id(col: str) -> str:
     return f"TRY_CAST(round({col}) AS INTEGER)"
 
 
-def _scored_count_sql(user: str, item: str) -> str:
-    """Test rows whose user id and item id both occur on the training side
-    (what cold-start drop keeps), per (user, item)."""
+def _q(col: str) -> str:
+    """SQL identifier of a column (``table`` is a keyword)."""
+    return f'"{col}"' if col == "table" else col
+
+
+def _scored_count_sql(user: str, item: str, base: str = "split") -> str:
+    """Test rows whose user id and item id both occur on a usable training
+    row (both ids present: MLlib drops a row with either id null), i.e. what
+    the cold-start drop keeps, per (user, item)."""
+    u, i = _q(user), _q(item)
+    seen = f"FROM {base} WHERE is_train AND {_id(u)} IS NOT NULL AND {_id(i)} IS NOT NULL"
     return f"""SELECT '{user}' AS user, '{item}' AS item, count(*) AS n
-  FROM split t
+  FROM {base} t
   WHERE NOT t.is_train
-    AND {_id('t.' + user)} IN (SELECT {_id(user)} FROM split WHERE is_train AND {_id(user)} IS NOT NULL)
-    AND {_id('t.' + item)} IN (SELECT {_id(item)} FROM split WHERE is_train AND {_id(item)} IS NOT NULL)"""
+    AND {_id('t.' + u)} IN (SELECT {_id(u)} {seen})
+    AND {_id('t.' + i)} IN (SELECT {_id(i)} {seen})"""
 
 
 def _pairs(cols):
@@ -569,6 +608,31 @@ _DIAMOND = """j AS (
   SELECT l.*, p.p_type, p.p_size, p.p_retailprice
   FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey)"""
 
+_DIAMOND_ITEMS = f"""{_DIAMOND},
+d AS (
+  SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS id,
+    TRY_CAST(round(l_discount * 10 * 100) AS INTEGER) AS carat,
+    {_case("(['J','I','H','G','F','E','D','Z'][((l_linenumber + p_size) % 8) + 1])", ['J', 'I', 'H', 'G', 'F', 'E', 'D'])} AS color,
+    {_case("(['I1','SI2','SI1','VS2','VS1','VVS2','VVS1','IF','XX'][((p_size - 1) % 9) + 1])", ['I1', 'SI2', 'SI1', 'VS2', 'VS1', 'VVS2', 'VVS1', 'IF'])} AS clarity,
+    TRY_CAST(round((l_quantity + 40) * 10) AS INTEGER) AS depth,
+    TRY_CAST(round((l_tax * 100 + 50) * 10) AS INTEGER) AS "table",
+    CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN NULL
+         ELSE CAST(round(l_extendedprice) AS INTEGER) END AS price,
+    TRY_CAST(round(p_retailprice / 100 * 100) AS INTEGER) AS x,
+    TRY_CAST(round(l_quantity / 10 * 100) AS INTEGER) AS y,
+    TRY_CAST(round(p_size / 10 * 100) AS INTEGER) AS z,
+    {_case('p_type', ['SMALL', 'MEDIUM', 'LARGE', 'STANDARD', 'ECONOMY'])} AS cut
+  FROM j),
+dsplit AS (
+  SELECT *, (CAST('0x' || substr(md5(concat_ws('|', '123', id)), 1, 8) AS BIGINT) / 4294967296.0) < 0.7 AS is_train
+  FROM d)"""
+
+
+def _diamond_sweep_sql(cols) -> str:
+    parts = "\nUNION ALL\n".join(_scored_count_sql(u, i, "dsplit") for u, i in _pairs(cols))
+    return f"WITH {_DIAMOND_ITEMS}\n{parts}"
+
+
 _ORACLE: dict[str, str] = {
     "typed_cast": """
 SELECT l_orderkey AS order_id, l_linenumber AS line_no,
@@ -689,6 +753,8 @@ SELECT
   TRY_CAST(round(p_size / 10 * 100) AS INTEGER) AS z,
   {_case('p_type', ['SMALL', 'MEDIUM', 'LARGE', 'STANDARD', 'ECONOMY'])} AS cut
 FROM j""",
+    "csv_pair_grade": f"WITH {_DIAMOND_ITEMS}\n{_scored_count_sql('depth', 'table', 'dsplit')}",
+    "csv_sweep_grade": _diamond_sweep_sql(DIAMOND_COLS),
     "libsvm_roundtrip": f"""
 WITH {_ITEMS}
 SELECT CAST(grade AS DOUBLE) AS label, CAST(kind AS DOUBLE) AS f0, CAST(flag AS DOUBLE) AS f1,

@@ -8,6 +8,8 @@ the TPC-H style tables (lineitem, orders, part) used by tests and benchmarks.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,17 +37,20 @@ def read_items_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path)
 
 
-def encode_items(df: DataFrame, price_type: str = "int") -> DataFrame:
+def encode_items(df: DataFrame, price_type: str = "int",
+                 keep: Sequence[str] = ()) -> DataFrame:
     """String item columns -> integer ids and codes, in one projection.
 
     carat, x, y, z: x100; depth, table: x10 (rounded half up, int); price:
     ``price_type`` ("int" for grade experiments, "double" for price ones);
-    cut, color, clarity: ordinal codes (unknown or null -> 0).  Any other
-    input column is dropped."""
+    cut, color, clarity: ordinal codes (unknown or null -> 0).  Columns in
+    ``keep`` (e.g. a row id used as split key) pass through unchanged; any
+    other input column is dropped."""
     def fixed(name: str):
         return fixed_point(typed(name, "double"), FIXED_POINT_DIGITS[name]).alias(name)
 
     return df.select(
+        *keep,
         fixed("carat"),
         ordinal("color", COLOR_LEVELS).alias("color"),
         ordinal("clarity", CLARITY_LEVELS).alias("clarity"),

@@ -35,7 +35,8 @@ def test_every_query_has_oracle_or_is_rows_only():
     assert rows_only == {
         "pair_grade_metrics", "pair_grade_bias_metrics", "pair_price_metrics",
         "forest_nodes", "forest_grade_metrics", "forest_grade_subset_metrics",
-        "forest_price_metrics", "sweep_grade_bias_metrics", "preview25"}
+        "forest_price_metrics", "sweep_grade_bias_metrics", "preview25",
+        "csv_pair_grade_metrics"}
 
 
 @pytest.mark.parametrize("name", SCALAR)
