@@ -436,6 +436,17 @@ def q_libsvm_roundtrip(spark, sf_dir):
     return back.select("label", *[arr[i].alias(f"f{i}") for i in range(len(FEATURES))])
 
 
+def q_libsvm_forest_grade(spark, sf_dir):
+    """Forest on labelled vectors read from LibSVM text (the original input
+    format); rows have no id, so the split key is the row's content."""
+    items = _items(spark, sf_dir)
+    path = scratch_path(spark, "libsvm-forest")
+    write_libsvm(assemble(items, FEATURES), path, label="grade")
+    back = read_libsvm(spark, path, num_features=len(FEATURES))
+    return forest_experiment(back, "label", "features", None, kind="class", num_classes=9,
+                             seed=SEED, **FOREST_SMALL).select("kind", "n")
+
+
 def q_predictions_roundtrip(spark, sf_dir):
     _, scored = _forest(spark, sf_dir, "class")
     path = scratch_path(spark, "predictions")
@@ -514,6 +525,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_pair_grade_metrics": q_csv_pair_grade_metrics,
     "csv_sweep_grade": q_csv_sweep_grade,
     "libsvm_roundtrip": q_libsvm_roundtrip,
+    "libsvm_forest_grade": q_libsvm_forest_grade,
     "predictions_roundtrip": q_predictions_roundtrip,
     "metrics_roundtrip": q_metrics_roundtrip,
     "preview25": q_preview25,
@@ -761,6 +773,16 @@ SELECT CAST(grade AS DOUBLE) AS label, CAST(kind AS DOUBLE) AS f0, CAST(flag AS
   CAST(quantity AS DOUBLE) AS f2, CAST(discount AS DOUBLE) AS f3, CAST(tax AS DOUBLE) AS f4,
   CAST(size AS DOUBLE) AS f5, price AS f6
 FROM items""",
+    "libsvm_forest_grade": f"""
+WITH {_ITEMS},
+c AS (
+  SELECT concat_ws(',', CAST(CAST(grade AS DOUBLE) AS VARCHAR),
+    array_to_string([CAST(kind AS DOUBLE), CAST(flag AS DOUBLE), CAST(quantity AS DOUBLE),
+                     CAST(discount AS DOUBLE), CAST(tax AS DOUBLE), CAST(size AS DOUBLE), price]
+                    :: VARCHAR[], ',')) AS content
+  FROM items)
+SELECT 'class' AS kind, count(*) AS n FROM c
+WHERE CAST('0x' || substr(md5(concat_ws('|', '123', content)), 1, 8) AS BIGINT) / 4294967296.0 >= 0.7""",
     "predictions_roundtrip": f"""
 WITH {_SPLIT}
 SELECT order_id, line_no, CAST(grade AS DOUBLE) AS label FROM split WHERE NOT is_train""",

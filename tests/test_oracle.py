@@ -57,7 +57,7 @@ def test_entry_smoke(spark):
 # Model queries: the row set must come out of fit + transform and equal the
 # SQL row set (cold-start survivors, factor ids, test rows, counts).
 MODEL_KEYS = ["als_user_ids", "als_scored_keys", "forest_class_scored_keys", "pair_grade",
-              "sweep_price"]
+              "sweep_price", "csv_pair_grade", "libsvm_forest_grade"]
 
 
 @pytest.mark.parametrize("name", MODEL_KEYS)
