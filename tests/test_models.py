@@ -192,3 +192,25 @@ def test_als_rmse_independent_of_input_partitioning(additive):
                         classify=False, materialized=False).first()
     assert a.n == b.n
     assert a.rmse == pytest.approx(b.rmse, rel=1e-5)
+
+
+@pytest.mark.parametrize("cold", ["drop", "nan"])
+def test_broadcast_scoring_equals_transform(spark, additive, cold):
+    from pairgrade.operators.factor import score_als as score
+    from pairgrade.plans.experiments import pair_frame
+    frame = pair_frame(additive, "u", "i", "r", "u")  # split by user: test users are cold
+    frame = frame.union(pair_frame(additive, "u", "i", "r", "k"))
+    model = fit_als(frame.where("is_train"), "user_id", "item_id", "label", rank=5,
+                    max_iter=3, cold_start=cold)
+    test = frame.where("not is_train")
+    a = score(model, test, broadcast_mb=64)
+    b = score(model, test, broadcast_mb=None)
+    assert "BroadcastHashJoin" in a._jdf.queryExecution().executedPlan().toString() or \
+        "Broadcast" in a._jdf.queryExecution().toString()
+    assert a.columns == b.columns
+    rows_a = sorted(map(tuple, a.collect()), key=str)
+    rows_b = sorted(map(tuple, b.collect()), key=str)
+    assert len(rows_a) == len(rows_b)
+    for x, y in zip(rows_a, rows_b):
+        assert x[:-1] == y[:-1]
+        assert (x[-1] == y[-1]) or (x[-1] != x[-1] and y[-1] != y[-1])  # equal or both NaN
