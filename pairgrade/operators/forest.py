@@ -26,6 +26,7 @@ from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegre
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pairgrade.operators.layout import spread
 from pairgrade.session import checkpoint_root, scratch_path
 
 # Defaults of the reference experiments.
@@ -81,25 +82,6 @@ def forest_estimator(kind: str, label: str = "label", features: str = "features"
     raise ValueError(f"kind must be 'class' or 'reg', not {kind!r}")
 
 
-def spread(df: DataFrame, min_partitions: int | None = None,
-           partitions: int | None = None) -> DataFrame:
-    """Round-robin a frame that has fewer partitions than task slots.
-
-    ``partitions`` forces an exact count instead (coalesce when fewer are
-    wanted: no shuffle).  MLlib's forest ships every node's histogram from
-    every partition on every pass, so for deep trees fewer, larger training
-    partitions cut that shuffle."""
-    have = df.rdd.getNumPartitions()
-    if partitions is not None:
-        if have > partitions:
-            return df.coalesce(partitions)
-        return df.repartition(partitions) if have < partitions else df
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if have < want:
-        return df.repartition(want)
-    return df
-
-
 def fit_forest(train: DataFrame, kind: str, label: str = "label",
                features: str = "features", num_classes: int | None = None,
                min_partitions: int | None = None, partitions: int | None = None,
@@ -108,6 +90,8 @@ def fit_forest(train: DataFrame, kind: str, label: str = "label",
     data = train.select(label, features).where(F.col(label).isNotNull())
     if kind == "class" and num_classes is not None:
         data = with_class_count(data, label, num_classes)
+    # MLlib ships every node's histogram from every partition on each pass;
+    # ``partitions`` can force fewer, larger training partitions.
     data = spread(data, min_partitions, partitions)
     return forest_estimator(kind, label, features, **params).fit(data)
 

@@ -1,0 +1,25 @@
+"""Partition layout helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, min_partitions: int | None = None,
+           partitions: int | None = None) -> DataFrame:
+    """Round-robin a frame that has fewer partitions than task slots.
+
+    A small file read as one partition (one row group) would otherwise run a
+    whole pipeline in one task; large inputs already have more partitions
+    than slots and are left alone, so this never adds a shuffle at scale.
+    ``partitions`` forces an exact count instead (coalesce when fewer are
+    wanted: no shuffle)."""
+    have = df.rdd.getNumPartitions()
+    if partitions is not None:
+        if have > partitions:
+            return df.coalesce(partitions)
+        return df.repartition(partitions) if have < partitions else df
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if have < want:
+        return df.repartition(want)
+    return df

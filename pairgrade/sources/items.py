@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pairgrade.operators.layout import spread
 from pairgrade.functions.encode import (
     CLARITY_LEVELS, COLOR_LEVELS, CUT_LEVELS, FIXED_POINT_DIGITS,
     fixed_point, ordinal, typed,
@@ -73,7 +74,8 @@ def tpch_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Only the needed columns are read from each file.  The lineitem-orders join
     shuffles on the order key (AQE splits a skewed key); part is joined the
-    way the planner picks from its measured size."""
+    way the planner picks from its measured size.  A lineitem file read as
+    fewer partitions than task slots is spread first."""
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax", "l_returnflag")
@@ -81,6 +83,7 @@ def tpch_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey", "o_orderpriority")
     part = spark.read.parquet(f"{sf_dir}/part.parquet").select(
         "p_partkey", "p_type", "p_size")
+    li = spread(li)
     joined = (li.join(orders, li.l_orderkey == orders.o_orderkey)
                 .join(part, li.l_partkey == part.p_partkey))
     return joined.select(
