@@ -210,6 +210,27 @@ def q_als_user_ids(spark, sf_dir):
     return factor_ids(model, "user")
 
 
+def q_als_pairs_user_ids(spark, sf_dir):
+    """Factor ids of the pair solver (aggregated pairs, salted heavy ids)."""
+    frame = pair_frame(_items(spark, sf_dir), "price", "quantity", "grade", KEY, seed=SEED)
+    model = fit_als(frame.where(F.col("is_train")), "user_id", "item_id", "label",
+                    seed=SEED, solver="pairs", **ALS_SMALL)
+    return factor_ids(model, "user")
+
+
+def q_als_pairs_scored_keys(spark, sf_dir):
+    """Cold-start survivors of the pair solver: the same row set as MLlib's."""
+    _, scored = pair_predictions(_items(spark, sf_dir), "quantity", "price", "grade", KEY,
+                                 seed=SEED, solver="pairs", **ALS_SMALL)
+    return scored.select(*KEY, "user_id", "item_id", "label")
+
+
+def q_pair_grade_pairs_metrics(spark, sf_dir):
+    """E2 with the pair solver (metrics, rows-only)."""
+    return pair_experiment(_items(spark, sf_dir), "quantity", "kind", "grade", KEY,
+                           bias="price", seed=SEED, solver="pairs", **ALS_SMALL)
+
+
 def q_als_scored_keys(spark, sf_dir):
     _, scored = pair_predictions(_items(spark, sf_dir), "quantity", "price", "grade", KEY,
                                  seed=SEED, **ALS_SMALL)
@@ -499,6 +520,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hash_split_counts": q_hash_split_counts,
     "als_user_ids": q_als_user_ids,
     "als_scored_keys": q_als_scored_keys,
+    "als_pairs_user_ids": q_als_pairs_user_ids,
+    "als_pairs_scored_keys": q_als_pairs_scored_keys,
+    "pair_grade_pairs_metrics": q_pair_grade_pairs_metrics,
     "als_price_scored_keys": q_als_price_scored_keys,
     "pair_grade": q_pair_grade,
     "pair_grade_bias": q_pair_grade_bias,
@@ -790,5 +814,9 @@ SELECT order_id, line_no, CAST(grade AS DOUBLE) AS label FROM split WHERE NOT is
 }
 
 
+_ORACLE["als_pairs_user_ids"] = _ORACLE["als_user_ids"]
+_ORACLE["als_pairs_scored_keys"] = _ORACLE["als_scored_keys"]
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(_ORACLE)

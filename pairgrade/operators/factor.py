@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
+from pairgrade.operators.wals import PairFactors, fit_pair_factors
 from pairgrade.session import checkpoint_root
 
 # Defaults of the reference experiments.
@@ -81,25 +82,77 @@ def dropped_ratings(df: DataFrame, user: str, item: str, rating: str) -> DataFra
     return df.agg(F.count(F.lit(1)).alias("rows"), F.count_if(bad).alias("dropped"))
 
 
-def fit_als(train: DataFrame, user: str, item: str, rating: str, **params) -> ALSModel:
+SOLVERS = ("auto", "mllib", "pairs")
+# Ratings one MLlib block (one task, held in memory) may take before "auto"
+# switches to the pair solver.
+MLLIB_BLOCK_ROWS = 20_000_000
+
+
+def choose_solver(clean: DataFrame, user: str, item: str, num_blocks: int | None,
+                  block_rows: int = MLLIB_BLOCK_ROWS) -> str:
+    """"mllib" while its heaviest block fits ``block_rows`` ratings, else
+    "pairs".  MLlib keeps a block's ratings in one task, and one id's ratings
+    always share a block, so the heaviest block holds at least
+    max(rows / blocks, rows of the heaviest id)."""
+    n = clean.count()
+    if n <= block_rows:
+        return "mllib"
+    blocks = num_blocks or 10
+    if n / blocks > block_rows:
+        return "pairs"
+    top = max(clean.groupBy(c).count().agg(F.max("count")).first()[0] or 0
+              for c in (user, item))
+    return "pairs" if top > block_rows else "mllib"
+
+
+def fit_als(train: DataFrame, user: str, item: str, rating: str, *,
+            solver: str = "auto", block_rows: int = MLLIB_BLOCK_ROWS,
+            **params) -> ALSModel | PairFactors:
+    """Fit explicit ALS.
+
+    ``solver="mllib"``: MLlib's block ALS (``ALSModel``); reproduces MLlib's
+    numbers.  ``solver="pairs"``: the same objective solved on aggregated
+    pairs with salting of heavy ids (``pairgrade.operators.wals``): survives
+    an id holding a large share of the rows and collapses low-cardinality
+    columns.  ``solver="auto"`` (default): MLlib unless its heaviest block
+    would exceed ``block_rows`` ratings (see ``choose_solver``)."""
     spark = train.sparkSession
     checkpoint_root(spark)  # ALS checkpoints only when a dir is set
-    params["num_blocks"] = resolve_blocks(spark, params.get("num_blocks"))
-    est = als_estimator(user, item, rating, **params)
+    if solver not in SOLVERS:
+        raise ValueError(f"solver must be one of {SOLVERS}, not {solver!r}")
     clean = usable_ratings(train, user, item, rating).select(user, item, rating)
     if clean.isEmpty():  # reads at most one row
         raise ValueError(
             f"no usable ratings: every training row has a null id ({user}, {item}) "
             f"or a null/NaN rating ({rating}); a constant column scaled by "
             "min-max gives null ratings")
+    params["num_blocks"] = resolve_blocks(spark, params.get("num_blocks"))
+    if solver == "auto":
+        solver = choose_solver(clean, user, item, params["num_blocks"], block_rows)
+    if solver == "pairs":
+        params.pop("num_blocks", None)
+        return fit_pair_factors(clean, user, item, rating, **params)
+    est = als_estimator(user, item, rating, **params)
     return est.fit(clean)
 
 
-def factor_table_bytes(model: ALSModel) -> tuple[int, int]:
+def _parts(model):
+    """(user factors, item factors, rank, user col, item col, cold start,
+    prediction col) of either model type."""
+    if isinstance(model, PairFactors):
+        return (model.user_factors, model.item_factors, model.rank, model.user_col,
+                model.item_col, model.cold_start, model.prediction_col)
+    return (model.userFactors, model.itemFactors, model.rank, model.getUserCol(),
+            model.getItemCol(), model.getColdStartStrategy(), model.getPredictionCol())
+
+
+def factor_table_bytes(model) -> tuple[int, int]:
     """Estimated in-memory size of the user and item factor tables:
-    ids x (rank floats + row overhead).  Counts run on the cached factors."""
-    per_row = model.rank * 4 + 32
-    return model.userFactors.count() * per_row, model.itemFactors.count() * per_row
+    ids x (rank floats + row overhead).  Counts run on cached or written
+    factors."""
+    uf, vf, rank = _parts(model)[:3]
+    per_row = rank * 4 + 32
+    return uf.count() * per_row, vf.count() * per_row
 
 
 def _dot(a: str, b: str):
@@ -108,14 +161,18 @@ def _dot(a: str, b: str):
                        F.lit(0.0).cast("float"), lambda acc, x: acc + x)
 
 
-def _score_broadcast(model: ALSModel, df: DataFrame, user: str, item: str,
-                     prediction: str) -> DataFrame:
-    uf = model.userFactors.select(F.col("id").alias("__uid"), F.col("features").alias("__uf"))
-    vf = model.itemFactors.select(F.col("id").alias("__iid"), F.col("features").alias("__if"))
-    drop = model.getColdStartStrategy() == "drop"
+def _score_join(model, df: DataFrame, broadcast: bool) -> DataFrame:
+    """Join the rows with both factor tables and take the dot product; the
+    factor tables are broadcast only when ``broadcast`` (size checked)."""
+    ufac, vfac, _, user, item, cold, prediction = _parts(model)
+    uf = ufac.select(F.col("id").alias("__uid"), F.col("features").alias("__uf"))
+    vf = vfac.select(F.col("id").alias("__iid"), F.col("features").alias("__if"))
+    if broadcast:
+        uf, vf = F.broadcast(uf), F.broadcast(vf)
+    drop = cold == "drop"
     how = "inner" if drop else "left"
-    joined = (df.join(F.broadcast(uf), F.col(user).cast("int") == F.col("__uid"), how)
-                .join(F.broadcast(vf), F.col(item).cast("int") == F.col("__iid"), how))
+    joined = (df.join(uf, F.col(user).cast("int") == F.col("__uid"), how)
+                .join(vf, F.col(item).cast("int") == F.col("__iid"), how))
     pred = _dot("__uf", "__if")
     if not drop:
         pred = F.when(F.col("__uf").isNull() | F.col("__if").isNull(),
@@ -123,22 +180,26 @@ def _score_broadcast(model: ALSModel, df: DataFrame, user: str, item: str,
     return joined.select(*[df[c] for c in df.columns], pred.alias(prediction))
 
 
-def score_als(model: ALSModel, df: DataFrame,
+def score_als(model, df: DataFrame,
               broadcast_mb: float | None = BROADCAST_FACTORS_MB) -> DataFrame:
     """All columns of ``df`` plus a float ``prediction``; cold rows dropped
     when the model's strategy is ``drop``.  Factor tables are broadcast only
-    when their measured size is below ``broadcast_mb`` (``None``: never)."""
-    user, item = model.getUserCol(), model.getItemCol()
+    when their measured size is below ``broadcast_mb`` (``None``: never);
+    otherwise MLlib models score with ``transform`` and pair-factor models
+    with shuffle joins."""
+    _, _, _, user, item, _, _ = _parts(model)
     data = usable_ratings(df, user, item)
     integral = all(isinstance(df.schema[c].dataType, IntegralType) for c in (user, item))
-    if broadcast_mb is not None and integral:
-        limit = broadcast_mb * 1024 * 1024
-        if max(factor_table_bytes(model)) <= limit:
-            return _score_broadcast(model, data, user, item, model.getPredictionCol())
+    small = (broadcast_mb is not None and integral
+             and max(factor_table_bytes(model)) <= broadcast_mb * 1024 * 1024)
+    if isinstance(model, PairFactors):
+        return _score_join(model, data, small)
+    if small:
+        return _score_join(model, data, True)
     return model.transform(data)
 
 
-def factor_ids(model: ALSModel, side: str = "user") -> DataFrame:
+def factor_ids(model, side: str = "user") -> DataFrame:
     """Ids that received a factor (= distinct ids of the training rows)."""
-    factors = model.userFactors if side == "user" else model.itemFactors
-    return factors.select(F.col("id"))
+    uf, vf = _parts(model)[:2]
+    return (uf if side == "user" else vf).select(F.col("id"))

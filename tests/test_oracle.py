@@ -36,7 +36,7 @@ def test_every_query_has_oracle_or_is_rows_only():
         "pair_grade_metrics", "pair_grade_bias_metrics", "pair_price_metrics",
         "forest_nodes", "forest_grade_metrics", "forest_grade_subset_metrics",
         "forest_price_metrics", "sweep_grade_bias_metrics", "preview25",
-        "csv_pair_grade_metrics"}
+        "csv_pair_grade_metrics", "pair_grade_pairs_metrics"}
 
 
 @pytest.mark.parametrize("name", SCALAR)
@@ -57,7 +57,7 @@ def test_entry_smoke(spark):
 # Model queries: the row set must come out of fit + transform and equal the
 # SQL row set (cold-start survivors, factor ids, test rows, counts).
 MODEL_KEYS = ["als_user_ids", "als_scored_keys", "forest_class_scored_keys", "pair_grade",
-              "sweep_price", "csv_pair_grade", "libsvm_forest_grade"]
+              "sweep_price", "csv_pair_grade", "libsvm_forest_grade", "als_pairs_scored_keys"]
 
 
 @pytest.mark.parametrize("name", MODEL_KEYS)
