@@ -21,12 +21,10 @@ from pyspark.sql.types import (
     DoubleType, LongType, StringType, StructField, StructType,
 )
 
-from pairgrade.functions import (
-    bias_adjust, fixed_point, minmax, ordinal, round_class, split_unit, typed,
-)
+from pairgrade.functions import bias_adjust, fixed_point, ordinal, round_class, typed
 from pairgrade.operators import (
     assemble, factor_ids, fit_als, forest_nodes, minmax_bounds, minmax_scale,
-    minmax_unit, prediction_metrics, score_als, with_split,
+    minmax_unit, prediction_metrics, with_split,
 )
 from pairgrade.plans import (
     forest_experiment, forest_predictions, pair_experiment, pair_predictions,

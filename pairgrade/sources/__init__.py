@@ -3,10 +3,10 @@
 from pairgrade.sources.items import encode_items, read_items_csv, tpch_items
 from pairgrade.sources.libsvm import read_libsvm, write_libsvm
 from pairgrade.sources.sinks import (
-    materialize, preview, write_metrics, write_predictions,
+    materialize, metric_table, preview, write_metrics, write_predictions,
 )
 
 __all__ = [
-    "encode_items", "materialize", "preview", "read_items_csv", "read_libsvm",
+    "encode_items", "materialize", "metric_table", "preview", "read_items_csv", "read_libsvm",
     "tpch_items", "write_libsvm", "write_metrics", "write_predictions",
 ]

@@ -41,6 +41,25 @@ def write_metrics(metrics: DataFrame, path: str, fmt: str = "csv",
         writer.format(fmt).save(path)
 
 
+# ---------------------------------------------------------------------------
+# Column headers of the three published metric tables
+# (error fraction is a 0..1 fraction despite its name).
+# ---------------------------------------------------------------------------
+METRIC_TABLE_HEADERS = {
+    "grade": ("User", "Item", "RMSE", "ErrorPercentage"),
+    "grade_bias": ("User", "Item", "RMSE", "ErrorPercentage", "RMSEBias"),
+    "price": ("User", "Item", "RMSE"),
+}
+_METRIC_SOURCES = ("user", "item", "rmse", "error_fraction", "rmse_bias")
+
+
+def metric_table(sweep: DataFrame, kind: str) -> DataFrame:
+    """A sweep result in the layout of the published tables: ``grade``,
+    ``grade_bias`` or ``price``."""
+    headers = METRIC_TABLE_HEADERS[kind]
+    return sweep.select(*[F.col(src).alias(h) for src, h in zip(_METRIC_SOURCES, headers)])
+
+
 def preview(scored: DataFrame, order_by: Sequence[str], n: int = 25,
             columns: Sequence[str] = ("label", "prediction")) -> DataFrame:
     """First ``n`` (label, prediction) rows in key order: a top-k (each task

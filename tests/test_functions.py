@@ -1,7 +1,5 @@
 """Scalar expressions: encoding, rounding, scaling, bias, split."""
 
-import math
-
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StructField, StructType

@@ -70,3 +70,11 @@ def test_choose_solver(hot):
 def test_unknown_solver_rejected(hot):
     with pytest.raises(ValueError):
         fit_als(hot, "u", "i", "r", solver="nope")
+
+
+def test_sweep_with_pair_solver(hot):
+    from pairgrade.plans import pair_sweep
+    rows = pair_sweep(hot, ["u", "i"], "r", "k", classify=False, rank=3, max_iter=3,
+                      solver="pairs").collect()
+    assert [(r.user, r.item) for r in rows] == [("u", "i"), ("i", "u")]
+    assert all(r.error is None and r.n > 0 and r.rmse is not None for r in rows)

@@ -83,3 +83,12 @@ def test_materialize_uses_checkpoint_folder(spark):
         return p.split(":", 1)[-1].lstrip("/")
     assert files and all(bare(f).startswith(bare(root)) for f in files)
     assert out.count() == 10
+
+
+def test_metric_table_layouts(spark):
+    from pairgrade.plans.sweep import SWEEP_SCHEMA
+    from pairgrade.sources import metric_table
+    sweep = spark.createDataFrame([("carat", "color", 10, 1.0, 0.5, 1.1, None)], SWEEP_SCHEMA)
+    assert metric_table(sweep, "grade").columns == ["User", "Item", "RMSE", "ErrorPercentage"]
+    assert metric_table(sweep, "grade_bias").columns[-1] == "RMSEBias"
+    assert metric_table(sweep, "price").first().asDict() == {"User": "carat", "Item": "color", "RMSE": 1.0}
