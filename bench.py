@@ -7,7 +7,8 @@ Prints ONE JSON line:
 Experiments run with the reference's model sizes (ALS rank 70, 10
 iterations, regParam 0.01; forests of 25 trees, depth 15 / 20, 32 bins; seed
 123; 70/30 split).  ``results`` carries the metric rows so quality can be read
-next to time.  BENCH_QUERIES=a,b limits the run.
+next to time.  BENCH_QUERIES=a,b limits the run; once BENCH_BUDGET_SEC
+(default 1800) has passed, the remaining queries are listed as skipped.
 """
 
 from __future__ import annotations
@@ -41,16 +42,17 @@ def q_encode_metrics(items):
     return prediction_metrics(s, "grade", "prediction", biased_prediction="prediction_bias")
 
 
+# cheapest first, so a time budget drops only the expensive tail
 QUERIES = {
     "encode_metrics": q_encode_metrics,
+    "pair_price": lambda it: pair_experiment(it, "quantity", "kind", "price", KEY, scale_rating=(1.0, 5.0)),
     "pair_grade": lambda it: pair_experiment(it, "quantity", "discount", "grade", KEY),
+    "forest_grade_subset": lambda it: forest_experiment(it, "grade", SUBSET, KEY, kind="class", num_classes=9),
     "pair_grade_bias": lambda it: pair_experiment(it, "quantity", "price", "grade", KEY, bias="price"),
-    "pair_price": lambda it: pair_experiment(it, "quantity", "kind", "price", KEY, scale_rating=(1.0, 5.0)),
     "forest_grade": lambda it: forest_experiment(it, "grade", FEATURES, KEY, kind="class", num_classes=9),
-    "forest_grade_subset": lambda it: forest_experiment(it, "grade", SUBSET, KEY, kind="class", num_classes=9),
-    "forest_price": lambda it: forest_experiment(it, "price", PRICE_FEATURES, KEY, kind="reg"),
     "sweep_grade_bias": lambda it: pair_sweep(it, ["quantity", "price", "kind"], "grade", KEY,
                                               bias="price", parallelism=3),
+    "forest_price": lambda it: forest_experiment(it, "price", PRICE_FEATURES, KEY, kind="reg"),
 }
 
 
@@ -58,15 +60,20 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
+    budget = float(os.environ.get("BENCH_BUDGET_SEC", "1800"))
     m = re.search(r"sf([0-9.]+)", sf_dir)
     sf = float(m.group(1)) if m else None
     spark = build_session(f"local[{cpus}]", shuffle_partitions=int(cpus) * 2,
                           app_name="pairgrade-bench")
     items = tpch_items(spark, sf_dir)
-    times, results = {}, {}
+    times, results, skipped = {}, {}, []
+    start = time.time()
     for name, fn in QUERIES.items():
         if only and name not in only:
             continue
+        if time.time() - start > budget:
+            skipped.append(name)
+            continue
         t0 = time.time()
         rows = fn(items).collect()
         times[name] = round(time.time() - t0, 3)
@@ -74,7 +81,7 @@ def main() -> None:
                           for k, v in r.asDict().items()} for r in rows]
     print(json.dumps({"metric": "total_wall", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": sf, "cpus": int(cpus),
-                      "results": results}))
+                      "skipped": skipped, "results": results}))
     spark.stop()
 
 
