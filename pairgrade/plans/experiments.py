@@ -44,13 +44,15 @@ def _keys(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-def rating_frame(df: DataFrame, rating: str, scale_rating: tuple[float, float] | None) -> tuple[DataFrame, str]:
-    """The table with the rating column to model (scaled over the whole table,
-    before the split, when ``scale_rating`` is given)."""
+def scale_label(frame: DataFrame, scale_rating: tuple[float, float] | None,
+                label: str = "label") -> DataFrame:
+    """Min-max scale the label over the whole frame (both sides of the split,
+    as the bounds are taken before splitting).  Applied to the narrow written
+    frame, the bounds read one column instead of recomputing the source."""
     if scale_rating is None:
-        return df, rating
+        return frame
     a, b = scale_rating
-    return minmax_scale(df, rating, "__rating", a, b), "__rating"
+    return minmax_scale(frame, label, label, a, b)
 
 
 def pair_frame(df: DataFrame, user: str, item: str, rating: str,
@@ -60,16 +62,16 @@ def pair_frame(df: DataFrame, user: str, item: str, rating: str,
                split_method: str = "md5") -> DataFrame:
     """key columns, user_id, item_id (ALS ints), label, [bias_value], is_train."""
     keys = _keys(key)
-    base, label = rating_frame(df, rating, scale_rating)
     schema = df.schema
     cols: list[Column] = [F.col(k) for k in keys]
+    label = F.col(rating).cast("double") if scale_rating is not None else F.col(rating)
     cols += [as_id(user, schema[user].dataType).alias("user_id"),
              as_id(item, schema[item].dataType).alias("item_id"),
-             F.col(label).alias("label")]
+             label.alias("label")]
     if bias is not None:
         cols.append(F.col(bias).cast("double").alias("bias_value"))
     split = split_unit(keys, seed, split_method) < F.lit(float(train_fraction))
-    return base.select(*cols, split.alias(SPLIT_COL))
+    return scale_label(df.select(*cols, split.alias(SPLIT_COL)), scale_rating)
 
 
 def add_bias(scored: DataFrame, pivot: float = BIAS_PIVOT, cap: float = BIAS_CAP) -> DataFrame:
@@ -97,10 +99,13 @@ def pair_predictions(df: DataFrame, user: str, item: str, rating: str,
     checkpoint folder, so the source (scan, joins, encoding) is computed once
     for both sides instead of once per side, and a lost executor re-reads
     files instead of recomputing the source."""
-    frame = pair_frame(df, user, item, rating, key, bias=bias, scale_rating=scale_rating,
-                       seed=seed, train_fraction=train_fraction, split_method=split_method)
+    frame = pair_frame(df, user, item, rating, key, bias=bias, seed=seed,
+                       train_fraction=train_fraction, split_method=split_method)
+    if scale_rating is not None:
+        frame = frame.withColumn("label", F.col("label").cast("double"))
     if materialized:
         frame = materialize(frame, "pair")
+    frame = scale_label(frame, scale_rating)
     train = frame.where(F.col(SPLIT_COL))
     test = frame.where(~F.col(SPLIT_COL)).drop(SPLIT_COL)
     model = fit_als(train, "user_id", "item_id", "label", seed=seed, **als_params)

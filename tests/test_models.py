@@ -214,3 +214,15 @@ def test_broadcast_scoring_equals_transform(spark, additive, cold):
     for x, y in zip(rows_a, rows_b):
         assert x[:-1] == y[:-1]
         assert (x[-1] == y[-1]) or (x[-1] != x[-1] and y[-1] != y[-1])  # equal or both NaN
+
+
+def test_scaled_rating_bounds_read_written_frame(spark):
+    from conftest import SF_SMALL
+    from pairgrade.sources import tpch_items
+    items = tpch_items(spark, SF_SMALL)
+    _, scored = pair_predictions(items, "kind", "size", "price", ["order_id", "line_no"],
+                                 scale_rating=(1.0, 5.0), rank=2, max_iter=1)
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert "lineitem" not in plan and "orders" not in plan
+    r = scored.agg(F.min("label"), F.max("label")).first()
+    assert 1.0 <= r[0] and r[1] <= 5.0
