@@ -127,10 +127,16 @@ def fit_als(train: DataFrame, user: str, item: str, rating: str, *,
             f"or a null/NaN rating ({rating}); a constant column scaled by "
             "min-max gives null ratings")
     params["num_blocks"] = resolve_blocks(spark, params.get("num_blocks"))
+    # the pair solver covers the explicit, unconstrained objective only
+    explicit = not params.get("implicit", False) and not params.get("nonnegative", False)
+    if solver == "pairs" and not explicit:
+        raise ValueError("solver='pairs' fits explicit, unconstrained ALS only")
     if solver == "auto":
-        solver = choose_solver(clean, user, item, params["num_blocks"], block_rows)
+        solver = (choose_solver(clean, user, item, params["num_blocks"], block_rows)
+                  if explicit else "mllib")
     if solver == "pairs":
-        params.pop("num_blocks", None)
+        for mllib_only in ("num_blocks", "implicit", "alpha", "nonnegative"):
+            params.pop(mllib_only, None)
         return fit_pair_factors(clean, user, item, rating, **params)
     est = als_estimator(user, item, rating, **params)
     return est.fit(clean)

@@ -235,7 +235,7 @@ def fit_pair_factors(df: DataFrame, user: str, item: str, rating: str, *,
                      target_pairs: int = TARGET_PAIRS, max_salts: int = MAX_SALTS,
                      broadcast_mb: float | None = BROADCAST_FACTORS_MB,
                      checkpoint_interval: int = 10,
-                     prediction: str = "prediction", **_ignored) -> PairFactors:
+                     prediction: str = "prediction") -> PairFactors:
     """Fit on rows with non-null int ids and a rating (callers filter).
 
     Half-iterations chain lazily; every ``checkpoint_interval`` iterations

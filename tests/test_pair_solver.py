@@ -78,3 +78,10 @@ def test_sweep_with_pair_solver(hot):
                       solver="pairs").collect()
     assert [(r.user, r.item) for r in rows] == [("u", "i"), ("i", "u")]
     assert all(r.error is None and r.n > 0 and r.rmse is not None for r in rows)
+
+
+def test_pairs_solver_rejects_other_objectives(hot):
+    with pytest.raises(ValueError, match="explicit"):
+        fit_als(hot, "u", "i", "r", solver="pairs", implicit=True)
+    with pytest.raises(TypeError):
+        fit_als(hot, "u", "i", "r", solver="pairs", rank=2, max_iter=1, no_such_option=1)
