@@ -144,3 +144,15 @@ def test_split_xxhash_range(spark):
     assert 0.0 <= r[0] and r[1] < 1.0
     with pytest.raises(ValueError):
         split_unit(["id"], 5, "nope")
+
+
+def test_encoding_independent_of_partitioning_and_order(spark):
+    from conftest import SF_SMALL
+    from pairgrade.operators import with_split
+    from pairgrade.sources import tpch_items
+    items = tpch_items(spark, SF_SMALL)
+    base = with_split(items, ["order_id", "line_no"])
+    a = sorted(map(tuple, base.collect()))
+    b = sorted(map(tuple, with_split(items.repartition(5).orderBy(F.rand(3)),
+                                     ["order_id", "line_no"]).collect()))
+    assert a == b

@@ -226,3 +226,12 @@ def test_scaled_rating_bounds_read_written_frame(spark):
     assert "lineitem" not in plan and "orders" not in plan
     r = scored.agg(F.min("label"), F.max("label")).first()
     assert 1.0 <= r[0] and r[1] <= 5.0
+
+
+def test_sweep_scaled_rating_bounds_before_split(spark, additive):
+    from pairgrade.plans.sweep import sweep_table
+    table = sweep_table(additive, ["u", "i"], "r", "k", scale_rating=(1.0, 5.0))
+    r = table.agg(F.min("__label"), F.max("__label")).first()
+    assert (r[0], r[1]) == (1.0, 5.0)  # bounds of the whole table, both sides
+    train = table.where("is_train").agg(F.min("__label"), F.max("__label")).first()
+    assert 1.0 <= train[0] and train[1] <= 5.0
