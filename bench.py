@@ -52,6 +52,10 @@ QUERIES = {
     "forest_grade": lambda it: forest_experiment(it, "grade", FEATURES, KEY, kind="class", num_classes=9),
     "sweep_grade_bias": lambda it: pair_sweep(it, ["quantity", "price", "kind"], "grade", KEY,
                                               bias="price", parallelism=3),
+    # E1 again with the pair solver (aggregated pairs, salted heavy ids), which
+    # "auto" picks at cluster scale: speed and RMSE next to MLlib's
+    "pair_grade_pairs": lambda it: pair_experiment(it, "quantity", "discount", "grade", KEY,
+                                                   solver="pairs"),
     "forest_price": lambda it: forest_experiment(it, "price", PRICE_FEATURES, KEY, kind="reg"),
 }
 
