@@ -22,9 +22,10 @@ over *distinct* pairs.  This solver therefore
    sub-group); other ids are solved where their pairs land;
 3. per half-iteration joins the pairs with the other side's factors
    (broadcast when the factor table's measured size is under the bound,
-   otherwise a shuffle join), streams each sorted partition through numpy in
-   ``mapInPandas`` (one open group in memory), and writes the new factors to
-   the shared checkpoint folder, which cuts the lineage every half-iteration.
+   otherwise a shuffle join) and streams each sorted partition through numpy
+   in ``mapInPandas`` (one open group in memory); every
+   ``checkpoint_interval`` iterations and at the end the factors are written
+   to the shared checkpoint folder, which cuts the lineage.
 
 Initial user factors are derived from a hash of (seed, id, position), so they
 do not depend on partitioning.  The factors differ from MLlib's (its random
