@@ -85,3 +85,19 @@ def test_pairs_solver_rejects_other_objectives(hot):
         fit_als(hot, "u", "i", "r", solver="pairs", implicit=True)
     with pytest.raises(TypeError):
         fit_als(hot, "u", "i", "r", solver="pairs", rank=2, max_iter=1, no_such_option=1)
+
+
+def test_auto_switches_to_pairs_when_a_block_would_be_too_big(hot):
+    from pairgrade.operators.wals import PairFactors
+    from pairgrade.plans.experiments import pair_frame
+    frame = pair_frame(hot, "u", "i", "r", "k")
+    train = frame.where("is_train")
+    small_budget = fit_als(train, "user_id", "item_id", "label", rank=2, max_iter=1,
+                           block_rows=500)
+    big_budget = fit_als(train, "user_id", "item_id", "label", rank=2, max_iter=1)
+    assert isinstance(small_budget, PairFactors)
+    assert not isinstance(big_budget, PairFactors)
+    a = pair_experiment(hot, "u", "i", "r", "k", rank=2, max_iter=2, classify=False,
+                        block_rows=500).first()
+    b = pair_experiment(hot, "u", "i", "r", "k", rank=2, max_iter=2, classify=False).first()
+    assert a.n == b.n
