@@ -12,6 +12,8 @@ columns are described in ``pairgrade.sources.items``.
 
 from __future__ import annotations
 
+import importlib
+import importlib.util
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
@@ -554,8 +556,24 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+def _corpus(what: str) -> dict:
+    """Queries or SQL of the corpus operators and of the corpus pipeline, as
+    far as they are installed (both can be left out of a deployment)."""
+    found: dict = {}
+    if importlib.util.find_spec("pairgrade.llm") is not None:
+        registry = importlib.import_module("pairgrade.llm.registry")
+        found |= getattr(registry, what)
+        if importlib.util.find_spec("corpus_pipeline") is not None:
+            pipeline = importlib.import_module("corpus_pipeline")
+            if what == "QUERIES":
+                found["pipeline"] = pipeline.run
+            elif pipeline.ORACLE_SQL is not None:
+                found["pipeline"] = pipeline.ORACLE_SQL
+    return found
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return _QUERIES | _corpus("QUERIES")
 
 
 # ---------------------------------------------------------------------------
@@ -817,4 +835,4 @@ _ORACLE["als_pairs_scored_keys"] = _ORACLE["als_scored_keys"]
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLE)
+    return _ORACLE | _corpus("ORACLE_SQL")
