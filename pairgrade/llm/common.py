@@ -90,15 +90,19 @@ def lower_ascii(raw: np.ndarray) -> np.ndarray:
 
 def byte_class(inside: str) -> np.ndarray:
     """Which bytes belong to words: ``alnum`` (0-9, a-z, all of UTF-8 beyond
-    ASCII) or ``visible`` (all but ASCII white space)."""
+    ASCII), ``visible`` (all but ASCII white space), ``line`` (all but line
+    feeds), or else the ASCII characters given."""
     ok = np.ones(256, bool)
     if inside == "alnum":
         ok[:128] = False
         ok[48:58] = ok[97:123] = True
     elif inside == "visible":
         ok[[9, 10, 11, 12, 13, 32]] = False
+    elif inside == "line":
+        ok[10] = False
     else:
-        raise ValueError(inside)
+        ok[:] = False
+        ok[np.frombuffer(inside.encode("ascii"), np.uint8)] = True
     return ok
 
 

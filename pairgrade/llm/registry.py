@@ -8,9 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pairgrade.llm.bpe import encode_decode
 from pairgrade.llm.common import table
+from pairgrade.llm.decontaminate import contamination
+from pairgrade.llm.quality import score_texts, train
+from pairgrade.llm.secrets import secret_spans
 from pairgrade.llm.token_counts import token_counts
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")) \
+        .drop("items", "mark")
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"),
                         public_tokenizers.path("word_bpe_49k.json"))
@@ -22,9 +30,21 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                          public_tokenizers.PATTERN)
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score_texts(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_spans(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_decontaminate": op1_decontaminate,
     "op2_token_counts": op2_token_counts,
     "op3_byte_bpe": op3_byte_bpe,
+    "op6_quality": op6_quality,
+    "op7_secrets": op7_secrets,
 }
 
 ORACLE_SQL: dict[str, str] = {}
