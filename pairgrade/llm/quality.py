@@ -197,7 +197,7 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, cost:
 
     got = (train_sample(docs, labels, max_train, label_col)
            .mapInArrow(extract, "row binary, label int")
-           .groupBy(F.lit(1)).applyInArrow(
+           .withColumn("all", F.lit(1)).groupBy("all").applyInArrow(
                fitted, "weights binary, squares binary, bias double, slope double, shift double")
            .collect())
     if not got:
