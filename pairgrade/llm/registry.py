@@ -11,6 +11,7 @@ from pairgrade.llm.common import table
 from pairgrade.llm.decontaminate import contamination
 from pairgrade.llm.quality import score_texts, train
 from pairgrade.llm.secrets import secret_spans
+from pairgrade.llm.substring import dedup_substrings
 from pairgrade.llm.token_counts import token_counts
 
 
@@ -39,12 +40,17 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_spans(table(spark, sf_dir, "documents"))
 
 
+def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_substrings(table(spark, sf_dir, "documents")).drop("kept")
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_token_counts": op2_token_counts,
     "op3_byte_bpe": op3_byte_bpe,
     "op6_quality": op6_quality,
     "op7_secrets": op7_secrets,
+    "op10_substring": op10_substring,
 }
 
 ORACLE_SQL: dict[str, str] = {}
