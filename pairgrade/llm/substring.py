@@ -21,15 +21,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairgrade.llm.common import Words, gram_hashes, id_text, mix, slices, text_buffers, text_hash
+from pairgrade.llm.common import Words, gram_hashes, id_text, slices, text_buffers, text_hash
+from pairgrade.llm.countmin import (
+    DEPTH, cell_bits, estimated_repeated, pack_gaps, repeated_cells, unpack_gaps,
+)
 
 SPAN = 13
-DEPTH = 2
-#: Cells of a row of the sketch, as a power of two: enough for four a window,
-#: within these bounds.  The upper one bounds what is broadcast (a bit a cell:
-#: 64 MB a row); beyond its capacity more windows go to the exact pass.
-CELL_BITS = (16, 29)
-BLOCK_BITS = 20
 FLUSH_WINDOWS = 6_000_000
 BUCKET_WINDOWS = 2_000_000
 
@@ -42,104 +39,6 @@ def windows_of(part: pa.RecordBatch, span: int, column: int) -> tuple[Words, np.
     return words, places, gram_hashes(words.hashes(1), span)[places]
 
 
-def cells(hashes: np.ndarray, row: int, bits: int) -> np.ndarray:
-    h = hashes if row == 0 else mix(hashes + np.uint64(row))
-    return (h >> np.uint64(64 - bits)).astype(np.int64)
-
-
-# ---------------------------------------------------------------------------
-# First pass: the sketch
-# ---------------------------------------------------------------------------
-def pack_gaps(sorted_cells: np.ndarray) -> bytes:
-    """Ascending numbers as gaps of one byte (255: add and go on)."""
-    gaps = np.diff(sorted_cells, prepend=0)
-    more = gaps // 255
-    out = np.full(int(more.sum()) + len(gaps), 255, np.uint8)
-    out[np.cumsum(more + 1) - 1] = gaps % 255
-    return out.tobytes()
-
-
-def unpack_gaps(packed: bytes) -> np.ndarray:
-    steps = np.frombuffer(packed, np.uint8)
-    return np.cumsum(steps, dtype=np.int64)[steps != 255]
-
-
-def partial_sketch(hashes: np.ndarray, depth: int, bits: int) -> Iterator[tuple[int, bytes]]:
-    """The cells of some windows, each once or (met more often) twice, by
-    block; the blocks of all rows are numbered through."""
-    width = min(BLOCK_BITS, bits)
-    for row in range(depth):
-        own = np.sort(cells(hashes, row, bits))
-        again = np.empty(len(own), bool)
-        again[:2] = False
-        again[2:] = own[2:] == own[:-2]  # a third time and more
-        own = own[~again]
-        edges = np.searchsorted(own, np.arange((1 << (bits - width)) + 1) << width)
-        for b in np.flatnonzero(np.diff(edges)).tolist():
-            yield (row << (bits - width)) + b, pack_gaps(own[edges[b]:edges[b + 1]] - (b << width))
-
-
-def repeated_cells(own: DataFrame, span: int, depth: int, bits: int) -> np.ndarray:
-    """A bit for each cell that two windows or more fall into, row by row."""
-    width = min(BLOCK_BITS, bits)
-
-    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = [], 0
-
-        def flush():
-            rows = list(partial_sketch(np.concatenate(held), depth, bits)) if held else []
-            return pa.RecordBatch.from_arrays(
-                [pa.array([b for b, _ in rows], pa.int32()), pa.array([c for _, c in rows], pa.binary())],
-                names=["block", "cells"])
-
-        for part in slices(batches, "text"):
-            _, _, hashes = windows_of(part, span, 0)
-            held.append(hashes)
-            n += len(hashes)
-            if n >= FLUSH_WINDOWS:
-                yield flush()
-                held, n = [], 0
-        yield flush()
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, counts = None, None
-
-        def done():
-            packed = np.packbits(counts >= 2, bitorder="little").tobytes()
-            return pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([packed], pa.binary())],
-                                              names=["block", "repeated"])
-
-        for batch in batches:
-            for b, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if b != block:
-                    if block is not None:
-                        yield done()
-                    block, counts = b, np.zeros(1 << width, np.uint8)
-                met = unpack_gaps(packed)
-                counts[met] += 1
-                twice = met[1:][met[1:] == met[:-1]]
-                counts[twice] = 2
-                np.minimum(counts, 2, out=counts)
-        if block is not None:
-            yield done()
-
-    merged = (own.select("text").mapInArrow(sketch, "block int, cells binary")
-              .repartition("block").sortWithinPartitions("block")
-              .mapInArrow(merge, "block int, repeated binary").toArrow())
-    out = np.zeros((depth << (bits - width), (1 << width) // 8), np.uint8)
-    for b, packed in zip(merged["block"].to_pylist(), merged["repeated"]):
-        out[b] = np.frombuffer(packed.as_buffer(), np.uint8)
-    return out.reshape(depth, -1)
-
-
-def estimated_repeated(sketch: np.ndarray, hashes: np.ndarray, bits: int) -> np.ndarray:
-    found = np.ones(len(hashes), bool)
-    for row in range(len(sketch)):
-        c = cells(hashes[found], row, bits)
-        found[found] = (sketch[row][c >> 3] >> (c & 7).astype(np.uint8)) & 1 == 1
-    return found
-
-
 # ---------------------------------------------------------------------------
 # Second pass: exact groups
 # ---------------------------------------------------------------------------
@@ -291,7 +190,7 @@ def covered_windows(own: DataFrame, sketch: np.ndarray, span: int, bits: int, bu
 
 
 def dedup_substrings(docs: DataFrame, span: int = SPAN, depth: int = DEPTH, id_col: str = "doc_id",
-                     text_col: str = "text", cell_bits: int | None = None) -> DataFrame:
+                     text_col: str = "text", sketch_bits: int | None = None) -> DataFrame:
     """(doc_id, n_words, n_removed, kept, kept_sha256), one row per input row;
     ``kept`` is the words left, joined by one space.
 
@@ -304,8 +203,8 @@ def dedup_substrings(docs: DataFrame, span: int = SPAN, depth: int = DEPTH, id_c
     own = id_text(docs, id_col, text_col).withColumn("mark", text_hash())
     size = own.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first().bytes
     windows = size // 6 + 1
-    bits = cell_bits or min(max((4 * windows - 1).bit_length(), CELL_BITS[0]), CELL_BITS[1])
-    sketch = repeated_cells(own, span, depth, bits)
+    bits = sketch_bits or cell_bits(windows)
+    sketch = repeated_cells(own.select("text"), lambda part: windows_of(part, span, 0)[2], depth, bits)
     gone = (covered_windows(own, sketch, span, bits, windows // BUCKET_WINDOWS + 1)
             .groupBy("doc_id", "mark").agg(F.collect_list("gone").alias("gone")))
 

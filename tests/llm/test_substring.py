@@ -6,8 +6,9 @@ import re
 
 import numpy as np
 
-from pairgrade.llm import substring
-from pairgrade.llm.substring import dedup_substrings, pack_gaps, unpack_gaps
+from pairgrade.llm import countmin, substring
+from pairgrade.llm.countmin import pack_gaps, unpack_gaps
+from pairgrade.llm.substring import dedup_substrings
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -56,9 +57,10 @@ def test_matches_brute_force(docs):
 
 def test_crowded_sketch_and_small_flushes_give_the_same(docs, monkeypatch):
     monkeypatch.setattr(substring, "FLUSH_WINDOWS", 50)
+    monkeypatch.setattr(countmin, "FLUSH_HASHES", 70)
     monkeypatch.setattr(substring, "BUCKET_WINDOWS", 300)
-    assert rows(dedup_substrings(docs(case(), 5), cell_bits=16)) == brute(case())
-    assert rows(dedup_substrings(docs(case(), 2), cell_bits=7, depth=3)) == brute(case())
+    assert rows(dedup_substrings(docs(case(), 5), sketch_bits=16)) == brute(case())
+    assert rows(dedup_substrings(docs(case(), 2), sketch_bits=7, depth=3)) == brute(case())
 
 
 def test_empty(docs):
