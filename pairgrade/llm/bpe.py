@@ -18,15 +18,15 @@ import base64
 import gc
 import hashlib
 from collections.abc import Iterable, Iterator
-from itertools import islice
+from itertools import chain, islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from pairgrade.llm.common import id_text, slices, texts_of
 
-CACHE_PIECES = 600_000
-MAX_STATES = 150_000
+CACHE_PIECES = 1_400_000
+MAX_STATES = 250_000
 BLOCK = 50_000
 
 #: White space as the splitter's pattern means it (Unicode White_Space).
@@ -65,7 +65,7 @@ class Transducer:
         self.ranks = ranks
         self.bytes_of = {i: t for t, i in ranks.items()}
         self._spines: dict[int, tuple[list, list]] = {}
-        self._pair: dict[tuple[int, int], bool] = {}
+        self._pair: dict[int, bool] = {}
         self._grow_trie()
         self.states: dict[tuple, _State] = {}
         self._reset()
@@ -149,7 +149,7 @@ class Transducer:
         in order of rank; at each moment only the pair of edges could cross,
         and it does if it merges before either edge is merged inwards (of
         equal ranks the leftmost merges first)."""
-        ok = self._pair.get((left, right))
+        ok = self._pair.get(left << 24 | right)
         if ok is None:
             a, b = self._spine(left)[1], self._spine(right)[0]
             get, never = self.ranks.get, 1 << 60
@@ -168,7 +168,7 @@ class Transducer:
                     i += 1
                 else:
                     j += 1
-            self._pair[left, right] = ok
+            self._pair[left << 24 | right] = ok
         return ok
 
     def _step(self, state: _State, byte: int) -> tuple[_State, int]:
@@ -182,7 +182,7 @@ class Transducer:
                 continue
             token = token_at[grown]
             if closed < 0 and token >= 0:
-                ok = last < 0 or pairs.get((last, token))
+                ok = last < 0 or pairs.get(last << 24 | token)
                 if ok is None:
                     ok = self._neighbours(last, token)
                 if ok:
@@ -271,6 +271,7 @@ class Utf8Machine:
     def __init__(self, bytes_of: dict[int, bytes]):
         self.bytes_of = bytes_of
         self.steps: dict[int, int] = {}
+        self.broken = {i for i, raw in bytes_of.items() if self.advance(0, raw)}
 
     def advance(self, state: int, chunk: bytes) -> int:
         for b in chunk:
@@ -287,21 +288,21 @@ class Utf8Machine:
                 return -1
         return state
 
-    def decode(self, ids: Iterable[int], state: int = 0) -> tuple[bytes, int]:
+    def decode(self, ids: list[int], state: int = 0) -> tuple[bytes, int]:
         """The bytes of ``ids`` and the state after them (0: no character is
-        left open); raises on what is not UTF-8."""
-        out = []
-        steps, bytes_of = self.steps, self.bytes_of
-        for i in ids:
-            key = i * 8 + state
-            to = steps.get(key)
-            if to is None:
-                to = steps[key] = self.advance(state, bytes_of[i])
-            if to < 0:
-                raise ValueError(f"token {i} does not continue UTF-8")
-            out.append(bytes_of[i])
-            state = to
-        return b"".join(out), state
+        left open); raises on what is not UTF-8.  Steps are only taken where a
+        token is not whole characters."""
+        raw = b"".join([self.bytes_of[i] for i in ids])
+        if state or not self.broken.isdisjoint(ids):
+            steps = self.steps
+            for i in ids:
+                key = i * 8 + state
+                state = steps.get(key)
+                if state is None:
+                    state = steps[key] = self.advance(key % 8, self.bytes_of[i])
+                if state < 0:
+                    raise ValueError(f"token {i} does not continue UTF-8")
+        return raw, state
 
 
 class Codec:
@@ -313,62 +314,41 @@ class Codec:
         self.transducer = Transducer(read_ranks(rank_blob))
         self.machine = Utf8Machine(self.transducer.bytes_of)
         self.half = max(1, cache_pieces // 2)
-        self.young: dict[str, tuple[int, str]] = {}
-        self.old: dict[str, tuple[int, str]] = {}
-        self.decoded: dict[str, bytes] = {}
-
-    def _encoded(self, piece: str) -> tuple[int, str]:
-        """A match's number of ids and its ids, joined by commas."""
-        got = self.young.get(piece)
-        if got is None:
-            got = self.old.get(piece)
-            if got is None:
-                ids = self.transducer.encode(piece.encode())
-                got = len(ids), ",".join(map(str, ids))
-            if len(self.young) >= self.half:
-                self.old, self.young = self.young, {}
-            if len(piece) <= 256:
-                self.young[piece] = got
-        return got
-
-    def _decode(self, runs: list[str], state: int) -> tuple[list[bytes], int]:
-        """The bytes of runs of ids.  A run that leaves no character open is
-        kept for the next time."""
-        out, known = [], self.decoded
-        for run in runs:
-            raw = known.get(run) if state == 0 else None
-            if raw is None:
-                began = state
-                raw, state = self.machine.decode(map(int, run.split(",")), state)
-                if began == state == 0 and len(run) <= 512:
-                    if len(known) >= self.half:
-                        known.clear()
-                    known[run] = raw
-            out.append(raw)
-        return out, state
-
-    def blocks(self, text: str) -> Iterator[list[tuple[int, str]]]:
-        """Each splitter match's number of ids and ids, in blocks of matches."""
+        self.young: dict[str, list[int]] = {}
+        self.old: dict[str, list[int]] = {}
+        self.name_of = {i: str(i) for i in self.transducer.bytes_of}
+
+    def _encoded(self, piece: str) -> list[int]:
+        ids = self.old.get(piece)
+        if ids is None:
+            ids = self.transducer.encode(piece.encode())
+        if len(self.young) >= self.half:
+            self.old, self.young = self.young, {}
+        if len(piece) <= 256:
+            self.young[piece] = ids
+        return ids
+
+    def blocks(self, text: str) -> Iterator[list[int]]:
+        """The ids of ``text``, a block of splitter matches at a time."""
         found = (m.group() for m in self.pattern.finditer(text)) \
             if len(text) > 8 * BLOCK else iter(self.pattern.findall(text))
         while pieces := list(islice(found, BLOCK)):
             young = self.young.get
-            yield [young(p) or self._encoded(p) for p in pieces]
+            yield list(chain.from_iterable([young(p) or self._encoded(p) for p in pieces]))
 
     def ids(self, text: str) -> list[int]:
-        return [int(i) for block in self.blocks(text) for _, run in block for i in run.split(",")]
+        return [i for block in self.blocks(text) for i in block]
 
     def digest(self, text: str) -> tuple[int, str, str]:
         """(number of ids, sha256 of the ids joined by commas, sha256 of the
         bytes decoded from those ids)."""
-        n, state = 0, 0
+        n, state, name_of = 0, 0, self.name_of
         ids_sha, decoded_sha = hashlib.sha256(), hashlib.sha256()
-        for block in self.blocks(text):
-            counts, runs = zip(*block)
-            ids_sha.update((("," if n else "") + ",".join(runs)).encode())
-            raw, state = self._decode(runs, state)
-            decoded_sha.update(b"".join(raw))
-            n += sum(counts)
+        for ids in self.blocks(text):
+            ids_sha.update((("," if n else "") + ",".join([name_of[i] for i in ids])).encode())
+            raw, state = self.machine.decode(ids, state)
+            decoded_sha.update(raw)
+            n += len(ids)
         return n, ids_sha.hexdigest(), decoded_sha.hexdigest()
 
 
