@@ -12,18 +12,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def build_bitmap(df: DataFrame, column: str, bits: int = 24) -> np.ndarray:
-    """One bit for the top ``bits`` bits of each 64-bit hash in ``column``; at
-    most ``2 ** (bits - 6)`` rows reach the driver."""
+def _words(df: DataFrame, column: str, bits: int) -> DataFrame:
+    """(word, set): the bitmap of the top ``bits`` bits of each 64-bit hash in
+    ``column``, 64 bits a row, words without any left out."""
     slot = F.shiftrightunsigned(F.col(column), 64 - bits)
-    words = (df.select(F.shiftright(slot, 6).alias("word"), slot.bitwiseAND(63).cast("int").alias("bit"))
-             .groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("set"))
-             .toArrow())
+    return (df.select(F.shiftright(slot, 6).alias("word"), slot.bitwiseAND(63).cast("int").alias("bit"))
+            .groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("set")))
+
+
+def build_bitmap(df: DataFrame, column: str, bits: int = 24) -> np.ndarray:
+    """The bitmap on the driver; at most ``2 ** (bits - 6)`` rows reach it."""
+    words = _words(df, column, bits).toArrow()
     out = np.zeros(1 << (bits - 6), np.int64)
     out[words["word"].to_numpy()] = words["set"].to_numpy()
     return out.view(np.uint64)
 
 
+def flag_in(df: DataFrame, column: str, other: DataFrame, flag: str, bits: int = 24) -> DataFrame:
+    """``df`` with ``flag``: whether ``other`` may hold the row's hash, by a
+    broadcast of at most ``2 ** (bits - 6)`` words (4 MB at 24 bits)."""
+    slot = F.shiftrightunsigned(F.col(column), 64 - bits)
+    words = _words(other, column, bits).select(F.col("word").alias("_word"), F.col("set").alias("_set"))
+    own = df.withColumn("_word", F.shiftright(slot, 6)).withColumn("_bit", slot.bitwiseAND(63).cast("int"))
+    return (own.join(F.broadcast(words), "_word", "left")
+            .withColumn(flag, F.coalesce(F.expr("shiftright(_set, _bit) & 1 = 1"), F.lit(False)))
+            .drop("_word", "_bit", "_set"))
+
+
 def in_bitmap(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     bits = 6 + int(len(bitmap)).bit_length() - 1
     slot = hashes >> np.uint64(64 - bits)

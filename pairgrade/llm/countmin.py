@@ -21,7 +21,7 @@ DEPTH = 2
 #: the sketch holds back fewer of the hashes met once.
 CELL_BITS = (16, 29)
 BLOCK_BITS = 20
-FLUSH_HASHES = 6_000_000
+FLUSH_HASHES = 3_000_000
 
 
 def cell_bits(hashes: int, per_hash: int = 4) -> int:

@@ -21,13 +21,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pairgrade.llm.bitmap import flag_in
 from pairgrade.llm.common import Words, gram_hashes, id_text, slices, text_buffers, text_hash
 from pairgrade.llm.countmin import (
     DEPTH, cell_bits, estimated_repeated, pack_gaps, repeated_cells, unpack_gaps,
 )
+from pairgrade.sources.sinks import materialize
 
 SPAN = 13
-FLUSH_WINDOWS = 6_000_000
+FLUSH_WINDOWS = 3_000_000
 BUCKET_WINDOWS = 2_000_000
 
 
@@ -205,8 +207,9 @@ def dedup_substrings(docs: DataFrame, span: int = SPAN, depth: int = DEPTH, id_c
     windows = size // 6 + 1
     bits = sketch_bits or cell_bits(windows)
     sketch = repeated_cells(own.select("text"), lambda part: windows_of(part, span, 0)[2], depth, bits)
-    gone = (covered_windows(own, sketch, span, bits, windows // BUCKET_WINDOWS + 1)
-            .groupBy("doc_id", "mark").agg(F.collect_list("gone").alias("gone")))
+    gone = materialize(covered_windows(own, sketch, span, bits, windows // BUCKET_WINDOWS + 1), "covered-windows")
+    touched = flag_in(own, "mark", gone, "touched")
+    per_doc = gone.groupBy("doc_id", "mark").agg(F.collect_list("gone").alias("gone"))
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
@@ -231,5 +234,8 @@ def dedup_substrings(docs: DataFrame, span: int = SPAN, depth: int = DEPTH, id_c
                  pa.array(kept, pa.binary()).cast(pa.string()), pa.array(shas)],
                 names=["doc_id", "n_words", "n_removed", "kept", "kept_sha256"])
 
-    return (own.join(gone, ["doc_id", "mark"], "left").select("doc_id", "text", "gone")
-            .mapInArrow(strip, "doc_id bigint, n_words bigint, n_removed bigint, kept string, kept_sha256 string"))
+    # only texts that may lose words are shuffled
+    joined = touched.where("touched").join(per_doc, ["doc_id", "mark"], "left").select("doc_id", "text", "gone")
+    whole = touched.where("not touched").select("doc_id", "text", F.lit(None).cast("array<binary>").alias("gone"))
+    schema = "doc_id bigint, n_words bigint, n_removed bigint, kept string, kept_sha256 string"
+    return joined.mapInArrow(strip, schema).unionByName(whole.mapInArrow(strip, schema))
