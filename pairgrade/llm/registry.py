@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pairgrade.llm.bpe import encode_decode
 from pairgrade.llm.common import table
 from pairgrade.llm.decontaminate import contamination
+from pairgrade.llm.lines import dedup_lines
 from pairgrade.llm.quality import score_texts, train
 from pairgrade.llm.secrets import secret_spans
 from pairgrade.llm.substring import dedup_substrings
@@ -31,6 +32,10 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                          public_tokenizers.PATTERN)
 
 
+def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(table(spark, sf_dir, "documents")).drop("mark", "kept")
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return score_texts(docs, train(docs, table(spark, sf_dir, "labels")))
@@ -48,6 +53,7 @@ QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_token_counts": op2_token_counts,
     "op3_byte_bpe": op3_byte_bpe,
+    "op5_lines": op5_lines,
     "op6_quality": op6_quality,
     "op7_secrets": op7_secrets,
     "op10_substring": op10_substring,
