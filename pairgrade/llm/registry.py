@@ -10,6 +10,7 @@ from pairgrade.llm.bpe import encode_decode
 from pairgrade.llm.common import table
 from pairgrade.llm.decontaminate import contamination
 from pairgrade.llm.lines import dedup_lines
+from pairgrade.llm.near_dedup import near_duplicates
 from pairgrade.llm.quality import score_texts, train
 from pairgrade.llm.secrets import secret_spans
 from pairgrade.llm.substring import dedup_substrings
@@ -32,6 +33,10 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                          public_tokenizers.PATTERN)
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("mark")
+
+
 def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents")).drop("mark", "kept")
 
@@ -53,6 +58,7 @@ QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_token_counts": op2_token_counts,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_near_dedup": op4_near_dedup,
     "op5_lines": op5_lines,
     "op6_quality": op6_quality,
     "op7_secrets": op7_secrets,
