@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pairgrade.llm.bpe import encode_decode
 from pairgrade.llm.common import table
 from pairgrade.llm.decontaminate import contamination
+from pairgrade.llm.fingerprints import document_fingerprints
 from pairgrade.llm.lines import dedup_lines
 from pairgrade.llm.near_dedup import near_duplicates
 from pairgrade.llm.quality import score_texts, train
@@ -50,6 +51,10 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_spans(table(spark, sf_dir, "documents"))
 
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(table(spark, sf_dir, "documents")).drop("kept")
 
@@ -62,6 +67,7 @@ QUERIES = {
     "op5_lines": op5_lines,
     "op6_quality": op6_quality,
     "op7_secrets": op7_secrets,
+    "op8_fingerprints": op8_fingerprints,
     "op10_substring": op10_substring,
 }
 
