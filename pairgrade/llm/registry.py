@@ -13,6 +13,8 @@ from pairgrade.llm.fingerprints import document_fingerprints
 from pairgrade.llm.lines import dedup_lines
 from pairgrade.llm.near_dedup import near_duplicates
 from pairgrade.llm.quality import score_texts, train
+from pairgrade.llm.quotes import SQL as QUOTES_SQL
+from pairgrade.llm.quotes import linked_conversations
 from pairgrade.llm.secrets import secret_spans
 from pairgrade.llm.substring import dedup_substrings
 from pairgrade.llm.token_counts import token_counts
@@ -55,6 +57,10 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op9_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linked_conversations(table(spark, sf_dir, "conversations"))
+
+
 def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(table(spark, sf_dir, "documents")).drop("kept")
 
@@ -68,7 +74,8 @@ QUERIES = {
     "op6_quality": op6_quality,
     "op7_secrets": op7_secrets,
     "op8_fingerprints": op8_fingerprints,
+    "op9_quotes": op9_quotes,
     "op10_substring": op10_substring,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op9_quotes": QUOTES_SQL}
