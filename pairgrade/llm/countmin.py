@@ -21,7 +21,7 @@ DEPTH = 2
 #: the sketch holds back fewer of the hashes met once.
 CELL_BITS = (16, 29)
 BLOCK_BITS = 20
-FLUSH_HASHES = 3_000_000
+FLUSH_HASHES = 6_000_000
 
 
 def cell_bits(hashes: int, per_hash: int = 4) -> int:
@@ -31,12 +31,12 @@ def cell_bits(hashes: int, per_hash: int = 4) -> int:
 
 def cells(hashes: np.ndarray, row: int, bits: int) -> np.ndarray:
     h = hashes if row == 0 else mix(hashes + np.uint64(row))
-    return (h >> np.uint64(64 - bits)).astype(np.int64)
+    return (h >> np.uint64(64 - bits)).astype(np.uint32)
 
 
 def pack_gaps(sorted_cells: np.ndarray) -> bytes:
     """Ascending numbers as gaps of one byte (255: add and go on)."""
-    gaps = np.diff(sorted_cells, prepend=0)
+    gaps = np.diff(sorted_cells.astype(np.int64), prepend=0)
     more = gaps // 255
     out = np.full(int(more.sum()) + len(gaps), 255, np.uint8)
     out[np.cumsum(more + 1) - 1] = gaps % 255

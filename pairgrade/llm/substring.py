@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairgrade.llm.bitmap import flag_in
-from pairgrade.llm.common import Words, gram_hashes, id_text, slices, text_buffers, text_hash
+from pairgrade.llm.common import Words, gram_hashes, id_text, mix, slices, text_buffers, text_hash
 from pairgrade.llm.countmin import (
     DEPTH, cell_bits, estimated_repeated, pack_gaps, repeated_cells, unpack_gaps,
 )
@@ -75,63 +75,56 @@ class Held:
         return out[0], out[1]
 
 
-_FLOW = "bucket int, doc_id bigint, mark bigint, gone binary, rivals binary"
-
-
-def _flow(rows: list[tuple]) -> pa.RecordBatch:
-    types = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-    columns = list(zip(*rows)) if rows else [[] for _ in types]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)],
-                                      names=["bucket", "doc_id", "mark", "gone", "rivals"])
-
+def _pack(doc: np.ndarray, mark: np.ndarray, at: np.ndarray) -> bytes:
+    """Places by document, as compressed steps."""
+    import zstandard
 
-def _gone_rows(doc: np.ndarray, mark: np.ndarray, at: np.ndarray, buckets: int) -> list[tuple]:
-    """One row for each document with the places of its covered windows."""
-    new = np.flatnonzero((np.diff(doc, prepend=0) != 0) | (np.diff(mark, prepend=0) != 0))
-    if len(doc) and (not len(new) or new[0]):
-        new = np.concatenate([[0], new])
-    ends = [*new[1:].tolist(), len(doc)]
-    return [(int(doc[lo]) % buckets, int(doc[lo]), int(mark[lo]), pack_gaps(at[lo:hi]), None)
-            for lo, hi in zip(new.tolist(), ends)]
+    steps = np.concatenate([np.diff(x, prepend=0) for x in (doc, mark, at)]).astype(np.int64)
+    return zstandard.ZstdCompressor(level=1).compress(steps.tobytes())
 
 
-def _pack_rivals(h1, h2, doc, mark, at) -> bytes:
-    """Windows of one bucket, by document and place: the hashes as they are,
-    the rest as compressed steps."""
+def _unpack(blob: bytes) -> list[np.ndarray]:
     import zstandard
 
-    steps = np.concatenate([np.diff(doc, prepend=0), np.diff(mark, prepend=0), np.diff(at, prepend=0)])
-    return (len(h1).to_bytes(8, "little") + h1.tobytes() + h2.tobytes()
-            + zstandard.ZstdCompressor(level=1).compress(steps.astype(np.int64).tobytes()))
+    steps = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.int64)
+    return [np.cumsum(x) for x in steps.reshape(3, -1)]
 
 
-def _unpack_rivals(blob: bytes) -> tuple:
-    import zstandard
+def _dealt(by: np.ndarray, groups: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each group's rows, in their order."""
+    order = np.argsort(by, kind="stable")
+    edges = np.searchsorted(by[order], np.arange(groups + 1))
+    for g in np.flatnonzero(np.diff(edges)).tolist():
+        yield g, order[edges[g]:edges[g + 1]]
+
 
-    n = int.from_bytes(blob[:8], "little")
-    steps = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob[8 + 12 * n:]), np.int64)
-    doc, mark, at = (np.cumsum(x) for x in steps.reshape(3, n))
-    return np.frombuffer(blob, np.uint64, n, 8), np.frombuffer(blob, np.uint32, n, 8 + 8 * n), doc, mark, at
+def _rows(rows: list[tuple], names: list[str], types: list[pa.DataType]) -> pa.RecordBatch:
+    columns = list(zip(*rows)) if rows else [[] for _ in types]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
 
 def covered_windows(own: DataFrame, sketch: np.ndarray, span: int, bits: int, buckets: int) -> DataFrame:
-    """(doc_id, mark, gone): places of windows whose words also start in a
-    document with a smaller id; some rows for a document."""
+    """(doc_id, mark, gone): for each document the places of its windows whose
+    words also start in a document with a smaller id.
+
+    Rows between the passes are packed: windows by a bucket of their hash, then
+    covered places by a group of documents, so their number follows the number
+    of partitions and not that of documents."""
     sent = own.sparkSession.sparkContext.broadcast(sketch)
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = Held(), 0
 
         def flush():
-            (h1, h2, doc, mark, at), gone = held.settle()
-            rows = _gone_rows(*gone, buckets)
-            bucket = (h1 % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            for b in np.flatnonzero(np.diff(edges)).tolist():
-                some = order[edges[b]:edges[b + 1]]
-                rows.append((b, None, None, None, _pack_rivals(*(x[some] for x in (h1, h2, doc, mark, at)))))
-            return _flow(rows)
+            rivals, gone = held.settle()
+            rows = []
+            if len(gone[0]):
+                rows.append((int(rivals[0][0] % np.uint64(buckets)), _pack(*gone), None, None, None))
+            for b, some in _dealt((rivals[0] % np.uint64(buckets)).astype(np.int64), buckets):
+                h1, h2, *place = (x[some] for x in rivals)
+                rows.append((b, None, h1.tobytes(), h2.tobytes(), _pack(*place)))
+            return _rows(rows, ["bucket", "gone", "h1", "h2", "places"],
+                         [pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary()])
 
         for part in slices(batches, "text"):
             words, places, h1 = windows_of(part, span, 1)
@@ -145,50 +138,71 @@ def covered_windows(own: DataFrame, sketch: np.ndarray, span: int, bits: int, bu
             h2 = gram_hashes(words.hashes(2), span)[places] >> np.uint64(32)
             held.add(h1[some], h2.astype(np.uint32), doc[owner], mark[owner], places - words.first[owner])
             if n >= FLUSH_WINDOWS:
-                yield flush()
+                if held.n:
+                    yield flush()
                 held, n = Held(), 0
         if held.n:
             yield flush()
 
     def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, bucket = Held(), None
-        gone: list[list[np.ndarray]] = [[], [], []]
-        through: list[tuple] = []  # what the first pass settled
-
-        def settle():
-            if held.n:
-                for to, column in zip(gone, held.settle()[1]):
-                    to.append(column)
+        gone: list[list[np.ndarray]] = []
 
         def told():
-            columns = [np.concatenate(c) for c in gone]
-            by = np.lexsort(columns[::-1])
-            for c in gone:
-                c.clear()
-            return _flow(_gone_rows(*(c[by] for c in columns), 1))
+            doc, mark, at = (np.concatenate(c) for c in zip(*gone))
+            gone.clear()
+            by = (mix(doc.view(np.uint64) ^ mix(mark.view(np.uint64))) % np.uint64(buckets)).astype(np.int64)
+            order = np.lexsort((at, mark, doc))
+            doc, mark, at, by = doc[order], mark[order], at[order], by[order]
+            return _rows([(g, _pack(doc[some], mark[some], at[some])) for g, some in _dealt(by, buckets)],
+                         ["bucket", "gone"], [pa.int32(), pa.binary()])
 
         for batch in batches:
-            for b, doc, mark, at, rivals in zip(*(c.to_pylist() for c in batch.columns)):
+            for b, done, h1, h2, places in zip(*(c.to_pylist() for c in batch.columns)):
                 if b != bucket:
-                    settle()
+                    if held.n:
+                        gone.append(held.settle()[1])
                     bucket = b
-                    if sum(map(len, gone[0])) >= FLUSH_WINDOWS:
+                    if sum(len(c[0]) for c in gone) >= FLUSH_WINDOWS:
                         yield told()
-                if rivals is not None:
-                    held.add(*_unpack_rivals(rivals))
+                if done is not None:
+                    gone.append(_unpack(done))
                 else:
-                    through.append((0, doc, mark, at, None))
-            if len(through) >= 2000:
-                yield _flow(through)
-                through.clear()
-        settle()
-        yield _flow(through)
-        if gone[0]:
+                    held.add(np.frombuffer(h1, np.uint64), np.frombuffer(h2, np.uint32), *_unpack(places))
+        if held.n:
+            gone.append(held.settle()[1])
+        if gone:
+            yield told()
+
+    def per_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, held = None, []
+
+        def told():
+            doc, mark, at = (np.concatenate(c) for c in zip(*held))
+            order = np.lexsort((at, mark, doc))
+            doc, mark, at = doc[order], mark[order], at[order]
+            new = np.ones(len(doc), bool)
+            new[1:] = (doc[1:] != doc[:-1]) | (mark[1:] != mark[:-1])
+            edges = [*np.flatnonzero(new).tolist(), len(doc)]
+            return _rows([(int(doc[lo]), int(mark[lo]), pack_gaps(np.unique(at[lo:hi])))
+                          for lo, hi in zip(edges, edges[1:])], ["doc_id", "mark", "gone"],
+                         [pa.int64(), pa.int64(), pa.binary()])
+
+        for batch in batches:
+            for g, blob in zip(*(c.to_pylist() for c in batch.columns)):
+                if g != group and held:
+                    yield told()
+                    held = []
+                group = g
+                held.append(_unpack(blob))
+        if held:
             yield told()
 
-    return (own.select("doc_id", "text", "mark").mapInArrow(candidates, _FLOW)
+    return (own.select("doc_id", "text", "mark")
+            .mapInArrow(candidates, "bucket int, gone binary, h1 binary, h2 binary, places binary")
+            .repartition("bucket").sortWithinPartitions("bucket").mapInArrow(resolve, "bucket int, gone binary")
             .repartition("bucket").sortWithinPartitions("bucket")
-            .mapInArrow(resolve, _FLOW).select("doc_id", "mark", "gone"))
+            .mapInArrow(per_document, "doc_id bigint, mark bigint, gone binary"))
 
 
 def dedup_substrings(docs: DataFrame, span: int = SPAN, depth: int = DEPTH, id_col: str = "doc_id",
@@ -209,17 +223,16 @@ def dedup_substrings(docs: DataFrame, span: int = SPAN, depth: int = DEPTH, id_c
     sketch = repeated_cells(own.select("text"), lambda part: windows_of(part, span, 0)[2], depth, bits)
     gone = materialize(covered_windows(own, sketch, span, bits, windows // BUCKET_WINDOWS + 1), "covered-windows")
     touched = flag_in(own, "mark", gone, "touched")
-    per_doc = gone.groupBy("doc_id", "mark").agg(F.collect_list("gone").alias("gone"))
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             raw, at = text_buffers(part.column(1))
             words = Words(raw, at, "visible")
             counts, removed, kept, shas = words.counts(), [], [], []
-            for i, gone_parts in enumerate(part.column(2).to_pylist()):
+            for i, packed in enumerate(part.column(2).to_pylist()):
                 n, lo = int(counts[i]), int(words.first[i])
                 edge = np.zeros(n + 1, np.int64)
-                for packed in gone_parts or ():
+                if packed is not None:
                     starts = unpack_gaps(packed)
                     np.add.at(edge, starts, 1)
                     np.add.at(edge, starts + span, -1)
@@ -235,7 +248,7 @@ def dedup_substrings(docs: DataFrame, span: int = SPAN, depth: int = DEPTH, id_c
                 names=["doc_id", "n_words", "n_removed", "kept", "kept_sha256"])
 
     # only texts that may lose words are shuffled
-    joined = touched.where("touched").join(per_doc, ["doc_id", "mark"], "left").select("doc_id", "text", "gone")
-    whole = touched.where("not touched").select("doc_id", "text", F.lit(None).cast("array<binary>").alias("gone"))
+    joined = touched.where("touched").join(gone, ["doc_id", "mark"], "left").select("doc_id", "text", "gone")
+    whole = touched.where("not touched").select("doc_id", "text", F.lit(None).cast("binary").alias("gone"))
     schema = "doc_id bigint, n_words bigint, n_removed bigint, kept string, kept_sha256 string"
     return joined.mapInArrow(strip, schema).unionByName(whole.mapInArrow(strip, schema))
