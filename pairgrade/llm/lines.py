@@ -295,6 +295,26 @@ def linked_lines(shared: DataFrame, distance: int, block_rows: int = BLOCK_ROWS)
     return tasks.mapInArrow(verify, "doc_id bigint, mark bigint, line int")
 
 
+def covered_lines(own: DataFrame, distance: int = DISTANCE, least: int = MIN_CHARS,
+                  sketch_bits: int | None = None) -> DataFrame:
+    """(doc_id, mark, line, near), written: the lines of ``own`` (doc_id, text,
+    mark) that go; ``near`` are those that no equal line stands before."""
+    if least <= 2 * distance:
+        raise ValueError("lines must be longer than twice the distance")
+    if sketch_bits is None:
+        size = own.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first().bytes
+        sketch_bits = cell_bits(size // 16, 8)
+    shared = materialize(shared_lines(own, distance, least, sketch_bits), "shared-lines")
+    place = F.struct("doc_id", "mark", "line")
+    equal = (shared.where("kind = 'line'")
+             .withColumn("first", F.min(place).over(Window.partitionBy("h1", "h2")))
+             .where(place != F.col("first")))
+    covered = (shared.where("kind = 'gone'").unionByName(equal, allowMissingColumns=True)
+               .select("doc_id", "mark", "line", F.lit(False).alias("near")))
+    return materialize(covered.unionByName(linked_lines(shared, distance).withColumn("near", F.lit(True))),
+                       "covered-lines")
+
+
 def dedup_lines(docs: DataFrame, distance: int = DISTANCE, least: int = MIN_CHARS, id_col: str = "doc_id",
                 text_col: str = "text", sketch_bits: int | None = None) -> DataFrame:
     """(doc_id, mark, n_lines, n_removed, n_near, kept, kept_sha256), one row
@@ -310,21 +330,8 @@ def dedup_lines(docs: DataFrame, distance: int = DISTANCE, least: int = MIN_CHAR
     holds; rows that repeat give equal rows; other columns are ignored.  Memory
     follows the longest line.
     """
-    if least <= 2 * distance:
-        raise ValueError("lines must be longer than twice the distance")
     own = id_text(docs, id_col, text_col).withColumn("mark", text_hash())
-    if sketch_bits is None:
-        size = own.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first().bytes
-        sketch_bits = cell_bits(size // 16, 8)
-    shared = materialize(shared_lines(own, distance, least, sketch_bits), "shared-lines")
-    place = F.struct("doc_id", "mark", "line")
-    equal = (shared.where("kind = 'line'")
-             .withColumn("first", F.min(place).over(Window.partitionBy("h1", "h2")))
-             .where(place != F.col("first")))
-    covered = (shared.where("kind = 'gone'").unionByName(equal, allowMissingColumns=True)
-               .select("doc_id", "mark", "line", F.lit(False).alias("near")))
-    gone = materialize(covered.unionByName(linked_lines(shared, distance).withColumn("near", F.lit(True))),
-                       "covered-lines")
+    gone = covered_lines(own, distance, least, sketch_bits)
     touched = flag_in(own, "mark", gone, "touched")
     per_doc = (gone.groupBy("doc_id", "mark")
                .agg(F.collect_set("line").alias("gone"),
@@ -355,3 +362,33 @@ def dedup_lines(docs: DataFrame, distance: int = DISTANCE, least: int = MIN_CHAR
     schema = ("doc_id bigint, mark bigint, n_lines bigint, n_removed bigint, n_near bigint, "
               "kept string, kept_sha256 string")
     return joined.mapInArrow(strip, schema).unionByName(whole.mapInArrow(strip, schema))
+
+
+def without_lines(docs: DataFrame, gone: DataFrame, mark: str) -> DataFrame:
+    """``docs`` (with the column ``mark`` to tell rows apart) without the lines
+    ``gone``; ``n_chars`` follows.  Texts that lose no line are left as they
+    are, those that lose all are left out.  Only texts that may lose lines are
+    shuffled."""
+    flagged = flag_in(docs, mark, gone, "_touched")
+    whole = flagged.where("not _touched").drop("_touched", mark)
+    per_doc = (gone.groupBy("doc_id", F.col("mark").alias(mark)).agg(F.collect_set("line").alias("_gone")))
+    names = whole.columns
+
+    def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        text_at, gone_at = names.index("text"), len(names)
+        for part in slices(batches):
+            kept, some = [], []
+            for text, lost in zip(part.column(text_at).to_pylist(), part.column(gone_at).to_pylist()):
+                lost = set(lost or ())
+                left = [x for i, x in enumerate(text.split("\n")) if i not in lost] if lost else None
+                some.append(left is None or any(left))
+                kept.append(text if left is None else "\n".join(left))
+            columns = {name: part.column(i) for i, name in enumerate(names)}
+            columns["text"] = pa.array(kept, pa.string())
+            if "n_chars" in columns:
+                sizes = [None if t is None else len(t) for t in kept]
+                columns["n_chars"] = pa.array(sizes, pa.int64())
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=names).filter(pa.array(some))
+
+    joined = flagged.where("_touched").join(per_doc, ["doc_id", mark], "left").select(*names, "_gone")
+    return whole.unionByName(joined.mapInArrow(strip, whole.schema))

@@ -226,3 +226,18 @@ def score_texts(docs: DataFrame, model: Model, threshold: float = 0.3,
     return (id_text(docs, id_col, text_col).mapInArrow(run, "doc_id bigint, score double")
             .select("doc_id", held_out().alias("held_out"), "score",
                     (F.col("score") >= threshold).cast("int").alias("predicted")))
+
+
+def keep_good(docs: DataFrame, model: Model, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose text scores ``threshold`` or
+    more; a map without a shuffle."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    at_text = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, text_col):
+            raw, at = text_buffers(part.column(at_text))
+            yield part.filter(pa.array([sent.value.score(features(raw[at[i]:at[i + 1]])) >= threshold
+                                        for i in range(part.num_rows)]))
+
+    return docs.mapInArrow(run, docs.schema)
