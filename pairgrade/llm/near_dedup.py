@@ -13,7 +13,8 @@ threshold).  Pairs that meet are confirmed on their full sets.
 No pairs are listed within a group.  Documents with equal sets are one node.
 In each round the nodes of a key are compared with one of them, what links
 becomes one component, and only nodes of different components are compared
-again; a last round compares what is still apart under a common key.
+again; the last round, as soon as few enough pairs are left, compares all that
+are still apart under a common key.
 """
 
 from __future__ import annotations
@@ -34,10 +35,12 @@ from pairgrade.sources.sinks import materialize
 
 SHINGLE = 2
 PERCENT = 80
-SYMBOLS = 72
-CHUNK = 6
+SYMBOLS = 160
+CHUNK = 8
 ERRORS = 1
 STAR_ROUNDS = 3
+#: Pairs a node (on average) up to which all that are left are listed at once.
+LISTED = 8
 MEMBERS = 500
 
 _NODE = "struct<d1:bigint,d2:bigint>"
@@ -217,6 +220,13 @@ def _rest_pairs(apart: DataFrame) -> DataFrame:
             .select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct())
 
 
+def _rest_size(apart: DataFrame) -> int:
+    """How many pairs ``_rest_pairs`` would look at."""
+    per_key = (apart.groupBy("key", "comp").agg(F.count("*").alias("n"))
+               .groupBy("key").agg(F.sum("n").alias("n"), F.max("n").alias("top")))
+    return per_key.agg(F.coalesce(F.sum(F.col("n") * (F.col("n") - F.col("top"))), F.lit(0)).alias("x")).first().x
+
+
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, symbols: int = SYMBOLS,
                     chunk: int = CHUNK, errors: int = ERRORS, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
@@ -232,15 +242,16 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     its text; other columns are ignored.
 
     Complete up to a signature distance of ``symbols / chunk * (errors + 1) - 1``
-    symbols; at the threshold itself about three pairs in a million share no key.
+    symbols; at the threshold itself about one pair in a million shares no key.
     """
     own = id_text(docs, id_col, text_col).withColumn("mark", text_hash())
     base = materialize(signed(own, size, symbols), "signatures")
     nodes = (base.where("n_shingles > 0 and doc_id is not null").groupBy("node")
              .agg(F.min(F.struct("doc_id", "mark")).alias("least"), F.first("sig").alias("sig")))
     nodes = materialize(nodes, "nodes")
+    n_nodes = nodes.count()
     per_node = symbols // chunk * len(list(combinations(range(chunk), errors)))
-    keys = materialize(shared_keys(nodes, chunk, errors, nodes.count() * per_node), "keys")
+    keys = materialize(shared_keys(nodes, chunk, errors, n_nodes * per_node), "keys")
 
     met = nodes.join(keys.select("node").distinct(), "node").select("node", "least.doc_id", "least.mark")
     texts = materialize(flag_in(own.where("doc_id is not null"), "mark", met, "met").where("met").drop("met")
@@ -249,21 +260,20 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
 
     labels, tried = None, None
     for turn in range(STAR_ROUNDS + 1):
-        apart = _apart(keys, labels)
-        pairs = _star_pairs(apart, turn) if turn < STAR_ROUNDS else _rest_pairs(materialize(apart, "apart"))
-        pairs = pairs.select(F.least("a", "b").alias("least"), "a", "b") if turn < STAR_ROUNDS else \
-            pairs.select(F.col("a").alias("least"), "a", "b")
-        pairs = pairs.withColumn("most", F.greatest("a", "b"))
+        apart = materialize(_apart(keys, labels), "apart")
+        last = turn == STAR_ROUNDS or _rest_size(apart) <= LISTED * n_nodes
+        pairs = _rest_pairs(apart) if last else _star_pairs(apart, turn)
+        pairs = pairs.select("a", "b", F.least("a", "b").alias("least"), F.greatest("a", "b").alias("most"))
         if tried is not None:
             pairs = pairs.join(tried, ["least", "most"], "left_anti")
         pairs = materialize(pairs, "pairs")
-        if not pairs.limit(1).count():
-            continue
         seen = pairs.select("least", "most")
         tried = seen if tried is None else tried.unionByName(seen)
         links = materialize(confirmed(pairs.select("a", "b"), texts, size, percent), "links")
         if links.limit(1).count():
             labels = components(links, labels)
+        if last:
+            break
 
     if labels is None:
         of_node = nodes.select("node", F.col("least.doc_id").alias("component_id"))

@@ -60,12 +60,13 @@ def case(seed=9, families=6, copies=25):
     return docs
 
 
-def test_matches_all_pairs(docs):
+def test_matches_all_pairs(docs, monkeypatch):
+    monkeypatch.setattr(near_dedup, "LISTED", -1)
     assert rows(near_duplicates(docs(case()))) == brute(case())
 
 
-def test_far_copies_spread_heads_and_no_star_rounds(docs, monkeypatch):
-    monkeypatch.setattr(near_dedup, "STAR_ROUNDS", 0)
+def test_all_pairs_at_once_and_spread_heads(docs, monkeypatch):
+    monkeypatch.setattr(near_dedup, "LISTED", 1 << 30)
     monkeypatch.setattr(near_dedup, "MEMBERS", 3)
     assert rows(near_duplicates(docs(case(11, 3, 20), 5))) == brute(case(11, 3, 20))
 
