@@ -220,8 +220,8 @@ def q_als_pairs_user_ids(spark, sf_dir):
 
 def q_als_pairs_scored_keys(spark, sf_dir):
     """Cold-start survivors of the pair solver: the same row set as MLlib's."""
-    _, scored = pair_predictions(_items(spark, sf_dir), "quantity", "price", "grade", KEY,
-                                 seed=SEED, solver="pairs", **ALS_SMALL)
+    _, scored, _ = pair_predictions(_items(spark, sf_dir), "quantity", "price", "grade", KEY,
+                                    seed=SEED, solver="pairs", **ALS_SMALL)
     return scored.select(*KEY, "user_id", "item_id", "label")
 
 
@@ -232,13 +232,13 @@ def q_pair_grade_pairs_metrics(spark, sf_dir):
 
 
 def q_als_scored_keys(spark, sf_dir):
-    _, scored = pair_predictions(_items(spark, sf_dir), "quantity", "price", "grade", KEY,
-                                 seed=SEED, **ALS_SMALL)
+    _, scored, _ = pair_predictions(_items(spark, sf_dir), "quantity", "price", "grade", KEY,
+                                    seed=SEED, **ALS_SMALL)
     return scored.select(*KEY, "user_id", "item_id", "label")
 
 
 def q_als_price_scored_keys(spark, sf_dir):
-    _, scored = pair_predictions(_items(spark, sf_dir), "kind", "size", "price", KEY,
+    _, scored, _ = pair_predictions(_items(spark, sf_dir), "kind", "size", "price", KEY,
                                  scale_rating=(1.0, 5.0), seed=SEED, **ALS_SMALL)
     return scored.select(*KEY, "user_id", "item_id")
 

@@ -9,7 +9,6 @@ work runs on the executors:
   random forests, tree-node table)
 * ``sources``    item tables (CSV, the TPC-H stand-in), LibSVM, sinks
 * ``plans``      experiments (one pair, one forest) and pair sweeps
-* ``streaming``  nothing: the workload has no streams (see its docstring)
 """
 
 from pairgrade.session import build_session, checkpoint_root

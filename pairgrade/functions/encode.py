@@ -55,14 +55,22 @@ def ordinal(c: str | Column, levels: Sequence[str],
 
 
 def round_class(c: str | Column) -> Column:
-    """Nearest class of a numeric prediction (half up); NaN or out of the
-    int range gives null, which never counts as a match or a mismatch."""
+    """Nearest class of a numeric prediction (half up) as int; NaN or out of
+    the int range gives null.  Comparisons with a label use the rounded value
+    itself (``operators.metrics``), so such a prediction counts as wrong."""
     return F.round(_col(c)).try_cast("int")
 
 
+INT_MIN, INT_MAX = -2 ** 31, 2 ** 31 - 1
+
+
 def as_id(c: str | Column, dtype: DataType | None = None) -> Column:
-    """An ALS id: int, whole.  Integral columns are cast (null if out of
-    range); fractional ones are rounded half up first."""
-    if dtype is not None and isinstance(dtype, IntegralType):
-        return _col(c).try_cast("int")
-    return fixed_point(c, 0)
+    """An ALS id: int, whole (fractional values are rounded half up).  Null
+    stays null; a value outside the int range fails the job, as a row that
+    vanished would not be noticed."""
+    src = _col(c)
+    whole = src if isinstance(dtype, IntegralType) else F.round(src)
+    return (F.when(whole.isNull(), F.lit(None).cast("int"))
+             .when(whole.between(INT_MIN, INT_MAX), whole.try_cast("int"))
+             .otherwise(F.raise_error(F.concat(F.lit("id outside the int range: "),
+                                               src.cast("string"))).cast("int")))

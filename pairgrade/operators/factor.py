@@ -1,10 +1,10 @@
 """Matrix factorisation (ALS) of a (user, item, rating) column triple.
 
-Fitting and scoring are MLlib's distributed ALS: ratings are hash-partitioned
-into user and item blocks, factors are exchanged between blocks per half
-iteration, intermediate RDDs are kept MEMORY_AND_DISK and checkpointed every
-``checkpoint_interval`` iterations into the session's shared checkpoint
-folder (lineage cut, so a lost executor costs at most that many iterations).
+One solver fits at every size: explicit ALS on aggregated pairs
+(``pairgrade.operators.wals``).  MLlib's block ALS can be asked for; there
+ratings are hash-partitioned into user and item blocks, intermediate RDDs are
+kept MEMORY_AND_DISK and checkpointed every ``checkpoint_interval`` iterations
+into the session's shared checkpoint folder.
 
 Scoring joins the held-out rows with both factor tables; with the ``drop``
 cold-start strategy rows whose user or item was not seen in training vanish.
@@ -20,7 +20,7 @@ predictions (same float dot product, same order of terms).
 from __future__ import annotations
 
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
@@ -74,72 +74,69 @@ def usable_ratings(df: DataFrame, user: str, item: str, rating: str | None = Non
     return df.where(cond)
 
 
+def unusable(user: str, item: str, rating: str | None = None) -> Column:
+    """True for the rows that ``usable_ratings`` leaves out."""
+    bad = F.col(user).isNull() | F.col(item).isNull()
+    if rating is not None:
+        bad = bad | F.col(rating).isNull() | F.isnan(F.col(rating).cast("double"))
+    return F.coalesce(bad, F.lit(False))
+
+
 def dropped_ratings(df: DataFrame, user: str, item: str, rating: str) -> DataFrame:
     """One row: how many rows ALS cannot use (null id, null or NaN rating),
     counted in one aggregate; nothing runs until it is read."""
-    bad = (F.col(user).isNull() | F.col(item).isNull() | F.col(rating).isNull()
-           | F.isnan(F.col(rating).cast("double")))
-    return df.agg(F.count(F.lit(1)).alias("rows"), F.count_if(bad).alias("dropped"))
-
-
-SOLVERS = ("auto", "mllib", "pairs")
-# Ratings one MLlib block (one task, held in memory) may take before "auto"
-# switches to the pair solver.
-MLLIB_BLOCK_ROWS = 20_000_000
-
-
-def choose_solver(clean: DataFrame, user: str, item: str, num_blocks: int | None,
-                  block_rows: int = MLLIB_BLOCK_ROWS) -> str:
-    """"mllib" while its heaviest block fits ``block_rows`` ratings, else
-    "pairs".  MLlib keeps a block's ratings in one task, and one id's ratings
-    always share a block, so the heaviest block holds at least
-    max(rows / blocks, rows of the heaviest id)."""
-    n = clean.count()
-    if n <= block_rows:
-        return "mllib"
-    blocks = num_blocks or 10
-    if n / blocks > block_rows:
-        return "pairs"
-    top = max(clean.groupBy(c).count().agg(F.max("count")).first()[0] or 0
-              for c in (user, item))
-    return "pairs" if top > block_rows else "mllib"
+    return df.agg(F.count(F.lit(1)).alias("rows"),
+                  F.count_if(unusable(user, item, rating)).alias("dropped"))
+
+
+SOLVERS = ("pairs", "mllib")
+_COMMON = {"rank", "max_iter", "reg_param", "seed", "cold_start", "checkpoint_interval", "prediction"}
+_OWN = {"pairs": {"target_pairs", "broadcast_mb"},
+        "mllib": {"num_blocks", "implicit", "alpha", "nonnegative"}}
+
+
+class NoRatings(ValueError):
+    """No training row has both ids and a rating."""
+
+
+def check_als_params(solver: str = "pairs", **params) -> None:
+    """Raise on an unknown solver or parameter, or one of the other solver's,
+    before any job runs."""
+    if solver not in SOLVERS:
+        raise ValueError(f"solver must be one of {SOLVERS}, not {solver!r}")
+    for name in params.keys() - _COMMON - _OWN[solver]:
+        if any(name in own for own in _OWN.values()):
+            raise ValueError(f"{name!r} is not a parameter of solver {solver!r}")
+        raise TypeError(f"unknown ALS parameter {name!r}")
 
 
 def fit_als(train: DataFrame, user: str, item: str, rating: str, *,
-            solver: str = "auto", block_rows: int = MLLIB_BLOCK_ROWS,
-            **params) -> ALSModel | PairFactors:
+            solver: str = "pairs", checked: bool = False, **params) -> ALSModel | PairFactors:
     """Fit explicit ALS.
 
-    ``solver="mllib"``: MLlib's block ALS (``ALSModel``); reproduces MLlib's
-    numbers.  ``solver="pairs"``: the same objective solved on aggregated
-    pairs with salting of heavy ids (``pairgrade.operators.wals``): survives
+    ``solver="pairs"`` (default, at every size): normal equations on aggregated
+    pairs with salting of heavy ids (``pairgrade.operators.wals``); it survives
     an id holding a large share of the rows and collapses low-cardinality
-    columns.  ``solver="auto"`` (default): MLlib unless its heaviest block
-    would exceed ``block_rows`` ratings (see ``choose_solver``)."""
+    columns, and its numbers do not depend on the cluster.  ``solver="mllib"``:
+    MLlib's block ALS (``ALSModel``); reproduces MLlib's numbers, also fits
+    implicit and nonnegative ALS, and keeps all ratings of an id in one task.
+    ``checked``: the caller knows that there are usable ratings."""
+    check_als_params(solver, **params)
     spark = train.sparkSession
     checkpoint_root(spark)  # ALS checkpoints only when a dir is set
-    if solver not in SOLVERS:
-        raise ValueError(f"solver must be one of {SOLVERS}, not {solver!r}")
     clean = usable_ratings(train, user, item, rating).select(user, item, rating)
-    if clean.isEmpty():  # reads at most one row
-        raise ValueError(
-            f"no usable ratings: every training row has a null id ({user}, {item}) "
-            f"or a null/NaN rating ({rating}); a constant column scaled by "
-            "min-max gives null ratings")
-    params["num_blocks"] = resolve_blocks(spark, params.get("num_blocks"))
-    # the pair solver covers the explicit, unconstrained objective only
-    explicit = not params.get("implicit", False) and not params.get("nonnegative", False)
-    if solver == "pairs" and not explicit:
-        raise ValueError("solver='pairs' fits explicit, unconstrained ALS only")
-    if solver == "auto":
-        solver = (choose_solver(clean, user, item, params["num_blocks"], block_rows)
-                  if explicit else "mllib")
+    if not checked and clean.isEmpty():  # reads at most one row
+        raise NoRatings(no_ratings(user, item, rating))
     if solver == "pairs":
-        for mllib_only in ("num_blocks", "implicit", "alpha", "nonnegative"):
-            params.pop(mllib_only, None)
         return fit_pair_factors(clean, user, item, rating, **params)
-    est = als_estimator(user, item, rating, **params)
-    return est.fit(clean)
+    params["num_blocks"] = resolve_blocks(spark, params.get("num_blocks"))
+    return als_estimator(user, item, rating, **params).fit(clean)
+
+
+def no_ratings(user: str, item: str, rating: str) -> str:
+    return (f"no usable ratings: every training row has a null id ({user}, {item}) "
+            f"or a null/NaN rating ({rating}); a constant column scaled by "
+            "min-max gives null ratings")
 
 
 def _parts(model):

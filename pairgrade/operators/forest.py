@@ -3,15 +3,19 @@
 Training is MLlib's level-wise forest: feature values are binned once
 (``max_bins``), every level aggregates per-node histograms across the
 partitions, node ids are cached and checkpointed into the shared checkpoint
-folder so deep trees (15-20 levels) do not grow the lineage.  The input's
-partitioning sets the training parallelism, so a frame with fewer partitions
-than task slots is spread out first (one round-robin shuffle; large inputs
-already have enough partitions and are left alone).
-
-``max_memory_mb`` bounds the per-task histogram buffer of one pass; a larger
-buffer lets one pass split more nodes, so deep trees need fewer passes over
-the data (the fitted model is the same).  1 GB per running task is the
-default; lower it on executors with little memory per core.
+folder so deep trees (15-20 levels) do not grow the lineage.
+
+MLlib draws bootstrap weights partition by partition, so the rows' layout is
+part of the model.  ``fit_forest`` lays them out by a hash of their key (or
+content) in ``partitions`` partitions, sorted: the same rows, seed and
+parameters give the same forest on any cluster.  Large inputs need more
+partitions than the default; another number gives another forest.
+
+``max_memory_mb`` bounds the per-task histogram buffer of one pass.  A smaller
+one means more passes over the data, and as MLlib draws each pass's feature
+subsets as it goes, another forest.  MLlib keeps all trees in the driver while
+it fits: a tree of depth d has at most 2**(d+1) - 1 nodes (about 2 million at
+depth 20, some hundred bytes each), whatever the rows.
 """
 
 from __future__ import annotations
@@ -22,11 +26,11 @@ from pyspark.ml.classification import (
     RandomForestClassificationModel, RandomForestClassifier,
 )
 from pyspark.ml.feature import VectorAssembler, VectorSlicer
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairgrade.operators.layout import spread
 from pairgrade.session import checkpoint_root, scratch_path
 
 # Defaults of the reference experiments.
@@ -35,6 +39,7 @@ MAX_DEPTH_CLASS = 15
 MAX_DEPTH_REG = 20
 MAX_BINS = 32
 SEED = 123
+PARTITIONS = 16
 
 ForestModel = RandomForestClassificationModel | RandomForestRegressionModel
 
@@ -64,7 +69,7 @@ def forest_estimator(kind: str, label: str = "label", features: str = "features"
                      *, num_trees: int = NUM_TREES, max_depth: int | None = None,
                      max_bins: int = MAX_BINS, impurity: str | None = None,
                      subset: str = "auto", seed: int = SEED,
-                     min_instances: int = 1, max_memory_mb: int = 1024,
+                     min_instances: int = 1, max_memory_mb: int = 256,
                      cache_node_ids: bool = True, checkpoint_interval: int = 10,
                      prediction: str = "prediction"):
     common = dict(
@@ -84,15 +89,15 @@ def forest_estimator(kind: str, label: str = "label", features: str = "features"
 
 def fit_forest(train: DataFrame, kind: str, label: str = "label",
                features: str = "features", num_classes: int | None = None,
-               min_partitions: int | None = None, partitions: int | None = None,
-               **params) -> ForestModel:
+               partitions: int = PARTITIONS, key: Sequence[str] = (), **params) -> ForestModel:
+    """Fit on the rows with a label.  ``key``: columns that tell rows apart;
+    without them the content does, and equal rows share a partition."""
     checkpoint_root(train.sparkSession)
-    data = train.select(label, features).where(F.col(label).isNotNull())
+    by = [*key, label, vector_to_array(F.col(features))]
+    data = (train.where(F.col(label).isNotNull())
+            .repartition(partitions, F.xxhash64(*by)).sortWithinPartitions(*by).select(label, features))
     if kind == "class" and num_classes is not None:
         data = with_class_count(data, label, num_classes)
-    # MLlib ships every node's histogram from every partition on each pass;
-    # ``partitions`` can force fewer, larger training partitions.
-    data = spread(data, min_partitions, partitions)
     return forest_estimator(kind, label, features, **params).fit(data)
 
 

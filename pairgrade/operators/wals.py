@@ -17,15 +17,18 @@ over *distinct* pairs.  This solver therefore
    partial aggregation, so an id holding a third of all rows is combined
    before any shuffle, and a categorical column collapses to a few pairs;
 2. salts ids with many distinct partners: their pairs are spread over
-   ``ceil(pairs / target_pairs)`` (capped) sub-groups, each producing a partial
-   normal equation, combined by a small second aggregation (one row per
-   sub-group); other ids are solved where their pairs land;
-3. per half-iteration joins the pairs with the other side's factors
-   (broadcast when the factor table's measured size is under the bound,
-   otherwise a shuffle join) and streams each sorted partition through numpy
-   in ``mapInPandas`` (one open group in memory); every
-   ``checkpoint_interval`` iterations and at the end the factors are written
-   to the shared checkpoint folder, which cuts the lineage.
+   ``ceil(pairs / target_pairs)`` sub-groups, each producing a partial normal
+   equation, combined by a small second aggregation (one row per sub-group);
+   other ids are solved where their pairs land.  The few heavy ids are
+   broadcast (their number is bounded), so no id's pairs meet in one task;
+3. keeps the pairs partitioned by (id, sub-group) of the side to be solved and
+   per half-iteration brings the other side's factors to them: broadcast when
+   the factor table's measured size is under the bound; otherwise each factor
+   is sent once to each partition that holds a partner, and joined there.
+   Sums run in order of (id, sub-group, partner), so they do not depend on the
+   order in which rows arrive; every ``checkpoint_interval`` iterations and at
+   the end the factors are written to the shared checkpoint folder, which cuts
+   the lineage.
 
 Initial user factors are derived from a hash of (seed, id, position), so they
 do not depend on partitioning.  The factors differ from MLlib's (its random
@@ -51,7 +54,8 @@ from pyspark.sql.types import (
 from pairgrade.sources.sinks import materialize
 
 TARGET_PAIRS = 200_000     # pairs per sub-group of one id before it is salted
-MAX_SALTS = 512            # sub-groups of one id at most
+PARTITION_PAIRS = 500_000  # pairs per partition of a half-iteration, about
+MAX_HEAVY_IDS = 1_000_000  # ids split into sub-groups at most (broadcast, 16 MB)
 BROADCAST_FACTORS_MB = 256
 
 FACTOR_SCHEMA = StructType([
@@ -91,16 +95,28 @@ def aggregate_pairs(df: DataFrame, user: str, item: str, rating: str) -> DataFra
               .agg(F.count(F.lit(1)).alias("c"), F.sum(F.col(rating).cast("double")).alias("s")))
 
 
-def _with_salt(pairs: DataFrame, side: str, other: str, target: int, max_salts: int) -> DataFrame:
-    """Add ``salt_<side>`` and ``groups_<side>``: ids with more than
-    ``target`` distinct partners are split into that many sub-groups by a
-    hash of the partner id."""
-    counts = pairs.groupBy(side).agg(F.count(F.lit(1)).alias("__m"))
-    groups = F.least(F.ceil(F.col("__m") / F.lit(target)), F.lit(max_salts)).cast("int")
-    counts = counts.select(side, groups.alias(f"groups_{side}"))
-    out = pairs.join(counts, side)
-    salt = F.pmod(F.xxhash64(F.col(other)), F.col(f"groups_{side}")).cast("int")
-    return out.withColumn(f"salt_{side}", salt)
+def _side_stats(pairs: DataFrame, side: str, target: int) -> tuple[int, int]:
+    """(ids of the side, least partners of a heavy id): the target, or more if
+    more than ``MAX_HEAVY_IDS`` ids would be heavy."""
+    counts = pairs.groupBy(side).agg(F.count(F.lit(1)).alias("m"))
+    steps = [target * 4 ** k for k in range(16)]
+    row = counts.agg(F.count(F.lit(1)).alias("ids"),
+                     *[F.count_if(F.col("m") > t).alias(f"t{k}") for k, t in enumerate(steps)]).first()
+    fits = next(t for k, t in enumerate(steps) if row[f"t{k}"] <= MAX_HEAVY_IDS)
+    return row["ids"], fits
+
+
+def _with_salt(pairs: DataFrame, side: str, other: str, target: int) -> DataFrame:
+    """Add ``salt_<side>`` and ``groups_<side>``: ids with more than ``target``
+    distinct partners are split into sub-groups of about that many by a hash of
+    the partner id."""
+    heavy = (pairs.groupBy(side).agg(F.count(F.lit(1)).alias("__m")).where(F.col("__m") > target)
+             .select(side, F.ceil(F.col("__m") / F.lit(target)).cast("int").alias("__groups")))
+    groups = F.coalesce("__groups", F.lit(1))
+    return (pairs.join(F.broadcast(heavy), side, "left")
+            .withColumn(f"groups_{side}", groups)
+            .withColumn(f"salt_{side}", F.pmod(F.xxhash64(F.col(other)), groups).cast("int"))
+            .drop("__groups"))
 
 
 def _gaussian(seed: int, id_col: Column, j: Column, rank: int) -> Column:
@@ -122,67 +138,96 @@ def init_factors(ids: DataFrame, rank: int, seed: int) -> DataFrame:
                .select("id", F.transform("raw", lambda x: (x / norm).cast("float")).alias("features")))
 
 
-def _normal_equations(rank: int, reg: float):
-    """mapInPandas body: rows sorted by (id, salt) -> one output row per
-    (id, salt): the solved factor when the id is not salted, otherwise its
-    partial normal equation.  Only the open group is kept in memory."""
+def _solver(rank: int, reg: float):
+    """The solved factor of an id, or the partial normal equation of one of
+    its sub-groups, as a row of ``_STEP_SCHEMA``."""
     eye = np.eye(rank)
 
-    def emit(key, ata, atb, n, salted):
-        gid, salt = key
+    def emit(gid, salt, ata, atb, n, salted):
         if salted:
             return (gid, salt, False, None, ata.ravel().tolist(), atb.tolist(), int(n))
         x = np.linalg.solve(ata + reg * n * eye, atb)
         return (gid, salt, True, x.astype(np.float32).tolist(), None, None, None)
 
+    return emit
+
+
+def _groups_of(ids: np.ndarray, salts: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Runs of equal (id, sub-group)."""
+    change = np.flatnonzero((ids[1:] != ids[:-1]) | (salts[1:] != salts[:-1])) + 1
+    return zip(np.concatenate(([0], change)), np.concatenate((change, [len(ids)])))
+
+
+def _normal_equations(rank: int, reg: float):
+    """mapInPandas body: rows sorted by (id, salt) -> one output row per
+    (id, salt).  Only the open group is kept in memory."""
+    solve = _solver(rank, reg)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key = None
         ata = atb = None
         n = 0
         salted = False
-        done: set = set()
         out: list = []
         for pdf in batches:
             if pdf.empty:
                 continue
-            ids = pdf["dst"].to_numpy()
-            salts = pdf["salt"].to_numpy()
+            ids, salts = pdf["dst"].to_numpy(), pdf["salt"].to_numpy()
             groups = pdf["groups"].to_numpy()
             c = pdf["c"].to_numpy(dtype=np.float64)
             s = pdf["s"].to_numpy(dtype=np.float64)
             f = np.stack(pdf["f"].to_numpy()).astype(np.float64)
-            change = np.flatnonzero((ids[1:] != ids[:-1]) | (salts[1:] != salts[:-1])) + 1
-            starts = np.concatenate(([0], change))
-            ends = np.concatenate((change, [len(ids)]))
-            for a, b in zip(starts, ends):
+            for a, b in _groups_of(ids, salts):
                 k = (int(ids[a]), int(salts[a]))
                 fg = f[a:b]
-                cg = c[a:b]
-                g_ata = fg.T @ (fg * cg[:, None])
+                g_ata = fg.T @ (fg * c[a:b, None])
                 g_atb = fg.T @ s[a:b]
-                g_n = cg.sum()
+                g_n = c[a:b].sum()
                 if k == key:
                     ata += g_ata
                     atb += g_atb
                     n += g_n
                     continue
                 if key is not None:
-                    out.append(emit(key, ata, atb, n, salted))
-                    done.add(key)
-                if k in done:
-                    raise RuntimeError("normal equations: input rows are not grouped by id")
+                    if k < key:
+                        raise RuntimeError("normal equations: input rows are not sorted by id")
+                    out.append(solve(*key, ata, atb, n, salted))
                 key, ata, atb, n, salted = k, g_ata, g_atb, g_n, bool(groups[a] > 1)
             if len(out) >= 1024:
                 yield pd.DataFrame(out, columns=_STEP_COLUMNS)
                 out = []
         if key is not None:
-            out.append(emit(key, ata, atb, n, salted))
+            out.append(solve(*key, ata, atb, n, salted))
         if out:
             yield pd.DataFrame(out, columns=_STEP_COLUMNS)
 
     return run
 
 
+def _routed_equations(rank: int, reg: float):
+    """cogroup body for one partition: its pairs and the factors sent to it
+    (both bounded by ``PARTITION_PAIRS``) -> one row per (id, salt)."""
+    solve = _solver(rank, reg)
+
+    def run(pairs: pd.DataFrame, factors: pd.DataFrame) -> pd.DataFrame:
+        if pairs.empty:
+            return pd.DataFrame([], columns=_STEP_COLUMNS)
+        pairs = pairs.sort_values(["dst", "salt", "src"], kind="stable")
+        factors = factors.sort_values("src", kind="stable")
+        table = np.stack(factors["f"].to_numpy()).astype(np.float64)
+        where = np.searchsorted(factors["src"].to_numpy(), pairs["src"].to_numpy())
+        c, s = pairs["c"].to_numpy(np.float64), pairs["s"].to_numpy(np.float64)
+        ids, salts, groups = (pairs[x].to_numpy() for x in ("dst", "salt", "groups"))
+        out = []
+        for a, b in _groups_of(ids, salts):
+            fg = table[where[a:b]]
+            out.append(solve(int(ids[a]), int(salts[a]), fg.T @ (fg * c[a:b, None]), fg.T @ s[a:b],
+                             c[a:b].sum(), bool(groups[a] > 1)))
+        return pd.DataFrame(out, columns=_STEP_COLUMNS)
+
+    return run
+
+
 def _combine(rank: int, reg: float):
     """applyInPandas body for one salted id: sum its partial normal
     equations (one per sub-group) and solve."""
@@ -199,26 +244,38 @@ def _combine(rank: int, reg: float):
     return run
 
 
-def _half_step(by_dst: DataFrame, pairs: DataFrame, dst: str, src: str,
-               src_factors: DataFrame, rank: int, reg: float,
-               broadcast: bool, salted: bool, write: bool) -> DataFrame:
-    """Solve the ``dst`` side given the ``src`` side's factors.
-
-    ``broadcast``: the src factor table was measured under the bound;
-    ``salted``: some dst id is split into sub-groups (needs a combine);
-    ``write``: store the factors (lineage cut) instead of chaining lazily."""
-    fsrc = src_factors.select(F.col("id").alias(src), F.col("features").alias("f"))
-    cols = [F.col(dst).alias("dst"), F.col(f"salt_{dst}").alias("salt"),
-            F.col(f"groups_{dst}").alias("groups"), "c", "s", "f"]
-    if broadcast:
-        # pairs already hash-partitioned and sorted by (dst, salt): the
-        # broadcast join keeps that order, nothing is shuffled
-        rows = by_dst.join(F.broadcast(fsrc), src).select(*cols)
+@dataclass
+class _Side:
+    """The pairs as one half-iteration needs them: those of an id (``dst``)
+    together, partners called ``src``."""
+
+    pairs: DataFrame          # part, dst, salt, groups, src, c, s; partitioned by part, sorted
+    routes: DataFrame | None  # part, src: where a partner's factor is needed (None: broadcast)
+    salted: bool
+
+
+def _side(pairs: DataFrame, dst: str, src: str, parts: int, broadcast: bool, salted: bool) -> _Side:
+    part = F.pmod(F.xxhash64(F.col(dst), F.col(f"salt_{dst}")), F.lit(parts)).cast("int")
+    own = pairs.select(part.alias("part"), F.col(dst).alias("dst"), F.col(f"salt_{dst}").alias("salt"),
+                       F.col(f"groups_{dst}").alias("groups"), F.col(src).alias("src"), "c", "s")
+    routes = None if broadcast else materialize(own.select("part", "src").distinct(), "wals-routes")
+    laid = own.repartition(parts, "part").sortWithinPartitions("dst", "salt", "src")
+    return _Side(laid.persist(), routes, salted)
+
+
+def _half_step(side: _Side, src_factors: DataFrame, rank: int, reg: float, write: bool) -> DataFrame:
+    """Solve one side given the other's factors.  ``write``: store the factors
+    (lineage cut) instead of chaining lazily."""
+    fsrc = src_factors.select(F.col("id").alias("src"), F.col("features").alias("f"))
+    if side.routes is None:
+        # the broadcast join keeps the pairs' partitioning and order
+        rows = side.pairs.join(F.broadcast(fsrc), "src").select("dst", "salt", "groups", "c", "s", "f")
+        step = rows.mapInPandas(_normal_equations(rank, reg), _STEP_SCHEMA)
     else:
-        rows = (pairs.join(fsrc, src).select(*cols)
-                     .repartition("dst", "salt").sortWithinPartitions("dst", "salt"))
-    step = rows.mapInPandas(_normal_equations(rank, reg), _STEP_SCHEMA)
-    if not salted:
+        sent = side.routes.join(fsrc, "src").select("part", "src", "f")
+        step = side.pairs.groupBy("part").cogroup(sent.groupBy("part")).applyInPandas(
+            _routed_equations(rank, reg), _STEP_SCHEMA)
+    if not side.salted:
         out = step.select("id", F.col("features").cast("array<float>").alias("features"))
     else:
         step = materialize(step, "wals-step")  # read twice below
@@ -233,7 +290,7 @@ def _half_step(by_dst: DataFrame, pairs: DataFrame, dst: str, src: str,
 def fit_pair_factors(df: DataFrame, user: str, item: str, rating: str, *,
                      rank: int = 70, max_iter: int = 10, reg_param: float = 0.01,
                      seed: int = 123, cold_start: str = "drop",
-                     target_pairs: int = TARGET_PAIRS, max_salts: int = MAX_SALTS,
+                     target_pairs: int = TARGET_PAIRS,
                      broadcast_mb: float | None = BROADCAST_FACTORS_MB,
                      checkpoint_interval: int = 10,
                      prediction: str = "prediction") -> PairFactors:
@@ -242,37 +299,30 @@ def fit_pair_factors(df: DataFrame, user: str, item: str, rating: str, *,
     Half-iterations chain lazily; every ``checkpoint_interval`` iterations
     (and at the end) both factor tables are written to the shared checkpoint
     folder, so a lost executor costs at most that many iterations."""
-    pairs = aggregate_pairs(df, user, item, rating)
-    pairs = _with_salt(pairs, "u", "i", target_pairs, max_salts)
-    pairs = _with_salt(pairs, "i", "u", target_pairs, max_salts)
-    pairs = materialize(pairs, "wals-pairs")
-    stats = pairs.agg(F.count(F.lit(1)).alias("pairs"),
-                      F.count_distinct("u").alias("users"), F.count_distinct("i").alias("items"),
-                      F.max("groups_u").alias("gu"), F.max("groups_i").alias("gi")).first()
-    if not stats["pairs"]:
+    if max_iter < 1:
+        raise ValueError("max_iter must be at least 1")
+    pairs = materialize(aggregate_pairs(df, user, item, rating), "wals-pairs")
+    total = pairs.count()
+    if not total:
         raise ValueError("no usable ratings to factorise")
-    limit = None if broadcast_mb is None else broadcast_mb * 1024 * 1024
+    users, split_u = _side_stats(pairs, "u", target_pairs)
+    items, split_i = _side_stats(pairs, "i", target_pairs)
+    pairs = _with_salt(_with_salt(pairs, "u", "i", split_u), "i", "u", split_i)
+    gu, gi = pairs.agg(F.max("groups_u"), F.max("groups_i")).first()
+    limit = -1 if broadcast_mb is None else broadcast_mb * 1024 * 1024
     row_bytes = rank * 4 + 32
-    bc_users = limit is not None and stats["users"] * row_bytes <= limit
-    bc_items = limit is not None and stats["items"] * row_bytes <= limit
-    spark = df.sparkSession
-    parts = max(spark.sparkContext.defaultParallelism, 1)
-    by_u = pairs.repartition(parts, "u", "salt_u").sortWithinPartitions("u", "salt_u").persist()
-    by_i = pairs.repartition(parts, "i", "salt_i").sortWithinPartitions("i", "salt_i").persist()
+    parts = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(total / PARTITION_PAIRS))
+    by_u = _side(pairs, "u", "i", parts, items * row_bytes <= limit, gu > 1)
+    by_i = _side(pairs, "i", "u", parts, users * row_bytes <= limit, gi > 1)
     try:
-        users = materialize(init_factors(pairs.select(F.col("u").alias("id")).distinct(),
-                                         rank, seed), "wals-init")
-        items = None
+        u = materialize(init_factors(pairs.select(F.col("u").alias("id")).distinct(), rank, seed), "wals-init")
+        i = None
         every = max(1, checkpoint_interval)
         for it in range(max_iter):
             write = (it + 1) % every == 0 or it == max_iter - 1
-            items = _half_step(by_i, pairs, "i", "u", users, rank, reg_param,
-                               bc_users, stats["gi"] > 1, write)
-            users = _half_step(by_u, pairs, "u", "i", items, rank, reg_param,
-                               bc_items, stats["gu"] > 1, write)
+            i = _half_step(by_i, u, rank, reg_param, write)
+            u = _half_step(by_u, i, rank, reg_param, write)
     finally:
-        by_u.unpersist()
-        by_i.unpersist()
-    if items is None:
-        raise ValueError("max_iter must be at least 1")
-    return PairFactors(users, items, rank, user, item, cold_start, prediction)
+        by_u.pairs.unpersist()
+        by_i.pairs.unpersist()
+    return PairFactors(u, i, rank, user, item, cold_start, prediction)

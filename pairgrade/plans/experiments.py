@@ -25,8 +25,11 @@ from pyspark.sql import functions as F
 
 from pairgrade.functions.bias import bias_adjust
 from pairgrade.functions.encode import as_id
+from pairgrade.functions.scale import minmax
 from pairgrade.functions.split import split_unit
-from pairgrade.operators.factor import SEED, fit_als, score_als
+from pairgrade.operators.factor import (
+    SEED, NoRatings, check_als_params, fit_als, no_ratings, score_als, unusable,
+)
 from pairgrade.operators.forest import assemble, fit_forest, score_forest, slice_features
 from pairgrade.operators.metrics import prediction_metrics
 from pairgrade.operators.scale import minmax_scale, minmax_unit
@@ -47,14 +50,36 @@ def _keys(key: str | Sequence[str]) -> list[str]:
 def scale_label(frame: DataFrame, scale_rating: tuple[float, float] | None,
                 label: str = "label") -> DataFrame:
     """Min-max scale the label over the whole frame (both sides of the split,
-    as the bounds are taken before splitting).  Applied to the narrow written
-    frame, the bounds read one column instead of recomputing the source."""
+    as the bounds are taken before splitting)."""
     if scale_rating is None:
         return frame
     a, b = scale_rating
     return minmax_scale(frame, label, label, a, b)
 
 
+def scale_written(frame: DataFrame, scale_rating: tuple[float, float] | None,
+                  label: str = "label") -> DataFrame:
+    """The same for a written frame that many jobs read: its bounds are taken
+    once, by one aggregate over one column, and become literals."""
+    if scale_rating is None:
+        return frame
+    low, high = frame.agg(F.min(label), F.max(label)).first()
+    a, b = scale_rating
+    lit = lambda v: F.lit(v).cast("double")
+    return frame.withColumn(label, minmax(F.col(label), lit(low), lit(high), a, b))
+
+
+def usable_counts(frame: DataFrame, user: str = "user_id", item: str = "item_id",
+                  label: str = "label") -> tuple[int, int, int]:
+    """(usable training rows, dropped training rows, dropped test rows), in one
+    aggregate: a training row needs both ids and a rating, a test row both
+    ids."""
+    train = F.col(SPLIT_COL)
+    bad, lost = unusable(user, item, label), unusable(user, item)
+    row = frame.agg(F.count_if(train & ~bad), F.count_if(train & bad), F.count_if(~train & lost)).first()
+    return tuple(row)
+
+
 def pair_frame(df: DataFrame, user: str, item: str, rating: str,
                key: str | Sequence[str], *, bias: str | None = None,
                scale_rating: tuple[float, float] | None = None, seed: int = SEED,
@@ -91,41 +116,52 @@ def pair_predictions(df: DataFrame, user: str, item: str, rating: str,
                      add_bias_columns: bool = True, **als_params):
     """Fit ALS on the training side and score the test side.
 
-    Returns ``(model, scored)``; ``scored`` has the key columns, user_id,
-    item_id, label, prediction and, with a bias column, bias_value, bias_n and
-    prediction_bias.
+    Returns ``(model, scored, dropped)``; ``scored`` has the key columns,
+    user_id, item_id, label, prediction and, with a bias column, bias_value,
+    bias_n and prediction_bias; ``dropped`` counts the training and the test
+    rows that cannot be used (null id; in training also a null or NaN rating).
 
     ``materialized``: the narrow encoded frame is written once to the shared
     checkpoint folder, so the source (scan, joins, encoding) is computed once
     for both sides instead of once per side, and a lost executor re-reads
     files instead of recomputing the source."""
+    check_als_params(**als_params)
     frame = pair_frame(df, user, item, rating, key, bias=bias, seed=seed,
                        train_fraction=train_fraction, split_method=split_method)
     if scale_rating is not None:
         frame = frame.withColumn("label", F.col("label").cast("double"))
     if materialized:
         frame = materialize(frame, "pair")
-    frame = scale_label(frame, scale_rating)
+    frame = scale_written(frame, scale_rating)
+    usable, *dropped = usable_counts(frame)
+    if not usable:
+        raise NoRatings(no_ratings(user, item, rating))
     train = frame.where(F.col(SPLIT_COL))
     test = frame.where(~F.col(SPLIT_COL)).drop(SPLIT_COL)
-    model = fit_als(train, "user_id", "item_id", "label", seed=seed, **als_params)
+    model = fit_als(train, "user_id", "item_id", "label", seed=seed, checked=True, **als_params)
     scored = score_als(model, test)
     if bias is not None and add_bias_columns:
         scored = add_bias(scored, bias_pivot, bias_cap)
-    return model, scored
+    return model, scored, tuple(dropped)
 
 
-def pair_metrics(scored: DataFrame, user: str, item: str, classify: bool = True) -> DataFrame:
+def pair_metrics(scored: DataFrame, user: str, item: str, classify: bool = True,
+                 dropped: tuple[int, int] | None = None) -> DataFrame:
+    """One row: user, item, n, n_labelled, rmse, error_fraction, n_bias,
+    rmse_bias, dropped_train, dropped_test."""
     biased = "prediction_bias" if "prediction_bias" in scored.columns else None
     m = prediction_metrics(scored, "label", "prediction", classify=classify,
                            biased_prediction=biased)
-    return m.select(F.lit(user).alias("user"), F.lit(item).alias("item"), "*")
+    train, test = dropped or (None, None)
+    return m.select(F.lit(user).alias("user"), F.lit(item).alias("item"), "*",
+                    F.lit(train).cast("bigint").alias("dropped_train"),
+                    F.lit(test).cast("bigint").alias("dropped_test"))
 
 
 def pair_experiment(df: DataFrame, user: str, item: str, rating: str,
                     key: str | Sequence[str], *, classify: bool | None = None,
                     **params) -> DataFrame:
-    """One row: user, item, n, rmse, error_fraction, rmse_bias.
+    """One row as of ``pair_metrics``.
 
     ``classify`` defaults to true for an unscaled rating (a grade) and false
     for a scaled one; ``bias=<column>`` adds the biased RMSE."""
@@ -134,11 +170,11 @@ def pair_experiment(df: DataFrame, user: str, item: str, rating: str,
     bias = params.pop("bias", None)
     pivot = params.pop("bias_pivot", BIAS_PIVOT)
     cap = params.pop("bias_cap", BIAS_CAP)
-    _, scored = pair_predictions(df, user, item, rating, key, bias=bias, bias_pivot=pivot,
-                                 bias_cap=cap, add_bias_columns=False, **params)
+    _, scored, dropped = pair_predictions(df, user, item, rating, key, bias=bias, bias_pivot=pivot,
+                                          bias_cap=cap, add_bias_columns=False, **params)
     if bias is not None:
         scored = biased_scores(scored, pivot, cap, params.get("materialized", True))
-    return pair_metrics(scored, user, item, classify)
+    return pair_metrics(scored, user, item, classify, dropped)
 
 
 def biased_scores(scored: DataFrame, pivot: float = BIAS_PIVOT, cap: float = BIAS_CAP,
@@ -202,7 +238,7 @@ def forest_predictions(df: DataFrame, label: str, features: str | Sequence[str],
     train = frame.where(F.col(SPLIT_COL))
     test = frame.where(~F.col(SPLIT_COL)).drop(SPLIT_COL)
     model = fit_forest(train, kind, "label", "features", num_classes=num_classes,
-                       seed=seed, **forest_params)
+                       seed=seed, key=_keys(key) if key is not None else (), **forest_params)
     scored = score_forest(model, test)
     keep = [c for c in test.columns] + ["prediction"]
     return model, scored.select(*keep)

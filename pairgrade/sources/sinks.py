@@ -53,11 +53,13 @@ METRIC_TABLE_HEADERS = {
 _METRIC_SOURCES = ("user", "item", "rmse", "error_fraction", "rmse_bias")
 
 
-def metric_table(sweep: DataFrame, kind: str) -> DataFrame:
+def metric_table(sweep: DataFrame, kind: str, errors: bool = True) -> DataFrame:
     """A sweep result in the layout of the published tables: ``grade``,
-    ``grade_bias`` or ``price``."""
+    ``grade_bias`` or ``price``.  ``errors`` adds the column ``Error``, which
+    tells why a pair has no metrics."""
     headers = METRIC_TABLE_HEADERS[kind]
-    return sweep.select(*[F.col(src).alias(h) for src, h in zip(_METRIC_SOURCES, headers)])
+    columns = [F.col(src).alias(h) for src, h in zip(_METRIC_SOURCES, headers)]
+    return sweep.select(*columns, *([F.col("error").alias("Error")] if errors else []))
 
 
 def preview(scored: DataFrame, order_by: Sequence[str], n: int = 25,

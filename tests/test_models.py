@@ -75,13 +75,13 @@ def test_bias_experiment_reports_unbiased_error(spark, additive):
 
 def test_bias_scale_uses_scored_rows(spark, additive):
     df = additive.withColumn("price", F.col("k") * 1.0)
-    _, scored = pair_predictions(df, "u", "i", "r", "k", rank=2, max_iter=2, bias="price")
+    _, scored, _ = pair_predictions(df, "u", "i", "r", "k", rank=2, max_iter=2, bias="price")
     r = scored.agg(F.min("bias_n"), F.max("bias_n")).first()
     assert r[0] == 0.0 and r[1] == 1.0
 
 
 def test_scaled_rating_range(spark, additive):
-    _, scored = pair_predictions(additive, "u", "i", "r", "k", rank=2, max_iter=2,
+    _, scored, _ = pair_predictions(additive, "u", "i", "r", "k", rank=2, max_iter=2,
                                  scale_rating=(1.0, 5.0))
     r = scored.agg(F.min("label"), F.max("label")).first()
     assert 1.0 <= r[0] and r[1] <= 5.0
@@ -220,7 +220,7 @@ def test_scaled_rating_bounds_read_written_frame(spark):
     from conftest import SF_SMALL
     from pairgrade.sources import tpch_items
     items = tpch_items(spark, SF_SMALL)
-    _, scored = pair_predictions(items, "kind", "size", "price", ["order_id", "line_no"],
+    _, scored, _ = pair_predictions(items, "kind", "size", "price", ["order_id", "line_no"],
                                  scale_rating=(1.0, 5.0), rank=2, max_iter=1)
     plan = scored._jdf.queryExecution().optimizedPlan().toString()
     assert "lineitem" not in plan and "orders" not in plan
@@ -235,3 +235,15 @@ def test_sweep_scaled_rating_bounds_before_split(spark, additive):
     assert (r[0], r[1]) == (1.0, 5.0)  # bounds of the whole table, both sides
     train = table.where("is_train").agg(F.min("__label"), F.max("__label")).first()
     assert 1.0 <= train[0] and train[1] <= 5.0
+
+
+def test_forest_is_the_same_on_any_layout(spark):
+    from pairgrade.operators import assemble, fit_forest, forest_nodes
+    rows = [(k, float(k % 4), float(k % 17), float(k * 7 % 23)) for k in range(600)]
+    df = spark.createDataFrame(rows, "k long, label double, f1 double, f2 double")
+    nodes = []
+    for n in (2, 8):
+        vec = assemble(df.repartition(n), ["f1", "f2"])
+        model = fit_forest(vec, "class", num_classes=4, key=["k"], num_trees=4, max_depth=4)
+        nodes.append(sorted(map(str, forest_nodes(model, spark).collect())))
+    assert nodes[0] == nodes[1]

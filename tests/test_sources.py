@@ -88,7 +88,7 @@ def test_materialize_uses_checkpoint_folder(spark):
 def test_metric_table_layouts(spark):
     from pairgrade.plans.sweep import SWEEP_SCHEMA
     from pairgrade.sources import metric_table
-    sweep = spark.createDataFrame([("carat", "color", 10, 1.0, 0.5, 1.1, None)], SWEEP_SCHEMA)
-    assert metric_table(sweep, "grade").columns == ["User", "Item", "RMSE", "ErrorPercentage"]
-    assert metric_table(sweep, "grade_bias").columns[-1] == "RMSEBias"
-    assert metric_table(sweep, "price").first().asDict() == {"User": "carat", "Item": "color", "RMSE": 1.0}
+    sweep = spark.createDataFrame([("carat", "color", 10, 10, 1.0, 0.5, 9, 1.1, 0, 0, None)], SWEEP_SCHEMA)
+    assert metric_table(sweep, "grade", errors=False).columns == ["User", "Item", "RMSE", "ErrorPercentage"]
+    assert metric_table(sweep, "grade_bias").columns[-2:] == ["RMSEBias", "Error"]
+    assert metric_table(sweep, "price", errors=False).first().asDict() == {"User": "carat", "Item": "color", "RMSE": 1.0}
