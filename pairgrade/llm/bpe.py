@@ -23,7 +23,7 @@ from itertools import chain, islice
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from pairgrade.llm.common import id_text, slices, texts_of
+from pairgrade.llm.common import id_text, kept, slices, texts_of
 
 CACHE_PIECES = 1_400_000
 MAX_STATES = 250_000
@@ -352,19 +352,6 @@ class Codec:
         return n, ids_sha.hexdigest(), decoded_sha.hexdigest()
 
 
-_CODECS: dict[tuple, Codec] = {}
-
-
-def worker_codec(rank_blob: bytes, pattern: str) -> Codec:
-    """A Python worker's codec: states and matches met in one task serve the
-    next."""
-    key = (hashlib.sha256(rank_blob).digest(), pattern)
-    if key not in _CODECS:
-        _CODECS.clear()
-        _CODECS[key] = Codec(rank_blob, pattern)
-    return _CODECS[key]
-
-
 def encode_decode(docs: DataFrame, rank_file: str, pattern: str,
                   id_col: str = "doc_id", text_col: str = "text",
                   with_ids: bool = False) -> DataFrame:
@@ -378,11 +365,14 @@ def encode_decode(docs: DataFrame, rank_file: str, pattern: str,
     other columns are ignored.
     """
     with open(rank_file, "rb") as f:
-        blob = docs.sparkSession.sparkContext.broadcast(f.read())
+        ranks = f.read()
+    blob = docs.sparkSession.sparkContext.broadcast(ranks)
+    name = f"codec {hashlib.sha256(ranks).hexdigest()} {pattern}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = worker_codec(blob.value, pattern)
-        for part in slices(batches):
+        # states and matches met in one task serve the worker's next
+        codec = kept(name, lambda: Codec(blob.value, pattern))
+        for part in slices(batches, keep=name):
             texts = texts_of(part)
             gc.disable()  # the memory of matches and states is large and holds no garbage
             try:

@@ -7,7 +7,8 @@ rows a partition holds.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -47,10 +48,31 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, at - at[0]
 
 
+_KEPT: dict[str, object] = {}
+
+
+def kept(name: str, make: Callable[[], object]) -> object:
+    """What a Python worker keeps from one task to the next: one object, until
+    a task asks for another or (see ``slices``) does not name it."""
+    if name not in _KEPT:
+        _release()
+        _KEPT[name] = make()
+    return _KEPT[name]
+
+
+def _release() -> None:
+    if _KEPT:
+        _KEPT.clear()
+        gc.collect()
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text",
-           max_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+           max_bytes: int = SLICE_BYTES, keep: str = "") -> Iterator[pa.RecordBatch]:
     """The batches, cut so that a slice holds about ``max_bytes`` of text (one
-    row at least, and a row is never divided)."""
+    row at least, and a row is never divided).  What earlier tasks left in the
+    worker is released, but for the object named ``keep``."""
+    if keep not in _KEPT:
+        _release()
     for batch in batches:
         if not batch.num_rows:
             continue

@@ -158,7 +158,7 @@ def _groups(lines: list[str], chars: int = 2 << 20) -> Iterator[tuple[int, list[
 # ---------------------------------------------------------------------------
 # The passes
 # ---------------------------------------------------------------------------
-FLUSH_CHARS = 32 << 20
+FLUSH_CHARS = 16 << 20
 _ROWS = ("kind string, key bigint, h1 bigint, h2 bigint, indexed boolean, "
          "doc_id bigint, mark bigint, line int, text string")
 _TYPES = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(),
@@ -303,7 +303,7 @@ def covered_lines(own: DataFrame, distance: int = DISTANCE, least: int = MIN_CHA
         raise ValueError("lines must be longer than twice the distance")
     if sketch_bits is None:
         size = own.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first().bytes
-        sketch_bits = cell_bits(size // 16, 8)
+        sketch_bits = cell_bits(size // 16)
     shared = materialize(shared_lines(own, distance, least, sketch_bits), "shared-lines")
     place = F.struct("doc_id", "mark", "line")
     equal = (shared.where("kind = 'line'")

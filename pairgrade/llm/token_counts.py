@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairgrade.llm.common import id_text, slices, text_buffers, texts_of
+from pairgrade.llm.common import id_text, kept, slices, text_buffers, texts_of
 
 BATCH_BYTES = 256 << 10
 PIECE_CHARS = 1 << 20
@@ -88,18 +88,6 @@ class WordCounter:
             out[i] += sum(map(get, ws))
 
 
-_COUNTERS: dict[bytes, WordCounter] = {}
-
-
-def worker_counter(tokenizer_json: bytes) -> WordCounter:
-    """A Python worker's counter: words met in one task serve the next."""
-    key = hashlib.sha256(tokenizer_json).digest()
-    if key not in _COUNTERS:
-        _COUNTERS.clear()
-        _COUNTERS[key] = WordCounter(tokenizer_json)
-    return _COUNTERS[key]
-
-
 def token_counts(docs: DataFrame, tokenizer_file: str, limit: int = 2048,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_bytes, n_tokens, over_limit), one row per input row.
@@ -112,11 +100,14 @@ def token_counts(docs: DataFrame, tokenizer_file: str, limit: int = 2048,
     give repeated rows; other columns are ignored.
     """
     with open(tokenizer_file, "rb") as f:
-        blob = docs.sparkSession.sparkContext.broadcast(f.read())
+        vocabulary = f.read()
+    blob = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    name = f"counter {hashlib.sha256(vocabulary).hexdigest()}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = worker_counter(blob.value)
-        for part in slices(batches):
+        # words met in one task serve the worker's next
+        counter = kept(name, lambda: WordCounter(blob.value))
+        for part in slices(batches, keep=name):
             _, at = text_buffers(part.column(1))
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array(np.diff(at), pa.int64()),
