@@ -166,7 +166,7 @@ class Words:
         pad = np.concatenate([self.raw, np.zeros(8, np.uint8)])
         view = np.lib.stride_tricks.as_strided(
             pad[:8].view(np.uint64), (max(len(self.raw), 1),), (1,))
-        h = mix(size.astype(np.uint64) + np.uint64(seed) * _M2)
+        h = mix(size.astype(np.uint64) + np.uint64(seed * int(_M2) % (1 << 64)))
         todo, step = np.arange(len(size)), 0
         while len(todo):
             left = size[todo] - step

@@ -12,6 +12,7 @@ from pairgrade.llm.decontaminate import contamination
 from pairgrade.llm.fingerprints import document_fingerprints
 from pairgrade.llm.lines import dedup_lines
 from pairgrade.llm.near_dedup import near_duplicates
+from pairgrade.llm.oracle import DECONTAMINATE, SUBSTRING
 from pairgrade.llm.quality import score_texts, train
 from pairgrade.llm.quotes import SQL as QUOTES_SQL
 from pairgrade.llm.quotes import linked_conversations
@@ -78,4 +79,8 @@ QUERIES = {
     "op10_substring": op10_substring,
 }
 
-ORACLE_SQL: dict[str, str] = {"op9_quotes": QUOTES_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op1_decontaminate": DECONTAMINATE,
+    "op9_quotes": QUOTES_SQL,
+    "op10_substring": SUBSTRING,
+}
