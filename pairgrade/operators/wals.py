@@ -51,7 +51,7 @@ from pyspark.sql.types import (
     StructField, StructType,
 )
 
-from pairgrade.sources.sinks import materialize
+from pairgrade.sources.sinks import Scratch, materialize
 
 TARGET_PAIRS = 200_000     # pairs per sub-group of one id before it is salted
 PARTITION_PAIRS = 500_000  # pairs per partition of a half-iteration, about
@@ -254,18 +254,19 @@ class _Side:
     salted: bool
 
 
-def _side(pairs: DataFrame, dst: str, src: str, parts: int, broadcast: bool, salted: bool) -> _Side:
+def _side(pairs: DataFrame, dst: str, src: str, parts: int, broadcast: bool, salted: bool,
+          scratch: Scratch) -> _Side:
     part = F.pmod(F.xxhash64(F.col(dst), F.col(f"salt_{dst}")), F.lit(parts)).cast("int")
     own = pairs.select(part.alias("part"), F.col(dst).alias("dst"), F.col(f"salt_{dst}").alias("salt"),
                        F.col(f"groups_{dst}").alias("groups"), F.col(src).alias("src"), "c", "s")
-    routes = None if broadcast else materialize(own.select("part", "src").distinct(), "wals-routes")
+    routes = None if broadcast else scratch.write(own.select("part", "src").distinct(), "wals-routes")
     laid = own.repartition(parts, "part").sortWithinPartitions("dst", "salt", "src")
     return _Side(laid.persist(), routes, salted)
 
 
-def _half_step(side: _Side, src_factors: DataFrame, rank: int, reg: float, write: bool) -> DataFrame:
-    """Solve one side given the other's factors.  ``write``: store the factors
-    (lineage cut) instead of chaining lazily."""
+def _half_step(side: _Side, src_factors: DataFrame, rank: int, reg: float, scratch: Scratch,
+               ) -> DataFrame:
+    """Solve one side given the other's factors."""
     fsrc = src_factors.select(F.col("id").alias("src"), F.col("features").alias("f"))
     if side.routes is None:
         # the broadcast join keeps the pairs' partitioning and order
@@ -278,13 +279,13 @@ def _half_step(side: _Side, src_factors: DataFrame, rank: int, reg: float, write
     if not side.salted:
         out = step.select("id", F.col("features").cast("array<float>").alias("features"))
     else:
-        step = materialize(step, "wals-step")  # read twice below
+        step = scratch.write(step, "wals-step")  # read twice below
         solved = step.where("final").select(
             "id", F.col("features").cast("array<float>").alias("features"))
         combined = step.where("not final").groupBy("id").applyInPandas(
             _combine(rank, reg), FACTOR_SCHEMA)
         out = solved.unionByName(combined)
-    return materialize(out, "wals-factors") if write else out
+    return out
 
 
 def fit_pair_factors(df: DataFrame, user: str, item: str, rating: str, *,
@@ -301,28 +302,36 @@ def fit_pair_factors(df: DataFrame, user: str, item: str, rating: str, *,
     folder, so a lost executor costs at most that many iterations."""
     if max_iter < 1:
         raise ValueError("max_iter must be at least 1")
-    pairs = materialize(aggregate_pairs(df, user, item, rating), "wals-pairs")
-    total = pairs.count()
-    if not total:
-        raise ValueError("no usable ratings to factorise")
-    users, split_u = _side_stats(pairs, "u", target_pairs)
-    items, split_i = _side_stats(pairs, "i", target_pairs)
-    pairs = _with_salt(_with_salt(pairs, "u", "i", split_u), "i", "u", split_i)
-    gu, gi = pairs.agg(F.max("groups_u"), F.max("groups_i")).first()
-    limit = -1 if broadcast_mb is None else broadcast_mb * 1024 * 1024
-    row_bytes = rank * 4 + 32
-    parts = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(total / PARTITION_PAIRS))
-    by_u = _side(pairs, "u", "i", parts, items * row_bytes <= limit, gu > 1)
-    by_i = _side(pairs, "i", "u", parts, users * row_bytes <= limit, gi > 1)
-    try:
-        u = materialize(init_factors(pairs.select(F.col("u").alias("id")).distinct(), rank, seed), "wals-init")
-        i = None
-        every = max(1, checkpoint_interval)
-        for it in range(max_iter):
-            write = (it + 1) % every == 0 or it == max_iter - 1
-            i = _half_step(by_i, u, rank, reg_param, write)
-            u = _half_step(by_u, i, rank, reg_param, write)
-    finally:
-        by_u.pairs.unpersist()
-        by_i.pairs.unpersist()
+    spark = df.sparkSession
+    with Scratch(spark) as scratch:
+        pairs = scratch.write(aggregate_pairs(df, user, item, rating), "wals-pairs")
+        total = pairs.count()
+        if not total:
+            raise ValueError("no usable ratings to factorise")
+        users, split_u = _side_stats(pairs, "u", target_pairs)
+        items, split_i = _side_stats(pairs, "i", target_pairs)
+        pairs = _with_salt(_with_salt(pairs, "u", "i", split_u), "i", "u", split_i)
+        gu, gi = pairs.agg(F.max("groups_u"), F.max("groups_i")).first()
+        limit = -1 if broadcast_mb is None else broadcast_mb * 1024 * 1024
+        row_bytes = rank * 4 + 32
+        parts = max(spark.sparkContext.defaultParallelism, math.ceil(total / PARTITION_PAIRS))
+        by_u = _side(pairs, "u", "i", parts, items * row_bytes <= limit, gu > 1, scratch)
+        by_i = _side(pairs, "i", "u", parts, users * row_bytes <= limit, gi > 1, scratch)
+        try:
+            u = scratch.write(init_factors(pairs.select(F.col("u").alias("id")).distinct(), rank, seed), "wals-init")
+            every = max(1, checkpoint_interval)
+            for it in range(1, max_iter + 1):
+                i = _half_step(by_i, u, rank, reg_param, scratch)
+                if it == max_iter:
+                    i = materialize(i, "wals-factors")
+                elif it % every == 0:
+                    i = scratch.write(i, "wals-factors")
+                u = _half_step(by_u, i, rank, reg_param, scratch)
+                if it == max_iter:
+                    u = materialize(u, "wals-factors")
+                elif it % every == 0:
+                    u = scratch.write(u, "wals-factors")
+        finally:
+            by_u.pairs.unpersist()
+            by_i.pairs.unpersist()
     return PairFactors(u, i, rank, user, item, cold_start, prediction)

@@ -33,7 +33,7 @@ from pairgrade.operators.factor import (
 from pairgrade.operators.forest import assemble, fit_forest, score_forest, slice_features
 from pairgrade.operators.metrics import prediction_metrics
 from pairgrade.operators.scale import minmax_scale, minmax_unit
-from pairgrade.sources.sinks import materialize
+from pairgrade.sources.sinks import Scratch, materialize
 
 TRAIN_FRACTION = 0.7
 SCALE_RANGE = (1.0, 5.0)
@@ -178,14 +178,15 @@ def pair_experiment(df: DataFrame, user: str, item: str, rating: str,
 
 
 def biased_scores(scored: DataFrame, pivot: float = BIAS_PIVOT, cap: float = BIAS_CAP,
-                  materialized: bool = True) -> DataFrame:
+                  materialized: bool = True, scratch: Scratch | None = None) -> DataFrame:
     """The biased prediction needs min/max over the scored rows, i.e. a second
     pass over them.  Scoring (two factor joins) runs once: its narrow output
     (label, prediction, bias value) is written to the shared checkpoint
-    folder, then both the bounds and the metrics read that table."""
+    folder (into ``scratch``, if its owner has no further use for it), then both
+    the bounds and the metrics read that table."""
     narrow = scored.select("label", "prediction", "bias_value")
     if materialized:
-        narrow = materialize(narrow, "scored")
+        narrow = (scratch.write if scratch else materialize)(narrow, "scored")
     return add_bias(narrow, pivot, cap)
 
 

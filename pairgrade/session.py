@@ -15,7 +15,7 @@ from pyspark.sql import SparkSession
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
-                  app_name: str = "pairgrade", driver_memory: str = "16g",
+                  app_name: str = "pairgrade", driver_memory: str = "8g",
                   **conf: str) -> SparkSession:
     """A session for local runs and tests.  ``driver_memory`` only matters in
     local mode (the driver JVM is the executor) and only before the JVM
@@ -63,6 +63,9 @@ def checkpoint_root(spark: SparkSession) -> str:
                 "spark.checkpoint.dir is not set; a cluster run needs a shared "
                 "folder for checkpoints and materialised tables")
         configured = tempfile.mkdtemp(prefix="pairgrade-ckpt-")
+    elif not _is_local(spark) and configured.startswith("file:"):
+        raise RuntimeError(f"spark.checkpoint.dir is {configured}, a folder of one machine; "
+                           "a cluster run needs one that all share")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairgrade.session import scratch_path
@@ -23,6 +23,33 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.parquet(path)
 
 
+class Scratch:
+    """Tables of one computation under the shared folder, removed when it is
+    done (``with Scratch(spark) as scratch``).  Only what nothing returned
+    reads any more belongs here."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def write(self, df: DataFrame, name: str = "table") -> DataFrame:
+        """``materialize``, to be removed."""
+        path = scratch_path(self.spark, name)
+        self.paths.append(path)
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        for path in self.paths:
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(conf).delete(at, True)
+        self.paths.clear()
+
+
 def write_predictions(scored: DataFrame, path: str,
                       columns: Sequence[str] = ("label", "features", "prediction"),
                       mode: str = "overwrite") -> None:

@@ -162,3 +162,15 @@ def test_failed_pair_keeps_its_whole_message_and_all_failed_raises(spark, hot):
     assert table["u", "empty"].Error == rows["u", "empty"].error and table["u", "i"].Error is None
     with pytest.raises(RuntimeError, match="every pair"):
         pair_sweep(df, ["u", "empty"], "r", "k", rank=2, max_iter=1)
+
+
+def test_a_sweep_leaves_only_what_is_still_read(spark, hot):
+    import os
+    from pairgrade.plans import pair_sweep
+    from pairgrade.session import checkpoint_root
+    at = checkpoint_root(spark).removeprefix("file:") + "/pairgrade"
+    at = "/" + at.lstrip("/")
+    before = set(os.listdir(at)) if os.path.isdir(at) else set()
+    pair_sweep(hot, ["u", "i"], "r", "k", bias="r", classify=False, rank=2, max_iter=2)
+    left = sorted(name.rsplit("-", 1)[0] for name in set(os.listdir(at)) - before)
+    assert left == ["sweep"] + ["wals-factors"] * 4  # the table and two factor tables a pair
