@@ -24,6 +24,7 @@ from pyspark.sql.types import (
 )
 
 from pairgrade.functions import bias_adjust, fixed_point, ordinal, round_class, typed
+from pairgrade.functions.encode import CLARITY_LEVELS, COLOR_LEVELS, CUT_LEVELS
 from pairgrade.operators import (
     assemble, factor_ids, fit_als, forest_nodes, minmax_bounds, minmax_scale,
     minmax_unit, prediction_metrics, with_split,
@@ -409,13 +410,13 @@ def _diamond_text(spark, sf_dir):
     j = li.join(part, li.l_partkey == part.p_partkey)
     s = lambda c: c.cast("string")
     cut = F.element_at(F.array(*[F.lit(v) for v in
-                                 ["Fair", "Good", "Very Good", "Premium", "Ideal", "Poor"]]),
+                                 [*CUT_LEVELS, "Poor"]]),
                        ordinal("p_type", ["SMALL", "MEDIUM", "LARGE", "STANDARD", "ECONOMY"],
                                default=6))
-    color = F.element_at(F.array(*[F.lit(v) for v in ["J", "I", "H", "G", "F", "E", "D", "Z"]]),
+    color = F.element_at(F.array(*[F.lit(v) for v in [*COLOR_LEVELS, "Z"]]),
                          ((F.col("l_linenumber") + F.col("p_size")) % 8 + 1).cast("int"))
     clarity = F.element_at(F.array(*[F.lit(v) for v in
-                                     ["I1", "SI2", "SI1", "VS2", "VS1", "VVS2", "VVS1", "IF", "XX"]]),
+                                     [*CLARITY_LEVELS, "XX"]]),
                            ((F.col("p_size") - 1) % 9 + 1).cast("int"))
     price = F.when((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F"), F.lit("n/a")
                    ).otherwise(s(F.round("l_extendedprice").cast("bigint")))
@@ -721,12 +722,15 @@ _DIAMOND = """j AS (
   SELECT l.*, p.p_type, p.p_size, p.p_retailprice
   FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey)"""
 
-_DIAMOND_ITEMS = f"""{_DIAMOND},
-d AS (
-  SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS id,
+def _picked(levels, extra: str, place: str) -> str:
+    """The level at a place of a list, or its ordinal code."""
+    return _case(f"({[*levels, extra]}[{place}])", list(levels))
+
+
+_DIAMOND_SELECT = f"""
     TRY_CAST(round(l_discount * 10 * 100) AS INTEGER) AS carat,
-    {_case("(['J','I','H','G','F','E','D','Z'][((l_linenumber + p_size) % 8) + 1])", ['J', 'I', 'H', 'G', 'F', 'E', 'D'])} AS color,
-    {_case("(['I1','SI2','SI1','VS2','VS1','VVS2','VVS1','IF','XX'][((p_size - 1) % 9) + 1])", ['I1', 'SI2', 'SI1', 'VS2', 'VS1', 'VVS2', 'VVS1', 'IF'])} AS clarity,
+    {_picked(COLOR_LEVELS, 'Z', '((l_linenumber + p_size) % 8) + 1')} AS color,
+    {_picked(CLARITY_LEVELS, 'XX', '((p_size - 1) % 9) + 1')} AS clarity,
     TRY_CAST(round((l_quantity + 40) * 10) AS INTEGER) AS depth,
     TRY_CAST(round((l_tax * 100 + 50) * 10) AS INTEGER) AS "table",
     CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN NULL
@@ -734,7 +738,11 @@ d AS (
     TRY_CAST(round(p_retailprice / 100 * 100) AS INTEGER) AS x,
     TRY_CAST(round(l_quantity / 10 * 100) AS INTEGER) AS y,
     TRY_CAST(round(p_size / 10 * 100) AS INTEGER) AS z,
-    {_case('p_type', ['SMALL', 'MEDIUM', 'LARGE', 'STANDARD', 'ECONOMY'])} AS cut
+    {_case('p_type', ['SMALL', 'MEDIUM', 'LARGE', 'STANDARD', 'ECONOMY'])} AS cut"""
+
+_DIAMOND_ITEMS = f"""{_DIAMOND},
+d AS (
+  SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS id,{_DIAMOND_SELECT}
   FROM j),
 dsplit AS (
   SELECT *, (CAST('0x' || substr(md5(concat_ws('|', '123', id)), 1, 8) AS BIGINT) / 4294967296.0) < 0.7 AS is_train
@@ -863,21 +871,7 @@ ORDER BY order_id, line_no, label LIMIT 25""",
     "sweep_grade": _sweep_sql(SWEEP_GRADE_COLS, "n"),
     "sweep_grade_bias": _sweep_sql(SWEEP_GRADE_COLS, "n", "n_bias"),
     "sweep_price": _sweep_sql(SWEEP_PRICE_COLS, "n", rating="price"),
-    "csv_items_encode": f"""
-WITH {_DIAMOND}
-SELECT
-  TRY_CAST(round(l_discount * 10 * 100) AS INTEGER) AS carat,
-  {_case("(['J','I','H','G','F','E','D','Z'][((l_linenumber + p_size) % 8) + 1])", ['J', 'I', 'H', 'G', 'F', 'E', 'D'])} AS color,
-  {_case("(['I1','SI2','SI1','VS2','VS1','VVS2','VVS1','IF','XX'][((p_size - 1) % 9) + 1])", ['I1', 'SI2', 'SI1', 'VS2', 'VS1', 'VVS2', 'VVS1', 'IF'])} AS clarity,
-  TRY_CAST(round((l_quantity + 40) * 10) AS INTEGER) AS depth,
-  TRY_CAST(round((l_tax * 100 + 50) * 10) AS INTEGER) AS "table",
-  CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN NULL
-       ELSE CAST(round(l_extendedprice) AS INTEGER) END AS price,
-  TRY_CAST(round(p_retailprice / 100 * 100) AS INTEGER) AS x,
-  TRY_CAST(round(l_quantity / 10 * 100) AS INTEGER) AS y,
-  TRY_CAST(round(p_size / 10 * 100) AS INTEGER) AS z,
-  {_case('p_type', ['SMALL', 'MEDIUM', 'LARGE', 'STANDARD', 'ECONOMY'])} AS cut
-FROM j""",
+    "csv_items_encode": f"WITH {_DIAMOND}\nSELECT {_DIAMOND_SELECT}\nFROM j",
     "csv_pair_grade": f"WITH {_DIAMOND_ITEMS}\n" + _counts_sql(
         'depth', 'table', 'n', 'n_labelled', 'n_bias', 'dropped_train', 'dropped_test', base='dsplit', rating='cut'),
     "csv_sweep_grade": _diamond_sweep_sql(DIAMOND_COLS, "cut"),

@@ -19,6 +19,6 @@ def bias_adjust(prediction: Column, n: Column, pivot: float = 0.5,
     """
     return (
         F.when(n < F.lit(pivot), prediction - n)
-        .when((n >= F.lit(pivot)) & (prediction + n > F.lit(cap)), F.lit(float(cap)))
+        .when(prediction + n > F.lit(cap), F.lit(float(cap)))
         .otherwise(prediction + n)
     )
