@@ -30,6 +30,7 @@ KINDS = ("assign", "access", "hex", "novel")
 SENSITIVE = re.compile(rb"(?<![A-Za-z])(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access|private|"
                        rb"credentials?|auth(?:orization)?|bearer|signature|licen[cs]e[_-]?key)(?![a-z])", re.IGNORECASE)
 CANDIDATE = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
+INNER = re.compile(rb"(?<!=)=++(?=.)")  # not at the end
 
 #: Identifiers and words that code and prose are made of.
 IDENTIFIERS = (
@@ -83,18 +84,32 @@ def runs(raw: np.ndarray, at: np.ndarray, inside: str, least: int) -> list[list[
     return out
 
 
+def values(raw: bytes, start: int, end: int, least: int) -> list[tuple[int, int]]:
+    """The parts of a candidate between its equals signs (those at its end are
+    padding and stay) that have ``least`` bytes."""
+    edges = [start, *(x for m in INNER.finditer(raw, start, end) for x in m.span()), end]
+    parts = [(s, e) for s, e in zip(edges[::2], edges[1::2]) if e - s >= least]
+    return parts if len(edges) > 2 else []
+
+
 def novel_spans(raw: bytes, candidates: list[tuple[int, int]], known: list[tuple[int, int, int]],
-                novelty: Novelty, threshold: float, reach: int) -> list[tuple[int, int, int]]:
+                novelty: Novelty, threshold: float, reach: int, least: int = 16) -> list[tuple[int, int, int]]:
     """The candidates outside all base spans that follow a sensitive word
-    within ``reach`` bytes and cost ``threshold`` bytes a byte at least."""
-    found = []
+    within ``reach`` bytes and cost ``threshold`` bytes a byte at least.  Of a
+    candidate that does not, the parts between equals signs (``values``) that
+    do: there the word may stand in the candidate itself."""
+    def found(start: int, end: int) -> bool:
+        return (not any(s < end and start < e for s, _, e in known)
+                and SENSITIVE.search(raw, max(0, start - reach), start) is not None
+                and novelty.measure(raw, start, end) >= threshold)
+
+    out = []
     for start, end in candidates:
-        if any(s < end and start < e for s, _, e in known):
-            continue
-        if (SENSITIVE.search(raw, max(0, start - reach), start)
-                and novelty.measure(raw, start, end) >= threshold):
-            found.append((start, 3, end))
-    return found
+        if found(start, end):
+            out.append((start, 3, end))
+        else:
+            out += [(s, 3, e) for s, e in values(raw, start, end, least) if found(s, e)]
+    return out
 
 
 def secret_spans(docs: DataFrame, threshold: float = 0.9, least: int = 16, reach: int = 48,
@@ -120,7 +135,7 @@ def secret_spans(docs: DataFrame, threshold: float = 0.9, least: int = 16, reach
                 own = raw[at[i]:at[i + 1]]
                 text = own.tobytes()
                 base = sorted(base_spans(text) + [(s, 2, e) for s, e in all_hex[i]])
-                new = novel_spans(text, strings[i], base, novelty, threshold, reach)
+                new = novel_spans(text, strings[i], base, novelty, threshold, reach, least)
                 chars = np.concatenate([[0], np.cumsum((own & 0xC0) != 0x80)]) if base or new else None
                 told = [[f"{KINDS[k]}:{chars[s]}:{chars[e]}" for s, k, e in some]
                         for some in (base, sorted(base + new))]
