@@ -45,20 +45,34 @@ IDENTIFIERS = (
 ).encode()
 
 
+#: Bytes measured at once at most.
+PIECE = 63
+
+
 class Novelty:
     """Marginal compressed bytes of a candidate, per byte of it."""
 
-    def __init__(self, dictionary: bytes = IDENTIFIERS, around: int = 256, level: int = 6):
-        self.dictionary, self.around, self.level = dictionary, around, level
+    def __init__(self, dictionary: bytes = IDENTIFIERS, around: int = 256, level: int = 6,
+                 back: int = 1024):
+        self.dictionary, self.around, self.level, self.back = dictionary, around, level, back
 
     def measure(self, raw: bytes, start: int, end: int) -> float:
+        """A long candidate is measured in even pieces, each after what stands
+        before it: from 64 literals zstandard codes them by their frequency, and
+        a random key of few different characters would seem known."""
         import zstandard
 
         beside = raw[max(0, start - self.around):start] + b"\n" + raw[end:end + self.around]
-        primed = zstandard.ZstdCompressionDict(self.dictionary + b"\n" + beside,
-                                               dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        frame = zstandard.ZstdCompressor(level=self.level, dict_data=primed, write_content_size=False)
-        return (len(frame.compress(raw[start:end])) - len(frame.compress(b""))) / (end - start)
+        n = -(-(end - start) // PIECE)
+        edges = [start + (end - start) * i // n for i in range(n + 1)]
+        cost = 0
+        for lo, hi in zip(edges, edges[1:]):
+            primed = zstandard.ZstdCompressionDict(
+                self.dictionary + b"\n" + beside + raw[max(start, lo - self.back):lo],
+                dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            frame = zstandard.ZstdCompressor(level=self.level, dict_data=primed, write_content_size=False)
+            cost += len(frame.compress(raw[lo:hi])) - len(frame.compress(b""))
+        return cost / (end - start)
 
 
 def base_spans(raw: bytes) -> list[tuple[int, int, int]]:
@@ -97,9 +111,15 @@ def novel_spans(raw: bytes, candidates: list[tuple[int, int]], known: list[tuple
     """The candidates outside all base spans that follow a sensitive word
     within ``reach`` bytes and cost ``threshold`` bytes a byte at least.  Of a
     candidate that does not, the parts between equals signs (``values``) that
-    do: there the word may stand in the candidate itself."""
+    do: there the word may stand in the candidate itself.  Runs of hexadecimal
+    digits that leave ``least`` bytes of a candidate do not tell it: a long key
+    is likely to hold some."""
+    def told(start: int, end: int) -> bool:
+        inside = [(k, min(e, end) - max(s, start)) for s, k, e in known if s < end and start < e]
+        return any(k != 2 for k, _ in inside) or bool(inside) and end - start - sum(n for _, n in inside) < least
+
     def found(start: int, end: int) -> bool:
-        return (not any(s < end and start < e for s, _, e in known)
+        return (not told(start, end)
                 and SENSITIVE.search(raw, max(0, start - reach), start) is not None
                 and novelty.measure(raw, start, end) >= threshold)
 

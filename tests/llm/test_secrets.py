@@ -28,3 +28,14 @@ def test_unspaced_assignments(docs):
         [[k + "==" * f.endswith("==")] for f, k in zip(forms, keys)]
     assert found(docs, ["plain=" + keys[0], "private_key=default_value_here", "access=" + "=" * 40]) == [[], [], []]
     assert not list(INNER.finditer(b"=" * 1_000_000))
+
+
+def test_long_keys_of_any_alphabet(docs):
+    rng = random.Random(5)
+    keys = [key(rng, n, of) for of in ("0123456789ABCDEF", string.ascii_uppercase + "234567", BASE64)
+            for n in (20, 63, 64, 96, 128, 256, 342, 512)]
+    assert found(docs, [f"the private key {k} is here" for k in keys]) == [[k] for k in keys]
+    known = ["configuration_default_value/" * 12, "ab" * 200, "-" * 300]
+    assert found(docs, [f"the private key {k} is here" for k in known]) == [[], [], []]
+    held = key(rng, 30) + "0123456789012345" + key(rng, 30)  # a base span within
+    assert found(docs, ["the private key " + held, "the private key 0123456789abcdef0123."]) == [[held], []]
