@@ -30,6 +30,7 @@ KINDS = ("assign", "access", "hex", "novel")
 SENSITIVE = re.compile(rb"(?<![A-Za-z])(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access|private|"
                        rb"credentials?|auth(?:orization)?|bearer|signature|licen[cs]e[_-]?key)(?![a-z])", re.IGNORECASE)
 CANDIDATE = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
+ENDS = b"+/_.=-"
 INNER = re.compile(rb"(?<!=)=++(?=.)")  # not at the end
 
 #: Identifiers and words that code and prose are made of.
@@ -75,6 +76,17 @@ class Novelty:
         return cost / (end - start)
 
 
+    def alone(self, raw: bytes, start: int, end: int) -> float:
+        """The same when other places of the candidate in the bytes around it
+        are blank: a secret that stands twice isn't known by its copy."""
+        own = raw[start:end]
+        core = own.strip(ENDS) or own
+        lo, wide = max(0, start - self.around), len(own)
+        before = raw[max(0, lo - wide):start].replace(core, b"\n" * len(core))[-self.around:]
+        after = raw[end:end + self.around + wide].replace(core, b"\n" * len(core))[:self.around]
+        return self.measure(before + own + after, len(before), len(before) + wide)
+
+
 def base_spans(raw: bytes) -> list[tuple[int, int, int]]:
     """(start, place of the kind in KINDS, end) of the first two base patterns,
     in bytes; for the third see ``runs``."""
@@ -121,7 +133,7 @@ def novel_spans(raw: bytes, candidates: list[tuple[int, int]], known: list[tuple
     def found(start: int, end: int) -> bool:
         return (not told(start, end)
                 and SENSITIVE.search(raw, max(0, start - reach), start) is not None
-                and novelty.measure(raw, start, end) >= threshold)
+                and novelty.alone(raw, start, end) >= threshold)
 
     out = []
     for start, end in candidates:

@@ -39,3 +39,11 @@ def test_long_keys_of_any_alphabet(docs):
     assert found(docs, [f"the private key {k} is here" for k in known]) == [[], [], []]
     held = key(rng, 30) + "0123456789012345" + key(rng, 30)  # a base span within
     assert found(docs, ["the private key " + held, "the private key 0123456789abcdef0123."]) == [[held], []]
+
+
+def test_a_key_that_stands_twice(docs):
+    rng = random.Random(8)
+    a, b, c, d = key(rng, 24), key(rng, 24), key(rng, 100), key(rng, 24)
+    texts = [f"enter the access key {a} and the access key {a} again", f"access: {b}\n# access: {b}.\naccess={b}",
+             f"the private key {c}, the private key {c}", f"access {d}" + " " * 235 + f"access {d}"]
+    assert found(docs, texts) == [[a, a], [b, b + ".", b], [c, c], [d, d]]
