@@ -8,8 +8,8 @@ folder so deep trees (15-20 levels) do not grow the lineage.
 MLlib draws bootstrap weights partition by partition, so the rows' layout is
 part of the model.  ``fit_forest`` lays them out by a hash of their key (or
 content) in ``partitions`` partitions, sorted: the same rows, seed and
-parameters give the same forest on any cluster.  Large inputs need more
-partitions than the default; another number gives another forest.
+parameters give the same forest on any cluster.  Their number follows the
+number of rows unless it is given; another number gives another forest.
 
 ``max_memory_mb`` bounds the per-task histogram buffer of one pass.  A smaller
 one means more passes over the data, and as MLlib draws each pass's feature
@@ -39,7 +39,11 @@ MAX_DEPTH_CLASS = 15
 MAX_DEPTH_REG = 20
 MAX_BINS = 32
 SEED = 123
+#: The least number of partitions, and the rows that one has on average.
 PARTITIONS = 16
+PARTITION_ROWS = 1 << 17
+#: Equal rows that stay together.
+COPIES = 1000
 
 ForestModel = RandomForestClassificationModel | RandomForestRegressionModel
 
@@ -87,15 +91,38 @@ def forest_estimator(kind: str, label: str = "label", features: str = "features"
     raise ValueError(f"kind must be 'class' or 'reg', not {kind!r}")
 
 
+def laid_out(train: DataFrame, label: str = "label", features: str = "features",
+             partitions: int | None = None, key: Sequence[str] = ()) -> DataFrame:
+    """(label, features) of the rows with a label, in a layout that only the
+    rows decide.  Without a ``key`` equal rows are counted and dealt out in
+    lots, so content that very many rows share is spread."""
+    data = train.where(F.col(label).isNotNull())
+    if partitions is None:
+        partitions = max(PARTITIONS, -(-data.count() // PARTITION_ROWS))
+    by = [*key, label, vector_to_array(F.col(features))]
+    if key:
+        return (data.repartition(partitions, F.xxhash64(*by)).sortWithinPartitions(*by)
+                .select(label, features))
+    lots = F.least(F.ceil(F.col("__n") / COPIES), F.lit(4 * partitions))
+    of_lot = F.expr("__n div __lots + if(__lot < __n % __lots, 1, 0)")
+    at = F.when(F.col("__lot") == 0, F.xxhash64(*by)).otherwise(F.xxhash64(*by, "__lot"))
+    return (data.groupBy(label, features).agg(F.count("*").alias("__n"))
+            .withColumn("__lots", lots)
+            .withColumn("__lot", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__lots") - 1)))
+            .select(label, features, "__lot", of_lot.alias("__copies"))
+            .repartition(partitions, at)
+            .select(label, features, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__copies"))))
+            .sortWithinPartitions(*by).select(label, features))
+
+
 def fit_forest(train: DataFrame, kind: str, label: str = "label",
                features: str = "features", num_classes: int | None = None,
-               partitions: int = PARTITIONS, key: Sequence[str] = (), **params) -> ForestModel:
+               partitions: int | None = None, key: Sequence[str] = (), **params) -> ForestModel:
     """Fit on the rows with a label.  ``key``: columns that tell rows apart;
-    without them the content does, and equal rows share a partition."""
+    without them the content does.  ``partitions``: by default one for each
+    ``PARTITION_ROWS`` rows, ``PARTITIONS`` at least."""
     checkpoint_root(train.sparkSession)
-    by = [*key, label, vector_to_array(F.col(features))]
-    data = (train.where(F.col(label).isNotNull())
-            .repartition(partitions, F.xxhash64(*by)).sortWithinPartitions(*by).select(label, features))
+    data = laid_out(train, label, features, partitions, key)
     if kind == "class" and num_classes is not None:
         data = with_class_count(data, label, num_classes)
     return forest_estimator(kind, label, features, **params).fit(data)
