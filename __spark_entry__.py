@@ -55,16 +55,24 @@ SWEEP_GRADE_COLS = ["kind", "flag", "quantity", "discount", "tax", "size", "pric
 SWEEP_PRICE_COLS = ["grade", "kind", "flag", "quantity", "discount", "tax", "size"]
 SWEEP = dict(solver="mllib", parallelism=4)
 
-_MADE: dict[tuple, DataFrame] = {}
+_MADE: dict[tuple, tuple[tuple, DataFrame]] = {}
+
+
+def _input_files(spark: SparkSession, sf_dir: str) -> tuple:
+    """What tells the files under ``sf_dir`` from rewritten ones: their number
+    and a digest of names, sizes and modification times."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(sf_dir)
+             .select("path", "length", F.unix_micros("modificationTime")))
+    return tuple(files.agg(F.count("*"), F.bit_xor(F.xxhash64(*files.columns))).first())
 
 
 def _once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
-    """``make()``, written, once per application and input: queries that look
-    at the same fit share it."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _MADE:
-        _MADE[key] = materialize(make(), name.replace("_", "-"))
-    return _MADE[key]
+    """``make()``, written, once per application and state of the input:
+    queries that look at the same fit share it."""
+    key, files = (spark.sparkContext.applicationId, sf_dir, name), _input_files(spark, sf_dir)
+    if key not in _MADE or _MADE[key][0] != files:
+        _MADE[key] = files, materialize(make(), name.replace("_", "-"))
+    return _MADE[key][1]
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
