@@ -3,8 +3,8 @@
 A reply often repeats what it answers, each line behind one ``>`` a level.
 Quoted lines are normalised, hashed and looked up among the earlier messages of
 their conversation; a message is a reply to the one that holds most of what it
-quotes at the lowest level.  Quoted blocks whose source is found are left out of
-the text (no other text is lost), and messages are put into threads.
+quotes at the lowest level.  Quoted blocks of which a line's source is found are
+left out of the text, and messages are put into threads.
 
 Everything here is a DataFrame expression.
 """
@@ -83,8 +83,9 @@ def linked_conversations(conversations: DataFrame, template: str = "<|{role}|>\n
     number of replies from there, ``n_quotes`` the number of quoted blocks left
     out of ``text``; in order of (conv_id, thread, turn) a conversation reads in
     reply order.  Of several sources the one with most lines counts, then the
-    latest.  Quotes without a known source stay.  ``formatted`` puts role and
-    text into ``template``.
+    latest.  A block of quotes stays if no line of it has a known source; if one
+    has, all its quoted lines go.  ``formatted`` puts role and text into
+    ``template``.
 
     A null text counts as empty; messages without a conversation or a turn are
     kept as they are, each a thread of its own; messages that share both are
