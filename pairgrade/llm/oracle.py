@@ -45,3 +45,34 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit ON hit.doc_id = d.doc_id LEFT JOIN found ON found.doc_id = d.doc_id
 """
+
+#: Copies of each text; null is an empty one.
+EXACT = """
+SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
+       doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
+"""
+
+#: Inner products of every anchor with every row, coordinate by coordinate.
+NEGATIVES = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT) for c in embedding] AS x
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len([1 for c in embedding if c IS NULL OR NOT isfinite(c)]) = 0),
+c AS (SELECT vec_id, label, unnest(x) AS x, unnest(range(len(x))) AS i FROM v),
+s AS (
+  SELECT a.vec_id AS anchor, b.vec_id AS other, a.label = b.label AS same, CAST(sum(a.x * b.x) AS BIGINT) AS score
+  FROM c a JOIN c b ON a.i = b.i WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+  GROUP BY a.vec_id, b.vec_id, a.label = b.label),
+p AS (
+  SELECT anchor, other AS positive, score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, other) <= 5)
+SELECT p.anchor AS anchor_id, p.positive AS positive_id,
+       CAST(row_number() OVER w AS INTEGER) AS rank, s.other AS negative_id,
+       p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor = p.anchor AND NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score
+WINDOW w AS (PARTITION BY p.anchor, p.positive ORDER BY s.score DESC, s.other)
+QUALIFY row_number() OVER w <= 10
+"""

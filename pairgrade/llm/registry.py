@@ -5,20 +5,24 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pairgrade.llm.bpe import encode_decode
 from pairgrade.llm.common import table
 from pairgrade.llm.decontaminate import contamination
 from pairgrade.llm.fingerprints import document_fingerprints
+from pairgrade.llm.grace import exact_duplicates
 from pairgrade.llm.lines import dedup_lines
 from pairgrade.llm.near_dedup import near_duplicates
-from pairgrade.llm.oracle import DECONTAMINATE, SUBSTRING
+from pairgrade.llm.oracle import DECONTAMINATE, EXACT, NEGATIVES, SUBSTRING
 from pairgrade.llm.quality import score_texts, train
 from pairgrade.llm.quotes import SQL as QUOTES_SQL
 from pairgrade.llm.quotes import linked_conversations
+from pairgrade.llm.rtree import hard_negatives
 from pairgrade.llm.secrets import secret_spans
 from pairgrade.llm.substring import dedup_substrings
 from pairgrade.llm.token_counts import token_counts
+from pairgrade.llm.whitening import whitened_embeddings
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,6 +70,19 @@ def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", label))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened_embeddings(table(spark, sf_dir, "embeddings"))
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_token_counts": op2_token_counts,
@@ -77,10 +94,15 @@ QUERIES = {
     "op8_fingerprints": op8_fingerprints,
     "op9_quotes": op9_quotes,
     "op10_substring": op10_substring,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_whitening": op12_whitening,
+    "op13_exact_dedup": op13_exact_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_decontaminate": DECONTAMINATE,
     "op9_quotes": QUOTES_SQL,
     "op10_substring": SUBSTRING,
+    "op11_hard_negatives": NEGATIVES,
+    "op13_exact_dedup": EXACT,
 }
