@@ -19,7 +19,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -82,6 +81,10 @@ class Table:
         return owner
 
 
+def _texts(values: list[bytes | None]) -> pa.Array:
+    return pa.array(values, pa.binary()).cast(pa.string())
+
+
 def _settle_locally(own: DataFrame, bucket_bytes: int) -> DataFrame:
     """(doc_id, tag, rep, h, bytes, text): a number for each row, and that of
     the row that stands for it; only the latter keeps its text."""
@@ -89,19 +92,18 @@ def _settle_locally(own: DataFrame, bucket_bytes: int) -> DataFrame:
         table, tag, rows = Table(), TaskContext.get().partitionId() << 33, 0
         for part in slices(batches):
             texts = part.column(1).cast(pa.binary()).to_pylist()
-            reps, tags = [], range(tag, tag + part.num_rows)
+            reps, tags, own = [], range(tag, tag + part.num_rows), []
             for t, h, text in zip(tags, part.column(2).to_pylist(), texts):
                 if table.size > bucket_bytes or rows >= LOCAL_ROWS:
                     table.clear()
                     rows = 0
                 reps.append(table.put(h, text, t))
+                own.append(text if reps[-1] == t else None)
                 rows += 1
             tag += part.num_rows
-            reps, tags = pa.array(reps, pa.int64()), pa.array(tags, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), tags, reps, part.column(2), part.column(3),
-                 pc.if_else(pc.equal(reps, tags), part.column(1), pa.scalar(None, part.column(1).type))],
-                names=["doc_id", "tag", "rep", "h", "bytes", "text"])
+                [part.column(0), pa.array(tags, pa.int64()), pa.array(reps, pa.int64()), part.column(2),
+                 part.column(3), _texts(own)], names=["doc_id", "tag", "rep", "h", "bytes", "text"])
 
     return own.mapInArrow(run, "doc_id bigint, tag bigint, rep bigint, h bigint, bytes bigint, text string")
 
@@ -130,18 +132,16 @@ def _settle(records: DataFrame, bits: int, turn: int, bucket_bytes: int) -> Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, unit = Table(), None
         for part in slices(batches):
-            parents, keep = [], []
+            parents, kept = [], []
             columns = [part.column(n).to_pylist() for n in range(4)]
             for bucket, piece, rep, h, text in zip(*columns, part.column(5).cast(pa.binary()).to_pylist()):
                 if unit != (bucket, piece):
                     table.clear()
                     unit = bucket, piece
                 parents.append(table.put(h, text, rep))
-                keep.append(piece >= 0 and parents[-1] == rep)
-            texts = part.column(5)
+                kept.append(text if piece >= 0 and parents[-1] == rep else None)
             yield pa.RecordBatch.from_arrays(
-                [part.column(2), pa.array(parents, pa.int64()), part.column(3), part.column(4),
-                 pc.if_else(pa.array(keep, pa.bool_()), texts, pa.scalar(None, texts.type))],
+                [part.column(2), pa.array(parents, pa.int64()), part.column(3), part.column(4), _texts(kept)],
                 names=["rep", "parent", "h", "bytes", "text"])
 
     return materialize(laid.mapInArrow(run, "rep bigint, parent bigint, h bigint, bytes bigint, text string"),
