@@ -13,7 +13,6 @@ columns are described in ``pairgrade.sources.items``.
 from __future__ import annotations
 
 import importlib
-import importlib.util
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
@@ -49,11 +48,9 @@ FEATURES = ["kind", "flag", "quantity", "discount", "tax", "size", "price"]
 SUBSET = ["quantity", "discount", "tax"]
 PRICE_FEATURES = ["grade", "kind", "flag", "quantity", "discount", "tax", "size"]
 # All models have the library's default size, which is the reference's: rank 70
-# x 10 iterations, 25 trees of depth 15 / 20.  Sweeps fit with MLlib's ALS, as
-# the published tables were made.
+# x 10 iterations, 25 trees of depth 15 / 20, and are fitted by its one solver.
 SWEEP_GRADE_COLS = ["kind", "flag", "quantity", "discount", "tax", "size", "price"]
 SWEEP_PRICE_COLS = ["grade", "kind", "flag", "quantity", "discount", "tax", "size"]
-SWEEP = dict(solver="mllib", parallelism=4)
 
 _MADE: dict[tuple, tuple[tuple, DataFrame]] = {}
 
@@ -385,7 +382,7 @@ def q_forest_price_metrics(spark, sf_dir):
 def _grade_sweep(spark, sf_dir):
     """E7 and E8 from one sweep over all ordered pairs of the columns."""
     return _once(spark, sf_dir, "sweep_grade", lambda: pair_sweep(
-        _items(spark, sf_dir), SWEEP_GRADE_COLS, "grade", KEY, bias="price", seed=SEED, **SWEEP))
+        _items(spark, sf_dir), SWEEP_GRADE_COLS, "grade", KEY, bias="price", seed=SEED))
 
 
 def q_sweep_grade(spark, sf_dir):
@@ -398,7 +395,7 @@ def q_sweep_grade_bias(spark, sf_dir):
 
 def q_sweep_price(spark, sf_dir):
     return _once(spark, sf_dir, "sweep_price", lambda: pair_sweep(
-        _items(spark, sf_dir), SWEEP_PRICE_COLS, "price", KEY, scale_rating=(1.0, 5.0), seed=SEED, **SWEEP)
+        _items(spark, sf_dir), SWEEP_PRICE_COLS, "price", KEY, scale_rating=(1.0, 5.0), seed=SEED)
     ).select("user", "item", "n")
 
 
@@ -473,17 +470,31 @@ def q_csv_pair_grade_metrics(spark, sf_dir):
     return _csv_grade(spark, sf_dir)
 
 
+def _csv_sweep(spark, sf_dir):
+    """E7 and E8 on the diamond layout from one sweep: all 72 ordered pairs of
+    its nine columns, grade = cut."""
+    return _once(spark, sf_dir, "csv_sweep_grade", lambda: pair_sweep(
+        _csv_items(spark, sf_dir), DIAMOND_COLS, "cut", "id", bias="price", seed=SEED))
+
+
 def q_csv_sweep_grade(spark, sf_dir):
-    """All 72 ordered pairs of the nine diamond columns, grade = cut (with the
-    price bias); rows scored and dropped are checked."""
-    return pair_sweep(_csv_items(spark, sf_dir), DIAMOND_COLS, "cut", "id", bias="price",
-                      seed=SEED, **SWEEP).select("user", "item", "n", "dropped_train", "dropped_test")
+    """Rows scored and dropped are checked."""
+    return _csv_sweep(spark, sf_dir).select("user", "item", "n", "n_labelled", "dropped_train", "dropped_test")
+
+
+def q_csv_sweep_grade_bias(spark, sf_dir):
+    """Rows that the biased RMSE covers are checked."""
+    return _csv_sweep(spark, sf_dir).select("user", "item", "n", "n_bias")
+
+
+def q_csv_sweep_grade_bias_metrics(spark, sf_dir):
+    return _csv_sweep(spark, sf_dir)
 
 
 def q_csv_sweep_price(spark, sf_dir):
     """All 72 ordered pairs with cut in place of price, rating = scaled price."""
     return pair_sweep(_csv_items(spark, sf_dir), PRICE_COLS, "price", "id", scale_rating=(1.0, 5.0),
-                      seed=SEED, **SWEEP).select("user", "item", "n", "dropped_train", "dropped_test")
+                      seed=SEED).select("user", "item", "n", "dropped_train", "dropped_test")
 
 
 def q_libsvm_roundtrip(spark, sf_dir):
@@ -606,6 +617,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_pair_grade": q_csv_pair_grade,
     "csv_pair_grade_metrics": q_csv_pair_grade_metrics,
     "csv_sweep_grade": q_csv_sweep_grade,
+    "csv_sweep_grade_bias": q_csv_sweep_grade_bias,
+    "csv_sweep_grade_bias_metrics": q_csv_sweep_grade_bias_metrics,
     "csv_sweep_price": q_csv_sweep_price,
     "libsvm_roundtrip": q_libsvm_roundtrip,
     "libsvm_forest_grade": q_libsvm_forest_grade,
@@ -619,17 +632,18 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 def _corpus(what: str) -> dict:
     """Queries or SQL of the corpus operators and of the corpus pipeline, as
-    far as they are installed (both can be left out of a deployment)."""
+    far as they and what they need are installed (they can be left out of a
+    deployment)."""
     found: dict = {}
-    if importlib.util.find_spec("pairgrade.llm") is not None:
-        registry = importlib.import_module("pairgrade.llm.registry")
-        found |= getattr(registry, what)
-        if importlib.util.find_spec("corpus_pipeline") is not None:
-            pipeline = importlib.import_module("corpus_pipeline")
-            if what == "QUERIES":
-                found["pipeline"] = pipeline.run
-            elif pipeline.ORACLE_SQL is not None:
-                found["pipeline"] = pipeline.ORACLE_SQL
+    try:
+        found |= getattr(importlib.import_module("pairgrade.llm.registry"), what)
+        pipeline = importlib.import_module("corpus_pipeline")
+    except ImportError:
+        return found
+    if what == "QUERIES":
+        found["pipeline"] = pipeline.run
+    elif pipeline.ORACLE_SQL is not None:
+        found["pipeline"] = pipeline.ORACLE_SQL
     return found
 
 
@@ -757,12 +771,24 @@ dsplit AS (
   FROM d)"""
 
 
-def _diamond_sweep_sql(cols, rating: str) -> str:
-    parts = "\nUNION ALL\n".join(_counts_sql(u, i, "n", "dropped_train", "dropped_test", base="dsplit",
-                                             rating=rating) for u, i in _pairs(cols))
+def _diamond_sweep_sql(cols, rating: str, *columns: str) -> str:
+    parts = "\nUNION ALL\n".join(_counts_sql(u, i, *columns, base="dsplit", rating=rating) for u, i in _pairs(cols))
     return f"WITH {_DIAMOND_ITEMS}\n{parts}"
 
 
+def _content_split(label: str, features) -> str:
+    """``test``: the held-out rows of a table without ids, whose split key is
+    the text of the label and of the features."""
+    texts = ", ".join(f"CAST({c} AS DOUBLE)" for c in features)
+    return f"""WITH {_ITEMS},
+c AS (
+  SELECT *, concat_ws(',', CAST(CAST({label} AS DOUBLE) AS VARCHAR),
+                      array_to_string([{texts}] :: VARCHAR[], ',')) AS content FROM items),
+test AS (
+  SELECT * FROM c WHERE CAST('0x' || substr(md5(concat_ws('|', '123', content)), 1, 8) AS BIGINT) / 4294967296.0 >= 0.7)
+"""
+
+
 _ORACLE: dict[str, str] = {
     "typed_cast": """
 SELECT l_orderkey AS order_id, l_linenumber AS line_no,
@@ -882,24 +908,21 @@ ORDER BY order_id, line_no, label LIMIT 25""",
     "csv_items_encode": f"WITH {_DIAMOND}\nSELECT {_DIAMOND_SELECT}\nFROM j",
     "csv_pair_grade": f"WITH {_DIAMOND_ITEMS}\n" + _counts_sql(
         'depth', 'table', 'n', 'n_labelled', 'n_bias', 'dropped_train', 'dropped_test', base='dsplit', rating='cut'),
-    "csv_sweep_grade": _diamond_sweep_sql(DIAMOND_COLS, "cut"),
-    "csv_sweep_price": _diamond_sweep_sql(PRICE_COLS, "price"),
+    "csv_sweep_grade": _diamond_sweep_sql(DIAMOND_COLS, "cut", "n", "n_labelled", "dropped_train", "dropped_test"),
+    "csv_sweep_grade_bias": _diamond_sweep_sql(DIAMOND_COLS, "cut", "n", "n_bias"),
+    "csv_sweep_price": _diamond_sweep_sql(PRICE_COLS, "price", "n", "dropped_train", "dropped_test"),
     "libsvm_roundtrip": f"""
 WITH {_ITEMS}
 SELECT CAST(grade AS DOUBLE) AS label, CAST(kind AS DOUBLE) AS f0, CAST(flag AS DOUBLE) AS f1,
   CAST(quantity AS DOUBLE) AS f2, CAST(discount AS DOUBLE) AS f3, CAST(tax AS DOUBLE) AS f4,
   CAST(size AS DOUBLE) AS f5, price AS f6
 FROM items""",
-    "libsvm_forest_grade": f"""
-WITH {_ITEMS},
-c AS (
-  SELECT concat_ws(',', CAST(CAST(grade AS DOUBLE) AS VARCHAR),
-    array_to_string([CAST(kind AS DOUBLE), CAST(flag AS DOUBLE), CAST(quantity AS DOUBLE),
-                     CAST(discount AS DOUBLE), CAST(tax AS DOUBLE), CAST(size AS DOUBLE), price]
-                    :: VARCHAR[], ',')) AS content
-  FROM items)
-SELECT 'class' AS kind, count(*) AS n FROM c
-WHERE CAST('0x' || substr(md5(concat_ws('|', '123', content)), 1, 8) AS BIGINT) / 4294967296.0 >= 0.7""",
+    "libsvm_forest_grade": _content_split("grade", FEATURES) + "SELECT 'class' AS kind, count(*) AS n FROM test",
+    "libsvm_forest_subset": _content_split("grade", SUBSET) + (
+        "SELECT CAST(grade AS DOUBLE) AS label, count(*) AS n, "
+        + ", ".join(f"CAST(sum({c}) AS DOUBLE) AS {c}" for c in SUBSET) + " FROM test GROUP BY 1"),
+    "libsvm_forest_price": _content_split("price", PRICE_FEATURES) + (
+        "SELECT count(*) AS n, min(price) AS low, max(price) AS high, round(sum(price), 2) AS total FROM test"),
     "predictions_roundtrip": f"""
 WITH {_SPLIT}
 SELECT order_id, line_no, CAST(grade AS DOUBLE) AS label,

@@ -34,6 +34,7 @@ REG_PARAM = 0.01
 SEED = 123
 # Largest factor table (estimated bytes) broadcast for scoring.
 BROADCAST_FACTORS_MB = 256
+_OF_MODEL = object()
 
 
 def resolve_blocks(spark, num_blocks):
@@ -158,7 +159,7 @@ def factor_table_bytes(model) -> tuple[int, int]:
     return uf.count() * per_row, vf.count() * per_row
 
 
-def _dot(a: str, b: str):
+def dot(a: str, b: str):
     """Float dot product, terms added left to right (as MLlib's scorer)."""
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y),
                        F.lit(0.0).cast("float"), lambda acc, x: acc + x)
@@ -176,21 +177,22 @@ def _score_join(model, df: DataFrame, broadcast: bool) -> DataFrame:
     how = "inner" if drop else "left"
     joined = (df.join(uf, F.col(user).cast("int") == F.col("__uid"), how)
                 .join(vf, F.col(item).cast("int") == F.col("__iid"), how))
-    pred = _dot("__uf", "__if")
+    pred = dot("__uf", "__if")
     if not drop:
         pred = F.when(F.col("__uf").isNull() | F.col("__if").isNull(),
                       F.lit(float("nan")).cast("float")).otherwise(pred)
     return joined.select(*[df[c] for c in df.columns], pred.alias(prediction))
 
 
-def score_als(model, df: DataFrame,
-              broadcast_mb: float | None = BROADCAST_FACTORS_MB) -> DataFrame:
+def score_als(model, df: DataFrame, broadcast_mb: float | None = _OF_MODEL) -> DataFrame:
     """All columns of ``df`` plus a float ``prediction``; cold rows dropped
     when the model's strategy is ``drop``.  Factor tables are broadcast only
-    when their measured size is below ``broadcast_mb`` (``None``: never);
-    otherwise MLlib models score with ``transform`` and pair-factor models
+    when their measured size is below ``broadcast_mb`` (``None``: never; by
+    default the bound given to the fit); otherwise MLlib models score with ``transform`` and pair-factor models
     with shuffle joins."""
     _, _, _, user, item, _, _ = _parts(model)
+    if broadcast_mb is _OF_MODEL:
+        broadcast_mb = getattr(model, "broadcast_mb", BROADCAST_FACTORS_MB)
     data = usable_ratings(df, user, item)
     integral = all(isinstance(df.schema[c].dataType, IntegralType) for c in (user, item))
     small = (broadcast_mb is not None and integral

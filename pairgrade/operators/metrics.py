@@ -7,6 +7,8 @@ task, one tiny merge.  Nothing is counted twice and nothing is collected.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,9 +30,10 @@ def error_fraction_expr(label: str | Column, prediction: str | Column) -> Column
 
 
 def prediction_metrics(df: DataFrame, label: str, prediction: str = "prediction",
-                       classify: bool = True,
-                       biased_prediction: str | None = None) -> DataFrame:
-    """One row ``n, n_labelled, rmse, error_fraction, n_bias, rmse_bias``.
+                       classify: bool = True, biased_prediction: str | None = None,
+                       by: Sequence[str] = ()) -> DataFrame:
+    """One row ``n, n_labelled, rmse, error_fraction, n_bias, rmse_bias``, or
+    one for each group of the columns ``by``.
 
     ``n_labelled`` and ``n_bias`` are the rows that ``rmse`` and ``rmse_bias``
     cover (label and prediction, or biased prediction, present).
@@ -40,7 +43,7 @@ def prediction_metrics(df: DataFrame, label: str, prediction: str = "prediction"
     null = F.lit(None).cast("double")
     y = F.col(label)
     covered = lambda p: F.count_if(y.isNotNull() & F.col(p).isNotNull())
-    return df.agg(
+    return df.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"),
         covered(prediction).alias("n_labelled"),
         rmse_expr(label, prediction).alias("rmse"),

@@ -11,74 +11,67 @@ equations
 
     (sum_i c_ui v_i v_i^T + reg * n_u I) u = sum_i s_ui v_i,    n_u = sum_i c_ui
 
-over *distinct* pairs.  This solver therefore
+over *distinct* pairs.  Several models, told apart by a number, are fitted at
+once: a half-iteration is one job for all of them.  The solver
 
-1. aggregates the ratings into pairs (u, i, c, s): a groupBy with map-side
-   partial aggregation, so an id holding a third of all rows is combined
-   before any shuffle, and a categorical column collapses to a few pairs;
+1. aggregates the ratings into pairs (model, u, i, c, s): a groupBy with
+   map-side partial aggregation, so an id holding a third of all rows is
+   combined before any shuffle, and a categorical column collapses to a few
+   pairs.  The pairs of many models come from one scan with grouping sets;
 2. salts ids with many distinct partners: their pairs are spread over
    ``ceil(pairs / target_pairs)`` sub-groups, each producing a partial normal
    equation, combined by a small second aggregation (one row per sub-group);
    other ids are solved where their pairs land.  The few heavy ids are
    broadcast (their number is bounded), so no id's pairs meet in one task;
-3. keeps the pairs partitioned by (id, sub-group) of the side to be solved and
-   per half-iteration brings the other side's factors to them: broadcast when
-   the factor table's measured size is under the bound; otherwise each factor
-   is sent once to each partition that holds a partner, and joined there.
-   Sums run in order of (id, sub-group, partner), so they do not depend on the
-   order in which rows arrive; every ``checkpoint_interval`` iterations and at
-   the end the factors are written to the shared checkpoint folder, which cuts
-   the lineage.
+3. keeps the pairs in parts by (model, id, sub-group) of the side to be solved,
+   cached in that order.  A factor is sent once to each part that holds a
+   partner: one shuffle a half-iteration, nothing is broadcast;
+4. solves the systems of a part in batches.  An id with m partners, m below the
+   rank, needs only a system of m unknowns: with F its partners' factors,
+   u = F^T y and (C F F^T + reg * n_u I) y = s.
+
+Sums run in order of (id, sub-group, partner), so factors do not depend on
+parts or on the order in which rows arrive; every ``checkpoint_interval``
+iterations and at the end the factors are written to the shared checkpoint
+folder, which cuts the lineage.
 
 Initial user factors are derived from a hash of (seed, id, position), so they
-do not depend on partitioning.  The factors differ from MLlib's (its random
-start is per block) but solve the same objective.  Scoring uses the same
-float dot product as MLlib (``pairgrade.operators.factor``).
+do not depend on partitioning, or on what else is fitted.  The factors differ
+from MLlib's (its random start is per block) but solve the same objective.
+Scoring uses the same float dot product as MLlib (``pairgrade.operators.factor``).
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    ArrayType, BooleanType, DoubleType, FloatType, IntegerType, LongType,
-    StructField, StructType,
-)
 
 from pairgrade.sources.sinks import Scratch, materialize
 
 TARGET_PAIRS = 200_000     # pairs per sub-group of one id before it is salted
 PARTITION_PAIRS = 500_000  # pairs per partition of a half-iteration, about
-MAX_HEAVY_IDS = 1_000_000  # ids split into sub-groups at most (broadcast, 16 MB)
+MAX_HEAVY_IDS = 1_000_000  # ids split into sub-groups at most (broadcast, 20 MB)
 BROADCAST_FACTORS_MB = 256
+BATCH_CELLS = 1 << 20      # numbers of the factors that are solved for at once
 
-FACTOR_SCHEMA = StructType([
-    StructField("id", IntegerType(), False),
-    StructField("features", ArrayType(FloatType(), False), False),
-])
-
-_STEP_SCHEMA = StructType(_STEP_FIELDS := [
-    StructField("id", IntegerType(), False),
-    StructField("salt", IntegerType(), False),
-    StructField("final", BooleanType(), False),
-    StructField("features", ArrayType(FloatType()), True),
-    StructField("ata", ArrayType(DoubleType()), True),
-    StructField("atb", ArrayType(DoubleType()), True),
-    StructField("n", LongType(), True),
-])
-_STEP_COLUMNS = [fld.name for fld in _STEP_FIELDS]
+#: A solved factor, or the partial normal equation of one of an id's sub-groups;
+#: ``to`` are the other side's parts that need the factor.
+_STEP = ("model int, id int, salt int, final boolean, `to` array<int>, features array<float>, "
+         "ata array<double>, atb array<double>, n double")
 
 
 @dataclass
 class PairFactors:
     """Fitted factors: ``user_factors`` / ``item_factors`` are DataFrames
-    (id int, features array<float>) stored in the shared checkpoint folder."""
+    (id int, features array<float>) stored in the shared checkpoint folder.
+    ``broadcast_mb`` bounds what scoring broadcasts."""
 
     user_factors: DataFrame
     item_factors: DataFrame
@@ -87,251 +80,300 @@ class PairFactors:
     item_col: str
     cold_start: str = "drop"
     prediction_col: str = "prediction"
+    broadcast_mb: float | None = BROADCAST_FACTORS_MB
 
 
+# ---------------------------------------------------------------------------
+# Aggregated pairs
+# ---------------------------------------------------------------------------
 def aggregate_pairs(df: DataFrame, user: str, item: str, rating: str) -> DataFrame:
     """(u, i, c, s): rows per distinct pair and their rating sum."""
     return (df.groupBy(F.col(user).cast("int").alias("u"), F.col(item).cast("int").alias("i"))
               .agg(F.count(F.lit(1)).alias("c"), F.sum(F.col(rating).cast("double")).alias("s")))
 
 
-def _side_stats(pairs: DataFrame, side: str, target: int) -> tuple[int, int]:
-    """(ids of the side, least partners of a heavy id): the target, or more if
-    more than ``MAX_HEAVY_IDS`` ids would be heavy."""
-    counts = pairs.groupBy(side).agg(F.count(F.lit(1)).alias("m"))
+def aggregate_models(df: DataFrame, models: Sequence[tuple[str, str]], rating: str) -> DataFrame:
+    """(model, u, i, c, s) of several ordered (user, item) column pairs, by one
+    scan: a model is the pair's place in ``models``.
+
+    Columns are int ids; rows without one of a pair's ids have no part in it.
+    Each set of two columns is one grouping set, which serves both orders."""
+    columns = list(dict.fromkeys(c for pair in models for c in pair))
+    place = {c: n for n, c in enumerate(columns)}
+    sets = sorted({tuple(sorted(pair, key=place.get)) for pair in models}, key=lambda s: [place[c] for c in s])
+    # the grouping id has a bit for each column that isn't in the set
+    bits = {s: sum(1 << len(columns) - 1 - place[c] for c in columns if c not in s) for s in sets}
+    which = df.sparkSession.createDataFrame(
+        [(bits[tuple(sorted(pair, key=place.get))], n, place[pair[0]] > place[pair[1]])
+         for n, pair in enumerate(models)], "gid long, model int, swapped boolean")
+    ids = F.array_compact(F.array(*[F.col(f"`{c}`") for c in columns]))  # all others are null
+    found = (df.groupingSets([[F.col(f"`{c}`") for c in s] for s in sets], *[F.col(f"`{c}`") for c in columns])
+             .agg(F.grouping_id().cast("bigint").alias("gid"), F.count(F.lit(1)).alias("c"),
+                  F.sum(F.col(rating).cast("double")).alias("s"))
+             .select("gid", ids.alias("ids"), "c", "s").where(F.size("ids") == 2))
+    one, two = F.col("ids")[0], F.col("ids")[1]
+    return (found.join(F.broadcast(which), "gid")
+            .select("model", F.when(F.col("swapped"), two).otherwise(one).alias("u"),
+                    F.when(F.col("swapped"), one).otherwise(two).alias("i"), "c", "s"))
+
+
+def _heavy_bound(pairs: DataFrame, side: str, target: int) -> int:
+    """Least partners of a heavy id: the target, or more if more than
+    ``MAX_HEAVY_IDS`` ids would be heavy."""
+    counts = pairs.groupBy("model", side).agg(F.count(F.lit(1)).alias("m"))
     steps = [target * 4 ** k for k in range(16)]
-    row = counts.agg(F.count(F.lit(1)).alias("ids"),
-                     *[F.count_if(F.col("m") > t).alias(f"t{k}") for k, t in enumerate(steps)]).first()
-    fits = next(t for k, t in enumerate(steps) if row[f"t{k}"] <= MAX_HEAVY_IDS)
-    return row["ids"], fits
+    row = counts.agg(*[F.count_if(F.col("m") > t).alias(f"t{k}") for k, t in enumerate(steps)]).first()
+    return next(t for k, t in enumerate(steps) if row[f"t{k}"] <= MAX_HEAVY_IDS)
 
 
 def _with_salt(pairs: DataFrame, side: str, other: str, target: int) -> DataFrame:
     """Add ``salt_<side>`` and ``groups_<side>``: ids with more than ``target``
     distinct partners are split into sub-groups of about that many by a hash of
     the partner id."""
-    heavy = (pairs.groupBy(side).agg(F.count(F.lit(1)).alias("__m")).where(F.col("__m") > target)
-             .select(side, F.ceil(F.col("__m") / F.lit(target)).cast("int").alias("__groups")))
+    heavy = (pairs.groupBy("model", side).agg(F.count(F.lit(1)).alias("__m")).where(F.col("__m") > target)
+             .select("model", side, F.ceil(F.col("__m") / F.lit(target)).cast("int").alias("__groups")))
     groups = F.coalesce("__groups", F.lit(1))
-    return (pairs.join(F.broadcast(heavy), side, "left")
+    return (pairs.join(F.broadcast(heavy), ["model", side], "left")
             .withColumn(f"groups_{side}", groups)
             .withColumn(f"salt_{side}", F.pmod(F.xxhash64(F.col(other)), groups).cast("int"))
             .drop("__groups"))
 
 
-def _gaussian(seed: int, id_col: Column, j: Column, rank: int) -> Column:
-    """Standard normal from two hashes (Box-Muller)."""
-    scale = float(2 ** 31)
-    u1 = (F.pmod(F.xxhash64(F.lit(seed), id_col, j, F.lit(1)), F.lit(2 ** 31)) + F.lit(1.0)) / F.lit(scale + 1.0)
-    u2 = F.pmod(F.xxhash64(F.lit(seed), id_col, j, F.lit(2)), F.lit(2 ** 31)) / F.lit(scale)
-    return F.sqrt(F.lit(-2.0) * F.log(u1)) * F.cos(F.lit(2 * math.pi) * u2)
-
-
-def init_factors(ids: DataFrame, rank: int, seed: int) -> DataFrame:
-    """Unit-norm pseudo-Gaussian factors per id, a pure function of
-    (seed, id): independent of partitioning and of the cluster."""
-    raw = F.transform(F.sequence(F.lit(0), F.lit(rank - 1)),
-                      lambda j: _gaussian(seed, F.col("id"), j, rank))
-    norm = F.sqrt(F.aggregate(F.transform(F.col("raw"), lambda x: x * x), F.lit(0.0),
-                              lambda acc, x: acc + x))
-    return (ids.select(F.col("id").cast("int").alias("id"), raw.alias("raw"))
-               .select("id", F.transform("raw", lambda x: (x / norm).cast("float")).alias("features")))
-
-
-def _solver(rank: int, reg: float):
-    """The solved factor of an id, or the partial normal equation of one of
-    its sub-groups, as a row of ``_STEP_SCHEMA``."""
-    eye = np.eye(rank)
-
-    def emit(gid, salt, ata, atb, n, salted):
-        if salted:
-            return (gid, salt, False, None, ata.ravel().tolist(), atb.tolist(), int(n))
-        x = np.linalg.solve(ata + reg * n * eye, atb)
-        return (gid, salt, True, x.astype(np.float32).tolist(), None, None, None)
-
-    return emit
-
-
-def _groups_of(ids: np.ndarray, salts: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Runs of equal (id, sub-group)."""
-    change = np.flatnonzero((ids[1:] != ids[:-1]) | (salts[1:] != salts[:-1])) + 1
-    return zip(np.concatenate(([0], change)), np.concatenate((change, [len(ids)])))
-
-
-def _normal_equations(rank: int, reg: float):
-    """mapInPandas body: rows sorted by (id, salt) -> one output row per
-    (id, salt).  Only the open group is kept in memory."""
-    solve = _solver(rank, reg)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key = None
-        ata = atb = None
-        n = 0
-        salted = False
-        out: list = []
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            ids, salts = pdf["dst"].to_numpy(), pdf["salt"].to_numpy()
-            groups = pdf["groups"].to_numpy()
-            c = pdf["c"].to_numpy(dtype=np.float64)
-            s = pdf["s"].to_numpy(dtype=np.float64)
-            f = np.stack(pdf["f"].to_numpy()).astype(np.float64)
-            for a, b in _groups_of(ids, salts):
-                k = (int(ids[a]), int(salts[a]))
-                fg = f[a:b]
-                g_ata = fg.T @ (fg * c[a:b, None])
-                g_atb = fg.T @ s[a:b]
-                g_n = c[a:b].sum()
-                if k == key:
-                    ata += g_ata
-                    atb += g_atb
-                    n += g_n
-                    continue
-                if key is not None:
-                    if k < key:
-                        raise RuntimeError("normal equations: input rows are not sorted by id")
-                    out.append(solve(*key, ata, atb, n, salted))
-                key, ata, atb, n, salted = k, g_ata, g_atb, g_n, bool(groups[a] > 1)
-            if len(out) >= 1024:
-                yield pd.DataFrame(out, columns=_STEP_COLUMNS)
-                out = []
-        if key is not None:
-            out.append(solve(*key, ata, atb, n, salted))
-        if out:
-            yield pd.DataFrame(out, columns=_STEP_COLUMNS)
-
-    return run
+def _part(side: str, sizes: dict[int, int], tasks: int) -> Column:
+    """The part of a pair: a model's pairs make one or more parts, by their
+    share in all pairs; a part has pairs of one model."""
+    total = sum(sizes.values())
+    first, count, at = [], [], 0
+    for model in range(max(sizes) + 1):
+        own = sizes.get(model, 0)
+        first.append(at)
+        count.append(max(1, round(2 * tasks * own / total), math.ceil(own / PARTITION_PAIRS)))
+        at += count[-1]
+    pick = lambda values: F.element_at(F.array(*[F.lit(v) for v in values]), F.col("model") + 1)
+    return (pick(first) + F.pmod(F.xxhash64(side, f"salt_{side}"), pick(count))).cast("int")
+
+
+# ---------------------------------------------------------------------------
+# Normal equations of one part (numpy)
+# ---------------------------------------------------------------------------
+def initial_factors(ids: np.ndarray, rank: int, seed: int) -> np.ndarray:
+    """Unit-norm pseudo-Gaussian factors, a pure function of (seed, id)."""
+    def spread(x):
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        return x ^ (x >> np.uint64(31))
+
+    with np.errstate(over="ignore"):
+        rows = spread(ids.astype(np.int64).view(np.uint64) + np.uint64(seed % (1 << 64)) * np.uint64(0x9E3779B97F4A7C15))
+        cells = spread(rows[:, None] + np.arange(1, 2 * rank + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    unit = ((cells >> np.uint64(11)).astype(float) + 0.5) / 2.0 ** 53
+    raw = np.sqrt(-2 * np.log(unit[:, :rank])) * np.cos(2 * np.pi * unit[:, rank:])
+    return (raw / np.linalg.norm(raw, axis=1, keepdims=True)).astype(np.float32)
+
+
+def _solutions(lhs: np.ndarray, rhs: np.ndarray, strict: bool) -> np.ndarray:
+    """Solutions of a batch of systems; NaN for a singular one unless ``strict``."""
+    try:
+        return np.linalg.solve(lhs, rhs[..., None])[..., 0]
+    except np.linalg.LinAlgError:
+        if strict:
+            raise
+    out = np.full(rhs.shape, np.nan)
+    for n in range(len(lhs)):
+        try:
+            out[n] = np.linalg.solve(lhs[n], rhs[n])
+        except np.linalg.LinAlgError:
+            pass
+    return out
 
 
-def _routed_equations(rank: int, reg: float):
-    """cogroup body for one partition: its pairs and the factors sent to it
-    (both bounded by ``PARTITION_PAIRS``) -> one row per (id, salt)."""
-    solve = _solver(rank, reg)
-
-    def run(pairs: pd.DataFrame, factors: pd.DataFrame) -> pd.DataFrame:
-        if pairs.empty:
-            return pd.DataFrame([], columns=_STEP_COLUMNS)
-        pairs = pairs.sort_values(["dst", "salt", "src"], kind="stable")
-        factors = factors.sort_values("src", kind="stable")
-        table = np.stack(factors["f"].to_numpy()).astype(np.float64)
-        where = np.searchsorted(factors["src"].to_numpy(), pairs["src"].to_numpy())
-        c, s = pairs["c"].to_numpy(np.float64), pairs["s"].to_numpy(np.float64)
-        ids, salts, groups = (pairs[x].to_numpy() for x in ("dst", "salt", "groups"))
-        out = []
-        for a, b in _groups_of(ids, salts):
-            fg = table[where[a:b]]
-            out.append(solve(int(ids[a]), int(salts[a]), fg.T @ (fg * c[a:b, None]), fg.T @ s[a:b],
-                             c[a:b].sum(), bool(groups[a] > 1)))
-        return pd.DataFrame(out, columns=_STEP_COLUMNS)
+def solve_groups(table: np.ndarray, where: np.ndarray, starts: np.ndarray, c: np.ndarray, s: np.ndarray,
+                 whole: np.ndarray, reg: float, strict: bool = True):
+    """(factors, partials): the factor of each group of pairs that is ``whole``;
+    of the others {group: (ata, atb)}.  ``table`` has the partners' factors,
+    ``where`` each pair's row in it."""
+    rank, total = table.shape[1], len(where)
+    sizes = np.diff(np.append(starts, total))
+    n = np.add.reduceat(c, starts)
+    out, partials = np.full((len(starts), rank), np.nan), {}
+    few = whole & (sizes < rank)
+    for m in np.unique(sizes[few]).tolist():
+        own = np.flatnonzero(few & (sizes == m))
+        for lot in np.array_split(own, -(-len(own) * m * rank // BATCH_CELLS)):
+            rows = starts[lot][:, None] + np.arange(m)
+            f = table[where[rows]]
+            lhs = c[rows][:, :, None] * (f @ f.transpose(0, 2, 1))
+            lhs[:, np.arange(m), np.arange(m)] += reg * n[lot][:, None]
+            y = _solutions(lhs, s[rows], strict)
+            out[lot] = (y[:, None, :] @ f)[:, 0, :]
+    many = np.flatnonzero(~few)
+    for lot in np.array_split(many, -(-len(many) * rank * rank // BATCH_CELLS)) if len(many) else ():
+        ata, atb = np.empty((len(lot), rank, rank)), np.empty((len(lot), rank))
+        for k, g in enumerate(lot):
+            pairs = slice(starts[g], starts[g] + sizes[g])
+            f = table[where[pairs]]
+            ata[k], atb[k] = f.T @ (f * c[pairs, None]), f.T @ s[pairs]
+        done = whole[lot]
+        out[lot[done]] = _solutions(ata[done] + reg * n[lot[done]][:, None, None] * np.eye(rank), atb[done], strict)
+        partials |= {g: (ata[k], atb[k]) for k, g in enumerate(lot.tolist()) if not done[k]}
+    return out, partials
+
+
+def _lists(values: np.ndarray, starts: np.ndarray, kind: pa.DataType) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.append(starts, len(values)), pa.int32()), pa.array(values, kind))
+
+
+def _equations(rank: int, reg: float, seed: int, strict: bool) -> Callable:
+    """Cogroup body for one part: its pairs, and the factors sent to it (none
+    in the first half-iteration, which starts from initial factors)."""
+    def run(pairs: pa.Table, factors: pa.Table | None = None) -> pa.Table:
+        col = {x: pairs[x].to_numpy() for x in ("dst", "salt", "groups", "src", "c", "s", "to", "model")}
+        dst, salt = col["dst"], col["salt"]
+        if len(dst) > 1:
+            order = np.lexsort((col["src"], salt, dst))
+            if (order[1:] < order[:-1]).any():
+                col = {x: v[order] for x, v in col.items()}
+                dst, salt = col["dst"], col["salt"]
+        if factors is None:
+            known = np.unique(col["src"])
+            table = initial_factors(known, rank, seed)
+        else:
+            known = factors["src"].to_numpy()
+            order = np.argsort(known, kind="stable")
+            known = known[order]
+            table = factors["f"].combine_chunks().flatten().to_numpy().reshape(-1, rank)[order]
+        starts = np.flatnonzero(np.append(True, (dst[1:] != dst[:-1]) | (salt[1:] != salt[:-1]))) \
+            if len(dst) else np.zeros(0, np.int64)
+        whole = col["groups"][starts] == 1
+        c, s = col["c"].astype(float), col["s"].astype(float)
+        if len(starts):
+            x, partials = solve_groups(table.astype(float), np.searchsorted(known, col["src"]), starts, c, s, whole,
+                                       reg, strict)
+            n = np.add.reduceat(c, starts)
+        else:
+            x, partials, n = np.zeros((0, rank)), {}, np.zeros(0)
+        group = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(dst))))
+        routes = np.unique(np.stack([group, col["to"]], axis=1), axis=0)
+        to = _lists(routes[:, 1], np.searchsorted(routes[:, 0], np.arange(len(starts))), pa.int32())
+        features = _lists(x.astype(np.float32).ravel(), np.arange(len(starts)) * rank, pa.float32())
+        blank = [None] * len(starts)
+        ata, atb = list(blank), list(blank)
+        for g, (a, b) in partials.items():
+            ata[g], atb[g] = a.ravel(), b
+        return pa.table({
+            "model": pa.array(col["model"][starts], pa.int32()), "id": pa.array(dst[starts], pa.int32()),
+            "salt": pa.array(salt[starts], pa.int32()), "final": pa.array(whole, pa.bool_()), "to": to,
+            "features": features, "ata": pa.array(ata, pa.list_(pa.float64())),
+            "atb": pa.array(atb, pa.list_(pa.float64())), "n": pa.array(n, pa.float64())})
 
     return run
 
 
-def _combine(rank: int, reg: float):
+def _combine(rank: int, reg: float, strict: bool):
     """applyInPandas body for one salted id: sum its partial normal
     equations (one per sub-group) and solve."""
-    eye = np.eye(rank)
-
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        ata = np.sum(np.stack(pdf["ata"].to_numpy()), axis=0).reshape(rank, rank)
-        atb = np.sum(np.stack(pdf["atb"].to_numpy()), axis=0)
-        n = float(pdf["n"].sum())
-        x = np.linalg.solve(ata + reg * n * eye, atb)
-        return pd.DataFrame({"id": [int(pdf["id"].iloc[0])],
+        pdf = pdf.sort_values("salt")
+        ata = np.sum(np.stack(pdf["ata"].to_numpy()), axis=0).reshape(1, rank, rank)
+        atb = np.sum(np.stack(pdf["atb"].to_numpy()), axis=0).reshape(1, rank)
+        x = _solutions(ata + reg * float(pdf["n"].sum()) * np.eye(rank), atb, strict)[0]
+        to = sorted({int(t) for part in pdf["to"] for t in part})
+        return pd.DataFrame({"model": [int(pdf["model"].iloc[0])], "id": [int(pdf["id"].iloc[0])], "to": [to],
                              "features": [x.astype(np.float32).tolist()]})
 
     return run
 
 
+# ---------------------------------------------------------------------------
+# Half-iterations
+# ---------------------------------------------------------------------------
 @dataclass
 class _Side:
     """The pairs as one half-iteration needs them: those of an id (``dst``)
-    together, partners called ``src``."""
+    together, partners called ``src``; ``to`` is the part that the id's factor
+    goes to."""
 
-    pairs: DataFrame          # part, dst, salt, groups, src, c, s; partitioned by part, sorted
-    routes: DataFrame | None  # part, src: where a partner's factor is needed (None: broadcast)
+    pairs: DataFrame  # part, model, dst, salt, groups, src, c, s, to; partitioned by part, sorted
     salted: bool
 
 
-def _side(pairs: DataFrame, dst: str, src: str, parts: int, broadcast: bool, salted: bool,
-          scratch: Scratch) -> _Side:
-    part = F.pmod(F.xxhash64(F.col(dst), F.col(f"salt_{dst}")), F.lit(parts)).cast("int")
-    own = pairs.select(part.alias("part"), F.col(dst).alias("dst"), F.col(f"salt_{dst}").alias("salt"),
-                       F.col(f"groups_{dst}").alias("groups"), F.col(src).alias("src"), "c", "s")
-    routes = None if broadcast else scratch.write(own.select("part", "src").distinct(), "wals-routes")
-    laid = own.repartition(parts, "part").sortWithinPartitions("dst", "salt", "src")
-    return _Side(laid.persist(), routes, salted)
-
-
-def _half_step(side: _Side, src_factors: DataFrame, rank: int, reg: float, scratch: Scratch,
-               ) -> DataFrame:
-    """Solve one side given the other's factors."""
-    fsrc = src_factors.select(F.col("id").alias("src"), F.col("features").alias("f"))
-    if side.routes is None:
-        # the broadcast join keeps the pairs' partitioning and order
-        rows = side.pairs.join(F.broadcast(fsrc), "src").select("dst", "salt", "groups", "c", "s", "f")
-        step = rows.mapInPandas(_normal_equations(rank, reg), _STEP_SCHEMA)
+def _side(pairs: DataFrame, dst: str, src: str, partitions: int, salted: bool) -> _Side:
+    own = pairs.select(F.col(f"part_{dst}").alias("part"), "model", F.col(dst).alias("dst"),
+                       F.col(f"salt_{dst}").alias("salt"), F.col(f"groups_{dst}").alias("groups"),
+                       F.col(src).alias("src"), "c", "s", F.col(f"part_{src}").alias("to"))
+    laid = own.repartition(partitions, "part").sortWithinPartitions("part", "dst", "salt", "src")
+    return _Side(laid.persist(), salted)
+
+
+def _half_step(side: _Side, sent: DataFrame | None, rank: int, reg: float, seed: int, strict: bool,
+               scratch: Scratch) -> DataFrame:
+    """(model, id, to, features): one side solved, given the other's factors
+    (part, src, f)."""
+    body = _equations(rank, reg, seed, strict)
+    pairs = side.pairs.groupBy("part")
+    if sent is None:
+        step = pairs.applyInArrow(lambda part: body(part), _STEP)
     else:
-        sent = side.routes.join(fsrc, "src").select("part", "src", "f")
-        step = side.pairs.groupBy("part").cogroup(sent.groupBy("part")).applyInPandas(
-            _routed_equations(rank, reg), _STEP_SCHEMA)
+        step = pairs.cogroup(sent.groupBy("part")).applyInArrow(lambda part, factors: body(part, factors), _STEP)
+    columns = ["model", "id", "to", "features"]
     if not side.salted:
-        out = step.select("id", F.col("features").cast("array<float>").alias("features"))
-    else:
-        step = scratch.write(step, "wals-step")  # read twice below
-        solved = step.where("final").select(
-            "id", F.col("features").cast("array<float>").alias("features"))
-        combined = step.where("not final").groupBy("id").applyInPandas(
-            _combine(rank, reg), FACTOR_SCHEMA)
-        out = solved.unionByName(combined)
-    return out
+        return step.select(*columns)
+    step = scratch.write(step, "wals-step")  # read twice below
+    combined = step.where("not final").groupBy("model", "id").applyInPandas(
+        _combine(rank, reg, strict), "model int, id int, `to` array<int>, features array<float>")
+    return step.where("final").select(*columns).unionByName(combined)
 
 
-def fit_pair_factors(df: DataFrame, user: str, item: str, rating: str, *,
-                     rank: int = 70, max_iter: int = 10, reg_param: float = 0.01,
-                     seed: int = 123, cold_start: str = "drop",
-                     target_pairs: int = TARGET_PAIRS,
-                     broadcast_mb: float | None = BROADCAST_FACTORS_MB,
-                     checkpoint_interval: int = 10,
-                     prediction: str = "prediction") -> PairFactors:
-    """Fit on rows with non-null int ids and a rating (callers filter).
-
-    Half-iterations chain lazily; every ``checkpoint_interval`` iterations
-    (and at the end) both factor tables are written to the shared checkpoint
-    folder, so a lost executor costs at most that many iterations."""
+def _sent(step: DataFrame) -> DataFrame:
+    return step.select(F.explode("to").alias("part"), F.col("id").alias("src"), F.col("features").alias("f"))
+
+
+def fit_models(pairs: DataFrame, *, rank: int = 70, max_iter: int = 10, reg_param: float = 0.01, seed: int = 123,
+               target_pairs: int = TARGET_PAIRS, checkpoint_interval: int = 10, strict: bool = True,
+               scratch: Scratch, keep: Callable[[DataFrame, str], DataFrame] = materialize,
+               ) -> tuple[DataFrame, DataFrame]:
+    """User and item factors (model, id, features) of the models whose pairs
+    (model, u, i, c, s) are given, written by ``keep``.
+
+    ``pairs`` is read several times: a written table.  Half-iterations chain
+    lazily; every ``checkpoint_interval`` iterations both sides' factors are
+    written, so a lost executor costs at most that many iterations.  A singular
+    system (no regularisation) raises if ``strict``; else its factor is NaN."""
     if max_iter < 1:
         raise ValueError("max_iter must be at least 1")
-    spark = df.sparkSession
-    with Scratch(spark) as scratch:
-        pairs = scratch.write(aggregate_pairs(df, user, item, rating), "wals-pairs")
-        total = pairs.count()
-        if not total:
-            raise ValueError("no usable ratings to factorise")
-        users, split_u = _side_stats(pairs, "u", target_pairs)
-        items, split_i = _side_stats(pairs, "i", target_pairs)
-        pairs = _with_salt(_with_salt(pairs, "u", "i", split_u), "i", "u", split_i)
-        gu, gi = pairs.agg(F.max("groups_u"), F.max("groups_i")).first()
-        limit = -1 if broadcast_mb is None else broadcast_mb * 1024 * 1024
-        row_bytes = rank * 4 + 32
-        parts = max(spark.sparkContext.defaultParallelism, math.ceil(total / PARTITION_PAIRS))
-        by_u = _side(pairs, "u", "i", parts, items * row_bytes <= limit, gu > 1, scratch)
-        by_i = _side(pairs, "i", "u", parts, users * row_bytes <= limit, gi > 1, scratch)
-        try:
-            u = scratch.write(init_factors(pairs.select(F.col("u").alias("id")).distinct(), rank, seed), "wals-init")
-            every = max(1, checkpoint_interval)
-            for it in range(1, max_iter + 1):
-                i = _half_step(by_i, u, rank, reg_param, scratch)
-                if it == max_iter:
-                    i = materialize(i, "wals-factors")
-                elif it % every == 0:
-                    i = scratch.write(i, "wals-factors")
-                u = _half_step(by_u, i, rank, reg_param, scratch)
-                if it == max_iter:
-                    u = materialize(u, "wals-factors")
-                elif it % every == 0:
-                    u = scratch.write(u, "wals-factors")
-        finally:
-            by_u.pairs.unpersist()
-            by_i.pairs.unpersist()
-    return PairFactors(u, i, rank, user, item, cold_start, prediction)
+    sizes = {row.model: row.n for row in pairs.groupBy("model").agg(F.count("*").alias("n")).collect()}
+    if not sizes:
+        raise ValueError("no usable ratings to factorise")
+    tasks = max(pairs.sparkSession.sparkContext.defaultParallelism, math.ceil(sum(sizes.values()) / PARTITION_PAIRS))
+    for dst, src in (("u", "i"), ("i", "u")):
+        pairs = _with_salt(pairs, dst, src, _heavy_bound(pairs, dst, target_pairs))
+    gu, gi = pairs.agg(F.max("groups_u"), F.max("groups_i")).first()
+    pairs = pairs.withColumn("part_u", _part("u", sizes, tasks)).withColumn("part_i", _part("i", sizes, tasks))
+    by_u, by_i = _side(pairs, "u", "i", tasks, gu > 1), _side(pairs, "i", "u", tasks, gi > 1)
+    solve = lambda side, sent: _half_step(side, sent, rank, reg_param, seed, strict, scratch)
+    every = max(1, checkpoint_interval)
+    try:
+        users = None
+        for it in range(1, max_iter + 1):
+            items = solve(by_i, None if users is None else _sent(users))
+            if it == max_iter or it % every == 0:
+                items = scratch.write(items, "wals-items")
+            users = solve(by_u, _sent(items))
+            if it == max_iter or it % every == 0:
+                users = scratch.write(users, "wals-users")
+        return tuple(keep(side.select("model", "id", "features"), "wals-factors") for side in (users, items))
+    finally:
+        by_u.pairs.unpersist()
+        by_i.pairs.unpersist()
+
+
+def fit_pair_factors(df: DataFrame, user: str, item: str, rating: str, *,
+                     cold_start: str = "drop", broadcast_mb: float | None = BROADCAST_FACTORS_MB,
+                     prediction: str = "prediction", rank: int = 70, **params) -> PairFactors:
+    """Fit one model on rows with non-null int ids and a rating (callers
+    filter); the other parameters are those of ``fit_models``."""
+    with Scratch(df.sparkSession) as scratch:
+        pairs = scratch.write(aggregate_pairs(df, user, item, rating).withColumn("model", F.lit(0)), "wals-pairs")
+        users, items = fit_models(pairs, rank=rank, scratch=scratch, **params,
+                                  keep=lambda side, name: materialize(side.drop("model"), name))
+    return PairFactors(users, items, rank, user, item, cold_start, prediction, broadcast_mb)

@@ -147,7 +147,7 @@ def test_split_xxhash_range(spark):
 
 
 def test_encoding_independent_of_partitioning_and_order(spark):
-    from conftest import SF_SMALL
+    from data_paths import SF_SMALL
     from pairgrade.operators import with_split
     from pairgrade.sources import tpch_items
     items = tpch_items(spark, SF_SMALL)

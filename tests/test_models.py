@@ -217,7 +217,7 @@ def test_broadcast_scoring_equals_transform(spark, additive, cold):
 
 
 def test_scaled_rating_bounds_read_written_frame(spark):
-    from conftest import SF_SMALL
+    from data_paths import SF_SMALL
     from pairgrade.sources import tpch_items
     items = tpch_items(spark, SF_SMALL)
     _, scored, _ = pair_predictions(items, "kind", "size", "price", ["order_id", "line_no"],

@@ -6,7 +6,7 @@ import math
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from data_paths import SF_SMALL
 
 SCALAR = [
     "typed_cast", "fixed_point", "ordinal_encode", "minmax_1_5", "minmax_unit",
@@ -35,7 +35,7 @@ def test_every_query_has_oracle_or_is_rows_only():
         "pair_grade_metrics", "pair_grade_bias_metrics", "pair_price_metrics",
         "forest_nodes", "forest_grade_metrics", "forest_grade_subset_metrics",
         "forest_price_metrics", "sweep_grade_bias_metrics",
-        "csv_pair_grade_metrics", "pair_grade_pairs_metrics", "libsvm_forest_subset", "libsvm_forest_price"}
+        "csv_pair_grade_metrics", "pair_grade_pairs_metrics", "csv_sweep_grade_bias_metrics"}
 
 
 @pytest.mark.parametrize("name", SCALAR)

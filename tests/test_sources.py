@@ -11,7 +11,7 @@ from pairgrade.sources import (
     encode_items, materialize, preview, read_items_csv, read_libsvm, tpch_items,
     write_libsvm, write_metrics, write_predictions,
 )
-from conftest import SF_SMALL
+from data_paths import SF_SMALL
 
 CSV = """,carat,cut,color,clarity,depth,table,price,x,y,z
 1,0.23,Ideal,E,SI2,61.5,55,326,3.95,3.98,2.43
