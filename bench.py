@@ -52,7 +52,7 @@ QUERIES = {
     "pair_grade_bias": lambda it: pair_experiment(it, "quantity", "price", "grade", KEY, bias="price"),
     "forest_grade": lambda it: forest_experiment(it, "grade", FEATURES, KEY, kind="class", num_classes=9),
     "sweep_grade_bias": lambda it: pair_sweep(it, ["quantity", "price", "kind"], "grade", KEY,
-                                              bias="price", parallelism=3, solver="mllib"),
+                                              bias="price"),
     # E1 again with MLlib's solver: speed and RMSE next to the default's
     "pair_grade_mllib": lambda it: pair_experiment(it, "quantity", "discount", "grade", KEY,
                                                    solver="mllib"),

@@ -13,15 +13,24 @@ number of rows unless it is given; another number gives another forest.
 
 ``max_memory_mb`` bounds the per-task histogram buffer of one pass.  A smaller
 one means more passes over the data, and as MLlib draws each pass's feature
-subsets as it goes, another forest.  MLlib keeps all trees in the driver while
-it fits: a tree of depth d has at most 2**(d+1) - 1 nodes (about 2 million at
-depth 20, some hundred bytes each), whatever the rows.
+subsets as it goes, another forest.
+
+MLlib keeps all trees of a fit in the driver: a tree of depth d has at most
+2**(d+1) - 1 nodes (about 2 million at depth 20, some hundred bytes each),
+whatever the rows.  A forest of more than ``tree_batch`` trees is therefore
+fitted in batches with seeds of their own.  Each batch's nodes go to the node
+table in the shared folder before the next one starts, so the driver holds one
+batch whatever ``num_trees``; such a forest (``NodeForest``) is its node table,
+and scores rows by joining them with it, level by level.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.classification import (
     RandomForestClassificationModel, RandomForestClassifier,
 )
@@ -32,6 +41,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairgrade.session import checkpoint_root, scratch_path
+from pairgrade.sources.sinks import materialize
 
 # Defaults of the reference experiments.
 NUM_TREES = 25
@@ -39,13 +49,27 @@ MAX_DEPTH_CLASS = 15
 MAX_DEPTH_REG = 20
 MAX_BINS = 32
 SEED = 123
+#: Trees of one fit, all of them in the driver.
+TREE_BATCH = 50
 #: The least number of partitions, and the rows that one has on average.
 PARTITIONS = 16
 PARTITION_ROWS = 1 << 17
 #: Equal rows that stay together.
 COPIES = 1000
 
-ForestModel = RandomForestClassificationModel | RandomForestRegressionModel
+
+@dataclass
+class NodeForest:
+    """A forest as its node table (the columns of ``forest_nodes``, written)."""
+
+    nodes: DataFrame
+    kind: str
+    num_trees: int
+    features_col: str = "features"
+    prediction_col: str = "prediction"
+
+
+ForestModel = RandomForestClassificationModel | RandomForestRegressionModel | NodeForest
 
 
 def assemble(df: DataFrame, features: Sequence[str], out: str = "features",
@@ -117,19 +141,40 @@ def laid_out(train: DataFrame, label: str = "label", features: str = "features",
 
 def fit_forest(train: DataFrame, kind: str, label: str = "label",
                features: str = "features", num_classes: int | None = None,
-               partitions: int | None = None, key: Sequence[str] = (), **params) -> ForestModel:
+               partitions: int | None = None, key: Sequence[str] = (), num_trees: int = NUM_TREES,
+               tree_batch: int = TREE_BATCH, seed: int = SEED, **params) -> ForestModel:
     """Fit on the rows with a label.  ``key``: columns that tell rows apart;
     without them the content does.  ``partitions``: by default one for each
-    ``PARTITION_ROWS`` rows, ``PARTITIONS`` at least."""
-    checkpoint_root(train.sparkSession)
+    ``PARTITION_ROWS`` rows, ``PARTITIONS`` at least.  Up to ``tree_batch``
+    trees: MLlib's model; more: a ``NodeForest``."""
+    spark = train.sparkSession
+    checkpoint_root(spark)
     data = laid_out(train, label, features, partitions, key)
     if kind == "class" and num_classes is not None:
         data = with_class_count(data, label, num_classes)
-    return forest_estimator(kind, label, features, **params).fit(data)
+    fit = lambda n, own: forest_estimator(kind, label, features, num_trees=n, seed=own, **params).fit(data)
+    if num_trees <= tree_batch:
+        return fit(num_trees, seed)
+    data = data.persist()
+    batches = []
+    try:
+        for first in range(0, num_trees, tree_batch):
+            nodes = forest_nodes(fit(min(tree_batch, num_trees - first), seed + first), spark)
+            batches.append(nodes.withColumn("tree_id", F.col("tree_id") + first))
+    finally:
+        data.unpersist()
+    table = batches[0]
+    for other in batches[1:]:
+        table = table.unionByName(other)
+    return NodeForest(materialize(table, "forest-nodes"), kind, num_trees, features,
+                      params.get("prediction", "prediction"))
 
 
 def score_forest(model: ForestModel, df: DataFrame) -> DataFrame:
-    """All columns of ``df`` plus ``prediction`` (and class scores)."""
+    """All columns of ``df`` plus ``prediction`` (and class scores, if the model
+    is MLlib's)."""
+    if isinstance(model, NodeForest):
+        return score_nodes(model.nodes, df, model.kind, model.features_col, model.prediction_col)
     return model.transform(df)
 
 
@@ -140,7 +185,10 @@ def forest_nodes(model: ForestModel, spark: SparkSession | None = None) -> DataF
     read back, so the structure never passes through the driver as text.
     Columns: tree_id, node_id, is_leaf, feature (-1 for a leaf), threshold
     (go left when feature <= threshold), left_child, right_child,
-    prediction, impurity, gain, count."""
+    prediction, impurity, gain, count, stats (a class's weights; of a regression
+    count, sum and sum of squares)."""
+    if isinstance(model, NodeForest):
+        return model.nodes
     spark = spark or SparkSession.getActiveSession()
     path = scratch_path(spark, "forest")
     model.write().overwrite().save(path)
@@ -160,4 +208,56 @@ def forest_nodes(model: ForestModel, spark: SparkSession | None = None) -> DataF
         d["impurity"].alias("impurity"),
         d["gain"].alias("gain"),
         d["rawCount"].alias("count"),
+        d["impurityStats"].alias("stats"),
     )
+
+
+def tree_depth(nodes: DataFrame) -> int:
+    """Levels below the roots.  One task follows the children of one tree, which
+    has at most 2**(d+1) - 1 nodes."""
+    def levels(tree: pd.DataFrame) -> pd.DataFrame:
+        tree = tree.sort_values("node_id")
+        children = tree[["left_child", "right_child"]].to_numpy()
+        level, depth = np.zeros(1, np.int64), 0
+        while len(level := children[np.searchsorted(tree["node_id"], level)].ravel()) and (level := level[level >= 0]).size:
+            depth += 1
+        return pd.DataFrame({"depth": [depth]})
+
+    return (nodes.select("tree_id", "node_id", "left_child", "right_child").groupBy("tree_id")
+            .applyInPandas(levels, "depth int").agg(F.max("depth").alias("d")).first().d)
+
+
+def score_nodes(nodes: DataFrame, df: DataFrame, kind: str, features: str = "features",
+                prediction: str = "prediction") -> DataFrame:
+    """All columns of ``df`` plus the prediction of a node table, the same as
+    MLlib's of the model that the table is of.
+
+    Each row stands once for each tree at its root; a join with the nodes takes
+    all of them a level down (the planner broadcasts the nodes if they are
+    small), leaves stay where they are.  Then the trees' votes are merged: the
+    sum of the leaves' class shares, the least class of the largest; of a
+    regression the mean."""
+    rows = materialize(df.withColumn("__row", F.monotonically_increasing_id()), "forest-rows")
+    trees = nodes.agg(F.max("tree_id").alias("n")).first().n + 1
+    state = rows.select("__row", vector_to_array(F.col(features)).alias("x"),
+                        F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), F.lit(0).alias("node"))
+    splits = nodes.where("not is_leaf").select(F.col("tree_id").alias("tree"), F.col("node_id").alias("node"),
+                                               "feature", "threshold", "left_child", "right_child")
+    below = F.when(F.col("feature").isNull(), F.col("node")).when(
+        F.col("x")[F.col("feature")] <= F.col("threshold"), F.col("left_child")).otherwise(F.col("right_child"))
+    for _ in range(tree_depth(nodes)):
+        state = state.join(splits, ["tree", "node"], "left").select("__row", "x", "tree", below.alias("node"))
+    weight = F.aggregate("stats", F.lit(0.0), lambda acc, v: acc + v)
+    votes = F.transform("stats", lambda v: F.when(weight != 0, v / weight).otherwise(0.0)) if kind == "class" \
+        else F.array("prediction")
+    leaves = nodes.where("is_leaf").select(F.col("tree_id").alias("tree"), F.col("node_id").alias("node"),
+                                           votes.alias("votes"))
+    # one entry for each tree, added up in their order
+    cast = F.sort_array(F.collect_list(F.struct("tree", "votes")))
+    zero = F.transform(F.col("cast")[0]["votes"], lambda v: F.lit(0.0))
+    total = F.aggregate("cast", zero, lambda acc, one: F.zip_with(acc, one["votes"], lambda a, b: a + b))
+    found = (F.array_position("total", F.array_max("total")) - 1).cast("double") if kind == "class" \
+        else F.col("total")[0] / trees
+    merged = (state.join(leaves, ["tree", "node"]).groupBy("__row").agg(cast.alias("cast"))
+              .select("__row", total.alias("total")).select("__row", found.alias(prediction)))
+    return rows.join(merged, "__row").drop("__row")
