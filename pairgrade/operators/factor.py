@@ -12,9 +12,10 @@ MLlib's ``transform`` plans those joins as sort-merge joins (the factor
 tables carry no size statistics), which shuffles the whole held-out side
 twice.  ``score_als`` first measures the factor tables (they are cached by
 the fit, so counting is cheap): when both fit under ``broadcast_mb`` they are
-broadcast and scoring is a map-only pass over the held-out rows; above the
-bound it falls back to ``transform``.  Both paths give bit-identical
-predictions (same float dot product, same order of terms).
+broadcast and scoring is a map-only pass over the held-out rows.  Above the
+bound the rows are shuffled, but only those whose ids a Bloom filter of the
+trained ids lets pass: cold rows go before the joins, not in them.  Both paths
+give bit-identical predictions (same float dot product, same order of terms).
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
+from pairgrade.operators.membership import keep_members
 from pairgrade.operators.wals import PairFactors, fit_pair_factors
 from pairgrade.session import checkpoint_root
 
@@ -174,6 +176,8 @@ def _score_join(model, df: DataFrame, broadcast: bool) -> DataFrame:
     if broadcast:
         uf, vf = F.broadcast(uf), F.broadcast(vf)
     drop = cold == "drop"
+    if drop and not broadcast:  # ids never trained on need not be shuffled
+        df = keep_members(keep_members(df, user, ufac, "id"), item, vfac, "id")
     how = "inner" if drop else "left"
     joined = (df.join(uf, F.col(user).cast("int") == F.col("__uid"), how)
                 .join(vf, F.col(item).cast("int") == F.col("__iid"), how))
@@ -188,8 +192,8 @@ def score_als(model, df: DataFrame, broadcast_mb: float | None = _OF_MODEL) -> D
     """All columns of ``df`` plus a float ``prediction``; cold rows dropped
     when the model's strategy is ``drop``.  Factor tables are broadcast only
     when their measured size is below ``broadcast_mb`` (``None``: never; by
-    default the bound given to the fit); otherwise MLlib models score with ``transform`` and pair-factor models
-    with shuffle joins."""
+    default the bound given to the fit); otherwise by shuffle joins, of the rows
+    that a Bloom filter of the trained ids lets pass."""
     _, _, _, user, item, _, _ = _parts(model)
     if broadcast_mb is _OF_MODEL:
         broadcast_mb = getattr(model, "broadcast_mb", BROADCAST_FACTORS_MB)
@@ -197,10 +201,8 @@ def score_als(model, df: DataFrame, broadcast_mb: float | None = _OF_MODEL) -> D
     integral = all(isinstance(df.schema[c].dataType, IntegralType) for c in (user, item))
     small = (broadcast_mb is not None and integral
              and max(factor_table_bytes(model)) <= broadcast_mb * 1024 * 1024)
-    if isinstance(model, PairFactors):
+    if integral or isinstance(model, PairFactors):
         return _score_join(model, data, small)
-    if small:
-        return _score_join(model, data, True)
     return model.transform(data)
 
 

@@ -33,7 +33,7 @@ from pairgrade.operators.factor import (
 from pairgrade.operators.forest import assemble, fit_forest, score_forest, slice_features
 from pairgrade.operators.metrics import prediction_metrics
 from pairgrade.operators.scale import minmax_scale, minmax_unit
-from pairgrade.sources.sinks import Scratch, materialize
+from pairgrade.sources.sinks import Scratch, materialize, written_bounds
 
 TRAIN_FRACTION = 0.7
 SCALE_RANGE = (1.0, 5.0)
@@ -60,10 +60,10 @@ def scale_label(frame: DataFrame, scale_rating: tuple[float, float] | None,
 def scale_written(frame: DataFrame, scale_rating: tuple[float, float] | None,
                   label: str = "label") -> DataFrame:
     """The same for a written frame that many jobs read: its bounds are taken
-    once, by one aggregate over one column, and become literals."""
+    once, from the footers of its files, and become literals."""
     if scale_rating is None:
         return frame
-    low, high = frame.agg(F.min(label), F.max(label)).first()
+    low, high = written_bounds(frame, label)
     a, b = scale_rating
     lit = lambda v: F.lit(v).cast("double")
     return frame.withColumn(label, minmax(F.col(label), lit(low), lit(high), a, b))

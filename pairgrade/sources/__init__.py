@@ -1,12 +1,16 @@
 """Item tables, labelled-vector files and result sinks."""
 
-from pairgrade.sources.items import encode_items, read_items_csv, tpch_items
-from pairgrade.sources.libsvm import read_libsvm, write_libsvm
+from pairgrade.sources.items import (
+    CORRUPT_COL, encode_items, malformed_counts, read_items_csv, split_malformed, tpch_items,
+)
+from pairgrade.sources.libsvm import checked_lines, read_libsvm, read_libsvm_checked, write_libsvm
 from pairgrade.sources.sinks import (
-    materialize, metric_table, preview, write_metrics, write_predictions,
+    commit_table, committed_versions, drop_uncommitted, materialize, metric_table, preview, read_committed,
+    write_metrics, write_predictions,
 )
 
 __all__ = [
-    "encode_items", "materialize", "metric_table", "preview", "read_items_csv", "read_libsvm",
-    "tpch_items", "write_libsvm", "write_metrics", "write_predictions",
+    "CORRUPT_COL", "checked_lines", "commit_table", "committed_versions", "drop_uncommitted", "encode_items",
+    "malformed_counts", "materialize", "metric_table", "preview", "read_committed", "read_items_csv", "read_libsvm",
+    "read_libsvm_checked", "split_malformed", "tpch_items", "write_libsvm", "write_metrics", "write_predictions",
 ]

@@ -12,11 +12,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from pairgrade.functions.encode import (
     CLARITY_LEVELS, COLOR_LEVELS, CUT_LEVELS, FIXED_POINT_DIGITS,
     fixed_point, ordinal, typed,
 )
+from pairgrade.sources.sinks import materialize
 
 
 # ---------------------------------------------------------------------------
@@ -28,10 +30,50 @@ PART_TYPE_LEVELS = ("SMALL", "MEDIUM", "LARGE", "STANDARD", "ECONOMY", "PROMO")
 RETURN_FLAG_LEVELS = ("A", "N", "R")
 
 
-def read_items_csv(spark: SparkSession, path: str) -> DataFrame:
+CORRUPT_COL = "_corrupt_line"
+
+
+def read_items_csv(spark: SparkSession, path: str, corrupt: str | None = None) -> DataFrame:
     """Header CSV, every column a string (no schema inference pass); casting
-    is done by ``encode_items`` so that malformed values become null."""
-    return spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path)
+    is done by ``encode_items`` so that malformed values become null.
+
+    ``corrupt``: a column that holds the text of each malformed line (one with
+    more or fewer cells than the header) and is null elsewhere.  Without it such
+    a line passes with cells missing or cut off."""
+    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
+    plain = reader.csv(path)
+    if corrupt is None:
+        return plain
+    schema = StructType([*plain.schema.fields, StructField(corrupt, StringType())])
+    # the parser counts the cells of a line only if it doesn't skip any
+    return (reader.schema(schema).option("columnNameOfCorruptRecord", corrupt).option("columnPruning", False)
+            .csv(path))
+
+
+def split_malformed(raw: DataFrame, corrupt: str = CORRUPT_COL) -> tuple[DataFrame, DataFrame]:
+    """(well-formed rows without ``corrupt``, malformed lines as ``line``).  The
+    files are parsed once and written, both parts read what was written."""
+    parsed = materialize(raw, "items-parsed")
+    good = parsed.where(F.col(corrupt).isNull()).drop(corrupt)
+    return good, parsed.where(F.col(corrupt).isNotNull()).select(F.col(corrupt).alias("line"))
+
+
+#: Columns with a number of their own; the three others are levels.
+NUMBER_COLUMNS = ("carat", "depth", "table", "price", "x", "y", "z")
+
+
+def malformed_counts(raw: DataFrame, corrupt: str = CORRUPT_COL) -> DataFrame:
+    """One row, by one aggregate: ``n_lines``, ``n_malformed_lines`` (wrong
+    number of cells), and of the well-formed ones for each number column
+    ``bad_<column>``, the cells with text that is no number, and
+    ``empty_<column>``, those without text."""
+    ok = F.col(corrupt).isNull()
+    cells = []
+    for c in NUMBER_COLUMNS:
+        own = F.col(f"`{c}`")
+        cells += [F.count_if(ok & own.isNotNull() & typed(own, "double").isNull()).alias(f"bad_{c}"),
+                  F.count_if(ok & own.isNull()).alias(f"empty_{c}")]
+    return raw.agg(F.count(F.lit(1)).alias("n_lines"), F.count_if(~ok).alias("n_malformed_lines"), *cells)
 
 
 def encode_items(df: DataFrame, price_type: str = "int",
