@@ -8,23 +8,26 @@ fewer than ``chunks * (errors + 1)`` symbols differ in at most ``errors``
 symbols of some chunk, and so share that chunk with some ``errors`` symbols
 left out.  All those remainders are the index keys: every pair within that
 distance meets (and by far most pairs beyond it that are as similar as the
-threshold).  Pairs that meet are confirmed on their full sets.
+threshold).  Pairs that meet are held against their whole signatures; those not
+far apart are confirmed on their full sets.
 
 No pairs are listed within a group.  Documents with equal sets are one node.
-In each round the nodes of a key are compared with one of them, what links
-becomes one component, and only nodes of different components are compared
-again; the last round, as soon as few enough pairs are left, compares all that
-are still apart under a common key.
+In each of the first rounds the nodes of a key are compared with one of them,
+and what links becomes one component.  Then the nodes of different components
+that still share a key meet in units of bounded size, a pair under its first
+common key only.  Signatures go there first; texts only of nodes that have a
+partner close enough, once for a unit and not once for a pair.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairgrade.llm.bitmap import flag_in
@@ -33,15 +36,15 @@ from pairgrade.llm.components import components
 from pairgrade.llm.countmin import DEPTH, cell_bits, estimated_repeated, repeated_cells
 from pairgrade.sources.sinks import materialize
 
-SHINGLE = 2
+SHINGLE = 5
 PERCENT = 80
 SYMBOLS = 160
 CHUNK = 8
 ERRORS = 1
-STAR_ROUNDS = 3
-#: Pairs a node (on average) up to which all that are left are listed at once.
-LISTED = 8
+STAR_ROUNDS = 2
 MEMBERS = 500
+#: Nodes of a unit: heads (kept in memory) and those that are compared with them.
+HEADS, OTHERS = 256, 2048
 
 _NODE = "struct<d1:bigint,d2:bigint>"
 
@@ -82,19 +85,48 @@ def signatures(x: np.ndarray, first: np.ndarray, symbols: int, seed: int = 5) ->
     return out
 
 
+def left_out(chunk: int, errors: int) -> np.ndarray:
+    """A row for each key of a chunk: which of its symbols are left out."""
+    rows = np.ones((math.comb(chunk, errors), chunk), bool)
+    for n, kept in enumerate(combinations(range(chunk), chunk - errors)):
+        rows[n, list(kept)] = False
+    return rows
+
+
 def index_keys(sig: np.ndarray, chunk: int, errors: int) -> np.ndarray:
     """For each row of symbols its keys: every chunk with every choice of
     ``errors`` symbols left out."""
     keys = []
     for c in range(0, sig.shape[1], chunk):
-        for n, kept in enumerate(combinations(range(chunk), chunk - errors)):
+        for n, out in enumerate(left_out(chunk, errors)):
             h = np.full(len(sig), (c << 16) + n, np.uint64)
-            for j in kept:
+            for j in np.flatnonzero(~out):
                 h = mix(h ^ sig[:, c + j].astype(np.uint64))
             keys.append(h)
     return np.stack(keys, axis=1)
 
 
+def far_apart(symbols: int, percent: int) -> int:
+    """Differing symbols that a pair at the threshold does not exceed but once
+    in a billion times (6.5 deviations)."""
+    q = 1 - percent / 100
+    return int(symbols * q + 6.5 * math.sqrt(symbols * q * (1 - q)))
+
+
+def near_heads(heads: np.ndarray, sig: np.ndarray, place: int, chunk: int, out: np.ndarray, far: int) -> np.ndarray:
+    """Which ``heads`` (rows of symbols) are at most ``far`` from ``sig`` and
+    share no key with it before the one at ``place``."""
+    differ = heads != sig
+    near = differ.sum(axis=1) <= far
+    if near.any():
+        errors = int(out[0].sum())
+        wrong = differ.reshape(len(heads), -1, chunk)
+        c, n = divmod(place, len(out))
+        near &= (wrong.sum(axis=2) <= errors).argmax(axis=1) == c
+        near &= (~(wrong[:, c, None, :] & ~out).any(axis=2)).argmax(axis=1) == n
+    return near
+
+
 def signed(own: DataFrame, size: int, symbols: int) -> DataFrame:
     """(doc_id, mark, n_shingles, node, sig): ``node`` is a digest of the set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,7 +153,8 @@ def signed(own: DataFrame, size: int, symbols: int) -> DataFrame:
 
 
 def shared_keys(nodes: DataFrame, chunk: int, errors: int, n_keys: int) -> DataFrame:
-    """(key, node) of the keys that more than one node has."""
+    """(key, place, node) of the keys that more than one node has, and of some
+    others; written."""
     def keys_of(part: pa.RecordBatch) -> np.ndarray:
         sig = np.frombuffer(b"".join(part.column(part.schema.get_field_index("text")).to_pylist()), np.uint16)
         return index_keys(sig.reshape(part.num_rows, -1), chunk, errors)
@@ -137,13 +170,13 @@ def shared_keys(nodes: DataFrame, chunk: int, errors: int, n_keys: int) -> DataF
             live = np.flatnonzero(estimated_repeated(sent.value, keys.ravel(), bits))
             row = pa.array(live // keys.shape[1])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.ravel()[live].view(np.int64)), part.column(0).take(row), part.column(1).take(row)],
-                names=["key", "d1", "d2"])
+                [pa.array(keys.ravel()[live].view(np.int64)), pa.array(live % keys.shape[1], pa.int32()),
+                 part.column(0).take(row), part.column(1).take(row)], names=["key", "place", "d1", "d2"])
 
-    of_key = Window.partitionBy("key")
-    return (flat.mapInArrow(run, "key bigint, d1 bigint, d2 bigint")
-            .withColumn("n", F.count("*").over(of_key)).where("n > 1")
-            .select("key", F.struct("d1", "d2").alias("node")))
+    found = materialize(flat.mapInArrow(run, "key bigint, place int, d1 bigint, d2 bigint")
+                        .select("key", "place", F.struct("d1", "d2").alias("node")), "keys")
+    sent.unpersist()
+    return found
 
 
 # ---------------------------------------------------------------------------
@@ -188,43 +221,165 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
                     F.struct(F.col("b1").alias("d1"), F.col("b2").alias("d2")).alias("b")))
 
 
-def _apart(keys: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """The rows of keys that nodes of several components have."""
+def _close(pairs: DataFrame, nodes: DataFrame, far: int) -> DataFrame:
+    """The ``pairs`` (a, b) whose signatures differ in at most ``far`` symbols."""
+    sig = lambda side: nodes.select(F.col("node").alias(side), F.col("sig").alias(f"sig_{side}"))
+    both = (pairs.join(sig("a"), "a").join(sig("b"), "b")
+            .select("a.d1", "a.d2", F.col("b.d1").alias("b1"), F.col("b.d2").alias("b2"), "sig_a", "sig_b"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            if part.num_rows:
+                a, b = (np.frombuffer(b"".join(part.column(n).to_pylist()), np.uint16).reshape(part.num_rows, -1)
+                        for n in (4, 5))
+                yield part.select([0, 1, 2, 3]).filter(pa.array((a != b).sum(axis=1) <= far))
+
+    return (both.mapInArrow(run, "d1 bigint, d2 bigint, b1 bigint, b2 bigint")
+            .select(F.struct("d1", "d2").alias("a"), F.struct(F.col("b1").alias("d1"), F.col("b2").alias("d2")).alias("b")))
+
+
+def _apart(keys: DataFrame, labels: DataFrame | None, *more) -> DataFrame:
+    """The rows of keys that nodes of several components have, with ``comp`` and
+    what the aggregates ``more`` give for their key; written."""
     own = keys.withColumn("comp", F.col("node")) if labels is None else (
         keys.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
-    of_key = Window.partitionBy("key")
-    return (own.withColumn("low", F.min("comp").over(of_key)).withColumn("high", F.max("comp").over(of_key))
-            .where(F.col("low") != F.col("high")).drop("low", "high"))
+    per_key = (own.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), *more)
+               .where("low != high").drop("low", "high"))
+    return materialize(own.join(per_key, "key"), "apart")
 
 
-def _star_pairs(apart: DataFrame, turn: int) -> DataFrame:
+def _star_pairs(apart: DataFrame) -> DataFrame:
     """For each node the partner that it meets most often, when each key's
-    partner is one of its nodes (another one each turn)."""
-    pick = F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "comp")
-    return (apart.withColumn("pick", F.min(pick).over(Window.partitionBy("key")))
-            .where(F.col("pick.comp") != F.col("comp"))
+    partner is one of its nodes (``pick``)."""
+    return (apart.where(F.col("pick.comp") != F.col("comp"))
             .groupBy("node", F.col("pick.node").alias("center")).agg(F.count("*").alias("n"))
             .groupBy("node").agg(F.max(F.struct("n", "center")).alias("best"))
             .select(F.col("best.center").alias("a"), F.col("node").alias("b")))
 
 
-def _rest_pairs(apart: DataFrame) -> DataFrame:
-    """All pairs of different components under a common key: of any such pair
-    one is outside the key's largest component."""
-    largest = (apart.groupBy("key", "comp").agg(F.count("*").alias("n"))
-               .groupBy("key").agg(F.max(F.struct("n", "comp")).alias("top"))
-               .select("key", F.col("top.comp").alias("largest")))
-    few = (apart.join(largest, "key").where(F.col("comp") != F.col("largest"))
-           .select("key", F.col("node").alias("x"), F.col("comp").alias("x_comp")))
-    return (few.join(apart, "key").where(F.col("x_comp") != F.col("comp"))
-            .select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct())
+def _units(apart: DataFrame) -> DataFrame:
+    """(key, x, y, other, few, place, node, comp): of any pair of components
+    under a key one is outside the key's largest.  Nodes outside of it (``few``)
+    are heads; their blocks meet the blocks of all the key's nodes."""
+    sizes = (apart.groupBy("key", "comp").agg(F.count("*").alias("n"))
+             .groupBy("key").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("n"))
+             .select("key", F.col("top.comp").alias("largest"),
+                     F.ceil((F.col("n") - F.col("top.n")) / HEADS).cast("int").alias("xs"),
+                     F.ceil(F.col("n") / OTHERS).cast("int").alias("ys")))
+    own = (apart.select("key", "place", "node", "comp").join(sizes, "key")
+           .withColumn("few", F.col("comp") != F.col("largest")))
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    block = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    columns = ["key", "x", "y", "other", "few", "place", "node", "comp"]
+    heads = own.where("few").withColumn("x", block("xs")).withColumn("y", each("ys")).withColumn("other", F.lit(False))
+    others = own.withColumn("y", block("ys")).withColumn("x", each("xs")).withColumn("other", F.lit(True))
+    return heads.select(*columns).unionByName(others.select(*columns))
+
+
+_UNIT = ("key bigint, x int, y int, other boolean, few boolean, place int, d1 bigint, d2 bigint, "
+         "c1 bigint, c2 bigint")
+
+
+def _laid(units: DataFrame, *more: str) -> DataFrame:
+    """Units one after the other, heads first."""
+    return (units.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "other")
+            .select("key", "x", "y", "other", "few", "place", "node.d1", "node.d2", F.col("comp.d1").alias("c1"),
+                    F.col("comp.d2").alias("c2"), "sig", *more))
+
+
+class _Unit:
+    """The heads of the unit at hand, and the pairs of one more node with them."""
+
+    def __init__(self, chunk: int, errors: int, far: int):
+        self.chunk, self.out, self.far = chunk, left_out(chunk, errors), far
+        self.at: tuple | None = None
+
+    def meet(self, row: tuple, sig: bytes) -> list[int] | None:
+        """The numbers of the heads to compare with, or none for a head, which
+        is taken in."""
+        key, x, y, other, few, place, d1, d2, c1, c2 = row
+        if self.at != (key, x, y):
+            self.at, self.heads, self.sigs, self.matrix = (key, x, y), [], [], None
+        if not other:
+            self.heads.append(row)
+            self.sigs.append(sig)
+            self.matrix = None
+            return None
+        if not self.heads:
+            return []
+        if self.matrix is None:
+            self.matrix = np.frombuffer(b"".join(self.sigs), np.uint16).reshape(len(self.heads), -1)
+        near = np.flatnonzero(near_heads(self.matrix, np.frombuffer(sig, np.uint16), place, self.chunk, self.out, self.far))
+        # two heads meet twice, and count once
+        return [n for n in near.tolist() if self.heads[n][8:] != (c1, c2)
+                and (not few or self.heads[n][6:8] < (d1, d2))]
+
+
+def _screened(units: DataFrame, nodes: DataFrame, chunk: int, errors: int, far: int) -> DataFrame:
+    """The rows of ``units`` with a partner that is close enough; written."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unit = _Unit(chunk, errors, far)
+        told: set[int] = set()
+        names = [f.split()[0] for f in _UNIT.split(", ")]
+        for part in batches:
+            rows = []
+            for row, sig in zip(zip(*(part.column(n).to_pylist() for n in range(10))), part.column(10).to_pylist()):
+                if unit.at != row[:3]:
+                    told.clear()
+                met = unit.meet(row, sig)
+                if met:
+                    rows += [unit.heads[n] for n in met if n not in told] + [row]
+                    told.update(met)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(
+                zip(*rows) if rows else [[]] * 10, part.schema)], names=names)
+
+    laid = _laid(units.join(nodes.select("node", "sig"), "node"))
+    return materialize(laid.mapInArrow(run, _UNIT).withColumn("node", F.struct("d1", "d2"))
+                       .withColumn("comp", F.struct(F.col("c1").alias("d1"), F.col("c2").alias("d2")))
+                       .drop("d1", "d2", "c1", "c2"), "screened")
+
+
+def _linked(screened: DataFrame, nodes: DataFrame, texts: DataFrame, size: int, percent: int, chunk: int, errors: int,
+            far: int) -> DataFrame:
+    """(a, b): links that join all components which have a link in some unit."""
+    laid = _laid(screened.join(nodes.select("node", "sig"), "node").join(texts, "node"), "text")
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unit = _Unit(chunk, errors, far)
+        sets: list[np.ndarray] = []
+        root: dict[tuple, tuple] = {}
 
-def _rest_size(apart: DataFrame) -> int:
-    """How many pairs ``_rest_pairs`` would look at."""
-    per_key = (apart.groupBy("key", "comp").agg(F.count("*").alias("n"))
-               .groupBy("key").agg(F.sum("n").alias("n"), F.max("n").alias("top")))
-    return per_key.agg(F.coalesce(F.sum(F.col("n") * (F.col("n") - F.col("top"))), F.lit(0)).alias("x")).first().x
+        def find(c):
+            while c in root:
+                c = root[c]
+            return c
+
+        for part in slices(batches):
+            x, first = shingle_sets(*text_buffers(part.column(11)), size)
+            found = []
+            columns = [part.column(n).to_pylist() for n in range(10)]
+            for i, (row, sig) in enumerate(zip(zip(*columns), part.column(10).to_pylist())):
+                if unit.at != row[:3]:
+                    sets, root = [], {}
+                own, met = x[first[i]:first[i + 1]], unit.meet(row, sig)
+                if met is None:
+                    sets.append(own.copy())
+                    continue
+                for n in met:
+                    a, b = find(unit.heads[n][8:]), find(row[8:])
+                    if a == b:
+                        continue
+                    at = np.searchsorted(own, sets[n])
+                    both = int((own[np.minimum(at, len(own) - 1)] == sets[n]).sum())
+                    if 100 * both >= percent * (len(own) + len(sets[n]) - both):
+                        root[a] = b
+                        found.append((*unit.heads[n][6:8], *row[6:8]))
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*found) if found else [[]] * 4)],
+                                             names=["a1", "a2", "b1", "b2"])
+
+    return (laid.mapInArrow(run, "a1 bigint, a2 bigint, b1 bigint, b2 bigint")
+            .select(F.struct(F.col("a1").alias("d1"), F.col("a2").alias("d2")).alias("a"),
+                    F.struct(F.col("b1").alias("d1"), F.col("b2").alias("d2")).alias("b")))
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, symbols: int = SYMBOLS,
@@ -241,6 +396,9 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     (``component_id`` null, kept); rows that repeat an id are judged each by
     its text; other columns are ignored.
 
+    An empty table gives no rows; a task needs memory for its longest text, and
+    for the sets of a unit's heads.
+
     Complete up to a signature distance of ``symbols / chunk * (errors + 1) - 1``
     symbols; at the threshold itself about one pair in a million shares no key.
     """
@@ -251,29 +409,26 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     nodes = materialize(nodes, "nodes")
     n_nodes = nodes.count()
     per_node = symbols // chunk * len(list(combinations(range(chunk), errors)))
-    keys = materialize(shared_keys(nodes, chunk, errors, n_nodes * per_node), "keys")
+    keys = shared_keys(nodes, chunk, errors, n_nodes * per_node)
 
     met = nodes.join(keys.select("node").distinct(), "node").select("node", "least.doc_id", "least.mark")
     texts = materialize(flag_in(own.where("doc_id is not null"), "mark", met, "met").where("met").drop("met")
                         .dropDuplicates(["doc_id", "mark"]).join(met, ["doc_id", "mark"])
                         .select("node", "text"), "texts")
 
-    labels, tried = None, None
-    for turn in range(STAR_ROUNDS + 1):
-        apart = materialize(_apart(keys, labels), "apart")
-        last = turn == STAR_ROUNDS or _rest_size(apart) <= LISTED * n_nodes
-        pairs = _rest_pairs(apart) if last else _star_pairs(apart, turn)
-        pairs = pairs.select("a", "b", F.least("a", "b").alias("least"), F.greatest("a", "b").alias("most"))
-        if tried is not None:
-            pairs = pairs.join(tried, ["least", "most"], "left_anti")
-        pairs = materialize(pairs, "pairs")
-        seen = pairs.select("least", "most")
-        tried = seen if tried is None else tried.unionByName(seen)
-        links = materialize(confirmed(pairs.select("a", "b"), texts, size, percent), "links")
-        if links.limit(1).count():
+    labels, far = None, far_apart(symbols, percent)
+    for turn in range(STAR_ROUNDS):
+        pick = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "comp")).alias("pick")
+        apart = _apart(keys, labels, pick)
+        keys = apart.select("key", "place", "node")  # a key of one component is done with
+        close = materialize(_close(_star_pairs(apart), nodes, far), "pairs")
+        links = materialize(confirmed(close, texts, size, percent), "links")
+        if not links.isEmpty():
             labels = components(links, labels)
-        if last:
-            break
+    screened = _screened(_units(_apart(keys, labels)), nodes, chunk, errors, far)
+    links = materialize(_linked(screened, nodes, texts, size, percent, chunk, errors, far), "links")
+    if not links.isEmpty():
+        labels = components(links, labels)
 
     if labels is None:
         of_node = nodes.select("node", F.col("least.doc_id").alias("component_id"))

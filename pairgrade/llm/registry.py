@@ -42,7 +42,7 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents")).drop("mark")
+    return near_duplicates(table(spark, sf_dir, "documents"), size=2).drop("mark")
 
 
 def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,20 +4,21 @@ import random
 import re
 
 import numpy as np
+import pytest
 
 from pairgrade.llm import near_dedup
-from pairgrade.llm.near_dedup import index_keys, near_duplicates
+from pairgrade.llm.near_dedup import index_keys, left_out, near_duplicates, near_heads
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
-def shingles(text):
+def shingles(text, size):
     w = WORD.findall(re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
-    return {tuple(w)} if len(w) == 1 else {tuple(w[i:i + 2]) for i in range(len(w) - 1)}
+    return {tuple(w)} if 0 < len(w) < size else {tuple(w[i:i + size]) for i in range(len(w) - size + 1)}
 
 
-def brute(docs):
-    sets = [shingles(t) for _, t in docs]
+def brute(docs, size=2):
+    sets = [shingles(t, size) for _, t in docs]
     parent = list(range(len(docs)))
 
     def find(x):
@@ -60,15 +61,47 @@ def case(seed=9, families=6, copies=25):
     return docs
 
 
-def test_matches_all_pairs(docs, monkeypatch):
-    monkeypatch.setattr(near_dedup, "LISTED", -1)
-    assert rows(near_duplicates(docs(case()))) == brute(case())
+@pytest.mark.parametrize("size", [2, 5])
+def test_matches_all_pairs(docs, size):
+    assert rows(near_duplicates(docs(case()), size=size)) == brute(case(), size)
 
 
-def test_all_pairs_at_once_and_spread_heads(docs, monkeypatch):
-    monkeypatch.setattr(near_dedup, "LISTED", 1 << 30)
+def test_five_words_by_default(docs):
+    assert rows(near_duplicates(docs(case(4, 3, 20)))) == brute(case(4, 3, 20), 5)
+
+
+@pytest.mark.parametrize("stars", [0, 2])
+def test_small_units_and_spread_heads(docs, monkeypatch, stars):
+    """The same without the first rounds, and however units are cut."""
+    monkeypatch.setattr(near_dedup, "STAR_ROUNDS", stars)
     monkeypatch.setattr(near_dedup, "MEMBERS", 3)
-    assert rows(near_duplicates(docs(case(11, 3, 20), 5))) == brute(case(11, 3, 20))
+    monkeypatch.setattr(near_dedup, "HEADS", 4)
+    monkeypatch.setattr(near_dedup, "OTHERS", 7)
+    assert rows(near_duplicates(docs(case(11, 3, 20), 5), size=2)) == brute(case(11, 3, 20))
+
+
+def test_long_texts(docs):
+    rng = random.Random(2)
+    base = [f"w{rng.randrange(5000)}" for _ in range(40_000)]
+    near, far = list(base), list(base)
+    near[::40] = ["x"] * len(near[::40])
+    far[::5] = ["y"] * len(far[::5])
+    own = [(1, " ".join(base)), (2, " ".join(near)), (3, " ".join(far)), (4, "short text")]
+    assert rows(near_duplicates(docs(own), size=2)) == brute(own)
+
+
+def test_a_pair_counts_under_its_first_common_key():
+    rng = np.random.default_rng(4)
+    for chunk, errors in ((8, 1), (4, 2)):
+        out = left_out(chunk, errors)
+        a = rng.integers(0, 1 << 16, 32).astype(np.uint16)
+        for changed in (0, 1, 3, 6, 12):
+            b = a.copy()
+            b[rng.choice(32, changed, replace=False)] ^= 1
+            common = np.flatnonzero(np.equal(*index_keys(np.stack([a, b]), chunk, errors)))
+            seen = [p for p in range(32 // chunk * len(out)) if near_heads(a[None], b, p, chunk, out, 32)[0]]
+            assert [p for p in seen if p in common] == common[:1].tolist()
+            assert not near_heads(a[None], b, int(common[0]), chunk, out, changed - 1)[0] if len(common) else True
 
 
 def test_every_pair_within_the_distance_shares_a_key():
@@ -86,4 +119,4 @@ def test_every_pair_within_the_distance_shares_a_key():
 def test_empty(docs):
     assert rows(near_duplicates(docs([]))) == []
     only = [(1, None), (2, ""), (3, "a b c")]
-    assert rows(near_duplicates(docs(only))) == brute(only)
+    assert rows(near_duplicates(docs(only), size=2)) == brute(only)

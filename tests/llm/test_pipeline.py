@@ -29,7 +29,7 @@ def plain():
     steps.append(rows)
     rows = kept_lines(rows)
     steps.append(rows)
-    kept = {r[0] for r in test_near_dedup.brute(rows) if r[3]}
+    kept = {r[0] for r in test_near_dedup.brute(rows, 5) if r[3]}
     rows = [r for r in rows if r[0] in kept]
     steps.append(rows)
     clean = {r[0] for r in test_decontaminate.brute(rows, items) if not r[5]}
