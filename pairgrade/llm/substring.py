@@ -8,6 +8,11 @@ groups them exactly by a 96-bit hash.  A partition first settles what its own
 rows settle: of a window's documents only the smallest goes on, the others are
 covered already.  So a window that a third of all documents hold reaches the
 exact grouping once for each partition, not once for each document.
+
+Before both passes documents with equal texts are found by their hashes.  All
+windows of a copy start in the one with the smallest id as well, so a copy loses
+every word (if it has a window at all) and no window of it needs to be counted,
+grouped or shuffled.
 """
 
 from __future__ import annotations
@@ -98,6 +103,10 @@ def _dealt(by: np.ndarray, groups: int) -> Iterator[tuple[int, np.ndarray]]:
         yield g, order[edges[g]:edges[g + 1]]
 
 
+def _by_document(doc: np.ndarray, mark: np.ndarray, groups: int) -> np.ndarray:
+    return (mix(doc.view(np.uint64) ^ mix(mark.view(np.uint64))) % np.uint64(groups)).astype(np.int64)
+
+
 def _rows(rows: list[tuple], names: list[str], types: list[pa.DataType]) -> pa.RecordBatch:
     columns = list(zip(*rows)) if rows else [[] for _ in types]
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
@@ -118,8 +127,8 @@ def covered_windows(own: DataFrame, sketch: np.ndarray, span: int, bits: int, bu
         def flush():
             rivals, gone = held.settle()
             rows = []
-            if len(gone[0]):
-                rows.append((int(rivals[0][0] % np.uint64(buckets)), _pack(*gone), None, None, None))
+            for b, some in _dealt(_by_document(*gone[:2], buckets), buckets):
+                rows.append((b, _pack(*(x[some] for x in gone)), None, None, None))
             for b, some in _dealt((rivals[0] % np.uint64(buckets)).astype(np.int64), buckets):
                 h1, h2, *place = (x[some] for x in rivals)
                 rows.append((b, None, h1.tobytes(), h2.tobytes(), _pack(*place)))
@@ -151,7 +160,7 @@ def covered_windows(own: DataFrame, sketch: np.ndarray, span: int, bits: int, bu
         def told():
             doc, mark, at = (np.concatenate(c) for c in zip(*gone))
             gone.clear()
-            by = (mix(doc.view(np.uint64) ^ mix(mark.view(np.uint64))) % np.uint64(buckets)).astype(np.int64)
+            by = _by_document(doc, mark, buckets)
             order = np.lexsort((at, mark, doc))
             doc, mark, at, by = doc[order], mark[order], at[order], by[order]
             return _rows([(g, _pack(doc[some], mark[some], at[some])) for g, some in _dealt(by, buckets)],
@@ -205,6 +214,28 @@ def covered_windows(own: DataFrame, sketch: np.ndarray, span: int, bits: int, bu
             .mapInArrow(per_document, "doc_id bigint, mark bigint, gone binary"))
 
 
+def split_copies(own: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows that are no copies, copies), both (doc_id, text, mark): a copy's
+    text also stands under a smaller id.
+
+    Texts are told apart by two 64-bit hashes and their length.  Only rows that
+    may be copies are shuffled, and written."""
+    keys = own.where("doc_id is not null").select(
+        "doc_id", "mark", F.xxhash64(F.lit(1), F.coalesce("text", F.lit(""))).alias("m2"),
+        F.octet_length(F.coalesce("text", F.lit(""))).alias("bytes"))
+    least = (keys.groupBy("mark", "m2", "bytes").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
+             .where("least < most").drop("most"))
+    row = F.xxhash64("doc_id", "mark")
+    copies = materialize(keys.join(least, ["mark", "m2", "bytes"]).where("doc_id > least").select("doc_id", "mark")
+                         .distinct(), "copies")
+    flagged = flag_in(own.withColumn("row", row), "row", copies.select(row.alias("mark")), "maybe").drop("row")
+    maybe = materialize(flagged.where("maybe").drop("maybe").join(
+        copies.withColumn("copy", F.lit(True)), ["doc_id", "mark"], "left"), "maybe-copies")
+    columns = ["doc_id", "text", "mark"]
+    rest = flagged.where("not maybe").select(*columns).unionByName(maybe.where("copy is null").select(*columns))
+    return rest, maybe.where("copy").select(*columns)
+
+
 def dedup_substrings(docs: DataFrame, span: int = SPAN, depth: int = DEPTH, id_col: str = "doc_id",
                      text_col: str = "text", sketch_bits: int | None = None) -> DataFrame:
     """(doc_id, n_words, n_removed, kept, kept_sha256), one row per input row;
@@ -214,9 +245,11 @@ def dedup_substrings(docs: DataFrame, span: int = SPAN, depth: int = DEPTH, id_c
     of ``span`` words over it also starts in a document with a smaller id;
     windows are those of the input.  A null text has no words.  A row without
     an id is kept whole and covers nothing.  Rows that share an id do not cover
-    each other; rows that repeat give equal rows; other columns are ignored.
+    each other; rows that repeat give equal rows; other columns are ignored.  An
+    empty table gives no rows; a text is never divided, so a task needs memory
+    in proportion to its longest one.
     """
-    own = id_text(docs, id_col, text_col).withColumn("mark", text_hash())
+    own, copies = split_copies(id_text(docs, id_col, text_col).withColumn("mark", text_hash()))
     size = own.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first().bytes
     windows = size // 6 + 1
     bits = sketch_bits or cell_bits(windows)
@@ -224,7 +257,7 @@ def dedup_substrings(docs: DataFrame, span: int = SPAN, depth: int = DEPTH, id_c
     gone = materialize(covered_windows(own, sketch, span, bits, windows // BUCKET_WINDOWS + 1), "covered-windows")
     touched = flag_in(own, "mark", gone, "touched")
 
-    def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def strip(batches: Iterator[pa.RecordBatch], whole: bool = False) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             raw, at = text_buffers(part.column(1))
             words = Words(raw, at, "visible")
@@ -237,6 +270,8 @@ def dedup_substrings(docs: DataFrame, span: int = SPAN, depth: int = DEPTH, id_c
                     np.add.at(edge, starts, 1)
                     np.add.at(edge, starts + span, -1)
                 left = np.flatnonzero(np.cumsum(edge)[:n] == 0) + lo
+                if whole and n >= span:
+                    left = left[:0]
                 text = b" ".join([words.raw[s:e].tobytes()
                                   for s, e in zip(words.start[left].tolist(), words.end[left].tolist())])
                 removed.append(n - len(left))
@@ -251,4 +286,6 @@ def dedup_substrings(docs: DataFrame, span: int = SPAN, depth: int = DEPTH, id_c
     joined = touched.where("touched").join(gone, ["doc_id", "mark"], "left").select("doc_id", "text", "gone")
     whole = touched.where("not touched").select("doc_id", "text", F.lit(None).cast("binary").alias("gone"))
     schema = "doc_id bigint, n_words bigint, n_removed bigint, kept string, kept_sha256 string"
-    return joined.mapInArrow(strip, schema).unionByName(whole.mapInArrow(strip, schema))
+    copies = copies.select("doc_id", "text", F.lit(None).cast("binary").alias("gone"))
+    return (joined.mapInArrow(strip, schema).unionByName(whole.mapInArrow(strip, schema))
+            .unionByName(copies.mapInArrow(lambda batches: strip(batches, True), schema)))

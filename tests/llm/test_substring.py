@@ -73,3 +73,31 @@ def test_gaps():
         x = np.sort(rng.integers(0, high, 500))
         assert (unpack_gaps(pack_gaps(x)) == x).all()
     assert len(unpack_gaps(b"")) == 0
+
+
+def test_documents_that_begin_alike_and_copies(docs, monkeypatch):
+    """A header in every document, and texts that stand more than once."""
+    monkeypatch.setattr(substring, "FLUSH_WINDOWS", 400)
+    monkeypatch.setattr(substring, "BUCKET_WINDOWS", 100)
+    header = " ".join(f"h{n}" for n in range(20))
+    own = [(n, f"{header} own {n % 25} " + " ".join(f"w{n % 25}x{k}" for k in range(n % 30))) for n in range(120)]
+    own += [(200, "short"), (201, "short"), (202, None), (203, ""), (204, " "), (None, own[0][1]), (7, own[3][1])]
+    assert rows(dedup_substrings(docs(own, 6))) == brute(own)
+
+
+def test_copies_are_told_apart(docs):
+    from pyspark.sql import functions as F
+
+    from pairgrade.llm.common import id_text, text_hash
+
+    own = [(5, "a b"), (3, "a b"), (9, "a b"), (9, "a b"), (3, "a b"), (4, "a  b"), (None, "a b"), (6, None), (8, "")]
+    rest, copies = substring.split_copies(id_text(docs(own)).withColumn("mark", text_hash()))
+    assert sorted(r.doc_id for r in copies.collect()) == [5, 8, 9, 9]
+    assert rest.count() + copies.count() == len(own) and rest.where(F.col("doc_id") == 3).count() == 2
+
+
+def test_long_texts(docs):
+    rng = random.Random(1)
+    long = " ".join(str(rng.randrange(1000)) for _ in range(60_000))
+    own = [(1, long), (2, long), (3, "x " + long[:200_000]), (4, "y" * 300_000)]
+    assert rows(dedup_substrings(docs(own))) == brute(own)
