@@ -6,7 +6,7 @@ import duckdb
 import pandas as pd
 from pyspark.sql import types as T
 
-from pairgrade.llm.quotes import SQL, linked_conversations
+from pairgrade.llm.quotes import SQL, in_reply_order, linked_conversations
 
 SCHEMA = T.StructType([T.StructField("conv_id", T.LongType()), T.StructField("turn", T.LongType()),
                        T.StructField("role", T.StringType()), T.StructField("text", T.StringType())])
@@ -43,9 +43,8 @@ def test_matches_sql(spark):
     con.register("conversations", pd.DataFrame(rows, columns=SCHEMA.names).astype(
         {"conv_id": "Int64", "turn": "Int64"}))
     want = con.sql(SQL).df()
-    key = lambda d: sorted(tuple(None if pd.isna(x) else x for x in r) for r in d[list(want.columns)].itertuples(
-        index=False)) if False else sorted(map(str, ([None if pd.isna(x) else int(x) if not isinstance(x, str) else x
-                                                      for x in r] for r in d[list(want.columns)].itertuples(index=False))))
+    key = lambda d: sorted(map(
+        str, ([None if pd.isna(x) else int(x) if not isinstance(x, str) else x for x in r] for r in d[list(want.columns)].itertuples(index=False))))
     assert key(got) == key(want)
     assert got.reply_to.notna().sum() > 10 and (got.level > 1).any()
 
@@ -69,3 +68,40 @@ def test_repeated_and_empty(spark):
     got = linked_conversations(frame(spark, rows)).collect()
     assert len(got) == 6 and sorted(r.text for r in got) == ["a", "a", "b", "b", "b", "c"]
     assert linked_conversations(frame(spark, [])).count() == 0
+
+
+def test_only_lines_with_a_source_go(spark):
+    rows = [(1, 0, "user", "Hello\nThanks,"),
+            (1, 1, "user", "> Thanks,\n> a long passage from an outside letter\n>\n> that stands nowhere else\nmy answer"),
+            (1, 2, "user", "> Hello\n>\n> Thanks,\nall of it")]
+    got = {r.turn: r for r in linked_conversations(frame(spark, rows)).collect()}
+    assert got[1].text == "> a long passage from an outside letter\n>\n> that stands nowhere else\nmy answer"
+    assert got[1].reply_to == 0 and got[1].n_quotes == 1
+    assert got[2].text == "all of it"
+
+
+def test_reply_order_with_branches(spark):
+    """Parent, then each child with all that follows from it, by turn."""
+    rng = random.Random(3)
+    parent, rows = {0: None, 1: None}, [(5, 0, "user", "line 0"), (5, 1, "user", "line 1")]
+    for turn in range(2, 40):
+        parent[turn] = rng.randrange(turn)
+        rows.append((5, turn, "user", f"> line {parent[turn]}\nline {turn}"))
+    children = {}
+    for turn, up in parent.items():
+        children.setdefault(up, []).append(turn)
+
+    def walk(turn):
+        return [turn] + [t for child in children.get(turn, []) for t in walk(child)]
+
+    out = linked_conversations(frame(spark, rows + [(4, 12, "user", "x"), (4, 3, "user", "y")]))
+    got = [(r.conv_id, r.turn) for r in in_reply_order(out).collect()]
+    assert got == [(4, 3), (4, 12)] + [(5, t) for t in walk(0) + walk(1)]
+
+
+def test_long_texts(spark):
+    long = "\n".join(f"said {n}" for n in range(30_000))
+    rows = [(1, 0, "user", long), (1, 1, "user", "\n".join("> " + x for x in long.split("\n")) + "\nyes"),
+            (1, 2, "user", "> " + "w" * 300_000 + "\nno")]
+    got = {r.turn: r for r in linked_conversations(frame(spark, rows)).collect()}
+    assert (got[1].text, got[1].reply_to, got[2].reply_to) == ("yes", 0, None)
