@@ -52,7 +52,7 @@ SEED = 123
 #: Trees of one fit, all of them in the driver.
 TREE_BATCH = 50
 #: The least number of partitions, and the rows that one has on average.
-PARTITIONS = 16
+PARTITIONS = 8
 PARTITION_ROWS = 1 << 17
 #: Equal rows that stay together.
 COPIES = 1000
