@@ -194,7 +194,7 @@ def _lines(part: pa.RecordBatch, least: int) -> Iterator[tuple[int, int, str]]:
 
 
 def shared_lines(own: DataFrame, distance: int, least: int, sketch_bits: int) -> DataFrame:
-    """What may be shared, by kind: ``line`` (an equal line may exist
+    """What may be shared (written), by kind: ``line`` (an equal line may exist
     elsewhere), ``key`` (a segment key that another line may hold), ``text``
     (of a line with such a key), ``gone`` (covered by an equal line of the same
     partition)."""
@@ -241,7 +241,9 @@ def shared_lines(own: DataFrame, distance: int, least: int, sketch_bits: int) ->
                 held = _Held()
         yield from told(held)
 
-    return own.select("doc_id", "text", "mark").mapInArrow(run, _ROWS)
+    shared = materialize(own.select("doc_id", "text", "mark").mapInArrow(run, _ROWS), "shared-lines")
+    sent.unpersist()
+    return shared
 
 
 def linked_lines(shared: DataFrame, distance: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -304,7 +306,7 @@ def covered_lines(own: DataFrame, distance: int = DISTANCE, least: int = MIN_CHA
     if sketch_bits is None:
         size = own.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first().bytes
         sketch_bits = cell_bits(size // 16)
-    shared = materialize(shared_lines(own, distance, least, sketch_bits), "shared-lines")
+    shared = shared_lines(own, distance, least, sketch_bits)
     place = F.struct("doc_id", "mark", "line")
     equal = (shared.where("kind = 'line'")
              .withColumn("first", F.min(place).over(Window.partitionBy("h1", "h2")))

@@ -113,7 +113,7 @@ def _rows(rows: list[tuple], names: list[str], types: list[pa.DataType]) -> pa.R
 
 
 def covered_windows(own: DataFrame, sketch: np.ndarray, span: int, bits: int, buckets: int) -> DataFrame:
-    """(doc_id, mark, gone): for each document the places of its windows whose
+    """(doc_id, mark, gone), written: for each document the places of its windows whose
     words also start in a document with a smaller id.
 
     Rows between the passes are packed: windows by a bucket of their hash, then
@@ -207,11 +207,14 @@ def covered_windows(own: DataFrame, sketch: np.ndarray, span: int, bits: int, bu
         if held:
             yield told()
 
-    return (own.select("doc_id", "text", "mark")
-            .mapInArrow(candidates, "bucket int, gone binary, h1 binary, h2 binary, places binary")
-            .repartition("bucket").sortWithinPartitions("bucket").mapInArrow(resolve, "bucket int, gone binary")
-            .repartition("bucket").sortWithinPartitions("bucket")
-            .mapInArrow(per_document, "doc_id bigint, mark bigint, gone binary"))
+    covered = materialize(
+        own.select("doc_id", "text", "mark")
+        .mapInArrow(candidates, "bucket int, gone binary, h1 binary, h2 binary, places binary")
+        .repartition("bucket").sortWithinPartitions("bucket").mapInArrow(resolve, "bucket int, gone binary")
+        .repartition("bucket").sortWithinPartitions("bucket")
+        .mapInArrow(per_document, "doc_id bigint, mark bigint, gone binary"), "covered-windows")
+    sent.unpersist()
+    return covered
 
 
 def split_copies(own: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -254,7 +257,7 @@ def dedup_substrings(docs: DataFrame, span: int = SPAN, depth: int = DEPTH, id_c
     windows = size // 6 + 1
     bits = sketch_bits or cell_bits(windows)
     sketch = repeated_cells(own.select("text"), lambda part: windows_of(part, span, 0)[2], depth, bits)
-    gone = materialize(covered_windows(own, sketch, span, bits, windows // BUCKET_WINDOWS + 1), "covered-windows")
+    gone = covered_windows(own, sketch, span, bits, windows // BUCKET_WINDOWS + 1)
     touched = flag_in(own, "mark", gone, "touched")
 
     def strip(batches: Iterator[pa.RecordBatch], whole: bool = False) -> Iterator[pa.RecordBatch]:
