@@ -38,16 +38,14 @@ from pairgrade.sources.sinks import materialize
 
 SHINGLE = 5
 PERCENT = 80
-SYMBOLS = 160
-CHUNK = 8
+SYMBOLS = 240
+CHUNK = 10
 ERRORS = 1
 STAR_ROUNDS = 2
 MEMBERS = 500
 #: Nodes of a unit: heads (kept in memory) and those that are compared with them.
 HEADS, OTHERS = 256, 2048
 
-_NODE = "struct<d1:bigint,d2:bigint>"
-
 
 # ---------------------------------------------------------------------------
 # Sets and signatures
@@ -128,7 +126,8 @@ def near_heads(heads: np.ndarray, sig: np.ndarray, place: int, chunk: int, out:
 
 
 def signed(own: DataFrame, size: int, symbols: int) -> DataFrame:
-    """(doc_id, mark, n_shingles, node, sig): ``node`` is a digest of the set."""
+    """(doc_id, mark, n_shingles, digest, sig): a digest and the signature of the
+    set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             x, first = shingle_sets(*text_buffers(part.column(1)), size)
@@ -149,7 +148,7 @@ def signed(own: DataFrame, size: int, symbols: int) -> DataFrame:
 
     return own.select("doc_id", "text", "mark").mapInArrow(
         run, "doc_id bigint, mark bigint, n_shingles bigint, d1 bigint, d2 bigint, sig binary") \
-        .select("doc_id", "mark", "n_shingles", F.struct("d1", "d2").alias("node"), "sig")
+        .select("doc_id", "mark", "n_shingles", F.struct("d1", "d2").alias("digest"), "sig")
 
 
 def shared_keys(nodes: DataFrame, chunk: int, errors: int, n_keys: int) -> DataFrame:
@@ -160,7 +159,7 @@ def shared_keys(nodes: DataFrame, chunk: int, errors: int, n_keys: int) -> DataF
         return index_keys(sig.reshape(part.num_rows, -1), chunk, errors)
 
     bits = cell_bits(n_keys)
-    flat = nodes.select("node.d1", "node.d2", F.col("sig").alias("text"))
+    flat = nodes.select("node", F.col("sig").alias("text"))
     sent = nodes.sparkSession.sparkContext.broadcast(
         repeated_cells(flat.select("text"), lambda part: keys_of(part).ravel(), DEPTH, bits))
 
@@ -168,13 +167,11 @@ def shared_keys(nodes: DataFrame, chunk: int, errors: int, n_keys: int) -> DataF
         for part in slices(batches, max_bytes=1 << 20):
             keys = keys_of(part)
             live = np.flatnonzero(estimated_repeated(sent.value, keys.ravel(), bits))
-            row = pa.array(live // keys.shape[1])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys.ravel()[live].view(np.int64)), pa.array(live % keys.shape[1], pa.int32()),
-                 part.column(0).take(row), part.column(1).take(row)], names=["key", "place", "d1", "d2"])
+                 part.column(0).take(pa.array(live // keys.shape[1]))], names=["key", "place", "node"])
 
-    found = materialize(flat.mapInArrow(run, "key bigint, place int, d1 bigint, d2 bigint")
-                        .select("key", "place", F.struct("d1", "d2").alias("node")), "keys")
+    found = materialize(flat.mapInArrow(run, "key bigint, place int, node bigint"), "keys")
     sent.unpersist()
     return found
 
@@ -190,70 +187,67 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
     counted = pairs.groupBy("a").agg(F.count("*").alias("partners")).withColumn("salts", salts)
     heads = (counted.join(texts.withColumnRenamed("node", "a"), "a")
              .select("a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
-                     F.lit(None).cast(_NODE).alias("b"), "text"))
+                     F.lit(None).cast("bigint").alias("b"), "text"))
     members = (pairs.join(counted, "a")
                .withColumn("salt", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int"))
                .select("a", "salt", "b").join(texts.withColumnRenamed("node", "b"), "b")
                .select("a", "salt", "b", "text"))
     laid = (heads.unionByName(members).repartition("a", "salt")
-            .sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
-            .select("a.d1", "a.d2", "salt", F.col("b.d1").alias("b1"), F.col("b.d2").alias("b2"), "text"))
+            .sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first()).select("a", "salt", "b", "text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, head = None, None
         for part in slices(batches):
-            x, first = shingle_sets(*text_buffers(part.column(5)), size)
+            x, first = shingle_sets(*text_buffers(part.column(3)), size)
             found = []
-            for i, (d1, d2, salt, b1, b2) in enumerate(zip(*(part.column(k).to_pylist() for k in range(5)))):
+            for i, (a, salt, b) in enumerate(zip(*(part.column(k).to_pylist() for k in range(3)))):
                 own = x[first[i]:first[i + 1]]
-                if b1 is None:
-                    group, head = (d1, d2, salt), own.copy()
-                elif group == (d1, d2, salt):
+                if b is None:
+                    group, head = (a, salt), own.copy()
+                elif group == (a, salt):
                     both = len(np.intersect1d(head, own, assume_unique=True))
                     if 100 * both >= percent * (len(head) + len(own) - both):
-                        found.append((d1, d2, b1, b2))
-            columns = list(zip(*found)) if found else [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns],
-                                             names=["a1", "a2", "b1", "b2"])
+                        found.append((a, b))
+            yield _pairs(found)
+
+    return laid.mapInArrow(run, "a bigint, b bigint")
+
 
-    return (laid.mapInArrow(run, "a1 bigint, a2 bigint, b1 bigint, b2 bigint")
-            .select(F.struct(F.col("a1").alias("d1"), F.col("a2").alias("d2")).alias("a"),
-                    F.struct(F.col("b1").alias("d1"), F.col("b2").alias("d2")).alias("b")))
+def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*found) if found else ([], []))],
+                                      names=["a", "b"])
 
 
 def _close(pairs: DataFrame, nodes: DataFrame, far: int) -> DataFrame:
     """The ``pairs`` (a, b) whose signatures differ in at most ``far`` symbols."""
     sig = lambda side: nodes.select(F.col("node").alias(side), F.col("sig").alias(f"sig_{side}"))
-    both = (pairs.join(sig("a"), "a").join(sig("b"), "b")
-            .select("a.d1", "a.d2", F.col("b.d1").alias("b1"), F.col("b.d2").alias("b2"), "sig_a", "sig_b"))
+    both = pairs.join(sig("a"), "a").join(sig("b"), "b").select("a", "b", "sig_a", "sig_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
             if part.num_rows:
                 a, b = (np.frombuffer(b"".join(part.column(n).to_pylist()), np.uint16).reshape(part.num_rows, -1)
-                        for n in (4, 5))
-                yield part.select([0, 1, 2, 3]).filter(pa.array((a != b).sum(axis=1) <= far))
+                        for n in (2, 3))
+                yield part.select([0, 1]).filter(pa.array((a != b).sum(axis=1) <= far))
 
-    return (both.mapInArrow(run, "d1 bigint, d2 bigint, b1 bigint, b2 bigint")
-            .select(F.struct("d1", "d2").alias("a"), F.struct(F.col("b1").alias("d1"), F.col("b2").alias("d2")).alias("b")))
+    return both.mapInArrow(run, "a bigint, b bigint")
 
 
-def _apart(keys: DataFrame, labels: DataFrame | None, *more) -> DataFrame:
+def _apart(keys: DataFrame, labels: DataFrame | None) -> DataFrame:
     """The rows of keys that nodes of several components have, with ``comp`` and
-    what the aggregates ``more`` give for their key; written."""
+    the key's least and greatest one (``low``, ``high``); written."""
     own = keys.withColumn("comp", F.col("node")) if labels is None else (
         keys.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
-    per_key = (own.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), *more)
-               .where("low != high").drop("low", "high"))
+    per_key = own.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high")
     return materialize(own.join(per_key, "key"), "apart")
 
 
-def _star_pairs(apart: DataFrame) -> DataFrame:
+def _star_pairs(apart: DataFrame, center: str) -> DataFrame:
     """For each node the partner that it meets most often, when each key's
-    partner is one of its nodes (``pick``)."""
-    return (apart.where(F.col("pick.comp") != F.col("comp"))
-            .groupBy("node", F.col("pick.node").alias("center")).agg(F.count("*").alias("n"))
-            .groupBy("node").agg(F.max(F.struct("n", "center")).alias("best"))
+    partner is the first node of its least or greatest component."""
+    return (apart.where(F.col(center) != F.col("comp"))
+            .groupBy("node", center).agg(F.count("*").alias("n"))
+            .groupBy("node").agg(F.max(F.struct("n", F.col(center).alias("center"))).alias("best"))
             .select(F.col("best.center").alias("a"), F.col("node").alias("b")))
 
 
@@ -276,15 +270,13 @@ def _units(apart: DataFrame) -> DataFrame:
     return heads.select(*columns).unionByName(others.select(*columns))
 
 
-_UNIT = ("key bigint, x int, y int, other boolean, few boolean, place int, d1 bigint, d2 bigint, "
-         "c1 bigint, c2 bigint")
+_UNIT = "key bigint, x int, y int, other boolean, few boolean, place int, node bigint, comp bigint"
 
 
 def _laid(units: DataFrame, *more: str) -> DataFrame:
     """Units one after the other, heads first."""
     return (units.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "other")
-            .select("key", "x", "y", "other", "few", "place", "node.d1", "node.d2", F.col("comp.d1").alias("c1"),
-                    F.col("comp.d2").alias("c2"), "sig", *more))
+            .select("key", "x", "y", "other", "few", "place", "node", "comp", "sig", *more))
 
 
 class _Unit:
@@ -297,7 +289,7 @@ class _Unit:
     def meet(self, row: tuple, sig: bytes) -> list[int] | None:
         """The numbers of the heads to compare with, or none for a head, which
         is taken in."""
-        key, x, y, other, few, place, d1, d2, c1, c2 = row
+        key, x, y, other, few, place, node, comp = row
         if self.at != (key, x, y):
             self.at, self.heads, self.sigs, self.matrix = (key, x, y), [], [], None
         if not other:
@@ -311,8 +303,7 @@ class _Unit:
             self.matrix = np.frombuffer(b"".join(self.sigs), np.uint16).reshape(len(self.heads), -1)
         near = np.flatnonzero(near_heads(self.matrix, np.frombuffer(sig, np.uint16), place, self.chunk, self.out, self.far))
         # two heads meet twice, and count once
-        return [n for n in near.tolist() if self.heads[n][8:] != (c1, c2)
-                and (not few or self.heads[n][6:8] < (d1, d2))]
+        return [n for n in near.tolist() if self.heads[n][7] != comp and (not few or self.heads[n][6] < node)]
 
 
 def _screened(units: DataFrame, nodes: DataFrame, chunk: int, errors: int, far: int) -> DataFrame:
@@ -323,7 +314,7 @@ def _screened(units: DataFrame, nodes: DataFrame, chunk: int, errors: int, far:
         names = [f.split()[0] for f in _UNIT.split(", ")]
         for part in batches:
             rows = []
-            for row, sig in zip(zip(*(part.column(n).to_pylist() for n in range(10))), part.column(10).to_pylist()):
+            for row, sig in zip(zip(*(part.column(n).to_pylist() for n in range(8))), part.column(8).to_pylist()):
                 if unit.at != row[:3]:
                     told.clear()
                 met = unit.meet(row, sig)
@@ -331,12 +322,10 @@ def _screened(units: DataFrame, nodes: DataFrame, chunk: int, errors: int, far:
                     rows += [unit.heads[n] for n in met if n not in told] + [row]
                     told.update(met)
             yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(
-                zip(*rows) if rows else [[]] * 10, part.schema)], names=names)
+                zip(*rows) if rows else [[]] * 8, part.schema)], names=names)
 
     laid = _laid(units.join(nodes.select("node", "sig"), "node"))
-    return materialize(laid.mapInArrow(run, _UNIT).withColumn("node", F.struct("d1", "d2"))
-                       .withColumn("comp", F.struct(F.col("c1").alias("d1"), F.col("c2").alias("d2")))
-                       .drop("d1", "d2", "c1", "c2"), "screened")
+    return materialize(laid.mapInArrow(run, _UNIT), "screened")
 
 
 def _linked(screened: DataFrame, nodes: DataFrame, texts: DataFrame, size: int, percent: int, chunk: int, errors: int,
@@ -347,7 +336,7 @@ def _linked(screened: DataFrame, nodes: DataFrame, texts: DataFrame, size: int,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unit = _Unit(chunk, errors, far)
         sets: list[np.ndarray] = []
-        root: dict[tuple, tuple] = {}
+        root: dict[int, int] = {}
 
         def find(c):
             while c in root:
@@ -355,10 +344,10 @@ def _linked(screened: DataFrame, nodes: DataFrame, texts: DataFrame, size: int,
             return c
 
         for part in slices(batches):
-            x, first = shingle_sets(*text_buffers(part.column(11)), size)
+            x, first = shingle_sets(*text_buffers(part.column(9)), size)
             found = []
-            columns = [part.column(n).to_pylist() for n in range(10)]
-            for i, (row, sig) in enumerate(zip(zip(*columns), part.column(10).to_pylist())):
+            columns = [part.column(n).to_pylist() for n in range(8)]
+            for i, (row, sig) in enumerate(zip(zip(*columns), part.column(8).to_pylist())):
                 if unit.at != row[:3]:
                     sets, root = [], {}
                 own, met = x[first[i]:first[i + 1]], unit.meet(row, sig)
@@ -366,20 +355,27 @@ def _linked(screened: DataFrame, nodes: DataFrame, texts: DataFrame, size: int,
                     sets.append(own.copy())
                     continue
                 for n in met:
-                    a, b = find(unit.heads[n][8:]), find(row[8:])
+                    a, b = find(unit.heads[n][7]), find(row[7])
                     if a == b:
                         continue
                     at = np.searchsorted(own, sets[n])
                     both = int((own[np.minimum(at, len(own) - 1)] == sets[n]).sum())
                     if 100 * both >= percent * (len(own) + len(sets[n]) - both):
                         root[a] = b
-                        found.append((*unit.heads[n][6:8], *row[6:8]))
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*found) if found else [[]] * 4)],
-                                             names=["a1", "a2", "b1", "b2"])
+                        found.append((unit.heads[n][6], row[6]))
+            yield _pairs(found)
+
+    return laid.mapInArrow(run, "a bigint, b bigint")
+
 
-    return (laid.mapInArrow(run, "a1 bigint, a2 bigint, b1 bigint, b2 bigint")
-            .select(F.struct(F.col("a1").alias("d1"), F.col("a2").alias("d2")).alias("a"),
-                    F.struct(F.col("b1").alias("d1"), F.col("b2").alias("d2")).alias("b")))
+def _texts(own: DataFrame, nodes: DataFrame, needed: DataFrame) -> DataFrame:
+    """(node, text) of the nodes ``needed``; of the texts only theirs (and a few
+    that a bitmap takes for theirs) are shuffled."""
+    met = nodes.join(needed.distinct(), "node").select("node", "least.doc_id", F.col("least.mark").alias("mark"))
+    row = F.xxhash64("doc_id", "mark")
+    return (flag_in(own.where("doc_id is not null").withColumn("row", row), "row", met.select(row.alias("mark")), "met")
+            .where("met").select("doc_id", "mark", "text").dropDuplicates(["doc_id", "mark"])
+            .join(met, ["doc_id", "mark"]).select("node", "text"))
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, symbols: int = SYMBOLS,
@@ -400,44 +396,40 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     for the sets of a unit's heads.
 
     Complete up to a signature distance of ``symbols / chunk * (errors + 1) - 1``
-    symbols; at the threshold itself about one pair in a million shares no key.
+    symbols; at the threshold itself about one pair in 80,000 shares no key.
     """
     own = id_text(docs, id_col, text_col).withColumn("mark", text_hash())
     base = materialize(signed(own, size, symbols), "signatures")
-    nodes = (base.where("n_shingles > 0 and doc_id is not null").groupBy("node")
-             .agg(F.min(F.struct("doc_id", "mark")).alias("least"), F.first("sig").alias("sig")))
-    nodes = materialize(nodes, "nodes")
-    n_nodes = nodes.count()
-    per_node = symbols // chunk * len(list(combinations(range(chunk), errors)))
-    keys = shared_keys(nodes, chunk, errors, n_nodes * per_node)
-
-    met = nodes.join(keys.select("node").distinct(), "node").select("node", "least.doc_id", "least.mark")
-    texts = materialize(flag_in(own.where("doc_id is not null"), "mark", met, "met").where("met").drop("met")
-                        .dropDuplicates(["doc_id", "mark"]).join(met, ["doc_id", "mark"])
-                        .select("node", "text"), "texts")
+    nodes = (base.where("n_shingles > 0 and doc_id is not null").groupBy("digest")
+             .agg(F.min(F.struct("doc_id", "mark")).alias("least"), F.first("sig").alias("sig"))
+             .withColumn("node", F.monotonically_increasing_id()))
+    nodes = materialize(nodes, "nodes")  # numbers that are short to shuffle; written, so they stay
+    per_node = symbols // chunk * math.comb(chunk, errors)
+    keys = shared_keys(nodes, chunk, errors, nodes.count() * per_node)
 
     labels, far = None, far_apart(symbols, percent)
     for turn in range(STAR_ROUNDS):
-        pick = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "comp")).alias("pick")
-        apart = _apart(keys, labels, pick)
+        apart = _apart(keys, labels)
         keys = apart.select("key", "place", "node")  # a key of one component is done with
-        close = materialize(_close(_star_pairs(apart), nodes, far), "pairs")
-        links = materialize(confirmed(close, texts, size, percent), "links")
+        close = materialize(_close(_star_pairs(apart, "high" if turn % 2 else "low"), nodes, far), "pairs")
+        needed = close.select(F.explode(F.array("a", "b")).alias("node"))
+        links = materialize(confirmed(close, _texts(own, nodes, needed), size, percent), "links")
         if not links.isEmpty():
             labels = components(links, labels)
     screened = _screened(_units(_apart(keys, labels)), nodes, chunk, errors, far)
+    texts = _texts(own, nodes, screened.select("node"))
     links = materialize(_linked(screened, nodes, texts, size, percent, chunk, errors, far), "links")
     if not links.isEmpty():
         labels = components(links, labels)
 
     if labels is None:
-        of_node = nodes.select("node", F.col("least.doc_id").alias("component_id"))
+        of_node = nodes.select("digest", F.col("least.doc_id").alias("component_id"))
     else:
-        placed = nodes.join(labels, "node", "left").select("node", F.coalesce("comp", "node").alias("comp"),
+        placed = nodes.join(labels, "node", "left").select("digest", F.coalesce("comp", "node").alias("comp"),
                                                            "least.doc_id")
         heads = placed.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
-        of_node = placed.join(heads, "comp").select("node", "component_id")
-    return (base.join(of_node, "node", "left")
+        of_node = placed.join(heads, "comp").select("digest", "component_id")
+    return (base.join(of_node, "digest", "left")
             .withColumn("component_id", F.when(F.col("doc_id").isNull(), F.lit(None).cast("bigint"))
                         .when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")))
             .select("doc_id", "mark", "n_shingles", "component_id",
