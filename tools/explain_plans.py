@@ -5,8 +5,9 @@ usage: python tools/explain_plans.py [sf_dir]
 1. the narrow pair frame that is written once (scan pruning, joins, split);
 2. min-max scaling of the written frame (bounds as one merged subquery);
 3. ALS scoring with broadcast factor tables + the one-aggregate metrics;
-4. one half-iteration of the pair solver (broadcast factors, no shuffle of
-   the pre-partitioned pairs).
+4. the aggregated pairs of two models (one scan, grouping sets);
+5. one half-iteration of the pair solver for both models (one shuffle of the
+   factors, none of the cached pairs).
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from pairgrade.operators import fit_als, score_als  # noqa: E402
 from pairgrade.operators import wals  # noqa: E402
 from pairgrade.plans.experiments import pair_frame, pair_metrics, scale_label  # noqa: E402
 from pairgrade.sources import materialize, tpch_items  # noqa: E402
+from pairgrade.sources.sinks import Scratch  # noqa: E402
 
 KEY = ["order_id", "line_no"]
 
@@ -35,6 +37,11 @@ def show(title, df):
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.001"
     spark = build_session("local[4]", driver_memory="4g")
+    explain(spark, sf_dir)
+    spark.stop()
+
+
+def explain(spark, sf_dir):
     items = tpch_items(spark, sf_dir)
     frame = pair_frame(items, "quantity", "price", "grade", KEY, bias="price")
     show("1. narrow pair frame (written once)", frame)
@@ -46,16 +53,18 @@ def main(argv):
     scored = score_als(model, written.where("not is_train"))
     show("3. broadcast scoring + one-aggregate metrics",
          pair_metrics(scored, "quantity", "price"))
-    pairs = wals.aggregate_pairs(written.where("is_train"), "user_id", "item_id", "label")
-    pairs = wals._with_salt(wals._with_salt(pairs, "u", "i", 1000, 8), "i", "u", 1000, 8)
-    by_i = pairs.repartition(4, "i", "salt_i").sortWithinPartitions("i", "salt_i")
-    users = wals.init_factors(pairs.select(F.col("u").alias("id")).distinct(), 4, 1)
-    fsrc = users.select(F.col("id").alias("u"), F.col("features").alias("f"))
-    step = by_i.join(F.broadcast(fsrc), "u").select(
-        F.col("i").alias("dst"), F.col("salt_i").alias("salt"), F.col("groups_i").alias("groups"),
-        "c", "s", "f").mapInPandas(wals._normal_equations(4, 0.01), wals._STEP_SCHEMA)
-    show("4. pair solver half-iteration", step)
-    spark.stop()
+    models = [("user_id", "item_id"), ("item_id", "user_id")]
+    pairs = wals.aggregate_models(written.where("is_train"), models, "label")
+    show("4. pairs of two models by one scan with grouping sets", pairs)
+    pairs = materialize(pairs, "explain-pairs")
+    sizes = {r.model: r["count"] for r in pairs.groupBy("model").count().collect()}
+    for dst, src in (("u", "i"), ("i", "u")):
+        pairs = wals._with_salt(pairs, dst, src, 1000)
+    pairs = pairs.withColumn("part_u", wals._part("u", sizes, 4)).withColumn("part_i", wals._part("i", sizes, 4))
+    by_u, by_i = wals._side(pairs, "u", "i", 4, False), wals._side(pairs, "i", "u", 4, False)
+    with Scratch(spark) as scratch:
+        step = lambda side, sent: wals._half_step(side, sent, 4, 0.01, 1, True, scratch)
+        show("5. pair solver half-iteration, both models", step(by_u, wals._sent(step(by_i, None))))
 
 
 if __name__ == "__main__":
