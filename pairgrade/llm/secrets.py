@@ -1,8 +1,10 @@
 """Secret scans: fixed patterns, and strings that compression finds new.
 
-Base spans come from three patterns.  Beyond them, a long string after a
-sensitive word is measured: how many bytes it adds to a zstandard frame whose
-dictionary holds common identifiers and the text around it.  Names and words
+Base spans come from three patterns.  Beyond them, a long string in a sensitive
+context (near a sensitive word, quoted as the value of an identifier, the
+password of a URL, or with the prefix of a known kind of key) is measured: how
+many bytes it adds to a zstandard frame whose dictionary holds common identifiers
+and the text around it.  Names and words
 are copied from there for a few bytes; a random key costs its whole length.
 """
 
@@ -29,6 +31,13 @@ KINDS = ("assign", "access", "hex", "novel")
 #: Words that make a string near them worth measuring.
 SENSITIVE = re.compile(rb"(?<![A-Za-z])(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access|private|"
                        rb"credentials?|auth(?:orization)?|bearer|signature|licen[cs]e[_-]?key)(?![a-z])", re.IGNORECASE)
+#: How keys of well-known services begin.
+PREFIX = re.compile(rb"gh[pousr]_|github_pat_|glpat-|sk[-_]|[pr]k_(?:live|test)_|xox[abeoprs]-|npm_|pypi-|SG\.|eyJ[A-Za-z0-9]")
+#: What stands before the quoted value of an identifier, and before a URL's password.
+ASSIGNED = re.compile(rb"""[A-Za-z_][A-Za-z0-9_.-]*["']?\s*(?:=>|:=|=|:)\s*["'`]$""")
+LOGIN = re.compile(rb"://[^\s/:@]*:$")
+MIXED = re.compile(rb"(?=.*[A-Za-z])(?=.*[0-9])")
+UUID = re.compile(rb"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$")
 CANDIDATE = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
 ENDS = b"+/_.=-"
 INNER = re.compile(rb"(?<!=)=++(?=.)")  # not at the end
@@ -118,10 +127,28 @@ def values(raw: bytes, start: int, end: int, least: int) -> list[tuple[int, int]
     return parts if len(edges) > 2 else []
 
 
+def sensitive(raw: bytes, start: int, end: int, reach: int) -> bool:
+    """Whether a string stands where secrets do: a sensitive word within
+    ``reach`` bytes before it or half as many behind it on its line, quoted as
+    the value of an identifier (letters with digits, and no UUID), as the
+    password of a URL, or with a known prefix."""
+    lo = max(0, start - reach)
+    if SENSITIVE.search(raw, lo, start) or PREFIX.match(raw, start, end):
+        return True
+    line = raw.find(b"\n", end, end + reach // 2)
+    if SENSITIVE.search(raw, end, line if line >= 0 else min(len(raw), end + reach // 2)):
+        return True
+    before, after = raw[lo:start], raw[end:end + 1]
+    if after == b"@" and LOGIN.search(before):
+        return True
+    return (after in (b'"', b"'", b"`") and after == before[-1:] and ASSIGNED.search(before) is not None
+            and MIXED.match(raw, start, end) is not None and UUID.match(raw, start, end) is None)
+
+
 def novel_spans(raw: bytes, candidates: list[tuple[int, int]], known: list[tuple[int, int, int]],
                 novelty: Novelty, threshold: float, reach: int, least: int = 16) -> list[tuple[int, int, int]]:
-    """The candidates outside all base spans that follow a sensitive word
-    within ``reach`` bytes and cost ``threshold`` bytes a byte at least.  Of a
+    """The candidates outside all base spans that are ``sensitive`` by their
+    context and cost ``threshold`` bytes a byte at least.  Of a
     candidate that does not, the parts between equals signs (``values``) that
     do: there the word may stand in the candidate itself.  Runs of hexadecimal
     digits that leave ``least`` bytes of a candidate do not tell it: a long key
@@ -132,7 +159,7 @@ def novel_spans(raw: bytes, candidates: list[tuple[int, int]], known: list[tuple
 
     def found(start: int, end: int) -> bool:
         return (not told(start, end)
-                and SENSITIVE.search(raw, max(0, start - reach), start) is not None
+                and sensitive(raw, start, end, reach)
                 and novelty.alone(raw, start, end) >= threshold)
 
     out = []
@@ -153,7 +180,8 @@ def secret_spans(docs: DataFrame, threshold: float = 0.9, least: int = 16, reach
     kind as in ``KINDS``.  ``base_sha256`` covers the three base kinds, ``spans``
     lists all.  A null text counts as empty (no spans, digest of no bytes); a
     null id stays null; repeated rows give repeated rows; other columns are
-    ignored.
+    ignored; an empty table gives no rows.  A text is never divided: a task needs
+    memory for its longest one.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         novelty = Novelty()

@@ -47,3 +47,29 @@ def test_a_key_that_stands_twice(docs):
     texts = [f"enter the access key {a} and the access key {a} again", f"access: {b}\n# access: {b}.\naccess={b}",
              f"the private key {c}, the private key {c}", f"access {d}" + " " * 235 + f"access {d}"]
     assert found(docs, texts) == [[a, a], [b, b + ".", b], [c, c], [d, d]]
+
+
+def test_contexts_without_a_word_before(docs):
+    """Planted keys in code and prose, among strings that are no secrets."""
+    rng = random.Random(12)
+    planted = ["ghp_{} pushed", "openai sk-{} in a config", "xoxb-{}", "postgres://admin:{}@db.example/main",
+               'SIGNING = "{}"', "salt: '{}'", "{{'seed': \"{}\"}}", "nonce := `{}`", "{} is my password", "{}  # auth"]
+    keys = [key(rng, 36, string.ascii_letters + string.digits) for _ in planted]
+    whole = [{0: "ghp_", 1: "sk-", 2: "xoxb-"}.get(n, "") + k for n, k in enumerate(keys)]
+    assert found(docs, [p.format(k) for p, k in zip(planted, keys)]) == [[w] for w in whole]
+    uuid = "550e8400-e29b-41d4-a716-446655440000"
+    harmless = [f'request_id = "{uuid}"', 'path = "/usr/local/share/applications/default"', "see https://www.example.org/information/settings",
+                'name = "international_configuration_value"', "Donaudampfschifffahrtsgesellschaft fährt", "x = undefined_variable_name",
+                'kind = "application/content-type"', f"commit {key(rng, 40, string.ascii_letters + string.digits)} was merged",
+                "the session at 2026-12-03T14:11:00+00:00", 'words = "internationalinformation"']
+    assert found(docs, harmless) == [[]] * len(harmless)
+
+
+def test_empty_and_long(docs):
+    rng = random.Random(1)
+    assert secret_spans(docs([])).count() == 0
+    k = key(rng, 40)
+    text = "plain words here " * 20_000 + f"the access key {k} and " + "x" * 200_000 + " more" * 10_000
+    assert found(docs, [text, ""]) == [[k], []]
+    got = secret_spans(docs([(1, None), (None, "a")])).collect()
+    assert [(r.n_assign, r.n_novel, r.spans) for r in got] == [(0, 0, "")] * 2
