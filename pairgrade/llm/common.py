@@ -7,6 +7,7 @@ rows a partition holds.
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from collections.abc import Callable, Iterator
 
@@ -56,6 +57,7 @@ def kept(name: str, make: Callable[[], object]) -> object:
     a task asks for another or (see ``slices``) does not name it."""
     if name not in _KEPT:
         _release()
+        _trim()
         _KEPT[name] = make()
     return _KEPT[name]
 
@@ -66,6 +68,15 @@ def _release() -> None:
         gc.collect()
 
 
+def _trim() -> None:
+    """Give freed memory back to the system (where the C library can): what
+    other operators' tasks used in this worker would count beside what is kept."""
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text",
            max_bytes: int = SLICE_BYTES, keep: str = "") -> Iterator[pa.RecordBatch]:
     """The batches, cut so that a slice holds about ``max_bytes`` of text (one
