@@ -43,7 +43,7 @@ def written_bounds(df: DataFrame, col: str) -> tuple:
     its own turns it on, the caller's settings stay.  Where the footers have no
     bounds (a NaN in the column, say), or the frame is no written one, the rows
     are read."""
-    path = getattr(df, "written_at", None)
+    path = vars(df).get("written_at")  # not a column of that name
     try:
         low, high = pushed_bounds(df.sparkSession, col, path).first() if path else (None, None)
     except (PySparkException, Py4JJavaError):
