@@ -5,12 +5,14 @@ or of those digests and of their check hashes; each digest falls into three
 cells.  Sketches of two versions subtract cell by cell: what both hold cancels
 out.  A cell with one digest left gives that digest away, it is taken out of its
 other cells, and so on (peeling) until the differing digests of both sides are
-known.  A difference that is too large for a sketch leaves cells that no peeling
-empties; then larger sketches are made.
+known.
 
 A text's digests are dealt by their first bits to parts of a few digests each,
 with a small sketch a part, so that making and peeling take time in proportion
-to the text and only the parts that fail are tried again.
+to the text.  A fingerprint is these sketches as text.  A part's sketch is made
+wider until it peels by itself, so two fingerprints say all that is needed to
+compare them: where the difference of two parts does not peel, both are peeled
+alone and sketched again, wider.
 
 Everything here is a DataFrame expression.
 """
@@ -24,24 +26,29 @@ from pyspark.sql import functions as F
 from pairgrade.llm.common import id_text
 from pairgrade.sources.sinks import materialize
 
-#: Paragraphs are lines, cut further after sentences that end in one of these
-#: letters (about every third): long lines would make likeness coarse.
-PARAGRAPH_END = r"\n|(?<=[a-g][.!?]) "
+#: Paragraphs are lines, cut further after sentences: in ASCII text after those
+#: that end in one of these letters (about every third), else after every stop of
+#: any script.  Long lines would make likeness coarse.
+PARAGRAPH_END = r"\n| (?<=[a-g][.!?] )| (?<=[^\x00-\x7F][.!?] )|(?<=[\p{Po}&&[^\x00-\x7F]])"
 PART_DIGESTS = 6
-WIDTH = 8
+WIDTH = 6
 RETRIES = 6
 ROUNDS = 10
 BUCKET_ROWS = 1000
 MAX_BUCKETS = 20_000
 
 
+NONE = "cast(array() as array<bigint>)"
+CELLS = "array<struct<n:int,k:bigint,h:bigint>>"
+
+
 def _let(value: str, name: str, body: str) -> str:
     """``body`` with ``name`` standing for ``value``, evaluated once."""
     return f"element_at(transform(array({value}), {name} -> {body}), 1)"
 
 
 def _check(digest: str) -> str:
-    return f"xxhash64({digest}, 7)"
+    return f"(xxhash64({digest}, 7) & 4294967295L)"
 
 
 def _entry(digest: str, sign: str, width: str) -> str:
@@ -69,12 +76,12 @@ def _sketch(digests: str, width: str) -> str:
 
 
 def _subtract(left: str, right: str) -> str:
-    return (f"zip_with({left}, {right}, (l_, r_) -> "
-            "named_struct('n', l_.n - r_.n, 'k', l_.k ^ r_.k, 'h', l_.h ^ r_.h))")
+    return (f"zip_with({left}, {right}, (m_, o_) -> "
+            "named_struct('n', m_.n - o_.n, 'k', m_.k ^ o_.k, 'h', m_.h ^ o_.h))")
 
 
 def _peel(cells: str, width: str) -> str:
-    """(a, b): how many digests only the left and only the right side holds;
+    """(a, b): the digests that only the left and only the right side holds;
     null if the cells can't be emptied."""
     pure = f"filter(t_.cells, p_ -> (p_.n = 1 or p_.n = -1) and p_.h = {_check('p_.k')})"
     found = f"array_distinct(transform({pure}, p_ -> {_entry('p_.k', 'p_.n', width)}))"
@@ -83,22 +90,23 @@ def _peel(cells: str, width: str) -> str:
         f"aggregate(filter(f_, e_ -> e_.{spot} = {c}), element_at(t_.cells, {c} + 1), {take})"))
     step = _let(found, "f_", f"if(size(f_) = 0, named_struct('cells', t_.cells, 'a', t_.a, 'b', t_.b, 'end', true), "
                              f"named_struct('cells', {rest}, "
-                             "'a', t_.a + size(filter(f_, q_ -> q_.s = 1)), "
-                             "'b', t_.b + size(filter(f_, q_ -> q_.s = -1)), 'end', false))")
+                             "'a', concat(t_.a, transform(filter(f_, q_ -> q_.s = 1), q_ -> q_.d)), "
+                             "'b', concat(t_.b, transform(filter(f_, q_ -> q_.s = -1), q_ -> q_.d)), "
+                             "'end', false))")
     done = "forall(t_.cells, v_ -> v_.n = 0 and v_.k = 0L and v_.h = 0L)"
-    return (f"aggregate(sequence(1, {ROUNDS}), named_struct('cells', {cells}, 'a', 0, 'b', 0, 'end', false), "
+    return (f"aggregate(sequence(1, {ROUNDS}), named_struct('cells', {cells}, 'a', {NONE}, 'b', {NONE}, 'end', false), "
             f"(t_, i_) -> if(t_.end, t_, {step}), t_ -> if({done}, named_struct('a', t_.a, 'b', t_.b), null))")
 
 
-def _parts(merged: str, bits: str) -> str:
-    """Sorted digests as one array for each value of their first bits."""
-    part = f"if({bits} = 0, 0L, shiftright(v_, 64 - {bits}))"
-    grown = (f"if({part} = a_.p, named_struct('p', a_.p, 'own', concat(a_.own, array(v_)), 'out', a_.out), "
-             f"named_struct('p', {part}, 'own', array(v_), 'out', concat(a_.out, array(a_.own))))")
-    start = ("named_struct('p', cast(9223372036854775807 as bigint), 'own', cast(array() as array<bigint>), "
-             "'out', cast(array() as array<array<bigint>>))")
-    return (f"filter(aggregate({merged}, {start}, (a_, v_) -> {grown}, "
-            "a_ -> concat(a_.out, array(a_.own))), g_ -> size(g_) > 0)")
+def _parts(sorted_digests: str, bits: str) -> str:
+    """Sorted digests as one array for each value of their first bits, in order."""
+    part = "if(b_ = 0, 0, cast(shiftright(v_, 64 - b_) + shiftleft(1L, b_ - 1) as int))"
+    grown = _let(part, "at_", "if(at_ = a_.p, named_struct('p', a_.p, 'own', concat(a_.own, array(v_)), 'out', a_.out), "
+                 "named_struct('p', at_, 'own', array(v_), "
+                 f"'out', concat(a_.out, array(a_.own), array_repeat({NONE}, at_ - a_.p - 1))))")
+    start = f"named_struct('p', 0, 'own', {NONE}, 'out', cast(array() as array<array<bigint>>))"
+    return _let(bits, "b_", f"aggregate({sorted_digests}, {start}, (a_, v_) -> {grown}, a_ -> "
+                f"concat(a_.out, array(a_.own), array_repeat({NONE}, shiftleft(1, b_) - 1 - a_.p)))")
 
 
 def _bits(size: str) -> str:
@@ -106,37 +114,93 @@ def _bits(size: str) -> str:
     return f"cast(ceil(log2(greatest({size} / {PART_DIGESTS}D, 1D))) as int)"
 
 
-def fingerprint(digests: str) -> Column:
-    """The base sketches of all parts as text: each cell's count, digests and
-    checks in hexadecimal.  Equal sets of digests give equal text."""
-    cell = "concat(hex(v_.n), '.', hex(v_.k), '.', hex(v_.h))"
-    part = f"array_join(transform({_sketch('g_', str(WIDTH))}, v_ -> {cell}), ',')"
-    return F.expr(f"array_join(transform({_parts(f'sort_array({digests})', _bits(f'size({digests})'))}, "
-                  f"g_ -> {part}), ';')")
+def _widths(first: int) -> str:
+    return "array(" + ", ".join(str(WIDTH * 4 ** i) for i in range(first, RETRIES)) + ")"
+
+
+def fingerprint(digests: str) -> str:
+    """The sketches of all parts as text: each cell's count, digests and checks
+    in hexadecimal, nothing for an empty cell.  Equal sets of digests give equal
+    text.  A part takes the first width at which its own sketch peels."""
+    cell = "if(v_.n = 0, '', concat(hex(v_.n), '.', hex(v_.k), '.', hex(v_.h)))"
+    sketch = _let(_sketch("g_", "w_"), "made_", f"if({_peel('made_', 'w_')} is null, null, made_)")
+    fits = (f"aggregate({_widths(0)}, cast(null as {CELLS}), "
+            f"(got_, w_) -> if(got_ is not null, got_, {sketch}))")
+    part = f"array_join(transform(coalesce({fits}, {_sketch('g_', str(WIDTH))}), v_ -> {cell}), ',')"
+    return (f"array_join(transform({_parts(f'sort_array({digests})', _bits(f'size({digests})'))}, "
+            f"g_ -> {part}), ';')")
+
+
+def _read(part: str) -> str:
+    """The cells of a part's text."""
+    number = "cast(conv(x_[{0}], 16, -10) as bigint)"
+    cell = f"named_struct('n', cast({number.format(0)} as int), 'k', {number.format(1)}, 'h', {number.format(2)})"
+    return (f"transform(split({part}, ','), c_ -> if(c_ = '', named_struct('n', 0, 'k', 0L, 'h', 0L), "
+            f"{_let('split(c_, ' + repr('[.]') + ')', 'x_', cell)}))")
+
+
+def _wider(left: str, right: str, first: int) -> str:
+    """(a, b) of two arrays of digests by sketches of growing width; of a part
+    that none of them peels (two digests in the same three cells each time), from
+    the digests."""
+    tried = _peel(_subtract(_sketch(left, "w_"), _sketch(right, "w_")), "w_")
+    exact = f"named_struct('a', array_except({left}, {right}), 'b', array_except({right}, {left}))"
+    return (f"coalesce(aggregate({_widths(first)}, cast(null as struct<a:array<bigint>,b:array<bigint>>), "
+            f"(got_, w_) -> if(got_ is not null, got_, {tried})), {exact})")
 
 
 def difference(left: str, right: str) -> str:
-    """(a, b): how many digests only one side holds, by peeling the difference
-    of the sides' sketches part by part, four times as wide after a failure.
-    Digests are even: the last bit tells the side where both are merged."""
+    """For each part, (a, b): the digests that only one of two arrays holds, from
+    subtracted sketches.  Digests are even: the last bit tells the side where both
+    are merged."""
     merged = f"sort_array(concat({left}, transform({right}, r_ -> r_ | 1L)))"
-    mine = _sketch("filter(g_, d_ -> d_ & 1L = 0L)", "w_")
-    other = _sketch("transform(filter(g_, d_ -> d_ & 1L = 1L), d_ -> d_ ^ 1L)", "w_")
-    tried = _peel(_subtract(mine, other), "w_")
-    widths = ", ".join(str(WIDTH * 4 ** i) for i in range(RETRIES))
-    peeled = (f"aggregate(array({widths}), cast(null as struct<a:int,b:int>), "
-              f"(got_, w_) -> if(got_ is not null, got_, {tried}))")
-    counts = f"transform({_parts(merged, _bits(f'greatest(size({left}), size({right}))'))}, g_ -> {peeled})"
-    add = "(s_, p_) -> named_struct('a', s_.a + p_.a, 'b', s_.b + p_.b)"
-    return f"aggregate({counts}, named_struct('a', 0, 'b', 0), {add})"
+    sides = ("named_struct('l', filter(g_, d_ -> d_ & 1L = 0L), "
+             "'r', transform(filter(g_, d_ -> d_ & 1L = 1L), d_ -> d_ ^ 1L))")
+    return (f"transform({_parts(merged, _bits(f'greatest(size({left}), size({right}))'))}, "
+            f"g_ -> {_let(sides, 'side_', _wider('side_.l', 'side_.r', 0))})")
+
+
+def _alone(cells: str) -> str:
+    """The digests of a part, from its own cells."""
+    return f"{_peel(cells, f'cast(size({cells}) / 3 as int)')}.a"
+
+
+def fingerprint_difference(left: str, right: str) -> str:
+    """For each part, (a, b): the digests that only one of two fingerprints holds.
+
+    Parts that have the same text hold the same.  Fingerprints of as many parts are
+    subtracted part by part; a part whose difference does not peel, or whose
+    sketches differ in width, is peeled alone and sketched again.  Fingerprints of
+    different numbers of parts are peeled alone and dealt to parts again."""
+    direct = (f"if(size(l_) = size(r_), {_peel(_subtract('l_', 'r_'), 'cast(size(l_) / 3 as int)')}, null)")
+    again = _let(f"named_struct('l', {_alone('l_')}, 'r', {_alone('r_')})", "own_", _wider("own_.l", "own_.r", 1))
+    both = _let(_read("lt_"), "l_", _let(_read("rt_"), "r_", f"coalesce({direct}, {again})"))
+    by_part = f"zip_with(lp_, rp_, (lt_, rt_) -> if(lt_ = rt_, named_struct('a', {NONE}, 'b', {NONE}), {both}))"
+    all_of = "flatten(transform({0}, t_ -> " + _let(_read("t_"), "l_", _alone("l_")) + "))"
+    dealt = _let(all_of.format("lp_"), "ld_", _let(all_of.format("rp_"), "rd_", difference("ld_", "rd_")))
+    return _let(f"split({left}, ';')", "lp_", _let(f"split({right}, ';')", "rp_",
+                f"if(size(lp_) = size(rp_), {by_part}, {dealt})"))
+
+
+def _share(size: str, parts: str) -> str:
+    """Share of digests that both sides hold among all; 1 if neither holds any."""
+    lost = (f"aggregate({parts}, named_struct('a', 0, 'b', 0), "
+            "(s_, p_) -> named_struct('a', s_.a + size(p_.a), 'b', s_.b + size(p_.b)))")
+    return _let(size, "size_", _let(lost, "lost_", "if(size_ + lost_.b = 0, 1D, "
+                                    "coalesce((size_ - lost_.a) / (size_ + lost_.b), 0D))"))
+
+
+def fingerprint_likeness(left: str, right: str) -> str:
+    """Share of paragraphs that two fingerprints have in common, from nothing but
+    their texts.  0 for one of them that holds a part that no width peels."""
+    size = (f"cast(aggregate(split({left}, '[;,]'), 0L, (s_, c_) -> s_ + "
+            "if(c_ = '', 0L, cast(conv(substring_index(c_, '.', 1), 16, 10) as bigint))) / 3 as int)")
+    return f"if({left} = {right}, 1D, {_share(size, fingerprint_difference(left, right))})"
 
 
 def likeness(left: str, right: str) -> Column:
-    """Share of digests that both hold among all, from the difference; 1 if
-    neither holds any."""
-    share = _let(difference(left, right), "lost_",
-                 f"(size({left}) - lost_.a) / (size({left}) + lost_.b)")
-    return F.expr(f"if(size({left}) + size({right}) = 0, 1D, {share})")
+    """Share of digests that two arrays have in common, by their sketches."""
+    return F.expr(_share(f"size({left})", difference(left, right)))
 
 
 def digests(text: Column) -> Column:
@@ -197,6 +261,10 @@ def document_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str
     all of it.  A null text counts as empty.  A row without an id has no next
     document: its last quarter is just cut.  Rows that share an id have the same
     next document; rows that repeat give equal rows; other columns are ignored.
+    An empty table gives no rows.  A very long text has more parts, not larger ones.
+
+    ``near_*`` come from the fingerprints alone (``fingerprint_likeness``): those of
+    the text and of the edited or the next text.
     """
     own = id_text(docs, id_col, text_col).withColumn("text", F.coalesce("text", F.lit("")))
     quarter = F.floor(F.col("n_chars") / 4).cast("int")
@@ -208,6 +276,9 @@ def document_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str
                     digests(F.col("text")).alias("own"), digests(F.col("edited")).alias("edited"),
                     digests(F.col("next_text")).alias("next")))
     kept = materialize(read, "paragraph-digests")
-    return kept.select("doc_id", "n_chars", "edited_sha256", fingerprint("own").alias("fingerprint"),
-                       fingerprint("edited").alias("edited_fingerprint"),
-                       likeness("own", "edited").alias("near_edited"), likeness("own", "next").alias("near_next"))
+    prints = f"named_struct('f', {fingerprint('own')}, 'e', {fingerprint('edited')}, 'n', {fingerprint('next')})"
+    made = _let(prints, "fp_", "named_struct('fingerprint', fp_.f, 'edited_fingerprint', fp_.e, "
+                f"'near_edited', {fingerprint_likeness('fp_.f', 'fp_.e')}, "
+                f"'near_next', {fingerprint_likeness('fp_.f', 'fp_.n')})")
+    return kept.select("doc_id", "n_chars", "edited_sha256", F.expr(made).alias("made")).select(
+        "doc_id", "n_chars", "edited_sha256", "made.*")

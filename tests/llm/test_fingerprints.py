@@ -2,13 +2,15 @@
 
 import hashlib
 import random
-import re
 
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from pairgrade.llm import fingerprints
-from pairgrade.llm.fingerprints import PARAGRAPH_END, document_fingerprints, likeness
+from pairgrade.llm.fingerprints import (
+    PARAGRAPH_END, document_fingerprints, fingerprint, fingerprint_difference, fingerprint_likeness, likeness,
+)
 
 LONG = "sequence(1L, {n}L)"
 
@@ -29,7 +31,7 @@ def edited(docs):
 
 
 def paragraphs(text):
-    return {x.strip(" ") for x in re.split(PARAGRAPH_END, text)} - {""}
+    return {x.strip(" ") for x in regex.split(PARAGRAPH_END, text, flags=regex.V1)} - {""}
 
 
 def alike(a, b):
@@ -71,3 +73,49 @@ def test_empty_and_single(docs):
     assert document_fingerprints(docs([])).count() == 0
     one = document_fingerprints(docs([(3, "abcd")])).first()
     assert one.edited_sha256 == hashlib.sha256(b"abca").hexdigest()
+
+
+def test_two_rows_by_their_fingerprint_columns_alone(docs):
+    """Any two rows of a written result can be compared, sizes apart or not."""
+    rng = random.Random(3)
+    texts = ["\n".join(str(x) for x in rng.sample(range(n + 30), n)) for n in (0, 1, 2, 7, 7, 20, 45, 45, 300, 310)]
+    got = document_fingerprints(docs(list(enumerate(texts)))).select("doc_id", "fingerprint")
+    other = got.selectExpr("doc_id as o", "fingerprint as g")
+    pairs = got.join(other, got.doc_id <= other.o).select(
+        "doc_id", "o", F.expr(fingerprint_likeness("fingerprint", "g")).alias("near"),
+        F.expr(fingerprint_difference("fingerprint", "g")).alias("parts")).collect()
+    assert len(pairs) == 55
+    for r in pairs:
+        a, b = paragraphs(texts[r.doc_id]), paragraphs(texts[r.o])
+        assert r.near == pytest.approx(alike(texts[r.doc_id], texts[r.o]))
+        assert sum(len(p.a) for p in r.parts) == len(a - b) and sum(len(p.b) for p in r.parts) == len(b - a)
+
+
+def test_parts_take_the_width_that_peels(spark, monkeypatch):
+    monkeypatch.setattr(fingerprints, "WIDTH", 1)
+    row = spark.range(1).select(F.transform(F.expr(LONG.format(n=200)), lambda x: F.xxhash64(x).bitwiseAND(F.lit(-2)))
+                                .alias("a")).select("a", F.slice("a", F.lit(1), F.lit(150)).alias("b"))
+    made = row.selectExpr(f"{fingerprint('a')} as f", f"{fingerprint('b')} as g")
+    made = spark.createDataFrame(made.collect())
+    first = made.first()
+    assert len({p.count(",") for p in first.f.split(";")}) > 1
+    assert made.selectExpr(f"{fingerprint_likeness('f', 'g')} as x").first().x == 0.75
+
+
+def test_texts_of_other_scripts(docs):
+    rng = random.Random(8)
+    han = [chr(c) for c in range(0x4E00, 0x4E00 + 400)]
+    cyr = [chr(c) for c in range(0x430, 0x450)]
+    for stop, letters in (("。", han), (". ", cyr), ("।", [chr(c) for c in range(0x915, 0x939)])):
+        rows = [(i, "".join("".join(rng.choices(letters, k=rng.randint(8, 20))) + stop for _ in range(40)))
+                for i in range(4)]
+        for r in document_fingerprints(docs(rows)).collect():
+            assert r.near_edited > 0.4 and r.near_next == 0.0
+
+
+def test_a_very_long_text(docs):
+    long = "\n".join(f"paragraph {i}" for i in range(3000))
+    rows = document_fingerprints(docs([(1, long), (2, long.replace("paragraph 7\n", "")), (3, "x")])).collect()
+    by_id = {r.doc_id: r for r in rows}
+    assert by_id[1].near_next == pytest.approx(2999 / 3000)
+    assert by_id[1].near_edited == pytest.approx(alike(long, edited([(1, long), (2, long.replace("paragraph 7\n", ""))])[0][2]))
