@@ -32,7 +32,7 @@ from pairgrade.sources.sinks import materialize
 PARAGRAPH_END = r"\n| (?<=[a-g][.!?] )| (?<=[^\x00-\x7F][.!?] )|(?<=[\p{Po}&&[^\x00-\x7F]])"
 PART_DIGESTS = 6
 WIDTH = 6
-RETRIES = 6
+RETRIES = 10
 ROUNDS = 10
 BUCKET_ROWS = 1000
 MAX_BUCKETS = 20_000
@@ -115,28 +115,28 @@ def _bits(size: str) -> str:
 
 
 def _widths(first: int) -> str:
-    return "array(" + ", ".join(str(WIDTH * 4 ** i) for i in range(first, RETRIES)) + ")"
+    return "array(" + ", ".join(str(WIDTH * 2 ** i) for i in range(first, RETRIES)) + ")"
 
 
 def fingerprint(digests: str) -> str:
-    """The sketches of all parts as text: each cell's count, digests and checks
-    in hexadecimal, nothing for an empty cell.  Equal sets of digests give equal
-    text.  A part takes the first width at which its own sketch peels."""
-    cell = "if(v_.n = 0, '', concat(hex(v_.n), '.', hex(v_.k), '.', hex(v_.h)))"
+    """The number of digests and the sketches of all parts as text: each cell's
+    count, digests and checks, nothing for an empty cell.  Equal sets of digests
+    give equal text.  A part takes the first width at which its
+    own sketch peels."""
+    cell = "if(v_.n = 0, '', concat(v_.n, '/', v_.k, '/', v_.h))"
     sketch = _let(_sketch("g_", "w_"), "made_", f"if({_peel('made_', 'w_')} is null, null, made_)")
     fits = (f"aggregate({_widths(0)}, cast(null as {CELLS}), "
             f"(got_, w_) -> if(got_ is not null, got_, {sketch}))")
     part = f"array_join(transform(coalesce({fits}, {_sketch('g_', str(WIDTH))}), v_ -> {cell}), ',')"
-    return (f"array_join(transform({_parts(f'sort_array({digests})', _bits(f'size({digests})'))}, "
-            f"g_ -> {part}), ';')")
+    return (f"concat(size({digests}), ':', array_join(transform("
+            f"{_parts(f'sort_array({digests})', _bits(f'size({digests})'))}, g_ -> {part}), ';'))")
 
 
 def _read(part: str) -> str:
     """The cells of a part's text."""
-    number = "cast(conv(x_[{0}], 16, -10) as bigint)"
-    cell = f"named_struct('n', cast({number.format(0)} as int), 'k', {number.format(1)}, 'h', {number.format(2)})"
+    cell = "named_struct('n', cast(x_[0] as int), 'k', cast(x_[1] as bigint), 'h', cast(x_[2] as bigint))"
     return (f"transform(split({part}, ','), c_ -> if(c_ = '', named_struct('n', 0, 'k', 0L, 'h', 0L), "
-            f"{_let('split(c_, ' + repr('[.]') + ')', 'x_', cell)}))")
+            + _let("split(c_, '/')", "x_", cell) + "))")
 
 
 def _wider(left: str, right: str, first: int) -> str:
@@ -157,7 +157,7 @@ def difference(left: str, right: str) -> str:
     sides = ("named_struct('l', filter(g_, d_ -> d_ & 1L = 0L), "
              "'r', transform(filter(g_, d_ -> d_ & 1L = 1L), d_ -> d_ ^ 1L))")
     return (f"transform({_parts(merged, _bits(f'greatest(size({left}), size({right}))'))}, "
-            f"g_ -> {_let(sides, 'side_', _wider('side_.l', 'side_.r', 0))})")
+            f"g_ -> {_let(sides, 'side_', _wider('side_.l', 'side_.r', 1))})")
 
 
 def _alone(cells: str) -> str:
@@ -178,7 +178,8 @@ def fingerprint_difference(left: str, right: str) -> str:
     by_part = f"zip_with(lp_, rp_, (lt_, rt_) -> if(lt_ = rt_, named_struct('a', {NONE}, 'b', {NONE}), {both}))"
     all_of = "flatten(transform({0}, t_ -> " + _let(_read("t_"), "l_", _alone("l_")) + "))"
     dealt = _let(all_of.format("lp_"), "ld_", _let(all_of.format("rp_"), "rd_", difference("ld_", "rd_")))
-    return _let(f"split({left}, ';')", "lp_", _let(f"split({right}, ';')", "rp_",
+    parts = "split(substring_index({0}, ':', -1), ';')"
+    return _let(parts.format(left), "lp_", _let(parts.format(right), "rp_",
                 f"if(size(lp_) = size(rp_), {by_part}, {dealt})"))
 
 
@@ -193,8 +194,7 @@ def _share(size: str, parts: str) -> str:
 def fingerprint_likeness(left: str, right: str) -> str:
     """Share of paragraphs that two fingerprints have in common, from nothing but
     their texts.  0 for one of them that holds a part that no width peels."""
-    size = (f"cast(aggregate(split({left}, '[;,]'), 0L, (s_, c_) -> s_ + "
-            "if(c_ = '', 0L, cast(conv(substring_index(c_, '.', 1), 16, 10) as bigint))) / 3 as int)")
+    size = f"cast(substring_index({left}, ':', 1) as int)"
     return f"if({left} = {right}, 1D, {_share(size, fingerprint_difference(left, right))})"
 
 
