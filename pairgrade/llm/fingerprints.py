@@ -83,16 +83,17 @@ def _subtract(left: str, right: str) -> str:
 def _peel(cells: str, width: str) -> str:
     """(a, b): the digests that only the left and only the right side holds;
     null if the cells can't be emptied."""
-    pure = f"filter(t_.cells, p_ -> (p_.n = 1 or p_.n = -1) and p_.h = {_check('p_.k')})"
-    found = f"array_distinct(transform({pure}, p_ -> {_entry('p_.k', 'p_.n', width)}))"
+    pure = (f"array_distinct(transform(filter(t_.cells, p_ -> p_.n = {{0}} and p_.h = {_check('p_.k')}), "
+            "p_ -> p_.k))")
+    found = (f"concat(transform(pos_, d_ -> {_entry('d_', '1', width)}), "
+             f"transform(neg_, d_ -> {_entry('d_', '-1', width)}))")
     take = "(s_, e_) -> named_struct('n', s_.n - e_.s, 'k', s_.k ^ e_.d, 'h', s_.h ^ e_.h)"
-    rest = _thirds(width, lambda spot, c: (
-        f"aggregate(filter(f_, e_ -> e_.{spot} = {c}), element_at(t_.cells, {c} + 1), {take})"))
+    rest = _thirds(width, lambda spot, c: _let(f"element_at(t_.cells, {c} + 1)", "u_", (
+        f"if(u_.k = 0L, u_, aggregate(filter(f_, e_ -> e_.{spot} = {c}), u_, {take}))")))
     step = _let(found, "f_", f"if(size(f_) = 0, named_struct('cells', t_.cells, 'a', t_.a, 'b', t_.b, 'end', true), "
                              f"named_struct('cells', {rest}, "
-                             "'a', concat(t_.a, transform(filter(f_, q_ -> q_.s = 1), q_ -> q_.d)), "
-                             "'b', concat(t_.b, transform(filter(f_, q_ -> q_.s = -1), q_ -> q_.d)), "
-                             "'end', false))")
+                             "'a', concat(t_.a, pos_), 'b', concat(t_.b, neg_), 'end', false))")
+    step = _let(pure.format(1), "pos_", _let(pure.format(-1), "neg_", step))
     done = "forall(t_.cells, v_ -> v_.n = 0 and v_.k = 0L and v_.h = 0L)"
     return (f"aggregate(sequence(1, {ROUNDS}), named_struct('cells', {cells}, 'a', {NONE}, 'b', {NONE}, 'end', false), "
             f"(t_, i_) -> if(t_.end, t_, {step}), t_ -> if({done}, named_struct('a', t_.a, 'b', t_.b), null))")
@@ -276,9 +277,11 @@ def document_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str
                     digests(F.col("text")).alias("own"), digests(F.col("edited")).alias("edited"),
                     digests(F.col("next_text")).alias("next")))
     kept = materialize(read, "paragraph-digests")
-    prints = f"named_struct('f', {fingerprint('own')}, 'e', {fingerprint('edited')}, 'n', {fingerprint('next')})"
-    made = _let(prints, "fp_", "named_struct('fingerprint', fp_.f, 'edited_fingerprint', fp_.e, "
-                f"'near_edited', {fingerprint_likeness('fp_.f', 'fp_.e')}, "
-                f"'near_next', {fingerprint_likeness('fp_.f', 'fp_.n')})")
-    return kept.select("doc_id", "n_chars", "edited_sha256", F.expr(made).alias("made")).select(
-        "doc_id", "n_chars", "edited_sha256", "made.*")
+    columns = ["doc_id", "n_chars", "edited_sha256"]
+    prints = kept.select(*columns, F.expr(fingerprint("own")).alias("fingerprint"),
+                         F.expr(fingerprint("edited")).alias("edited_fingerprint"),
+                         F.expr(fingerprint("next")).alias("next_fingerprint"))
+    return prints.select(
+        *columns, "fingerprint", "edited_fingerprint",
+        F.expr(fingerprint_likeness("fingerprint", "edited_fingerprint")).alias("near_edited"),
+        F.expr(fingerprint_likeness("fingerprint", "next_fingerprint")).alias("near_next"))
