@@ -69,3 +69,14 @@ def test_constant_rows_and_bad_labels(spark, table, monkeypatch):
     assert [(r.node_id, r.is_leaf) for r in nodes] == [(0, True)] * 2
     with pytest.raises(ValueError, match="whole numbers"):
         fit(table.withColumn("label", F.lit(9.0)), "class")
+
+
+def test_without_a_key(spark, table, monkeypatch):
+    """Equal rows, dealt in lots by their content."""
+    monkeypatch.setattr(forest, "MLLIB_ROWS", 100)
+    monkeypatch.setattr(grow, "LOCAL_ROWS", 500)
+    rows = table.select("label", "features")
+    rows = rows.unionByName(rows)
+    found = [fit_forest(rows.repartition(n), "class", num_classes=3, num_trees=3, max_depth=4).nodes for n in (2, 5)]
+    assert shape(found[0]) == shape(found[1])
+    assert found[0].where("node_id = 0").count() == 3
