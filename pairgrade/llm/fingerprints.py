@@ -12,7 +12,7 @@ with a small sketch a part, so that making and peeling take time in proportion
 to the text.  A fingerprint is these sketches as text.  A part's sketch is made
 wider until it peels by itself, so two fingerprints say all that is needed to
 compare them: where the difference of two parts does not peel, both are peeled
-alone and sketched again, wider.
+alone, and the digests they give compared.
 
 Everything here is a DataFrame expression.
 """
@@ -24,7 +24,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairgrade.llm.common import id_text
-from pairgrade.sources.sinks import materialize
 
 #: Paragraphs are lines, cut further after sentences: in ASCII text after those
 #: that end in one of these letters (about every third), else after every stop of
@@ -67,12 +66,27 @@ def _thirds(width: str, one) -> str:
         for i, spot in enumerate("xyz")) + ")"
 
 
+def _entries(digests: str, width: str) -> str:
+    return f"transform({digests}, d_ -> {_entry('d_', '1', width)})"
+
+
+def _cells(entries: str, width: str) -> str:
+    add = "(s_, e_) -> named_struct('n', s_.n + 1, 'k', s_.k ^ e_.d, 'h', s_.h ^ e_.h)"
+    return _thirds(width, lambda spot, c: (
+        f"aggregate(filter({entries}, e_ -> e_.{spot} = {c}), named_struct('n', 0, 'k', 0L, 'h', 0L), {add})"))
+
+
 def _sketch(digests: str, width: str) -> str:
     """The cells of an array of digests: (n, k, h)."""
-    entries = f"transform({digests}, d_ -> {_entry('d_', '1', width)})"
-    add = "(s_, e_) -> named_struct('n', s_.n + 1, 'k', s_.k ^ e_.d, 'h', s_.h ^ e_.h)"
-    return _let(entries, "all_", _thirds(width, lambda spot, c: (
-        f"aggregate(filter(all_, e_ -> e_.{spot} = {c}), named_struct('n', 0, 'k', 0L, 'h', 0L), {add})")))
+    return _let(_entries(digests, width), "all_", _cells("all_", width))
+
+
+def _peels(entries: str) -> str:
+    """Whether the sketch of some entries, all of one side, peels: a round takes
+    those that are alone in one of their cells."""
+    shared = " and ".join(f"size(filter(r_, o_ -> o_.{spot} = e_.{spot})) > 1" for spot in "xyz")
+    return (f"aggregate(sequence(1, {ROUNDS}), {entries}, "
+            f"(r_, i_) -> if(size(r_) = 0, r_, filter(r_, e_ -> {shared})), r_ -> size(r_) = 0)")
 
 
 def _subtract(left: str, right: str) -> str:
@@ -125,7 +139,7 @@ def fingerprint(digests: str) -> str:
     give equal text.  A part takes the first width at which its
     own sketch peels."""
     cell = "if(v_.n = 0, '', concat(v_.n, '/', v_.k, '/', v_.h))"
-    sketch = _let(_sketch("g_", "w_"), "made_", f"if({_peel('made_', 'w_')} is null, null, made_)")
+    sketch = _let(_entries("g_", "w_"), "all_", f"if({_peels('all_')}, {_cells('all_', 'w_')}, null)")
     fits = (f"aggregate({_widths(0)}, cast(null as {CELLS}), "
             f"(got_, w_) -> if(got_ is not null, got_, {sketch}))")
     part = f"array_join(transform(coalesce({fits}, {_sketch('g_', str(WIDTH))}), v_ -> {cell}), ',')"
@@ -140,14 +154,18 @@ def _read(part: str) -> str:
             + _let("split(c_, '/')", "x_", cell) + "))")
 
 
+def _apart(left: str, right: str) -> str:
+    """(a, b) of two arrays of digests."""
+    return f"named_struct('a', array_except({left}, {right}), 'b', array_except({right}, {left}))"
+
+
 def _wider(left: str, right: str, first: int) -> str:
     """(a, b) of two arrays of digests by sketches of growing width; of a part
     that none of them peels (two digests in the same three cells each time), from
     the digests."""
     tried = _peel(_subtract(_sketch(left, "w_"), _sketch(right, "w_")), "w_")
-    exact = f"named_struct('a', array_except({left}, {right}), 'b', array_except({right}, {left}))"
     return (f"coalesce(aggregate({_widths(first)}, cast(null as struct<a:array<bigint>,b:array<bigint>>), "
-            f"(got_, w_) -> if(got_ is not null, got_, {tried})), {exact})")
+            f"(got_, w_) -> if(got_ is not null, got_, {tried})), {_apart(left, right)})")
 
 
 def difference(left: str, right: str) -> str:
@@ -171,17 +189,18 @@ def fingerprint_difference(left: str, right: str) -> str:
 
     Parts that have the same text hold the same.  Fingerprints of as many parts are
     subtracted part by part; a part whose difference does not peel, or whose
-    sketches differ in width, is peeled alone and sketched again.  Fingerprints of
-    different numbers of parts are peeled alone and dealt to parts again."""
+    sketches differ in width, is peeled alone on both sides, which gives all its
+    digests.  Fingerprints of different numbers of parts are peeled alone; all
+    that they hold is then one part."""
     direct = (f"if(size(l_) = size(r_), {_peel(_subtract('l_', 'r_'), 'cast(size(l_) / 3 as int)')}, null)")
-    again = _let(f"named_struct('l', {_alone('l_')}, 'r', {_alone('r_')})", "own_", _wider("own_.l", "own_.r", 1))
+    again = _let(f"named_struct('l', {_alone('l_')}, 'r', {_alone('r_')})", "own_", _apart("own_.l", "own_.r"))
     both = _let(_read("lt_"), "l_", _let(_read("rt_"), "r_", f"coalesce({direct}, {again})"))
     by_part = f"zip_with(lp_, rp_, (lt_, rt_) -> if(lt_ = rt_, named_struct('a', {NONE}, 'b', {NONE}), {both}))"
     all_of = "flatten(transform({0}, t_ -> " + _let(_read("t_"), "l_", _alone("l_")) + "))"
-    dealt = _let(all_of.format("lp_"), "ld_", _let(all_of.format("rp_"), "rd_", difference("ld_", "rd_")))
+    whole = _let(all_of.format("lp_"), "ld_", _let(all_of.format("rp_"), "rd_", f"array({_apart('ld_', 'rd_')})"))
     parts = "split(substring_index({0}, ':', -1), ';')"
     return _let(parts.format(left), "lp_", _let(parts.format(right), "rp_",
-                f"if(size(lp_) = size(rp_), {by_part}, {dealt})"))
+                f"if(size(lp_) = size(rp_), {by_part}, {whole})"))
 
 
 def _share(size: str, parts: str) -> str:
@@ -210,16 +229,23 @@ def digests(text: Column) -> Column:
     return F.array_distinct(F.transform(parts, lambda p: F.xxhash64(p).bitwiseAND(F.lit(-2).cast("bigint"))))
 
 
+def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
+    """``df`` with the fingerprint ``out`` of the column ``text``."""
+    own = df.withColumn("_digests", digests(F.col(text)))
+    return own.withColumn(out, F.expr(fingerprint("_digests"))).drop("_digests")
+
+
 # ---------------------------------------------------------------------------
 # The next document
 # ---------------------------------------------------------------------------
 def with_next(own: DataFrame) -> DataFrame:
-    """``own`` (doc_id, text) with ``next_text``: the text of the next greater
-    id (of texts that share it, the least), after the greatest id the first.
+    """``own`` (doc_id, text, fingerprint) with ``next_text``, the text of the next
+    greater id (of texts that share it, the least), after the greatest id the first,
+    and ``next_fingerprint``.
 
-    Ids are dealt to buckets by quantiles; texts move once, to their bucket,
-    and look back there in descending order.  Only each bucket's first text is
-    also sent to the bucket before."""
+    Ids are dealt to buckets by quantiles; texts move once with their fingerprints,
+    to their bucket, and look back there in descending order.  Only each bucket's
+    first text is also sent to the bucket before, and sketched once more."""
     ids = own.where("doc_id is not null")
     n = ids.count()
     buckets = min(max(1, n // BUCKET_ROWS), MAX_BUCKETS)
@@ -235,22 +261,27 @@ def with_next(own: DataFrame) -> DataFrame:
     in_order = Window.partitionBy(F.lit(0)).orderBy("bucket")  # MAX_BUCKETS rows at most
     after = (firsts.withColumn("start", F.min("first").over(Window.partitionBy(F.lit(0))))
              .select("bucket", "last", F.coalesce(F.lead("first").over(in_order), "start").alias("doc_id")))
-    heads = (F.broadcast(after).join(own.withColumnRenamed("text", "head"), "doc_id")
+    heads = (F.broadcast(after).join(own.select("doc_id", F.col("text").alias("head")), "doc_id")
              .groupBy("bucket", "last").agg(F.min(F.coalesce("head", F.lit(""))).alias("head")))
+    heads = with_fingerprint(heads, "head", "head_fingerprint")
 
     down = Window.partitionBy("bucket").orderBy(F.col("doc_id").desc(), F.col("text").desc())
     above = F.lag("doc_id").over(down)
     looked = (dealt.where("bucket is not null")
               .withColumn("new_id", above.isNull() | (above != F.col("doc_id")))
               .withColumn("near", F.when(F.col("new_id") & above.isNotNull(),
-                                         F.struct(F.lag("text").over(down).alias("text"))))
+                                         F.struct(F.lag("text").over(down).alias("text"),
+                                                  F.lag("fingerprint").over(down).alias("fingerprint"))))
               .withColumn("near", F.last("near", ignorenulls=True).over(
                   down.rowsBetween(Window.unboundedPreceding, 0)))
               .join(heads, "bucket", "left")
-              .select("doc_id", "text", F.when(F.col("doc_id") == F.col("last"), F.col("head")).otherwise(F.col("near.text"))
-                      .alias("next_text")))
-    return looked.unionByName(dealt.where("bucket is null").select(
-        "doc_id", "text", F.lit(None).cast("string").alias("next_text")))
+              .withColumn("is_last", F.col("doc_id") == F.col("last"))
+              .select("doc_id", "text", "fingerprint",
+                      F.when(F.col("is_last"), F.col("head")).otherwise(F.col("near.text")).alias("next_text"),
+                      F.when(F.col("is_last"), F.col("head_fingerprint")).otherwise(F.col("near.fingerprint"))
+                      .alias("next_fingerprint")))
+    alone = dealt.where("bucket is null").select("doc_id", "text", "fingerprint", F.lit("").alias("next_text"))
+    return looked.unionByName(with_fingerprint(alone, "next_text", "next_fingerprint"))
 
 
 def document_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -267,21 +298,14 @@ def document_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str
     ``near_*`` come from the fingerprints alone (``fingerprint_likeness``): those of
     the text and of the edited or the next text.
     """
-    own = id_text(docs, id_col, text_col).withColumn("text", F.coalesce("text", F.lit("")))
+    own = with_fingerprint(id_text(docs, id_col, text_col).withColumn("text", F.coalesce("text", F.lit(""))),
+                           "text", "fingerprint")
     quarter = F.floor(F.col("n_chars") / 4).cast("int")
-    read = (with_next(own).withColumn("next_text", F.coalesce("next_text", F.lit("")))
-            .withColumn("n_chars", F.length("text").cast("bigint"))
+    read = (with_next(own).withColumn("n_chars", F.length("text").cast("bigint"))
             .withColumn("edited", F.concat(F.substring("text", F.lit(1), F.col("n_chars").cast("int") - quarter),
-                                           F.substring("next_text", F.lit(1), quarter)))
-            .select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
-                    digests(F.col("text")).alias("own"), digests(F.col("edited")).alias("edited"),
-                    digests(F.col("next_text")).alias("next")))
-    kept = materialize(read, "paragraph-digests")
-    columns = ["doc_id", "n_chars", "edited_sha256"]
-    prints = kept.select(*columns, F.expr(fingerprint("own")).alias("fingerprint"),
-                         F.expr(fingerprint("edited")).alias("edited_fingerprint"),
-                         F.expr(fingerprint("next")).alias("next_fingerprint"))
+                                           F.substring("next_text", F.lit(1), quarter))))
+    prints = with_fingerprint(read, "edited", "edited_fingerprint")
     return prints.select(
-        *columns, "fingerprint", "edited_fingerprint",
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
         F.expr(fingerprint_likeness("fingerprint", "edited_fingerprint")).alias("near_edited"),
         F.expr(fingerprint_likeness("fingerprint", "next_fingerprint")).alias("near_next"))

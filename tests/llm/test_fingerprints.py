@@ -119,3 +119,23 @@ def test_a_very_long_text(docs):
     by_id = {r.doc_id: r for r in rows}
     assert by_id[1].near_next == pytest.approx(2999 / 3000)
     assert by_id[1].near_edited == pytest.approx(alike(long, edited([(1, long), (2, long.replace("paragraph 7\n", ""))])[0][2]))
+
+
+def test_the_next_fingerprint_comes_with_the_next_text(docs):
+    """Each text is sketched once; its neighbour gets the fingerprint, not the work."""
+    own = fingerprints.with_fingerprint(docs(case()).select("doc_id", F.coalesce("text", F.lit("")).alias("text")),
+                                        "text", "fingerprint")
+    got = fingerprints.with_next(own)
+    wanted = fingerprints.with_fingerprint(got, "next_text", "wanted").collect()
+    assert len(wanted) == len(case()) and all(r.next_fingerprint == r.wanted for r in wanted)
+    assert {r.next_text for r in wanted if r.doc_id is None} == {""}
+
+
+def test_entries_tell_whether_their_sketch_peels(spark, monkeypatch):
+    width = 3
+    rows = spark.range(300).select(F.transform(F.sequence(F.lit(1), F.col("id") % 9 + 1),
+                                               lambda x: F.xxhash64("id", x).bitwiseAND(F.lit(-2))).alias("d"))
+    peeled = fingerprints._peel(fingerprints._sketch("d", str(width)), str(width))
+    got = rows.selectExpr(f"{fingerprints._peels(fingerprints._entries('d', str(width)))} as told",
+                          f"{peeled} is not null as peeled").collect()
+    assert all(r.told == r.peeled for r in got) and len({r.told for r in got}) == 2
