@@ -48,6 +48,31 @@ def unpack_gaps(packed: bytes) -> np.ndarray:
     return np.cumsum(steps, dtype=np.int64)[steps != 255]
 
 
+def pack_cells(sorted_cells: np.ndarray, width: int) -> bytes:
+    """Ascending numbers below ``2 ** width`` in the shorter of two forms, told by
+    the first byte: gaps (0), or the last byte of each and the other bits as a one
+    for each number after a zero for each step (1, and how many numbers).  The
+    first takes a byte a number and more where gaps are wide, the second 9 bits
+    and a bit for every 256."""
+    n, steps = len(sorted_cells), 1 << max(width - 8, 0)
+    gaps = np.diff(sorted_cells.astype(np.int64), prepend=0)
+    if n + int((gaps // 255).sum()) <= 4 + n + (n + steps + 7) // 8:
+        return b"\0" + pack_gaps(sorted_cells)
+    ones = np.zeros(n + steps, np.uint8)
+    ones[(sorted_cells >> 8).astype(np.int64) + np.arange(n)] = 1
+    low = (sorted_cells & 255).astype(np.uint8)
+    return b"\1" + n.to_bytes(4, "little") + low.tobytes() + np.packbits(ones, bitorder="little").tobytes()
+
+
+def unpack_cells(packed: bytes) -> np.ndarray:
+    if packed[0] == 0:
+        return unpack_gaps(packed[1:])
+    n = int.from_bytes(packed[1:5], "little")
+    low, ones = np.frombuffer(packed, np.uint8, n, 5), np.frombuffer(packed, np.uint8, offset=5 + n)
+    high = np.flatnonzero(np.unpackbits(ones, bitorder="little")) - np.arange(n)
+    return high << 8 | low
+
+
 def partial_sketch(hashes: np.ndarray, depth: int, bits: int) -> Iterator[tuple[int, bytes]]:
     """The cells of some windows, each once or (met more often) twice, by
     block; the blocks of all rows are numbered through."""
@@ -60,7 +85,7 @@ def partial_sketch(hashes: np.ndarray, depth: int, bits: int) -> Iterator[tuple[
         own = own[~again]
         edges = np.searchsorted(own, np.arange((1 << (bits - width)) + 1) << width)
         for b in np.flatnonzero(np.diff(edges)).tolist():
-            yield (row << (bits - width)) + b, pack_gaps(own[edges[b]:edges[b + 1]] - (b << width))
+            yield (row << (bits - width)) + b, pack_cells(own[edges[b]:edges[b + 1]] - (b << width), width)
 
 
 def repeated_cells(df: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray], depth: int, bits: int,
@@ -104,7 +129,7 @@ def repeated_cells(df: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray]
                     if block is not None:
                         yield done()
                     block, counts = b, np.zeros(1 << width, np.uint8)
-                met = unpack_gaps(packed)
+                met = unpack_cells(packed)
                 counts[met] += 1
                 twice = met[1:][met[1:] == met[:-1]]
                 counts[twice] = 2

@@ -36,6 +36,8 @@ from pairgrade.sources.sinks import materialize
 SPAN = 13
 FLUSH_WINDOWS = 3_000_000
 BUCKET_WINDOWS = 2_000_000
+#: Words whose least hash within a window decides its bucket.
+LOCAL_WORDS = 6
 
 
 def windows_of(part: pa.RecordBatch, span: int, column: int) -> tuple[Words, np.ndarray, np.ndarray]:
@@ -46,14 +48,26 @@ def windows_of(part: pa.RecordBatch, span: int, column: int) -> tuple[Words, np.
     return words, places, gram_hashes(words.hashes(1), span)[places]
 
 
+def bucket_of(words: np.ndarray, places: np.ndarray, span: int, buckets: int) -> np.ndarray:
+    """The bucket of the windows at ``places``, by the least hash of the runs of
+    ``LOCAL_WORDS`` words in them: equal windows share it, and so do most that
+    follow one another, whose document is then told once."""
+    k = min(LOCAL_WORDS, span)
+    runs = gram_hashes(words, k)
+    least = runs[places]
+    for j in range(1, span - k + 1):
+        np.minimum(least, runs[places + j], out=least)
+    return (mix(least) % np.uint64(buckets)).astype(np.int32)
+
+
 # ---------------------------------------------------------------------------
 # Second pass: exact groups
 # ---------------------------------------------------------------------------
 @dataclass
 class Held:
-    """Windows waiting to be grouped: two hashes, document, mark, place."""
+    """Windows waiting to be grouped: two hashes, document, mark, place, bucket."""
 
-    columns: list[list[np.ndarray]] = field(default_factory=lambda: [[] for _ in range(5)])
+    columns: list[list[np.ndarray]] = field(default_factory=lambda: [[] for _ in range(6)])
     n: int = 0
 
     def add(self, *columns: np.ndarray) -> None:
@@ -64,16 +78,16 @@ class Held:
     def settle(self) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """(windows in the smallest of their documents, (document, mark, place)
         of those in a larger one), both by document and place."""
-        h1, h2, doc, mark, at = (np.concatenate(c) for c in self.columns)
+        h1, h2, doc, mark, at, bucket = (np.concatenate(c) for c in self.columns)
         self.__init__()
         order = np.lexsort((doc, h2, h1))
-        h1, h2, doc, mark, at = (x[order] for x in (h1, h2, doc, mark, at))
+        h1, h2, doc, mark, at, bucket = (x[order] for x in (h1, h2, doc, mark, at, bucket))
         first = np.empty(len(h1), bool)
         first[:1] = True
         first[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
         least = doc[np.flatnonzero(first)][np.cumsum(first) - 1] if len(doc) else doc
         out = []
-        for picked, some in ((doc == least, (h1, h2, doc, mark, at)), (doc != least, (doc, mark, at))):
+        for picked, some in ((doc == least, (h1, h2, bucket, doc, mark, at)), (doc != least, (doc, mark, at))):
             some = [x[picked] for x in some]
             by = np.lexsort((some[-1], some[-2], some[-3]))
             out.append([x[by] for x in some])
@@ -116,7 +130,7 @@ def covered_windows(own: DataFrame, sketch: np.ndarray, span: int, bits: int, bu
     """(doc_id, mark, gone), written: for each document the places of its windows whose
     words also start in a document with a smaller id.
 
-    Rows between the passes are packed: windows by a bucket of their hash, then
+    Rows between the passes are packed: windows by a bucket (``bucket_of``), then
     covered places by a group of documents, so their number follows the number
     of partitions and not that of documents."""
     sent = own.sparkSession.sparkContext.broadcast(sketch)
@@ -129,8 +143,8 @@ def covered_windows(own: DataFrame, sketch: np.ndarray, span: int, bits: int, bu
             rows = []
             for b, some in _dealt(_by_document(*gone[:2], buckets), buckets):
                 rows.append((b, _pack(*(x[some] for x in gone)), None, None, None))
-            for b, some in _dealt((rivals[0] % np.uint64(buckets)).astype(np.int64), buckets):
-                h1, h2, *place = (x[some] for x in rivals)
+            for b, some in _dealt(rivals[2], buckets):
+                h1, h2, _, *place = (x[some] for x in rivals)
                 rows.append((b, None, h1.tobytes(), h2.tobytes(), _pack(*place)))
             return _rows(rows, ["bucket", "gone", "h1", "h2", "places"],
                          [pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary()])
@@ -144,8 +158,10 @@ def covered_windows(own: DataFrame, sketch: np.ndarray, span: int, bits: int, bu
             owner = words.text_of()[places]
             some = estimated_repeated(sent.value, h1, bits) & known[owner]
             places, owner = places[some], owner[some]
-            h2 = gram_hashes(words.hashes(2), span)[places] >> np.uint64(32)
-            held.add(h1[some], h2.astype(np.uint32), doc[owner], mark[owner], places - words.first[owner])
+            other = words.hashes(2)
+            h2 = gram_hashes(other, span)[places] >> np.uint64(32)
+            held.add(h1[some], h2.astype(np.uint32), doc[owner], mark[owner], places - words.first[owner],
+                     bucket_of(other, places, span, buckets))
             if n >= FLUSH_WINDOWS:
                 if held.n:
                     yield flush()
@@ -177,7 +193,8 @@ def covered_windows(own: DataFrame, sketch: np.ndarray, span: int, bits: int, bu
                 if done is not None:
                     gone.append(_unpack(done))
                 else:
-                    held.add(np.frombuffer(h1, np.uint64), np.frombuffer(h2, np.uint32), *_unpack(places))
+                    held.add(np.frombuffer(h1, np.uint64), np.frombuffer(h2, np.uint32), *_unpack(places),
+                             np.zeros(len(h2) // 4, np.int32))
         if held.n:
             gone.append(held.settle()[1])
         if gone:

@@ -7,7 +7,7 @@ import re
 import numpy as np
 
 from pairgrade.llm import countmin, substring
-from pairgrade.llm.countmin import pack_gaps, unpack_gaps
+from pairgrade.llm.countmin import pack_cells, pack_gaps, unpack_cells, unpack_gaps
 from pairgrade.llm.substring import dedup_substrings
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -75,6 +75,28 @@ def test_gaps():
     assert len(unpack_gaps(b"")) == 0
 
 
+def test_cells_far_apart_take_little_more_than_a_byte():
+    rng = np.random.default_rng(2)
+    for width, n in ((20, 3500), (20, 14_000), (20, 200_000), (20, 1), (20, 0), (16, 900), (4, 40), (0, 3)):
+        x = np.sort(rng.integers(0, 1 << width, n)).astype(np.uint32)
+        packed = pack_cells(x, width)
+        assert (unpack_cells(packed) == x).all() and len(packed) <= len(pack_gaps(x)) + 1
+    x = np.sort(rng.integers(0, 1 << 20, 3500)).astype(np.uint32)
+    assert len(pack_cells(x, 20)) < 1.3 * len(x) < 1.6 * len(x) < len(pack_gaps(x))
+
+
+def test_windows_that_follow_one_another_share_a_bucket():
+    """Equal windows do always, wherever they stand."""
+    rng = np.random.default_rng(4)
+    words = rng.integers(0, 1 << 63, 5000).astype(np.uint64)
+    words[3000:3400] = words[1000:1400]
+    places = np.arange(5000 - 12)
+    got = substring.bucket_of(words, places, 13, 64)
+    assert (got[1000:1388] == got[3000:3388]).all()
+    assert (got[1:] != got[:-1]).mean() < 0.3 and len(np.unique(got)) == 64 and np.bincount(got).max() < 300
+    assert (substring.bucket_of(words, places, 3, 1) == 0).all()
+
+
 def test_documents_that_begin_alike_and_copies(docs, monkeypatch):
     """A header in every document, and texts that stand more than once."""
     monkeypatch.setattr(substring, "FLUSH_WINDOWS", 400)
