@@ -61,8 +61,8 @@ class _State:
 class Transducer:
     """Encodes one splitter match after another."""
 
-    def __init__(self, ranks: dict[bytes, int]):
-        self.ranks = ranks
+    def __init__(self, ranks: dict[bytes, int], max_states: int | None = None):
+        self.ranks, self.max_states = ranks, max_states or MAX_STATES
         self.bytes_of = {i: t for t, i in ranks.items()}
         self._spines: dict[int, tuple[list, list]] = {}
         self._pair: dict[int, bool] = {}
@@ -241,9 +241,9 @@ class Transducer:
         known = self.ranks.get(piece)
         if known is not None:
             return [known]
-        if len(self.states) > MAX_STATES:
+        if len(self.states) > self.max_states:
             self._reset()
-        if len(self._pair) > 4 * MAX_STATES:
+        if len(self._pair) > 4 * self.max_states:
             self._pair.clear()
         if len(piece) > BLOCK:
             return [token for sent in self.stream(piece) for token in sent]
@@ -309,9 +309,9 @@ class Codec:
     """Splitter, transducer and decoder, with a bounded memory of matches (two
     generations: what is met again moves to the younger one)."""
 
-    def __init__(self, rank_blob: bytes, pattern: str, cache_pieces: int = CACHE_PIECES):
+    def __init__(self, rank_blob: bytes, pattern: str, cache_pieces: int = CACHE_PIECES, max_states: int | None = None):
         self.pattern = piece_pattern(pattern)
-        self.transducer = Transducer(read_ranks(rank_blob))
+        self.transducer = Transducer(read_ranks(rank_blob), max_states)
         self.machine = Utf8Machine(self.transducer.bytes_of)
         self.half = max(1, cache_pieces // 2)
         self.young: dict[str, list[int]] = {}
@@ -354,7 +354,8 @@ class Codec:
 
 def encode_decode(docs: DataFrame, rank_file: str, pattern: str,
                   id_col: str = "doc_id", text_col: str = "text",
-                  with_ids: bool = False) -> DataFrame:
+                  with_ids: bool = False, cache_pieces: int = CACHE_PIECES,
+                  max_states: int | None = None) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256[, ids]), one row per row.
 
     ``rank_file``: lines of base64 token and rank; read on the driver and sent
@@ -362,16 +363,17 @@ def encode_decode(docs: DataFrame, rank_file: str, pattern: str,
     splits a text into the matches that are encoded apart.  ``with_ids`` adds
     the ids themselves.  A null text counts as empty (no ids; both digests are
     those of no bytes); a null id stays null; repeated rows give repeated rows;
-    other columns are ignored.
+    other columns are ignored.  ``cache_pieces`` and ``max_states`` bound the matches
+    and states that a worker keeps; fewer take more time, the rows are the same.
     """
     with open(rank_file, "rb") as f:
         ranks = f.read()
     blob = docs.sparkSession.sparkContext.broadcast(ranks)
-    name = f"codec {hashlib.sha256(ranks).hexdigest()} {pattern}"
+    name = f"codec {hashlib.sha256(ranks).hexdigest()} {pattern} {cache_pieces} {max_states}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # states and matches met in one task serve the worker's next
-        codec = kept(name, lambda: Codec(blob.value, pattern))
+        codec = kept(name, lambda: Codec(blob.value, pattern, cache_pieces, max_states))
         for part in slices(batches, keep=name):
             texts = texts_of(part)
             gc.disable()  # the memory of matches and states is large and holds no garbage

@@ -69,8 +69,9 @@ def _release() -> None:
 
 
 def _trim() -> None:
-    """Give freed memory back to the system (where the C library can): what
-    other operators' tasks used in this worker would count beside what is kept."""
+    """Give freed memory back to the system (where the C library can): what a
+    task used would count beside what this worker, or another, keeps."""
+    pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
     except (OSError, AttributeError):
@@ -81,7 +82,8 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text",
            max_bytes: int = SLICE_BYTES, keep: str = "") -> Iterator[pa.RecordBatch]:
     """The batches, cut so that a slice holds about ``max_bytes`` of text (one
     row at least, and a row is never divided).  What earlier tasks left in the
-    worker is released, but for the object named ``keep``."""
+    worker is released, but for the object named ``keep``; what this one freed is
+    given back at its end, as a worker may wait beside others for its next task."""
     if keep not in _KEPT:
         _release()
     for batch in batches:
@@ -94,6 +96,8 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text",
             hi = min(max(hi, lo + 1), batch.num_rows)
             yield batch.slice(lo, hi - lo)
             lo = hi
+        del batch
+    _trim()
 
 
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:

@@ -113,3 +113,15 @@ def test_novel_strings_need_context_and_entropy(docs):
     assert got[1] == (1, "novel:16:36") and got[2] == (0, "") and got[3] == (0, "") and got[4][0] == 0
     text = b"x8Jq2Lm9Zp4Kr7Wt1VbQ and again x8Jq2Lm9Zp4Kr7Wt1VbQ"
     assert Novelty().measure(text, 31, 51) < 0.5 < Novelty().measure(text[31:], 0, 20)  # met in the text around
+
+
+def test_bounded_memory_gives_the_same_rows(docs):
+    texts = [(n, " ".join(f"w{n * k % 7919}ø{k}" for k in range(60))) for n in range(40)] + [(99, None)]
+    ranks = P.path("byte_bpe_multi_50k.tiktoken")
+    small = encode_decode(docs(texts), ranks, P.PATTERN, cache_pieces=20, max_states=50)
+    assert sorted(small.collect()) == sorted(encode_decode(docs(texts), ranks, P.PATTERN).collect())
+    with open(ranks, "rb") as f:
+        codec = Codec(f.read(), P.PATTERN, cache_pieces=20, max_states=50)
+    for _, text in texts[:-1]:
+        codec.digest(text)
+        assert len(codec.young) <= 10 and len(codec.old) <= 10 and len(codec.transducer.states) < 200
