@@ -28,6 +28,7 @@ from pairgrade.llm.common import id_text, kept, slices, texts_of
 CACHE_PIECES = 1_400_000
 MAX_STATES = 250_000
 BLOCK = 50_000
+MET_BITS = 21
 
 #: White space as the splitter's pattern means it (Unicode White_Space).
 _SPACE = r"\t-\r\x20\x85\xa0  -     　"
@@ -307,13 +308,16 @@ class Utf8Machine:
 
 class Codec:
     """Splitter, transducer and decoder, with a bounded memory of matches (two
-    generations: what is met again moves to the younger one)."""
+    generations: what is met again moves to the younger one).  A match is kept
+    when it is met a second time, as most are met once: ``met`` has a byte for
+    the hashes met in this generation."""
 
     def __init__(self, rank_blob: bytes, pattern: str, cache_pieces: int = CACHE_PIECES, max_states: int | None = None):
         self.pattern = piece_pattern(pattern)
         self.transducer = Transducer(read_ranks(rank_blob), max_states)
         self.machine = Utf8Machine(self.transducer.bytes_of)
         self.half = max(1, cache_pieces // 2)
+        self.met = bytearray(1 << MET_BITS)
         self.young: dict[str, list[int]] = {}
         self.old: dict[str, list[int]] = {}
         self.name_of = {i: str(i) for i in self.transducer.bytes_of}
@@ -322,8 +326,13 @@ class Codec:
         ids = self.old.get(piece)
         if ids is None:
             ids = self.transducer.encode(piece.encode())
+            spot = hash(piece) >> 3 & (1 << MET_BITS) - 1
+            if not self.met[spot]:
+                self.met[spot] = 1
+                return ids
         if len(self.young) >= self.half:
             self.old, self.young = self.young, {}
+            self.met = bytearray(1 << MET_BITS)
         if len(piece) <= 256:
             self.young[piece] = ids
         return ids
@@ -374,7 +383,7 @@ def encode_decode(docs: DataFrame, rank_file: str, pattern: str,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # states and matches met in one task serve the worker's next
         codec = kept(name, lambda: Codec(blob.value, pattern, cache_pieces, max_states))
-        for part in slices(batches, keep=name):
+        for part in slices(batches, max_bytes=1 << 20, keep=name):
             texts = texts_of(part)
             gc.disable()  # the memory of matches and states is large and holds no garbage
             try:

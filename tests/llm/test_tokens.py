@@ -125,3 +125,13 @@ def test_bounded_memory_gives_the_same_rows(docs):
     for _, text in texts[:-1]:
         codec.digest(text)
         assert len(codec.young) <= 10 and len(codec.old) <= 10 and len(codec.transducer.states) < 200
+
+
+def test_matches_met_once_are_not_kept():
+    with open(P.path("byte_bpe_multi_50k.tiktoken"), "rb") as f:
+        codec = Codec(f.read(), P.PATTERN)
+    texts = [" ".join(f"qø{chr(97 + n)}{chr(97 + k // 26)}{chr(97 + k % 26)}zx" for k in range(60)) for n in range(8)]
+    first = [codec.digest(t) for t in texts]
+    once = len(codec.young)
+    assert [codec.digest(t) for t in texts] == first  # met again: kept, and the same
+    assert once < 60 < 400 < len(codec.young)
