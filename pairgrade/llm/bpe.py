@@ -308,16 +308,17 @@ class Utf8Machine:
 
 class Codec:
     """Splitter, transducer and decoder, with a bounded memory of matches (two
-    generations: what is met again moves to the younger one).  A match is kept
-    when it is met a second time, as most are met once: ``met`` has a byte for
-    the hashes met in this generation."""
+    generations: what is met again moves to the younger one).  With ``second`` a
+    match is kept when it is met a second time, as most are met once: ``met`` has
+    a byte for the hashes met in this generation."""
 
-    def __init__(self, rank_blob: bytes, pattern: str, cache_pieces: int = CACHE_PIECES, max_states: int | None = None):
+    def __init__(self, rank_blob: bytes, pattern: str, cache_pieces: int = CACHE_PIECES, max_states: int | None = None,
+                 second: bool = False):
         self.pattern = piece_pattern(pattern)
         self.transducer = Transducer(read_ranks(rank_blob), max_states)
         self.machine = Utf8Machine(self.transducer.bytes_of)
         self.half = max(1, cache_pieces // 2)
-        self.met = bytearray(1 << MET_BITS)
+        self.met = bytearray(1 << MET_BITS) if second else None
         self.young: dict[str, list[int]] = {}
         self.old: dict[str, list[int]] = {}
         self.name_of = {i: str(i) for i in self.transducer.bytes_of}
@@ -326,13 +327,15 @@ class Codec:
         ids = self.old.get(piece)
         if ids is None:
             ids = self.transducer.encode(piece.encode())
-            spot = hash(piece) >> 3 & (1 << MET_BITS) - 1
-            if not self.met[spot]:
-                self.met[spot] = 1
-                return ids
+            if self.met is not None:
+                spot = hash(piece) >> 3 & (1 << MET_BITS) - 1
+                if not self.met[spot]:
+                    self.met[spot] = 1
+                    return ids
         if len(self.young) >= self.half:
             self.old, self.young = self.young, {}
-            self.met = bytearray(1 << MET_BITS)
+            if self.met is not None:
+                self.met = bytearray(1 << MET_BITS)
         if len(piece) <= 256:
             self.young[piece] = ids
         return ids
@@ -364,7 +367,7 @@ class Codec:
 def encode_decode(docs: DataFrame, rank_file: str, pattern: str,
                   id_col: str = "doc_id", text_col: str = "text",
                   with_ids: bool = False, cache_pieces: int = CACHE_PIECES,
-                  max_states: int | None = None) -> DataFrame:
+                  max_states: int | None = None, second: bool = False) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256[, ids]), one row per row.
 
     ``rank_file``: lines of base64 token and rank; read on the driver and sent
@@ -374,15 +377,16 @@ def encode_decode(docs: DataFrame, rank_file: str, pattern: str,
     those of no bytes); a null id stays null; repeated rows give repeated rows;
     other columns are ignored.  ``cache_pieces`` and ``max_states`` bound the matches
     and states that a worker keeps; fewer take more time, the rows are the same.
+    With ``second`` it keeps no match that it met only once.
     """
     with open(rank_file, "rb") as f:
         ranks = f.read()
     blob = docs.sparkSession.sparkContext.broadcast(ranks)
-    name = f"codec {hashlib.sha256(ranks).hexdigest()} {pattern} {cache_pieces} {max_states}"
+    name = f"codec {hashlib.sha256(ranks).hexdigest()} {pattern} {cache_pieces} {max_states} {second}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # states and matches met in one task serve the worker's next
-        codec = kept(name, lambda: Codec(blob.value, pattern, cache_pieces, max_states))
+        codec = kept(name, lambda: Codec(blob.value, pattern, cache_pieces, max_states, second))
         for part in slices(batches, max_bytes=1 << 20, keep=name):
             texts = texts_of(part)
             gc.disable()  # the memory of matches and states is large and holds no garbage
