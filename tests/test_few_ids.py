@@ -6,7 +6,10 @@ import random
 import numpy as np
 import pytest
 
-from pairgrade.operators import wals
+from pyspark.sql import functions as F
+
+from pairgrade.operators import cells, wals
+from pairgrade.plans import sweep
 from pairgrade.plans.sweep import pair_sweep
 from pairgrade.sources.sinks import Scratch
 
@@ -67,3 +70,54 @@ def test_rows_of_few_distinct_pairs_are_not_written(spark, monkeypatch):
     assert few.keys() == many.keys() and len(few) == 6
     for pair, row in few.items():
         assert tuple(row[2:10]) == pytest.approx(tuple(many[pair][2:10]), rel=1e-9)
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Null ids, ids at the ends of the int range, null and NaN labels, null, NaN
+    and constant bias."""
+    rng, rows = random.Random(5), [(9999, 0, 3, 0, 1.0, float("nan"))]
+    for k in range(1200):
+        x, y = rng.choice([None, 0, 1, -7]), rng.choice([3, 2 ** 31 - 1, -2 ** 31, None])
+        rows.append((k, x, y, rng.randrange(3), rng.choice([None, float("nan"), 1.0, 2.0, 2.5]),
+                     rng.choice([None, 1.0, 4.0, 9.5]) if x != 1 else 4.0))
+    return spark.createDataFrame(rows, "k long, x int, y int, z int, r double, b double")
+
+
+@pytest.mark.parametrize("rows, dense", [(50, 1 << 22), (1 << 21, 0)])
+def test_sums_by_cell_give_the_metrics_of_joined_rows(spark, odd, monkeypatch, rows, dense):
+    monkeypatch.setattr(cells, "BLOCK_ROWS", rows)
+    monkeypatch.setattr(cells, "METRIC_ROWS", rows)
+    monkeypatch.setattr(cells, "DENSE_CELLS", dense)
+    pairs = sweep.ordered_pairs(["x", "y", "z"])
+    with Scratch(spark) as scratch:
+        table = sweep.sweep_table(odd, ["x", "y", "z"], "r", "k", bias="b", write=scratch.write)
+        fitted = sweep._fitted(table, pairs, True, scratch, rank=4, max_iter=2, seed=1)
+        assert sorted(fitted.few) == [0, 1, 2] and not fitted.many
+        bounds = fitted.scored.groupBy("model").agg(F.min("low"), F.max("high")).collect()
+        few = sweep._few_metrics(table, fitted, {m: own for m, *own in bounds}, True, True, 0.5, 5.0).collect()
+        many = sweep.stacked_metrics(sweep._scored_rows(table, fitted, [0, 1, 2], True), True, True, 0.5, 5.0).collect()
+        counts = sweep._all_counts(table, pairs)
+        monkeypatch.setattr(sweep, "PATTERN_COLUMNS", 0)
+        assert counts == sweep._all_counts(table, pairs)
+    assert len(few) == len(many) == 6
+    for one, two in zip(sorted(few), sorted(many)):
+        assert tuple(one) == pytest.approx(tuple(two), rel=1e-9, nan_ok=True)
+
+
+@pytest.mark.parametrize("rows", [50, 1 << 21])
+def test_cells_are_counted_as_by_grouping(spark, odd, monkeypatch, rows):
+    monkeypatch.setattr(cells, "BLOCK_ROWS", rows)
+    table = odd.withColumn("t", F.col("k") % 3 > 0).withColumnRenamed("b", "bias")
+    sets = [("x", "y"), ("z", "x")]
+    found = sorted(map(repr, cells.cell_sums(table, sets, "t", "r", "bias").collect()))
+    rated = F.col("t") & F.col("r").isNotNull() & ~F.isnan("r")
+    want = []
+    for n, (a, b) in enumerate(sets):
+        bias = F.when(~F.col("t"), F.col("bias"))
+        want += (table.where(f"{a} is not null and {b} is not null")
+                 .groupBy(F.lit(n).alias("set"), F.col(a).alias("a"), F.col(b).alias("b"))
+                 .agg(F.count_if(rated).alias("c"), F.sum(F.when(rated, F.col("r")).otherwise(0.0)).alias("s"),
+                      F.count_if(~F.col("t")).alias("t"), F.min(bias).alias("low"), F.max(bias).alias("high"))
+                 .where("c + t > 0").collect())
+    assert found == sorted(map(repr, want))
