@@ -1,6 +1,8 @@
 """Forests beyond MLlib's rows: the same trees, whatever is grown where."""
 
+import numpy as np
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from pairgrade.operators import assemble, fit_forest, forest, forest_nodes, grow, score_forest
@@ -80,3 +82,48 @@ def test_without_a_key(spark, table, monkeypatch):
     found = [fit_forest(rows.repartition(n), "class", num_classes=3, num_trees=3, max_depth=4).nodes for n in (2, 5)]
     assert shape(found[0]) == shape(found[1])
     assert found[0].where("node_id = 0").count() == 3
+
+
+@pytest.mark.parametrize("kind", ["class", "reg"])
+@pytest.mark.parametrize("hot", [2, 10 ** 6])
+def test_rows_added_up_by_cell_give_the_same_forest(spark, table, kind, hot, monkeypatch):
+    """A cell that a third of the rows is in; few entries, whole sums."""
+    coarse = assemble(table.select("k", (F.col("label") + 0.5 * (F.lit(kind) == "reg").cast("int")).alias("label"), *[
+        F.when(F.col("k") % 3 == 0, 1.0).otherwise(F.floor(F.pmod(F.xxhash64("k", F.lit(n)), F.lit(5 + n))).cast("double"))
+        .alias(f"c{n}") for n in range(3)]), ["c0", "c1", "c2"])
+    monkeypatch.setattr(forest, "MLLIB_ROWS", 100)
+    monkeypatch.setattr(grow, "LOCAL_ROWS", 300)
+    monkeypatch.setattr(grow, "HOT_ROWS", hot)
+    monkeypatch.setattr(grow, "MERGE_PART", 1000)
+    monkeypatch.setattr(grow, "BLOCK_ROWS", 512)
+    written, write = [], grow.Scratch.write
+    monkeypatch.setattr(grow.Scratch, "write", lambda self, df, name="table": written.append(name) or write(self, df, name))
+    merged = fit(coarse, kind, num_trees=4, max_depth=5)
+    assert "forest-cells" in written and "forest-binned" not in written
+    monkeypatch.setattr(grow, "MERGE_ROWS", 10 ** 9)
+    rows = fit(coarse, kind, num_trees=4, max_depth=5)
+    assert "forest-binned" in written
+    assert shape(merged.nodes) == shape(rows.nodes)
+
+
+def test_equal_rows_and_others_are_scored_alike(spark, table, monkeypatch):
+    """One of many equal rows goes down the trees; NaN goes right."""
+    monkeypatch.setattr(forest, "MLLIB_ROWS", 100)
+    monkeypatch.setattr(forest, "WALK_ROWS", 7)
+    model = fit(table, "class", num_trees=3, max_depth=5)
+    odd = table.where("k < 5").select("k", "features")
+    odd = odd.unionByName(spark.createDataFrame(
+        [(100 + n, Vectors.dense([float("nan"), 1.0 * n, float("inf"), n])) for n in range(3)], ["k", "features"]))
+    many = odd.crossJoin(spark.range(40).select("id"))
+    one = {r.k: r.prediction for r in score_forest(model, odd).collect()}
+    found = score_forest(model, many).collect()
+    assert len(found) == 320 and {(r.k, r.prediction) for r in found} == set(one.items())
+    nodes = {(r.tree_id, r.node_id): r for r in model.nodes.collect()}
+    for row in odd.collect():
+        votes = 0
+        for tree in range(3):
+            node = nodes[tree, 0]
+            while not node.is_leaf:
+                node = nodes[tree, node.left_child if row.features[node.feature] <= node.threshold else node.right_child]
+            votes = votes + np.array(node.stats) / sum(node.stats)
+        assert one[row.k] == np.argmax(votes)
