@@ -121,3 +121,12 @@ def test_cells_are_counted_as_by_grouping(spark, odd, monkeypatch, rows):
                       F.count_if(~F.col("t")).alias("t"), F.min(bias).alias("low"), F.max(bias).alias("high"))
                  .where("c + t > 0").collect())
     assert found == sorted(map(repr, want))
+
+
+def test_a_side_without_rows_and_unseen_ids(spark):
+    """No training rows in a block, a column of nulls, and test rows of which no id was seen."""
+    rows = spark.createDataFrame([(k, 1000 + k, k, None) for k in range(60)], "k int, x int, y int, z int")
+    held = cells.cell_sums(rows.withColumn("t", F.lit(False)), [("x", "y"), ("x", "z")], "t", "k").collect()
+    assert len(held) == 60 and {(r.set, r.c, r.s, r.t) for r in held} == {(0, 0, 0.0, 1)}
+    found = pair_sweep(rows, ["x", "y", "z"], "k", "k", bias="k", rank=2, max_iter=1).collect()
+    assert {(r.user, r.item): r.n for r in found if r.error is None} == {("x", "y"): 0, ("y", "x"): 0}
